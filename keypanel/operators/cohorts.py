@@ -16,12 +16,11 @@ def _long(df: DataFrame, keep: list[Column], metrics: list[str]) -> DataFrame:
 
 
 def _statistics(long: DataFrame, keys: list[str]) -> DataFrame:
-    """Mean, median and count of known values per key, one row each."""
-    totals = long.groupBy(*keys).agg(
-        F.try_divide(F.sum(money(F.col("value"))).cast("double"), F.count("value")).alias("mean"),
-        F.count("value").alias("count"))
-    medians = exact_quantiles(long, keys, "value", {"median": 0.5})
-    return totals.join(medians, keys, "left").select(*keys, "mean", "median", "count")
+    """Mean, median, count of known values and of rows per key, one row each."""
+    value = F.col("value")
+    return exact_quantiles(long, keys, "value", {"median": 0.5}, also={
+        "mean": F.try_divide(F.sum(money(value)).cast("double"), F.count(value)),
+        "count": F.count(value), "rows": F.count("*")})
 
 
 def summarize(df: DataFrame, group: str, metrics: list[str], digits: int = 2) -> DataFrame:
@@ -47,16 +46,15 @@ def compare_cohorts(df: DataFrame, metrics: list[str], first: Column, second: Co
     a, b = names
     cohort = F.when(first, F.lit(a)).when(second, F.lit(b))
     members = df.withColumn("_cohort", cohort).filter(F.col("_cohort").isNotNull())
-    long = _long(members, [F.col("_cohort")], metrics)
-    stats = _statistics(long, ["_cohort", "metric"])
-    sizes = long.groupBy("metric").agg(*[
-        F.count_if(F.col("_cohort") == name).alias(f"{name}_n") for name in names])
-    columns = [
-        F.max(F.when(F.col("_cohort") == name, rounded(F.col(stat), digits))).alias(f"{name}_{stat}")
-        for name in names for stat in ("mean", "median")]
-    return sizes.join(stats.groupBy("metric").agg(*columns), "metric", "left").select(
-        "metric", *[f"{n}_{s}" for n in names for s in ("mean", "median")],
-        *[f"{n}_n" for n in names])
+    stats = _statistics(_long(members, [F.col("_cohort")], metrics), ["_cohort", "metric"])
+
+    def of(name: str, column: Column) -> Column:
+        return F.max(F.when(F.col("_cohort") == name, column))
+
+    return stats.groupBy("metric").agg(
+        *[of(name, rounded(F.col(stat), digits)).alias(f"{name}_{stat}")
+          for name in names for stat in ("mean", "median")],
+        *[F.coalesce(of(name, F.col("rows")), F.lit(0)).alias(f"{name}_n") for name in names])
 
 
 def flag_matrix(df: DataFrame, row_flag: str, column_flag: str) -> DataFrame:

@@ -14,8 +14,11 @@ from pyspark.sql import functions as F
 
 from keypanel.functions.text import normalized
 
-# An id that holds more than this share of the rows is joined apart.
-HOT_SHARE = 1e-4
+# An id with fewer rows than this is never treated apart; entries of a frequent-items
+# sketch; number of groups sketches are merged in.
+HOT_ROWS = 100_000
+TRACKED_IDS = 10_000
+MERGE_GROUPS = 256
 
 
 def wide_join(spine: DataFrame, parts: list[tuple[DataFrame, str | list[str]]]) -> DataFrame:
@@ -40,50 +43,52 @@ def outer_merge(left: DataFrame, right: DataFrame, on: str | list[str]) -> DataF
     return left.join(right, on, "full")
 
 
-def frequent_ids(df: DataFrame, on: list[str], min_share: float) -> DataFrame:
-    """Ids that may hold at least ``min_share`` of the rows.
+def hot_hashes(df: DataFrame, on: list[str], min_rows: int = HOT_ROWS,
+               tracked: int = TRACKED_IDS) -> list[int]:
+    """Hashes of the ids (NULL included) that hold a large share of the rows.
 
-    The sketch never misses such an id and returns at most ``1 / min_share``
-    ids, whatever the size of the table; that bound makes the result safe to
-    broadcast.
+    A frequent-items sketch reads the id columns once.  It surely reports every id
+    with more than ``7 / tracked`` of the rows and never more than ``tracked / 3``
+    ids; those with fewer than ``min_rows`` rows harm no task and are left out.
+    Sketches are merged in two steps so that no task has to take in one sketch
+    from every other task.
     """
-    if not 0 < min_share < 1:
-        raise ValueError("min_share must lie between 0 and 1")
-    sketch = df.select(F.struct(*on).alias("id")).stat.freqItems(["id"], min_share)
-    return sketch.select(F.explode("id_freqItems").alias("id")).select("id.*")
+    rows = df.select(F.xxhash64(*on).alias("h"), (F.spark_partition_id() % MERGE_GROUPS).alias("g"))
+    partial = rows.groupBy("g").agg(F.expr(f"approx_top_k_accumulate(h, {tracked})").alias("s"))
+    merged = partial.groupBy(F.lit(1)).agg(F.expr(f"approx_top_k_combine(s, {tracked})").alias("s"))
+    found = merged.select(F.expr(f"approx_top_k_estimate(s, {tracked // 3})").alias("top")).first()
+    return [item["item"] for item in (found["top"] if found else []) if item["count"] >= min_rows]
 
 
 def exists_flag(events: DataFrame, ids: DataFrame, on: str | list[str], name: str,
-                hot_share: float = HOT_SHARE) -> DataFrame:
+                hot_rows: int | None = HOT_ROWS) -> DataFrame:
     """Add a 0/1 column: does the id of this row occur in ``ids``?
 
-    ``ids`` is reduced to distinct ids first, so rows never multiply.  Ids that
-    hold a large share of ``events`` (an "unknown" code, copies of one event)
-    never travel through the shuffle: they are looked up in a broadcast table of
-    at most ``1 / hot_share`` rows, and rows without an id are not joined at all.
-    Everything else is spread evenly by the shuffle join.
+    ``ids`` is reduced to distinct ids first, so rows never multiply.  Ids (an
+    "unknown" code, missing ids, copies of one event) that hold a large share of
+    ``events`` and at least ``hot_rows`` rows never travel through a shuffle: their
+    rows are looked up in a broadcast table of those ids, at most a few thousand.
+    All other rows are spread evenly by the join.  Finding the hot ids is one job
+    over the id columns; ``hot_rows=None`` skips it.
     """
     on = [on] if isinstance(on, str) else list(on)
     known = ids.select(*on).dropna().distinct().withColumn(name, F.lit(1))
-    hot = frequent_ids(events.dropna(subset=on), on, hot_share)
-    hot_known = F.broadcast(
-        F.broadcast(hot).join(known, on, "left").withColumn("_hot", F.lit(1)))
-
-    tagged = events.join(hot_known, on, "left")
-    result = [*events.columns, name]
-    has_id = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in on])
-    apart = tagged.filter(F.col("_hot").isNotNull() | ~has_id)
-    rest = tagged.filter(F.col("_hot").isNull() & has_id).drop("_hot", name)
-    joined = rest.join(known, on, "left")
-    return (apart.select(*result).unionByName(joined.select(*result))
-            .withColumn(name, F.coalesce(F.col(name), F.lit(0))))
+    hot = [] if hot_rows is None else hot_hashes(events, on, hot_rows)
+    if hot:
+        is_hot = F.xxhash64(*on).isin(hot)
+        spread = events.filter(~is_hot).join(known.filter(~is_hot), on, "left")
+        apart = events.filter(is_hot).join(F.broadcast(known.filter(is_hot)), on, "left")
+        joined = spread.unionByName(apart)
+    else:
+        joined = events.join(known, on, "left")
+    return joined.select(*events.columns, F.coalesce(F.col(name), F.lit(0)).alias(name))
 
 
 def label_join(df: DataFrame, other: DataFrame, label: str, other_label: str,
                how: str = "left") -> DataFrame:
     """Join by a name instead of a code, ignoring case and outer white space."""
     left = df.withColumn("_label", normalized(F.col(label)))
-    fresh = [c for c in other.columns if c not in df.columns]
+    fresh = [c for c in other.columns if c not in (*df.columns, other_label)]
     right = other.select(normalized(F.col(other_label)).alias("_label"), *fresh)
     return left.join(right, "_label", how).drop("_label")
 

@@ -37,23 +37,20 @@ def _by_column(df: DataFrame, names: list[str]) -> DataFrame:
 
 def table_stats(df: DataFrame, columns: list[str], digits: int = 2) -> DataFrame:
     """Sum, min, max, mean and median of whole columns, one row per column."""
-    long = _by_column(df, columns)
-    total = F.sum(money(F.col("value"))).cast("double")
-    basics = long.groupBy("column").agg(
-        total.alias("sum"), F.min("value").alias("min"), F.max("value").alias("max"),
-        F.try_divide(total, F.count("value")).alias("mean"))
-    joined = basics.join(exact_quantiles(long, ["column"], "value", {"median": 0.5}), "column", "left")
-    return joined.select("column", *[rounded(F.col(s), digits).alias(s)
-                                     for s in ("sum", "min", "max", "mean", "median")])
+    value, total = F.col("value"), F.sum(money(F.col("value"))).cast("double")
+    stats = exact_quantiles(_by_column(df, columns), ["column"], "value", {"median": 0.5}, also={
+        "sum": total, "min": F.min(value), "max": F.max(value),
+        "mean": F.try_divide(total, F.count(value))})
+    return stats.select("column", *[rounded(F.col(s), digits).alias(s)
+                                    for s in ("sum", "min", "max", "mean", "median")])
 
 
 def numeric_summary(df: DataFrame, columns: list[str] | None = None, digits: int = 2) -> DataFrame:
     """Count, mean, standard deviation, min, exact quartiles and max per numeric column."""
     names = columns or numeric_columns(df)
-    long = _by_column(df, names)
-    basics = long.groupBy("column").agg(
-        F.count("value").alias("count"), F.avg("value").alias("mean"),
-        F.stddev_samp("value").alias("std"), F.min("value").alias("min"), F.max("value").alias("max"))
-    joined = basics.join(exact_quantiles(long, ["column"], "value", QUARTILES), "column", "left")
-    stats = ["mean", "std", "min", *QUARTILES, "max"]
-    return joined.select("column", "count", *[rounded(F.col(s), digits).alias(s) for s in stats])
+    value = F.col("value")
+    stats = exact_quantiles(_by_column(df, names), ["column"], "value", QUARTILES, also={
+        "count": F.count(value), "mean": F.avg(value), "std": F.stddev_samp(value),
+        "min": F.min(value), "max": F.max(value)})
+    shown = ["mean", "std", "min", *QUARTILES, "max"]
+    return stats.select("column", "count", *[rounded(F.col(s), digits).alias(s) for s in shown])

@@ -10,80 +10,109 @@ from pyspark.sql import Window as W
 
 from keypanel.session import counted_side
 
-ACCURACY = 10_000
+# A range of at most this many rows is ranked value by value.
+RANKED_ROWS = 1_000_000
+# Buckets per power of two in the first narrowing, buckets per range in the others.
+LOG_STEPS = 128
+RANGE_STEPS = 4096
 
 
-def exact_quantiles(df: DataFrame, keys: list[str], value: str,
-                    probs: dict[str, float], accuracy: int = ACCURACY) -> DataFrame:
+def exact_quantiles(df: DataFrame, keys: list[str], value: str, probs: dict[str, float],
+                    also: dict[str, Column] | None = None, ranked_rows: int = RANKED_ROWS) -> DataFrame:
     """Exact, linearly interpolated quantiles of ``value`` per key.
 
-    A first pass sketches, per key and quantile, a bracket that surely holds the
-    wanted ranks (the sketch is off by at most ``1/accuracy`` of the group; the
-    bracket is five times wider).  A second pass keeps the values inside the
-    brackets and reduces everything between them to counts before the shuffle.
-    So about ``10/accuracy`` of a group is sorted, never the whole group.  Groups
-    of up to ``accuracy`` rows are kept whole.  Were a wanted rank ever outside
-    its bracket, the query fails instead of returning a wrong value.
-
-    Returns one row per key with the columns of ``probs``; values that are NULL
-    are left out, and a key without values has no row.
+    The first pass counts the values per key.  Then the range that holds a wanted
+    rank is narrowed by counting its rows in buckets: first by order of magnitude,
+    then in equal steps, until the range has at most ``ranked_rows`` rows or a
+    single value.  The last pass ranks the distinct values left.  Every pass is a
+    count with map-side combine over (key, bucket), so one key with most of the
+    rows is spread over all tasks, and no task ever sorts a whole group.  Small
+    groups need no narrowing: two passes.
+
+    ``also`` names further aggregates per key for the first pass, in which the
+    value is the column ``value``.  The result has one row per key, with ``also``
+    and ``probs``; quantiles are NULL for a key without values.  NaN counts as
+    missing.
     """
-    wanted = sorted(probs.values())
-    value_column = F.col(value).cast("double")
-    rows = df.select(*keys, value_column.alias("_v")).filter("_v IS NOT NULL")
+    number = F.col(value).cast("double")
+    clean = F.when(~F.isnan(number), number)
+    rows = df.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], clean.alias("value"))
+    ids = [f"_k{i}" for i in range(len(keys))]
     if not keys:
-        rows, keys = rows.withColumn("_all", F.lit(1)), ["_all"]
-
-    margin = 5.0 / accuracy
-    edges = [p for q in wanted for p in (max(0.0, q - margin), min(1.0, q + margin))]
-    sketch = rows.groupBy(*keys).agg(
-        F.count("*").alias("_n"), F.min("_v").alias("_min"), F.max("_v").alias("_max"),
-        F.percentile_approx("_v", edges, accuracy).alias("_edges"))
-    small = F.col("_n") <= accuracy
-    bounds = [
-        F.when(small, F.col("_min" if i % 2 == 0 else "_max")).otherwise(F.col("_edges")[i])
-        .alias(f"_b{i}") for i in range(len(edges))
-    ]
-    brackets = sketch.select(*[F.col(k).alias(f"_key_{k}") for k in keys], "_n", *bounds)
-    same_key = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_key_{k}")) for k in keys])
-
-    # Inside a bracket a value stands for itself; below one it is counted at the
-    # bracket's low edge, in front of the values there; above all it is dropped.
-    point, inside = None, None
-    for i in range(0, len(edges), 2):
-        low, high = F.col(f"_b{i}"), F.col(f"_b{i + 1}")
-        if point is None:
-            point, inside = F.when(F.col("_v") < low, low), F.when(F.col("_v") < low, 0)
-        else:
-            point, inside = point.when(F.col("_v") < low, low), inside.when(F.col("_v") < low, 0)
-        point = point.when(F.col("_v") <= high, F.col("_v"))
-        inside = inside.when(F.col("_v") <= high, 1)
-
-    counted = (rows.join(counted_side(brackets), same_key)
-               .select(*keys, "_n", point.alias("_point"), inside.alias("_inside"))
-               .filter(F.col("_point").isNotNull())
-               .groupBy(*keys, "_n", "_point", "_inside").agg(F.count("*").alias("_c")))
-    order = W.partitionBy(*keys).orderBy("_point", "_inside").rowsBetween(
-        W.unboundedPreceding, W.currentRow)
-    ranked = counted.withColumn("_end", F.sum("_c").over(order))
-
-    picks = []
-    for name, q in probs.items():
-        position = (F.col("_n") - 1) * F.lit(float(q))
-        picks += [_at(F.floor(position)).alias(f"{name}_lo"), _at(F.ceil(position)).alias(f"{name}_hi")]
-    found = ranked.groupBy(*keys, "_n").agg(*picks)
-    result = [k for k in keys if k != "_all"]
-    for name, q in probs.items():
-        position = (F.col("_n") - 1) * F.lit(float(q))
-        low, high = F.col(f"{name}_lo"), F.col(f"{name}_hi")
-        exact = low + (high - low) * (position - F.floor(position))
-        result.append(F.coalesce(exact, F.raise_error(F.lit("rank outside its bracket")).cast("double"))
-                      .alias(name))
-    return found.select(*result)
-
-
-def _at(rank: Column) -> Column:
-    """Value whose run of equal values covers a zero-based rank."""
-    covers = (F.col("_inside") == 1) & (F.col("_end") - F.col("_c") <= rank) & (rank < F.col("_end"))
-    return F.max(F.when(covers, F.col("_point")))
-
+        rows, ids = rows.withColumn("_k0", F.lit(1)), ["_k0"]
+
+    extra = also or {}
+    groups = counted_side(rows.groupBy(*ids).agg(
+        F.count("value").alias("_n"), F.min("value").alias("_lo"), F.max("value").alias("_hi"),
+        *[column.alias(name) for name, column in extra.items()]))
+    positions = [(F.col("_n") - 1) * F.lit(float(q)) for q in probs.values()]
+    ranks = F.array_distinct(F.array(*[r for p in positions for r in (F.floor(p), F.ceil(p))]))
+    targets = groups.filter("_n > 0").select(
+        *ids, F.explode(ranks).alias("_rank"), "_lo", "_hi", F.lit(0).cast("bigint").alias("_below"),
+        F.col("_n").alias("_size"))
+    ranges = groups.filter("_n > 0").select(*ids, "_lo", "_hi", F.lit(0).cast("bigint").alias("_below"))
+
+    bucket = _magnitude()
+    while _largest_open_range(targets) > ranked_rows:
+        targets = counted_side(_narrowed(rows, targets, ranges, ids, bucket))
+        ranges = counted_side(targets.select(*ids, "_lo", "_hi", "_below").distinct())
+        bucket = _equal_steps()
+    found = _narrowed(rows, targets, ranges, ids, F.col("value"))
+    at_rank = found.groupBy(*ids).agg(F.map_from_entries(F.collect_list(F.struct("_rank", "_lo"))).alias("_at"))
+
+    joined = groups.join(_renamed(at_rank, ids), _same(ids), "left")
+    result = [F.col(i).alias(k) for i, k in zip(ids, keys)] + [F.col(name) for name in extra]
+    for name, position in zip(probs, positions):
+        low, high = F.try_element_at("_at", F.floor(position)), F.try_element_at("_at", F.ceil(position))
+        result.append((low + (high - low) * (position - F.floor(position))).alias(name))
+    return joined.select(*result)
+
+
+def _largest_open_range(targets: DataFrame) -> int:
+    """Rows of the largest range that still holds several values."""
+    return targets.filter("_lo < _hi").agg(F.coalesce(F.max("_size"), F.lit(0))).first()[0]
+
+
+def _magnitude() -> Column:
+    """Order-preserving bucket by sign and power of two."""
+    v = F.col("value")
+    steps = F.floor(F.least(F.log2(F.abs(v)), F.lit(1100.0)) * LOG_STEPS) + 1100 * LOG_STEPS
+    return F.when(v > 0, steps).when(v < 0, -steps).otherwise(F.lit(0))
+
+
+def _equal_steps() -> Column:
+    """Order-preserving bucket by position in the range."""
+    v, low, high = F.col("value"), F.col("_lo"), F.col("_hi")
+    return F.least(F.floor((v - low) / (high - low) * RANGE_STEPS), F.lit(RANGE_STEPS - 1))
+
+
+def _narrowed(rows: DataFrame, targets: DataFrame, ranges: DataFrame, ids: list[str],
+              bucket: Column) -> DataFrame:
+    """Replace the range of every wanted rank by the bucket that holds the rank.
+
+    Ranges of a key do not overlap, so each row is counted in at most one.
+    """
+    inside = F.col("value").between(F.col("_lo"), F.col("_hi"))
+    open_ranges = _renamed(ranges.filter("_lo < _hi"), ids)
+    counts = (rows.join(open_ranges, _same(ids) & inside)
+              .withColumn("_bucket", bucket)
+              .groupBy(*ids, "_lo", "_below", "_bucket")
+              .agg(F.count("*").alias("_size"), F.min("value").alias("_min"), F.max("value").alias("_max")))
+    order = W.partitionBy(*ids, "_lo").orderBy("_bucket").rowsBetween(W.unboundedPreceding, W.currentRow)
+    end = F.col("_below") + F.sum("_size").over(order)
+    spans = _renamed(counts.withColumn("_end", end), ids).select(
+        *[f"r{i}" for i in ids], F.col("_lo").alias("_from"), "_size", "_min", "_max",
+        (F.col("_end") - F.col("_size")).alias("_start"), "_end")
+    wanted = targets.filter("_lo < _hi").drop("_size")
+    holds = (F.col("_lo") == F.col("_from")) & (F.col("_rank") >= F.col("_start")) & (F.col("_rank") < F.col("_end"))
+    moved = wanted.join(spans, _same(ids) & holds).select(
+        *ids, "_rank", F.col("_min").alias("_lo"), F.col("_max").alias("_hi"), F.col("_start").alias("_below"), "_size")
+    return moved.unionByName(targets.filter("_lo = _hi"))
+
+
+def _renamed(df: DataFrame, ids: list[str]) -> DataFrame:
+    return df.withColumnsRenamed({i: f"r{i}" for i in ids})
+
+
+def _same(ids: list[str]) -> Column:
+    return reduce(lambda a, b: a & b, [F.col(i).eqNullSafe(F.col(f"r{i}")) for i in ids])

@@ -1,0 +1,275 @@
+"""Column, join, ranking, cleaning, quality, profile and chart operators on hand rows."""
+
+import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from keypanel.operators import (aggregate, charts, clean, cohorts, columns, joins, profile, quality,
+                                ranking)
+
+QUICK = settings(max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+
+
+# -- columns ---------------------------------------------------------------
+
+def test_names(spark):
+    df = spark.createDataFrame([(1, 2, 3)], ["State Name", "  A-b ", "Pop. (2024)"])
+    assert columns.tidy_names(df).columns == ["state_name", "a_b", "pop._(2024)"]
+    assert columns.safe_names(df).columns == ["state_name", "a_b", "pop_2024"]
+    assert columns.lower_names(df).columns[0] == "state name"
+    assert columns.safe_name("DUID: Implied Consent Testing Methods") == "duid_implied_consent_testing_methods"
+    with pytest.raises(ValueError, match="collide"):
+        columns.safe_names(spark.createDataFrame([(1, 2)], ["a b", "a-b"]))
+
+
+def test_header_repair():
+    assert columns.repaired_header(["﻿STATE", " Fatals "], "state") == ["state", "fatals"]
+    assert columns.repaired_header(["ï»¿STATE", "x"], "state") == ["state", "x"]
+    assert columns.repaired_header(["??state", "x"], "state") == ["state", "x"]
+
+
+def test_prefix_and_order(spark):
+    df = spark.createDataFrame([(1, 2, 3, 4)], ["z", "popestimate2024", "id", "a"])
+    assert columns.replace_prefix(df, "popestimate", "pop_").columns == ["z", "pop_2024", "id", "a"]
+    assert columns.with_prefix(df, "pop") == ["popestimate2024"]
+    assert columns.ids_first(df, ["id"]).columns == ["id", "a", "popestimate2024", "z"]
+    assert columns.missing_columns(df, ["id", "zip"]) == ["zip"]
+
+
+def test_flatten(spark):
+    df = spark.sql("SELECT 1 AS id, named_struct('b', 2, 'c', named_struct('d', 3)) AS a")
+    flat = columns.flatten_structs(df)
+    assert flat.columns == ["id", "a.b", "a.c.d"] and flat.first() == (1, 2, 3)
+
+
+# -- joins -----------------------------------------------------------------
+
+@QUICK
+@given(st.lists(st.integers(0, 30), unique=True, min_size=1), st.lists(st.integers(0, 30), unique=True),
+       st.lists(st.integers(0, 30), unique=True))
+def test_wide_join_keeps_the_spine(spark, spine, first, second):
+    df = spark.createDataFrame([(k, "s") for k in spine], "k int, name string")
+    a = spark.createDataFrame([(k, "x", 1) for k in first], "k int, name string, a int")
+    b = spark.createDataFrame([(k, 2) for k in second], "k int, b int")
+    wide = joins.wide_join(df, [(a, "k"), (b, "k")])
+    assert wide.columns == ["k", "name", "a", "b"]
+    found = {r["k"]: r for r in wide.collect()}
+    assert sorted(found) == sorted(spine)
+    for k, r in found.items():
+        assert (r["name"], r["a"] == 1, r["b"] == 2) == ("s", k in first, k in second)
+
+
+def test_exists_flag(spark, rows):
+    events = spark.createDataFrame([(1, 10), (1, 10), (2, 20), (None, 30)], "id int, v int")
+    ids = spark.createDataFrame([(1,), (1,), (None,), (9,)], "id int")
+    for hot_rows in (1, 100, None):
+        found = joins.exists_flag(events, ids, "id", "hit", hot_rows=hot_rows)
+        assert sorted(rows(found), key=str) == sorted([(1, 10, 1), (1, 10, 1), (2, 20, 0), (None, 30, 0)], key=str)
+
+
+def test_exists_flag_with_a_hot_id(spark):
+    """A third of the rows share an id, another third have none."""
+    n = 30_000
+    events = spark.range(n, numPartitions=8).select(
+        F.when(F.col("id") % 3 == 0, F.lit(7)).when(F.col("id") % 3 == 1, F.col("id")).alias("a"),
+        (F.col("id") % 5).alias("b"), "id")
+    ids = spark.range(0, n, 2).select(F.col("id").alias("a"), (F.col("id") % 5).alias("b")).union(
+        spark.createDataFrame([(7, 1), (7, 2)], "a long, b long"))
+    hot = joins.hot_hashes(events, ["a"], min_rows=1000)
+    expected_hot = spark.sql("SELECT xxhash64(7L), xxhash64(CAST(NULL AS BIGINT))").first()
+    assert set(expected_hot) == set(hot)
+    found = joins.exists_flag(events, ids, ["a", "b"], "hit", hot_rows=1000)
+    plain = joins.exists_flag(events, ids, ["a", "b"], "hit", hot_rows=None)
+    assert found.count() == n
+    assert found.exceptAll(plain).count() == 0 and plain.exceptAll(found).count() == 0
+    one = found.filter("a = 7").groupBy("b").agg(F.min("hit"), F.max("hit"))
+    assert {tuple(r) for r in one.collect()} == {(0, 0, 0), (1, 1, 1), (2, 1, 1), (3, 0, 0), (4, 0, 0)}
+
+
+def test_exists_flag_without_rows(spark):
+    events = spark.createDataFrame([], "id int, v int")
+    ids = spark.createDataFrame([(1,)], "id int")
+    assert joins.exists_flag(events, ids, "id", "hit", hot_rows=1).collect() == []
+
+
+def test_outer_merge_and_labels(spark, rows):
+    a = spark.createDataFrame([("Ohio", 1), ("Iowa", 2)], "name string, a int")
+    b = spark.createDataFrame([(" ohio ", 5), ("Utah", 6)], "label string, b int")
+    assert rows(joins.label_join(a, b, "name", "label"), "name") == [("Iowa", 2, None), ("Ohio", 1, 5)]
+    assert rows(joins.unmatched_labels(a, b, "name", "label")) == [("Iowa",)]
+    merged = joins.outer_merge(a, b.withColumnRenamed("label", "name"), "name")
+    assert rows(merged, "name") == [(" ohio ", None, 5), ("Iowa", 2, None), ("Ohio", 1, None), ("Utah", None, 6)]
+
+
+# -- aggregates ------------------------------------------------------------
+
+@QUICK
+@given(st.lists(st.tuples(st.integers(0, 2), st.one_of(st.none(), st.integers(0, 12))), min_size=1, max_size=60))
+def test_code_counts_add_up(spark, pairs):
+    df = spark.createDataFrame(pairs, "k int, code int")
+    counts = aggregate.code_counts(F.col("code"), {"one": 1, "two": 2, "ten": 10}, "other")
+    result = aggregate.profile_by_key(df, ["k"], {"n": F.count("*"), "known": F.count("code"), **counts})
+    for r in result.collect():
+        assert r["one"] + r["two"] + r["ten"] + r["other"] == r["known"] <= r["n"]
+
+
+def test_profile_drops_null_keys(spark, rows):
+    df = spark.createDataFrame([(1, 5), (1, None), (None, 7)], "k int, v int")
+    measures = {"n": F.count("*"), "s": aggregate.sum_where(F.col("v"), F.col("v") > 9)}
+    assert rows(aggregate.profile_by_key(df, ["k"], measures)) == [(1, 2, 0)]
+    assert len(rows(aggregate.profile_by_key(df, ["k"], measures, drop_null_keys=False))) == 2
+
+
+def test_profile_through_equals_direct_join(spark):
+    facts = spark.range(1000).select((F.col("id") % 17).alias("via"), F.col("id").alias("v"))
+    lookup = spark.range(15).select(F.col("id").alias("via"), (F.col("id") % 3).alias("k"))
+    measures = {"n": F.count("*"), "s": F.sum("v")}
+    two_step = aggregate.profile_through(facts, "via", lookup, ["k"], measures)
+    direct = aggregate.profile_by_key(facts.join(lookup, "via"), ["k"], measures)
+    assert sorted(map(tuple, two_step.collect())) == sorted(map(tuple, direct.collect()))
+
+
+def test_mean_with_error(spark, rows):
+    df = spark.createDataFrame([("a", 1.0), ("a", 3.0), ("b", 5.0), ("b", None)], "g string, v double")
+    (a, b) = rows(aggregate.mean_with_error(df, "g", "v"), "g")
+    assert a == ("a", 2.0, pytest.approx(2 ** 0.5), 2, pytest.approx(1.0))
+    assert b == ("b", 5.0, None, 1, None)
+
+
+def test_cohorts(spark, rows):
+    df = spark.createDataFrame([(1, 10.0, "x"), (1, 20.0, "x"), (0, 5.0, "y"), (0, None, "y"), (None, 99.0, None)],
+                               "f int, m double, g string")
+    table = cohorts.compare_cohorts(df, ["m"], F.col("f") == 1, F.col("f") == 0, ("yes", "no"))
+    assert rows(table) == [("m", 15.0, 15.0, 5.0, 5.0, 2, 2)]
+    assert rows(cohorts.summarize(df, "g", ["m"]), "g") == [("x", 15.0, 15.0, 2), ("y", 5.0, 5.0, 1)]
+    assert rows(cohorts.flag_matrix(df.dropna(subset=["f"]), "f", "f"), "f") == [(0, 0, 2), (1, 1, 2)]
+
+
+def test_cohort_without_members(spark, rows):
+    df = spark.createDataFrame([(1, 10.0)], "f int, m double")
+    table = cohorts.compare_cohorts(df, ["m"], F.col("f") == 1, F.col("f") == 0, ("yes", "no"))
+    assert rows(table) == [("m", 10.0, 10.0, None, None, 1, 0)]
+
+
+def test_published_lookback_buckets(spark, rows):
+    """Look-back years of the published table: 10 short, 32 standard, 6 lifetime, 3 without a law."""
+    years = [5] * 6 + [7] * 4 + [10] * 26 + [12] * 2 + [15] * 4 + [99] * 6 + [None] * 3
+    df = spark.createDataFrame([(y,) for y in years], "y int")
+    y = F.col("y")
+    table = cohorts.bucket_counts(df, y, [("short", y <= 7), ("standard", y <= 15), ("lifetime", y == 99)], "none")
+    assert dict(rows(table)) == {"short": 10, "standard": 32, "lifetime": 6, "none": 3}
+
+
+# -- ranking ---------------------------------------------------------------
+
+def test_top_bottom(spark, rows):
+    df = spark.createDataFrame([("a", 3), ("b", 3), ("c", 1), ("d", None), ("e", 9)], "k string, v int")
+    assert [r[0] for r in rows(ranking.largest(df, "v", "k", 2))] == ["e", "a"]
+    assert [r[0] for r in rows(ranking.smallest(df, "v", "k", 2))] == ["c", "a"]
+    found = ranking.top_bottom(df, "k", "v", 2, 2, highlight=["e"]).collect()
+    assert [tuple(r) for r in found] == [("c", 1, "bottom", 0), ("a", 3, "bottom", 0), ("e", 9, "top", 1)]
+    assert [r["k"] for r in ranking.top_bottom(df, "k", "v", 2).collect()] == ["a", "e"]
+
+
+@QUICK
+@given(st.lists(st.tuples(st.integers(0, 5), st.integers(0, 5)), min_size=1, max_size=30), st.integers(1, 4), st.integers(0, 4))
+def test_top_bottom_size(spark, pairs, n, m):
+    df = spark.createDataFrame(pairs, "k int, v int")
+    assert ranking.top_bottom(df, "k", "v", n, m).count() <= n + m
+
+
+@QUICK
+@given(st.lists(st.tuples(st.integers(0, 4), st.integers(0, 9)), min_size=1, max_size=40))
+def test_first_per_group_is_unique(spark, pairs):
+    df = spark.createDataFrame(pairs, "k int, v int")
+    found = {r["k"]: r["v"] for r in ranking.first_per_group(df, ["k"], ["v"]).collect()}
+    assert found == {k: min(v for kk, v in pairs if kk == k) for k, _ in pairs}
+
+
+# -- cleaning and quality --------------------------------------------------
+
+DIRTY = [(1, " a ", "2020"), (1, "a", "2020"), (2, "b", "x"), (2, "b", "x"), (3, None, "2021")]
+
+
+def test_clean(spark, rows):
+    df = spark.createDataFrame(DIRTY, "id int, name string, year string")
+    expected = [(1, "a", 2020), (2, "b", None), (3, None, 2021)]
+    assert rows(clean.clean(df, {"year": "INT"}, ["name"]), "id") == expected
+    assert rows(clean.clean(df, {"year": "int"}, ["name"], subset=["id"], order_by=["name"]), "id") == expected
+    filtered = clean.clean(df, {"year": "int"}, ["name"], where="year <> 'x'")
+    assert rows(filtered, "id") == [expected[0], expected[2]]
+    with pytest.raises(ValueError, match="order_by"):
+        clean.clean(df, subset=["id"])
+
+
+def test_quality(spark, rows):
+    df = spark.createDataFrame(DIRTY, "id int, name string, year string")
+    report = {(r["check"], r["column"]): (r["value"], r["status"]) for r in quality.quality(df, ["id", "zip"]).collect()}
+    assert report == {("row_count", None): (5.0, "ok"), ("duplicate_count", None): (1.0, "ok"),
+                      ("null_share", "id"): (0.0, "ok"), ("null_share", "name"): (0.2, "warn"),
+                      ("null_share", "year"): (0.0, "ok"), ("missing_column", "zip"): (None, "warn")}
+
+
+def test_null_share_at_the_threshold_is_fine(spark):
+    df = spark.createDataFrame([(None if i == 0 else i,) for i in range(10)], "v int")
+    status = {r["column"]: r["status"] for r in quality.quality(df).collect() if r["check"] == "null_share"}
+    assert status == {"v": "ok"}
+    assert quality.sparse_columns(df, max_null_share=0.10).count() == 0
+    assert quality.sparse_columns(df, max_nulls=0).first()["nulls"] == 1
+
+
+def test_quality_of_an_empty_table(spark):
+    df = spark.createDataFrame([], "v int")
+    assert {(r["check"], r["value"]) for r in quality.quality(df).collect()} == {
+        ("row_count", 0.0), ("duplicate_count", 0.0), ("null_share", 0.0)}
+
+
+def test_duplicates_compare_whole_texts(spark):
+    long = "x" * 5000
+    df = spark.createDataFrame([(long + "a",), (long + "b",), (long + "a",), (None,), (None,)], "t string")
+    assert tuple(quality.duplicate_count(df).first()) == (5, 2)
+
+
+def test_expectations(spark):
+    df = spark.createDataFrame([(1,), (0,), (1,)], "f int")
+    assert quality.expect_rows(df, 3) is df
+    assert quality.expect_values(df, {"f": (F.sum("f"), 2)}) is df
+    with pytest.raises(ValueError, match="expected 4 rows, found 3"):
+        quality.expect_rows(df, 4)
+    with pytest.raises(ValueError, match="unexpected totals"):
+        quality.expect_values(df, {"f": (F.sum("f"), 3)})
+
+
+def test_keys_and_conditions(spark, rows):
+    a = spark.createDataFrame([(1, None, "r"), (2, "yes", "r"), (2, None, None)], "k int, law string, trigger string")
+    assert rows(quality.repeated_keys(a, ["k"])) == [(2, 2)]
+    assert rows(quality.absent_keys(spark.createDataFrame([(1,), (3,), (3,)], "k int"), a, "k")) == [(3,)]
+    assert rows(quality.unsupported_values(a, F.col("trigger"), F.col("law"))) == [(1, None, "r")]
+    audit = quality.audit_tables({"a": a, "b": a.select("k")})
+    assert {(r["table"], r["column"]): r["nulls"] for r in audit.collect()} == {
+        ("a", "k"): 0, ("a", "law"): 2, ("a", "trigger"): 1, ("b", "k"): 0}
+
+
+# -- profiles and charts ---------------------------------------------------
+
+def test_profiles(spark, rows):
+    df = spark.createDataFrame([(1, "a"), (2, "a"), (None, None)], "n int, t string")
+    summary = profile.numeric_summary(df).first()
+    assert tuple(summary) == ("n", 2, 1.5, 0.71, 1.0, 1.25, 1.5, 1.75, 2.0)
+    counts = rows(profile.value_counts(df, top=2), "column", "rank")
+    assert counts == [("n", "1", 1, 1), ("n", "2", 1, 2), ("t", "a", 2, 1), ("t", None, 1, 2)]
+    assert tuple(profile.table_stats(df, ["n"]).first()) == ("n", 3.0, 1.0, 2.0, 1.5, 1.5)
+
+
+def test_chart_data(spark, rows):
+    keys = spark.createDataFrame([("01",), ("02",)], "k string")
+    values = spark.createDataFrame([("01", 5.0), ("99", 7.0)], "k string, v double")
+    assert rows(charts.map_values(keys, values, "k", "v"), "k") == [("01", 5.0, 0), ("02", None, 1)]
+    assert rows(charts.value_domain(values, "v")) == [(5.0, 7.0)]
+    assert rows(charts.value_domain(values, "v", low=0)) == [(0.0, 7.0)]
+    legend = spark.createDataFrame([(c,) for c in "gfedcbaa"] + [(None,)], "c string")
+    assert rows(charts.map_categories(legend, "c"), "c") == [
+        ("a", 0), ("b", 1), ("c", 2), ("d", 3), ("e", 4), ("f", 5), ("g", 0)]
+    wide = spark.createDataFrame([(2015, 1, 2.5)], "year int, a int, b double")
+    assert rows(charts.long_series(wide, "year", ["a", "b"]), "series") == [(2015, "a", 1.0), (2015, "b", 2.5)]

@@ -9,7 +9,7 @@ from keypanel.functions.rates import fixed_round, flag, money, sufficient
 from keypanel.functions.rules import penalty_class
 from keypanel.functions.text import pad_key
 from keypanel.operators.aggregate import (count_where, distinct_values, mean_with_error,
-                                          profile_by_key, profile_through)
+                                          profile_by_key)
 from keypanel.operators.charts import map_categories, map_values, scatter_points, value_domain
 from keypanel.operators.cohorts import bucket_counts, compare_cohorts, flag_matrix, summarize
 from keypanel.operators.joins import label_join, outer_merge, unmatched_labels
@@ -18,8 +18,7 @@ from keypanel.operators.ranking import largest, top_bottom
 from keypanel.plans.attributes import mandatory
 from keypanel.plans.master import RateSpec, rates_table, wide_master
 from keypanel.plans.reference import key_master
-from workload.events import (line_history, line_test_rates,
-                             order_profile, supplier_nation)
+from workload.events import (line_history, line_test_rates, order_profile)
 from workload.registry import query, table
 
 
@@ -30,16 +29,14 @@ def customers_by_nation(spark, sf) -> DataFrame:
 
 
 def lines_by_nation(spark, sf) -> DataFrame:
-    lines = table(spark, sf, "lineitem")
-    return profile_through(lines, "l_suppkey", supplier_nation(spark, sf), ["n_nationkey"], {
+    """Lines, quantity, and lines of suppliers in debt (NULL without any), in one pass."""
+    by_supplier = profile_by_key(table(spark, sf, "lineitem"), ["l_suppkey"], {
         "lines": F.count("*"), "quantity": F.sum(money(F.col("l_quantity")))})
-
-
-def debtor_lines_by_nation(spark, sf) -> DataFrame:
-    debtors = table(spark, sf, "supplier").filter("s_acctbal < 0").select(
-        F.col("s_suppkey").alias("l_suppkey"), F.col("s_nationkey").alias("n_nationkey"))
-    return profile_through(table(spark, sf, "lineitem"), "l_suppkey", debtors, ["n_nationkey"],
-                           {"debtor_lines": F.count("*")})
+    suppliers = table(spark, sf, "supplier").withColumnRenamed("s_nationkey", "n_nationkey")
+    joined = by_supplier.join(suppliers, F.col("l_suppkey") == F.col("s_suppkey"))
+    return profile_by_key(joined, ["n_nationkey"], {
+        "lines": F.sum("lines"), "quantity": F.sum("quantity"),
+        "debtor_lines": F.sum(F.when(F.col("s_acctbal") < 0, F.col("lines")))})
 
 
 def nations(spark, sf) -> DataFrame:
@@ -92,14 +89,9 @@ SELECT n_nationkey, n_name, round(orders * CAST(100000 AS DOUBLE) / nullif(custo
 FROM nation JOIN o ON o.k = n_nationkey LEFT JOIN c ON c.k = n_nationkey LEFT JOIN l ON l.k = n_nationkey
 """)
 def rates_by_key(spark, sf):
-    return key_rates(spark, sf)
-
-
-def key_rates(spark, sf) -> DataFrame:
     return rates_table(
         table(spark, sf, "nation").select("n_nationkey", "n_name"), order_profile(spark, sf),
-        [customers_by_nation(spark, sf), lines_by_nation(spark, sf), debtor_lines_by_nation(spark, sf)],
-        "n_nationkey", ["n_name"], [
+        [customers_by_nation(spark, sf), lines_by_nation(spark, sf)], "n_nationkey", ["n_name"], [
             RateSpec("orders_per_100k", "orders", "customers"),
             RateSpec("pct_debtor_lines", "debtor_lines", "lines", 100.0, 1),
             RateSpec("lines_per_100_units", "lines", "quantity", 100.0, 2)])
@@ -137,16 +129,16 @@ LEFT JOIN d ON d.k = n_nationkey
 def wide_master_table(spark, sf):
     tests = line_test_rates(spark, sf).select("n_nationkey", "total", "pct_known_all", "pct_known_killed")
     speeds = line_history(spark, sf).select("n_nationkey", "median_speed")
-    parts = [customers_by_nation(spark, sf), order_profile(spark, sf), tests, speeds,
-             debtor_lines_by_nation(spark, sf), key_rates(spark, sf)]
-    wide = wide_master(
+    debtors = lines_by_nation(spark, sf).select("n_nationkey", "debtor_lines")
+    parts = [customers_by_nation(spark, sf), order_profile(spark, sf), tests, speeds, debtors]
+    return wide_master(
         nations(spark, sf), [(p, "n_nationkey") for p in parts],
         derived={
             "amount": F.col("amount").cast("double"),
+            "orders_per_100k": RateSpec("orders_per_100k", "orders", "customers").column(),
             "profile": penalty_class(F.col("customers_in_debt"), F.col("debtor_lines")),
             "debtors_sufficient": sufficient(F.col("debtor_lines"), 15)},
-        drop=("pct_debtor_lines", "lines_per_100_units"), order_by="n_name", digits=2)
-    return wide
+        order_by="n_name", digits=2)
 
 
 def _by_customer(spark, sf, condition: str, prefix: str) -> DataFrame:
