@@ -11,7 +11,7 @@ from pyspark.sql import Window as W
 from keypanel.session import counted_side
 
 # A range of at most this many rows is ranked value by value.
-RANKED_ROWS = 1_000_000
+RANKED_ROWS = 100_000
 # Buckets per power of two in the first narrowing, buckets per range in the others.
 LOG_STEPS = 128
 RANGE_STEPS = 4096
