@@ -10,6 +10,7 @@ WHITESPACE = " \t\n\r\f\u000b"
 # What a dollar amount, a year count and a plain number look like.
 DOLLAR = r"\$([\d,]+)"
 YEARS = r"(\d+)\s*year"
+PLAIN_INTEGER = r"^[+-]?\d+$"
 PLAIN_NUMBER = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
 
 # Days per unit and hours per day; a unit is found as part of its word,
@@ -48,7 +49,9 @@ def number(column: Column) -> Column:
 
 def whole_number(column: Column, type_name: str = "int") -> Column:
     """Text as an integer; fractions are rounded instead of becoming NULL."""
-    exact = trimmed(column.cast("string")).try_cast(type_name)
+    # Only text of the right form is cast: a failing cast costs an exception per row.
+    text = trimmed(column.cast("string"))
+    exact = F.when(text.rlike(PLAIN_INTEGER), text.try_cast(type_name))
     return F.coalesce(exact, F.round(number(column)).try_cast(type_name))
 
 
@@ -64,7 +67,7 @@ def null_tokens(column: Column, tokens: tuple[str, ...] = ("", "NA", "N/A", "NaN
 
 
 def _amount(text: Column) -> Column:
-    return F.replace(text, F.lit(","), F.lit("")).try_cast("double")
+    return number(F.replace(text, F.lit(","), F.lit("")))
 
 
 def first_amount(column: Column) -> Column:
@@ -87,7 +90,7 @@ def duration_days(column: Column) -> Column:
     """
     text = normalized(column)
     lead = r"^(?:up to\s+)?"
-    value = F.regexp_extract(text, lead + r"(\d+\.?\d*|\.\d+)", 1).try_cast("double")
+    value = number(F.regexp_extract(text, lead + r"(\d+\.?\d*|\.\d+)", 1))
     own_unit = F.regexp_extract(text, lead + r"[\d.]+\s*([a-z]+)", 1)
     range_unit = F.regexp_extract(text, lead + rf"[\d.]+\s*{_DASH}\s*[\d.]+\s*([a-z]+)", 1)
     unit = F.when(own_unit != "", own_unit).otherwise(range_unit)
@@ -103,7 +106,7 @@ def years_back(column: Column) -> Column:
     """"N years" as N, "lifetime" as 99, anything else NULL."""
     text = F.lower(column)
     return F.coalesce(
-        F.regexp_extract(text, YEARS, 1).try_cast("int"),
+        F.nullif(F.regexp_extract(text, YEARS, 1), F.lit("")).try_cast("int"),
         F.when(text.contains("lifetime"), F.lit(LIFETIME)),
     )
 

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from keypanel.session import counted_side
+from keypanel.session import BROADCAST_ROWS, checkpointed
 
 # A range of at most this many rows is ranked value by value.
 RANKED_ROWS = 100_000
@@ -42,7 +42,7 @@ def exact_quantiles(df: DataFrame, keys: list[str], value: str, probs: dict[str,
         rows, ids = rows.withColumn("_k0", F.lit(1)), ["_k0"]
 
     extra = also or {}
-    groups = counted_side(rows.groupBy(*ids).agg(
+    groups = checkpointed(rows.groupBy(*ids).agg(
         F.count("value").alias("_n"), F.min("value").alias("_lo"), F.max("value").alias("_hi"),
         *[column.alias(name) for name, column in extra.items()]))
     positions = [(F.col("_n") - 1) * F.lit(float(q)) for q in probs.values()]
@@ -52,12 +52,16 @@ def exact_quantiles(df: DataFrame, keys: list[str], value: str, probs: dict[str,
         F.col("_n").alias("_size"))
     ranges = groups.filter("_n > 0").select(*ids, "_lo", "_hi", F.lit(0).cast("bigint").alias("_below"))
 
-    bucket = _magnitude()
-    while _largest_open_range(targets) > ranked_rows:
-        targets = counted_side(_narrowed(rows, targets, ranges, ids, bucket))
-        ranges = counted_side(targets.select(*ids, "_lo", "_hi", "_below").distinct())
-        bucket = _equal_steps()
-    found = _narrowed(rows, targets, ranges, ids, F.col("value"))
+    # A key has at most two ranks and ranges per quantile, so the number of keys,
+    # counted here, bounds every table that is joined with the rows.
+    sizes = groups.agg(F.count("*").alias("keys"), _largest(F.col("_n")).alias("largest")).first()
+    side = F.broadcast if sizes["keys"] <= BROADCAST_ROWS else (lambda df: df)
+    largest, bucket = sizes["largest"], _magnitude()
+    while largest > ranked_rows:
+        targets = checkpointed(_narrowed(rows, targets, side(ranges), ids, bucket))
+        ranges = targets.select(*ids, "_lo", "_hi", "_below").distinct()
+        largest, bucket = targets.agg(_largest(F.col("_size"))).first()[0], _equal_steps()
+    found = _narrowed(rows, targets, side(ranges), ids, F.col("value"))
     at_rank = found.groupBy(*ids).agg(F.map_from_entries(F.collect_list(F.struct("_rank", "_lo"))).alias("_at"))
 
     joined = groups.join(_renamed(at_rank, ids), _same(ids), "left")
@@ -68,9 +72,9 @@ def exact_quantiles(df: DataFrame, keys: list[str], value: str, probs: dict[str,
     return joined.select(*result)
 
 
-def _largest_open_range(targets: DataFrame) -> int:
+def _largest(size: Column) -> Column:
     """Rows of the largest range that still holds several values."""
-    return targets.filter("_lo < _hi").agg(F.coalesce(F.max("_size"), F.lit(0))).first()[0]
+    return F.coalesce(F.max(F.when(F.col("_lo") < F.col("_hi"), size)), F.lit(0))
 
 
 def _magnitude() -> Column:
@@ -93,8 +97,7 @@ def _narrowed(rows: DataFrame, targets: DataFrame, ranges: DataFrame, ids: list[
     Ranges of a key do not overlap, so each row is counted in at most one.
     """
     inside = F.col("value").between(F.col("_lo"), F.col("_hi"))
-    open_ranges = _renamed(ranges.filter("_lo < _hi"), ids)
-    counts = (rows.join(open_ranges, _same(ids) & inside)
+    counts = (rows.join(_renamed(ranges, ids).filter("_lo < _hi"), _same(ids) & inside)
               .withColumn("_bucket", bucket)
               .groupBy(*ids, "_lo", "_below", "_bucket")
               .agg(F.count("*").alias("_size"), F.min("value").alias("_min"), F.max("value").alias("_max")))

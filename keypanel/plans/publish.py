@@ -10,6 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from keypanel.functions.rates import share
+from keypanel.operators.quality import MAX_NULL_SHARE, expect_rows, null_audit
+from keypanel.session import checkpointed
 
 FORMATS = ("csv", "parquet", "json", "orc")
 
@@ -103,8 +105,8 @@ class PackageSpec:
 def package(df: DataFrame, spec: PackageSpec) -> dict[str, str]:
     """Strip personal columns, write every format and the codebook; returns the paths.
 
-    Parquet is written first and read back, so the table is computed once
-    however many formats follow.
+    The table is computed once however many formats follow: Parquet is written
+    first and read back, without it a checkpoint serves the same end.
     """
     unknown = [f for f in spec.formats if f not in FORMATS]
     if unknown:
@@ -114,6 +116,8 @@ def package(df: DataFrame, spec: PackageSpec) -> dict[str, str]:
     if "parquet" in spec.formats:
         written["parquet"] = save_parquet(table, f"{base}.parquet")
         table = spark.read.parquet(written["parquet"])
+    else:
+        table = checkpointed(table)
     out = table.coalesce(1) if spec.single_file else table
     for kind in [f for f in spec.formats if f != "parquet"]:
         path = f"{base}.{kind}"
@@ -131,6 +135,22 @@ def package(df: DataFrame, spec: PackageSpec) -> dict[str, str]:
     return written
 
 
+def publish(df: DataFrame, spec: PackageSpec, expected_rows: int | None = None,
+            critical: tuple[str, ...] = (), max_null_share: float = MAX_NULL_SHARE) -> tuple[dict[str, str], DataFrame]:
+    """Check a table, then package it; returns the paths and the null report.
+
+    A wrong number of rows raises before anything is written.  The report marks
+    critical columns with any null and other columns above the null share.
+    """
+    table = checkpointed(df)
+    if expected_rows is not None:
+        expect_rows(table, expected_rows)
+    status = (F.when(F.col("column").isin(*critical) & (F.col("nulls") > 0), "critical")
+              .when(F.col("raw_share") > max_null_share, "warn").otherwise("ok"))
+    report = null_audit(table).withColumn("status", status).drop("raw_share")
+    return package(table, spec), report
+
+
 @dataclass(frozen=True)
 class Provenance:
     """Where a stored table comes from.  Method and series breaks are required."""

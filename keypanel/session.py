@@ -5,7 +5,6 @@ from __future__ import annotations
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 # Settings a cluster job should start with.  AQE picks the number of reducers
 # from the measured shuffle size, splits skewed join partitions and turns joins
@@ -36,13 +35,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
         raise ValueError("set spark.checkpoint.dir to a folder all executors share")
 
 
-def counted_side(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Write a join side to the checkpoint folder, count it, broadcast it if small.
-
-    Above ``max_rows`` the side is returned without a hint and Spark joins it by
-    shuffle.  The checkpoint makes the count and the join read the same files
-    instead of computing the side twice.
-    """
+def checkpointed(df: DataFrame) -> DataFrame:
+    """Compute a table once, write it to the checkpoint folder and read it from there."""
     ensure_checkpoint_dir(df.sparkSession)
-    written = df.checkpoint(eager=True)
-    return F.broadcast(written) if written.count() <= max_rows else written
+    return df.checkpoint(eager=True)

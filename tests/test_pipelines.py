@@ -191,6 +191,16 @@ def test_package(spark, panel, tmp_path, rows):
         publish.package(panel, publish.PackageSpec(str(tmp_path), "p", formats=("xlsx",)))
 
 
+def test_publish_checks_first(spark, panel, tmp_path):
+    spec = publish.PackageSpec(str(tmp_path), "checked", formats=("csv",), personal_columns=("ssn",))
+    with pytest.raises(ValueError, match="expected 3 rows"):
+        publish.publish(panel, spec, expected_rows=3)
+    assert not (tmp_path / "checked.csv").exists()
+    paths, report = publish.publish(panel, spec, expected_rows=2, critical=("k", "n"))
+    assert sorted(paths) == ["codebook", "csv"]
+    assert {r["column"]: r["status"] for r in report.collect()} == {"k": "ok", "n": "critical", "v": "warn", "ssn": "ok"}
+
+
 def test_stored_table(spark, panel):
     publish.save_table(panel, "stored_panel")
     publish.save_table(panel, "stored_panel")

@@ -11,7 +11,7 @@ import oracle
 SF = "/root/testdata/sf0.001"
 QUERIES, SQL = entry.queries(), entry.oracle_sql()
 # The only queries that run Python on executors.
-PYTHON = {"html_records"}
+PYTHON = {"html_records", "html_table_by_index", "html_largest_table"}
 
 
 def plan(spark, name, mode="simple"):
@@ -29,7 +29,8 @@ def test_no_python_and_no_cartesian_product(spark, name):
 
 
 def test_python_only_for_html(spark):
-    assert "MapInPandas" in plan(spark, "html_records")
+    for name in PYTHON:
+        assert "MapInPandas" in plan(spark, name)
 
 
 def test_counts_are_combined_before_the_shuffle(spark):

@@ -8,12 +8,13 @@ from pyspark.sql import functions as F
 from keypanel.functions.rates import money, share
 from keypanel.operators.aggregate import (count_where, median_of_counts, profile_by_key,
                                           profile_through)
+from keypanel.operators.charts import long_series
 from keypanel.operators.joins import exists_flag
 from keypanel.plans.events import EventLayout, EventYear, event_totals_through, flagged_events
 from keypanel.plans.history import history_profile, prior_share_by_threshold
 from keypanel.plans.testing import TestCodes, test_rates
 from keypanel.plans.trend import trend
-from keypanel.sources.files import union_by_name
+from keypanel.sources.files import flatten_json_column, union_by_name
 from workload.registry import in_year, query, table
 
 YEARS = range(1995, 2002)
@@ -293,8 +294,6 @@ SELECT x, series, CAST(y AS DOUBLE) AS y FROM (
 UNPIVOT (y FOR series IN (orders, closed, urgent))
 """)
 def long_series_by_year(spark, sf):
-    from keypanel.operators.charts import long_series
-
     orders = table(spark, sf, "orders").withColumn("year", F.year("o_orderdate"))
     yearly = profile_by_key(orders, ["year"], {
         "orders": F.count("*"),
@@ -308,9 +307,22 @@ SELECT event_type, count(*) AS events, count(k) AS with_k, CAST(sum(k) AS BIGINT
 FROM (SELECT event_type, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events) GROUP BY 1
 """)
 def json_flatten(spark, sf):
-    from keypanel.sources.files import flatten_json_column
-
     flat = flatten_json_column(table(spark, sf, "events"), "props", "k int")
     k = F.col("`props.k`")
     return profile_by_key(flat, ["event_type"], {
         "events": F.count("*"), "with_k": F.count(k), "sum_k": F.sum(k), "min_k": F.min(k), "max_k": F.max(k)})
+
+
+@query("""
+SELECT CAST(year(o_orderdate) AS INTEGER) AS year, count(*) AS orders,
+       count(CASE WHEN year(o_orderdate) <= 1998 THEN o_orderpriority END) AS with_priority
+FROM orders WHERE year(o_orderdate) BETWEEN 1996 AND 2000 GROUP BY 1
+""")
+def union_with_missing_columns(spark, sf):
+    orders = table(spark, sf, "orders")
+    slices = []
+    for year in range(1996, 2001):
+        columns = ["o_orderpriority"] if year <= LAST_OWN_FLAG else []
+        slices.append(orders.filter(in_year("o_orderdate", year)).select(F.lit(year).alias("year"), *columns))
+    return profile_by_key(union_by_name(slices), ["year"], {
+        "orders": F.count("*"), "with_priority": F.count("o_orderpriority")})

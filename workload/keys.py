@@ -9,7 +9,7 @@ from keypanel.functions.rates import fixed_round, flag, money, sufficient
 from keypanel.functions.rules import penalty_class
 from keypanel.functions.text import pad_key
 from keypanel.operators.aggregate import (count_where, distinct_values, mean_with_error,
-                                          profile_by_key)
+                                          profile_by_key, profile_through)
 from keypanel.operators.charts import map_categories, map_values, scatter_points, value_domain
 from keypanel.operators.cohorts import bucket_counts, compare_cohorts, flag_matrix, summarize
 from keypanel.operators.joins import label_join, outer_merge, unmatched_labels
@@ -17,8 +17,9 @@ from keypanel.operators.profile import table_stats
 from keypanel.operators.ranking import largest, top_bottom
 from keypanel.plans.attributes import mandatory
 from keypanel.plans.master import RateSpec, rates_table, wide_master
-from keypanel.plans.reference import key_master
-from workload.events import (line_history, line_test_rates, order_profile)
+from keypanel.plans.reference import (code_list, key_master, structural_controls, with_overrides,
+                                      yearly_columns)
+from workload.events import customer_nation, line_history, line_test_rates, order_profile
 from workload.registry import query, table
 
 
@@ -297,10 +298,10 @@ def whole_table_stats(spark, sf):
     return table_stats(table(spark, sf, "lineitem"), ["l_quantity", "l_extendedprice"])
 
 
-@query("SELECT o_orderkey, o_orderdate, o_totalprice FROM orders ORDER BY o_orderdate, o_orderkey LIMIT 5")
+@query("SELECT o_orderkey, o_orderdate, o_totalprice FROM orders ORDER BY o_orderdate, o_orderkey, o_totalprice LIMIT 5")
 def first_rows(spark, sf):
     return table(spark, sf, "orders").select("o_orderkey", "o_orderdate", "o_totalprice").orderBy(
-        "o_orderdate", "o_orderkey").limit(5)
+        "o_orderdate", "o_orderkey", "o_totalprice").limit(5)
 
 
 @query("SELECT c_custkey, c_acctbal FROM customer WHERE c_acctbal IS NOT NULL ORDER BY c_acctbal DESC, c_custkey LIMIT 5")
@@ -369,3 +370,52 @@ def scatter_by_key(spark, sf):
         order_profile(spark, sf), "n_nationkey")
     return scatter_points(points, F.col("customers").cast("double"), F.col("orders").cast("double"),
                           F.col("r_name"))
+
+
+# Two small literal tables; only the names in both are kept.
+REGION_LIMITS = {"limit_mph": {"AFRICA": 70, "AMERICA": 65, "ASIA": 75, "EUROPE": 80, "ANTARCTICA": 5},
+                 "miles": {"AFRICA": 71816, "AMERICA": 346954, "ASIA": 5640, "EUROPE": 32543, "MIDDLE EAST": 9}}
+
+
+@query("""
+WITH o AS (SELECT r_name, count(*) AS orders FROM orders JOIN customer ON o_custkey = c_custkey
+           JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey GROUP BY 1),
+     controls(r_name, limit_mph, miles) AS (VALUES ('AFRICA', 70, 71816), ('AMERICA', 65, 346954), ('ASIA', 75, 5640), ('EUROPE', 80, 32543))
+SELECT r_name, orders, CAST(limit_mph AS BIGINT) AS limit_mph, CAST(miles AS BIGINT) AS miles,
+       round(orders * CAST(100 AS DOUBLE) / nullif(miles, 0), 2) AS orders_per_100_miles
+FROM o LEFT JOIN controls USING (r_name)
+""")
+def inline_controls(spark, sf):
+    controls = structural_controls(spark, "r_name", REGION_LIMITS)
+    by_region = profile_by_key(order_profile(spark, sf).join(nations(spark, sf), "n_nationkey"), ["r_name"],
+                               {"orders": F.sum("orders")})
+    per_mile = RateSpec("orders_per_100_miles", "orders", "miles", 100.0).column()
+    return wide_master(by_region, [(controls, "r_name")], derived={"orders_per_100_miles": per_mile})
+
+
+@query("SELECT printf('%02d', n_nationkey) AS code, n_name AS name FROM nation WHERE n_nationkey <= 20")
+def valid_code_list(spark, sf):
+    raw = table(spark, sf, "nation").select(F.col("n_nationkey").cast("string").alias("N CODE"), F.col("n_name").alias("N-Name"))
+    return code_list(raw, {"n_code": "code", "n_name": "name"}, "code", last=20)
+
+
+@query("""
+SELECT printf('%02d', c_nationkey) AS code, n_name AS name,
+""" + ", ".join(f"count(*) FILTER (WHERE year(o_orderdate) = {y}) AS orders_{y}" for y in range(1995, 2002)) + """
+FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey
+WHERE n_regionkey = 2 AND c_nationkey <= 20 GROUP BY 1, 2
+""")
+def yearly_columns_by_key(spark, sf):
+    per_year = {f"POPESTIMATE{y}": count_where(F.year("o_orderdate") == y) for y in range(1995, 2002)}
+    counts = profile_through(table(spark, sf, "orders"), "o_custkey", customer_nation(spark, sf), ["n_nationkey"], per_year)
+    raw = counts.join(table(spark, sf, "nation"), "n_nationkey").withColumnsRenamed(
+        {"n_nationkey": "STATE", "n_name": "NAME", "n_regionkey": "SUMLEV"})
+    return yearly_columns(raw, "sumlev", 2, "state", "code", "popestimate", "orders_", {"name": "name"}, last=20)
+
+
+@query("""
+SELECT n_nationkey, CASE n_nationkey WHEN 3 THEN 4 WHEN 7 THEN 4 ELSE n_regionkey END AS n_regionkey, n_name FROM nation
+""")
+def hand_checked_overrides(spark, sf):
+    checked = spark.createDataFrame([(3, 4), (7, 4)], "n_nationkey int, n_regionkey int")
+    return with_overrides(table(spark, sf, "nation"), checked, "n_nationkey", "n_regionkey")

@@ -95,7 +95,7 @@ def sparse_column_report(spark, sf):
     return sparse_columns(labelled_documents(spark, sf), max_null_share=0.1)
 
 
-@query("SELECT doc_id FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)")
+@query("SELECT DISTINCT doc_id FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)")
 def keys_without_values(spark, sf):
     return absent_keys(table(spark, sf, "documents"), table(spark, sf, "labels"), "doc_id")
 

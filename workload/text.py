@@ -286,3 +286,29 @@ def html_records(spark, sf):
 @query("SELECT page_id, regexp_extract(html, '(?s)<h1[^>]*>(.*?)</h1>', 1) AS heading FROM pages")
 def html_headings(spark, sf):
     return table(spark, sf, "pages").select("page_id", html.heading(F.col("html")).alias("heading"))
+
+
+PART_PAGE = """concat('<html><body><table><tr><th>Key</th></tr></table><table><thead><tr><th> Part Name </th><th>Part-Size</th></tr></thead>',
+  '<tr><td>', p_name, '<td>', CAST(p_size AS STRING), '<tr><td><b>', p_brand, '</b></td><td>', p_type, ' &amp; more</td></tr></table>',
+  '<table><tr><td>end</td></tr></table></body></html>')"""
+
+
+def part_pages(spark, sf):
+    """One page per part: three tables, the second with the part's columns."""
+    return table(spark, sf, "part").select(F.col("p_partkey").alias("page_id"), F.expr(PART_PAGE).alias("html"))
+
+
+@query("""
+SELECT p_partkey AS page_id, p_name AS part_name, CAST(p_size AS VARCHAR) AS part_size FROM part
+UNION ALL SELECT p_partkey, p_brand, concat(p_type, ' & more') FROM part
+""")
+def html_table_by_index(spark, sf):
+    return html.named_table(html.page_tables(part_pages(spark, sf), table_index=1), ["part_name", "part_size"])
+
+
+@query("SELECT p_partkey AS page_id, CAST(1 AS INTEGER) AS table_idx, 3 AS table_rows, concat_ws('|', 'Part Name', 'Part-Size') AS header FROM part")
+def html_largest_table(spark, sf):
+    rows = html.page_tables(part_pages(spark, sf), largest=True)
+    return profile_by_key(rows, ["page_id", "table_idx"], {
+        "table_rows": F.count("*").cast("int"),
+        "header": F.max(F.when(F.col("row_idx") == 0, F.concat_ws("|", "cells")))})
