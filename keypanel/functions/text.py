@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-WHITESPACE = " \t\n\r\f\u000b"
+# All white space of the Unicode standard, no-break spaces included.
+WHITESPACE = "".join(chr(c) for c in range(0x3001) if chr(c).isspace())
 
 # What a dollar amount, a year count and a plain number look like.
 DOLLAR = r"\$([\d,]+)"

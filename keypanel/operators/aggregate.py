@@ -69,13 +69,13 @@ def median_of_counts(value: str, count: str) -> Column:
 
 
 def mean_with_error(df: DataFrame, group: str, value: str) -> DataFrame:
-    """Mean, sample standard deviation, count and standard error per group."""
+    """Mean, sample standard deviation, count and standard error per group, largest mean first."""
     value_column = F.col(value)
     return df.groupBy(group).agg(
         F.avg(value_column).alias("mean"),
         F.stddev_samp(value_column).alias("std"),
         F.count(value_column).alias("n"),
-    ).withColumn("se", F.try_divide(F.col("std"), F.sqrt(F.col("n"))))
+    ).withColumn("se", F.try_divide(F.col("std"), F.sqrt(F.col("n")))).orderBy(F.desc("mean"))
 
 
 def distinct_values(df: DataFrame, column: str) -> DataFrame:

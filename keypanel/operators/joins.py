@@ -17,8 +17,8 @@ from keypanel.functions.text import normalized
 # An id with fewer rows than this is never treated apart; entries of a frequent-items
 # sketch; number of groups sketches are merged in.
 HOT_ROWS = 100_000
-TRACKED_IDS = 10_000
-MERGE_GROUPS = 256
+TRACKED_IDS = 4096
+MERGE_GROUPS = 1024
 
 
 def wide_join(spine: DataFrame, parts: list[tuple[DataFrame, str | list[str]]]) -> DataFrame:

@@ -114,6 +114,14 @@ def expect_rows(df: DataFrame, n: int) -> DataFrame:
     return df
 
 
+def expect_unique(df: DataFrame, keys: list[str]) -> DataFrame:
+    """Raise if a key occurs more than once, naming one that does."""
+    repeated = repeated_keys(df, keys).first()
+    if repeated is not None:
+        raise ValueError(f"key is not unique: {repeated.asDict()}")
+    return df
+
+
 def expect_values(df: DataFrame, totals: dict[str, tuple[Column, float]]) -> DataFrame:
     """Raise unless each aggregate has its expected value."""
     found = df.agg(*[column.alias(name) for name, (column, _) in totals.items()]).first().asDict()

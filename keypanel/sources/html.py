@@ -5,7 +5,6 @@ The only Python code that runs on executors apart from opening ZIP archives.
 
 from __future__ import annotations
 
-import re
 import sys
 from html.parser import HTMLParser
 from typing import Iterator
@@ -31,8 +30,15 @@ BOUNDARY = {"li": ("ul", "ol"), "tr": ("table",), "td": ("tr", "table"), "th": (
 
 
 class Node:
-    def __init__(self, tag: str, classes: tuple[str, ...] = (), parent: "Node | None" = None):
-        self.tag, self.classes, self.parent, self.children = tag, classes, parent, []
+    def __init__(self, tag: str, attributes: dict | None = None, parent: "Node | None" = None):
+        self.tag, self.attributes, self.parent, self.children = tag, attributes or {}, parent, []
+
+    def classes(self) -> set[str]:
+        return set((self.attributes.get("class") or "").split())
+
+    def span(self, name: str) -> int:
+        value = (self.attributes.get(name) or "1").strip()
+        return max(int(value), 1) if value.isdigit() else 1
 
     def walk(self) -> Iterator["Node"]:
         for child in self.children:
@@ -48,7 +54,12 @@ class Node:
                 yield from child.texts()
 
     def text(self) -> str:
-        return " ".join(t for t in (" ".join(s.split()) for s in self.texts()) if t)
+        """Pieces of text, stripped and separated by a blank."""
+        return " ".join(t for t in (piece.strip() for piece in self.texts()) if t)
+
+    def cell_text(self) -> str:
+        """Text as it runs, white space collapsed."""
+        return " ".join("".join(self.texts()).split())
 
 
 class TreeBuilder(HTMLParser):
@@ -62,9 +73,8 @@ class TreeBuilder(HTMLParser):
             if node.tag in CLOSED_BY.get(tag, ()):
                 self.open = node.parent
             node = node.parent
-        classes = tuple((dict(attrs).get("class") or "").split())
-        child = Node(tag, classes, self.open)
-        self.open.children.append(child)
+        child = Node(tag, dict(attrs), self.open)
+        self.open.children.append("\n" if tag == "br" else child)
         if tag not in VOID:
             self.open = child
 
@@ -92,7 +102,7 @@ def _step(selector: str) -> tuple[str, frozenset]:
 
 
 def _fits(node: Node, step: tuple[str, frozenset]) -> bool:
-    return (not step[0] or node.tag == step[0]) and step[1] <= set(node.classes)
+    return (not step[0] or node.tag == step[0]) and step[1] <= node.classes()
 
 
 def select(root: Node, selector: str) -> list[Node]:
@@ -123,6 +133,52 @@ def _own_rows(table: Node) -> list[Node]:
     return [n for n in table.walk() if n.tag == "tr" and holder(n) is table]
 
 
+def _is_header(row: Node) -> bool:
+    """A row in a thead, or one with header cells only."""
+    node = row.parent
+    while node.tag not in ("thead", "table"):
+        node = node.parent
+    cells = [c.tag for c in row.walk() if c.tag in ("td", "th")]
+    return node.tag == "thead" or "td" not in cells
+
+
+def table_rows(table: Node) -> list[tuple[bool, list[str]]]:
+    """Rows as ``(is header, cells)``; a merged cell is repeated where it reaches.
+
+    Header rows are those before the first row of data.
+    """
+    rows, hanging, in_head = [], {}, True
+    for row in _own_rows(table):
+        cells = [c for c in row.walk() if c.tag in ("td", "th") and _row_of(c) is row]
+        if not cells:
+            continue
+        in_head = in_head and _is_header(row)
+        texts, following = [], {}
+
+        def place(text, below):
+            if below:
+                following[len(texts)] = (text, below - 1)
+            texts.append(text)
+
+        for cell in cells:
+            while len(texts) in hanging:
+                place(*hanging.pop(len(texts)))
+            for _ in range(cell.span("colspan")):
+                place(cell.cell_text(), cell.span("rowspan") - 1)
+        while len(texts) in hanging:
+            place(*hanging.pop(len(texts)))
+        hanging = following
+        rows.append((in_head, texts))
+    return rows
+
+
+def _row_of(cell: Node) -> Node:
+    node = cell.parent
+    while node.tag not in ("tr", "table"):
+        node = node.parent
+    return node
+
+
 def read_pages(spark: SparkSession, path: str | list[str], encoding: str = "UTF-8") -> DataFrame:
     """Landed HTML files as ``(page_id, html)``, one row per file."""
     files = spark.read.format("binaryFile").load(path)
@@ -146,49 +202,45 @@ def _per_page(pages: DataFrame, page_id: str, html: str, schema: str, rows_of) -
 
 def page_tables(pages: DataFrame, table_index: int | None = None, largest: bool = False,
                 page_id: str = "page_id", html: str = "html") -> DataFrame:
-    """Cells of HTML tables: ``(page_id, table_idx, row_idx, cells, has_spans)``.
+    """Cells of HTML tables: ``(page_id, table_idx, row_idx, is_header, cells)``.
 
-    Row 0 is the header.  ``table_index`` keeps one table per page, ``largest``
-    the one with the most rows (the first of equals); by default all are kept.
-    ``has_spans`` marks tables with merged cells, which are not expanded.
+    ``table_index`` keeps one table per page, ``largest`` the one with the most
+    rows of data (the first of equals); by default all are kept.
     """
 
     def rows_of(page):
-        tables = []
-        for index, table in enumerate(n for n in parse(page).walk() if n.tag == "table"):
-            rows = [[c.text() for c in row.walk() if c.tag in ("td", "th")] for row in _own_rows(table)]
-            tables.append((index, [r for r in rows if r]))
-        spans = re.search(r"(row|col)span\s*=\s*[\"']?([2-9]|1\d)", page) is not None
+        tables = [(i, table_rows(t)) for i, t in enumerate(n for n in parse(page).walk() if n.tag == "table")]
         if largest and tables:
-            tables = [max(tables, key=lambda t: len(t[1]))]
+            tables = [max(tables, key=lambda t: sum(not head for head, _ in t[1]))]
         for index, rows in tables:
             if table_index is None or largest or index == table_index:
-                for position, cells in enumerate(rows):
-                    yield index, position, cells, spans
+                for position, (head, cells) in enumerate(rows):
+                    yield index, position, head, cells
 
     return _per_page(pages, page_id, html,
-                     "table_idx int, row_idx int, cells array<string>, has_spans boolean", rows_of)
+                     "table_idx int, row_idx int, is_header boolean, cells array<string>", rows_of)
 
 
-def require_table(pages: DataFrame, tables: DataFrame, page_id: str = "page_id") -> DataFrame:
+def pages_without_table(pages: DataFrame, tables: DataFrame, page_id: str = "page_id") -> DataFrame:
     """Pages on which the wanted table does not exist."""
     return pages.select(page_id).join(tables.select(page_id).distinct(), page_id, "left_anti")
 
 
 def table_header(tables: DataFrame) -> list[str]:
-    """Cleaned header cells of the first table found."""
-    first = tables.filter("row_idx = 0").orderBy("table_idx").select("cells").first()
+    """Cleaned names of the first table's columns; numbers where it has no header."""
+    first = tables.orderBy("table_idx", "row_idx").select("is_header", "cells").first()
     if first is None:
         raise ValueError("no table found")
-    return [tidy_name(c) for c in first["cells"]]
+    cells = first["cells"] if first["is_header"] else range(len(first["cells"]))
+    return [tidy_name(str(c)) for c in cells]
 
 
 def named_table(tables: DataFrame, columns: list[str] | None = None,
                 page_id: str = "page_id") -> DataFrame:
-    """Body rows as columns named by position; header names are read unless given."""
+    """Rows of data as columns named by position; header names are read unless given."""
     names = columns or table_header(tables)
     cells = [F.try_element_at("cells", F.lit(i + 1)).alias(n) for i, n in enumerate(names)]
-    return tables.filter("row_idx > 0").select(page_id, *cells)
+    return tables.filter("NOT is_header").select(page_id, *cells)
 
 
 def page_records(pages: DataFrame, row_selector: str, field_map: dict[str, str],

@@ -5,6 +5,8 @@ All of it is array functions on the page's own row: no shuffle, no Python.
 
 from __future__ import annotations
 
+import html.entities
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -41,11 +43,37 @@ def label_values(df: DataFrame, text: str, labels: list[str]) -> DataFrame:
     return pairs.select(*df.columns, *[value(label) for label in labels])
 
 
-def plain_text(html: Column) -> Column:
-    """Text of a page: tags become line breaks, the basic entities are decoded."""
-    no_code = F.regexp_replace(html, r"(?is)<(script|style)\b.*?</\1\s*>|<!--.*?-->", "\n")
-    text = F.regexp_replace(no_code, r"(?s)<[^>]*>", "\n")
-    for entity, sign in (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'),
-                         ("&#39;", "'"), ("&amp;", "&")):
-        text = F.replace(text, F.lit(entity), F.lit(sign))
-    return text
+# Named character references, from the standard library's table of HTML names.
+NAMED = {name: chr(code) for name, code in html.entities.name2codepoint.items()} | {"apos": "'"}
+
+
+def decoded(text: Column) -> Column:
+    """Text with its character references (named, decimal, hexadecimal) resolved.
+
+    The text is cut at every ``&``; a piece that starts with a known reference
+    loses it to its character, any other piece gets its ``&`` back.
+    """
+    names = F.create_map(*[F.lit(x) for pair in NAMED.items() for x in pair])
+
+    def resolved(piece: Column) -> Column:
+        name = F.substring_index(piece, ";", 1)
+        decimal = F.when(name.rlike(r"^#\d{1,7}$"), F.substring(name, 2, 7).try_cast("bigint"))
+        hexadecimal = F.when(name.rlike(r"^#[xX][0-9a-fA-F]{1,6}$"),
+                             F.conv(F.substring(name, 3, 6), 16, 10).try_cast("bigint"))
+        code = F.coalesce(decimal, hexadecimal)
+        valid = (code > 0) & (code < 0x110000) & ~code.between(0xD800, 0xDFFF)
+        sign = F.when(valid, F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32"))
+        sign = F.when(name.startswith("#"), sign).otherwise(F.try_element_at(names, name))
+        rest = F.substring(piece, F.length(name) + F.lit(2), F.length(piece))
+        return F.when(piece.contains(";") & sign.isNotNull(), F.concat(sign, rest)).otherwise(
+            F.concat(F.lit("&"), piece))
+
+    pieces = F.split(text, "&")
+    tail = F.transform(F.slice(pieces, F.lit(2), F.size(pieces)), resolved)
+    return F.concat(pieces[0], F.array_join(tail, ""))
+
+
+def plain_text(page: Column) -> Column:
+    """Text of a page: tags become line breaks, character references are resolved."""
+    no_code = F.regexp_replace(page, r"(?is)<(script|style)\b.*?</\1\s*>|<!--.*?-->", "\n")
+    return decoded(F.regexp_replace(no_code, r"(?s)<[^>]*>", "\n"))

@@ -237,6 +237,9 @@ def test_expectations(spark):
     assert quality.expect_values(df, {"f": (F.sum("f"), 2)}) is df
     with pytest.raises(ValueError, match="expected 4 rows, found 3"):
         quality.expect_rows(df, 4)
+    assert quality.expect_unique(df.distinct(), ["f"]) is not None
+    with pytest.raises(ValueError, match="not unique: {'f': 1, 'n': 2}"):
+        quality.expect_unique(df, ["f"])
     with pytest.raises(ValueError, match="unexpected totals"):
         quality.expect_values(df, {"f": (F.sum("f"), 3)})
 

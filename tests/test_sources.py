@@ -142,24 +142,33 @@ def test_tables(spark, pages, rows):
     assert rows(html.named_table(second), "state_name") == [(1, "Ohio", "$1,000 – $2,000"), (1, "Utah", "none")]
     assert {r["table_idx"] for r in html.page_tables(pages, largest=True).collect()} == {1}
     assert html.page_tables(pages).filter("row_idx = 0").count() == 3
-    assert not html.page_tables(pages).filter("has_spans").count()
+    assert html.table_header(html.page_tables(pages, table_index=2)) == ["0"]
     with pytest.raises(ValueError, match="no table"):
         html.table_header(html.page_tables(pages, table_index=9))
-    missing = html.require_table(pages, html.page_tables(pages, table_index=0))
+    missing = html.pages_without_table(pages, html.page_tables(pages, table_index=0))
     assert sorted(r["page_id"] for r in missing.collect()) == [2, 3]
 
 
-def test_nested_tables_and_spans(spark):
-    page = "<table><tr><td>a<table><tr><td>b</td></tr></table></td><td colspan=2>c</td></tr></table>"
+def test_nested_tables(spark):
+    page = "<table><tr><td>a<table><tr><td>b</td></tr></table></td><td>c</td></tr></table>"
     df = spark.createDataFrame([(1, page)], "page_id int, html string")
-    tables = {r["table_idx"]: r for r in html.page_tables(df).collect()}
-    assert tables[1]["cells"] == ["b"] and tables[0]["has_spans"] and tables[0]["cells"][0] == "a b"
+    tables = {r["table_idx"]: r["cells"] for r in html.page_tables(df).collect()}
+    assert tables == {0: ["ab", "c"], 1: ["b"]}
+
+
+def test_merged_cells_are_repeated(spark, rows):
+    page = ("<table><tr><th colspan=2>A</th><th rowspan='2'>B</th></tr><tr><th>x</th><th>y</th></tr>"
+            "<tr><td rowspan=3>1</td><td>2<br>3</td><td>4</td></tr><tr><td colspan=2>5</td></tr><tr><td>6</td><td>7</td></tr></table>")
+    df = spark.createDataFrame([(1, page)], "page_id int, html string")
+    found = rows(html.page_tables(df).select("is_header", "cells"), "row_idx")
+    assert found == [(True, ["A", "A", "B"]), (True, ["x", "y", "B"]), (False, ["1", "2 3", "4"]),
+                     (False, ["1", "5", "5"]), (False, ["1", "6", "7"])]
 
 
 def test_records(spark, pages, rows):
     fields = {"name": "td.name", "value": "td.val", "all": ""}
     found = html.page_records(pages, "tr.data-row", fields)
-    assert rows(found, "record_idx") == [(1, 0, "A", "", "A"), (1, 1, "B", "2 3", "B 2 3")]
+    assert rows(found, "record_idx") == [(1, 0, "A", "", "A"), (1, 1, "B", "2\n 3", "B 2\n 3")]
     assert html.page_records(pages, "table .name.big", {"t": ""}).first()["t"] == "B"
 
 
@@ -181,7 +190,15 @@ def test_label_values(spark, rows):
     assert rows(found.drop("text"), "id") == [(1, "Fourth", "lacks", None), (2, None, None, None), (3, None, None, None)]
 
 
+def test_character_references(spark, rows):
+    cases = {"a &amp;amp; b": "a &amp; b", "&lt;&gt;": "<>", "caf&eacute; &#233; &#xE9;": "café é é", "R&D; &nope; &": "R&D; &nope; &",
+             "&ndash;&#8217;&#x1F600;": "–’😀", "&#0; &#99999999; &#xD800;": "&#0; &#99999999; &#xD800;", "plain": "plain", "": "",
+             "x &amp": "x &amp", "&apos;&quot;": "'\""}
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(cases)], "i int, t string")
+    assert [r[1] for r in rows(df.select("i", lines.decoded(F.col("t"))), "i")] == list(cases.values())
+
+
 def test_plain_text(spark, rows):
-    page = "<style>\nA\n</style><!-- x > y --><div>Felony&nbsp;DUI</div><p>A &amp;lt; B</p><script>if (a<b) {}</script>"
+    page = "<style>\nA\n</style><!-- x > y --><div>&nbsp;Felony&nbsp;DUI&nbsp;</div><p>A &amp;lt; B</p><script>if (a<b) {}</script>"
     df = spark.createDataFrame([(page,)], "h string").select(lines.filled_lines(lines.plain_text(F.col("h"))))
-    assert rows(df) == [(["Felony DUI", "A &lt; B"],)]
+    assert rows(df) == [(["Felony\u00a0DUI", "A &lt; B"],)]

@@ -282,7 +282,7 @@ FROM orders GROUP BY 1
 def mean_with_standard_error(spark, sf):
     stats = mean_with_error(table(spark, sf, "orders"), "o_orderpriority", "o_totalprice")
     return stats.select("o_orderpriority", F.round("mean", 2).alias("mean"), F.round("std", 2).alias("std"), "n",
-                        fixed_round(F.col("se"), 4).alias("se")).orderBy(F.desc("mean"))
+                        fixed_round(F.col("se"), 4).alias("se"))
 
 
 @query("""
