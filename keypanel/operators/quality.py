@@ -17,8 +17,12 @@ MAX_NULL_SHARE = 0.10
 def null_audit(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """Rows, nulls and null share per column, from one aggregate over the table."""
     names = columns or df.columns
-    counts = df.agg(F.count("*").alias("rows"),
-                    *[F.count_if(F.col(f"`{c}`").isNull()).alias(f"n{i}") for i, c in enumerate(names)])
+    return _null_shares(df.agg(F.count("*").alias("rows"), *[
+        F.count_if(F.col(f"`{c}`").isNull()).alias(f"n{i}") for i, c in enumerate(names)]), names)
+
+
+def _null_shares(counts: DataFrame, names: list[str]) -> DataFrame:
+    """One row per column from one row with ``rows`` and the nulls ``n0``, ``n1``, ..."""
     entries = F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"n{i}").alias("nulls"))
                         for i, c in enumerate(names)])
     long = counts.select("rows", F.explode(entries).alias("e")).select("e.column", "rows", "e.nulls")
@@ -37,15 +41,17 @@ def _comparable(df: DataFrame) -> list[Column]:
             for f in df.schema.fields]
 
 
-def duplicate_count(df: DataFrame) -> DataFrame:
-    """Rows minus distinct rows; equal NULLs make equal rows.
-
-    Whole texts are compared, but only their digests are shuffled.
-    """
+def _distinct_rows(df: DataFrame) -> DataFrame:
+    """Distinct rows with their number of copies; only digests of long texts are shuffled."""
     rows = df.select(*_comparable(df))
-    copies = rows.groupBy(*[F.col(f"`{c}`") for c in rows.columns]).agg(F.count("*").alias("_copies"))
-    return copies.agg(F.coalesce(F.sum("_copies"), F.lit(0)).alias("rows"),
-                      F.coalesce(F.sum(F.col("_copies") - 1), F.lit(0)).alias("duplicates"))
+    return rows.groupBy(*[F.col(f"`{c}`") for c in rows.columns]).agg(F.count("*").alias("_copies"))
+
+
+def duplicate_count(df: DataFrame) -> DataFrame:
+    """Rows minus distinct rows; equal NULLs make equal rows."""
+    return _distinct_rows(df).agg(
+        F.coalesce(F.sum("_copies"), F.lit(0)).alias("rows"),
+        F.coalesce(F.sum(F.col("_copies") - 1), F.lit(0)).alias("duplicates"))
 
 
 def quality(df: DataFrame, required: list[str] | None = None,
@@ -53,23 +59,28 @@ def quality(df: DataFrame, required: list[str] | None = None,
     """Report as rows ``(check, column, value, status)``.
 
     Checks: row count, duplicate rows, null share per column (warns above the
-    threshold, not at it) and required columns that are absent.
+    threshold, not at it) and required columns that are absent.  Rows, duplicates
+    and nulls are all counted on the distinct rows, so the table is read once.
     """
-    audit = null_audit(df).select(
-        F.lit("null_share").alias("check"), "column", F.col("null_share").alias("value"),
-        F.when(F.col("raw_share") > max_null_share, "warn").otherwise("ok").alias("status"))
-    totals = duplicate_count(df).select(F.explode(F.array(
-        F.struct(F.lit("row_count").alias("check"), F.col("rows").cast("double").alias("value")),
-        F.struct(F.lit("duplicate_count").alias("check"), F.col("duplicates").cast("double").alias("value")),
-    )).alias("e")).select("e.check", F.lit(None).cast("string").alias("column"), "e.value",
-                          F.lit("ok").alias("status"))
-    report = totals.unionByName(audit)
-    absent = missing_columns(df, required or [])
-    if absent:
-        rows = [("missing_column", c, None, "warn") for c in absent]
-        report = report.unionByName(df.sparkSession.createDataFrame(
-            rows, "check string, column string, value double, status string"))
-    return report
+    copies = F.col("_copies")
+    counts = _distinct_rows(df).agg(
+        F.coalesce(F.sum(copies), F.lit(0)).alias("rows"),
+        F.coalesce(F.sum(copies - 1), F.lit(0)).alias("duplicates"),
+        *[F.coalesce(F.sum(F.when(F.col(f"`{c}`").isNull(), copies)), F.lit(0)).alias(f"n{i}")
+          for i, c in enumerate(df.columns)])
+    raw = [F.coalesce(F.try_divide(F.col(f"n{i}").cast("double"), F.col("rows")), F.lit(0.0))
+           for i in range(len(df.columns))]
+
+    def line(check: str, column: str | None, value: Column, status: Column) -> Column:
+        return F.struct(F.lit(check).alias("check"), F.lit(column).cast("string").alias("column"),
+                        value.cast("double").alias("value"), status.alias("status"))
+
+    ok, warn = F.lit("ok"), F.lit("warn")
+    lines = [line("row_count", None, F.col("rows"), ok), line("duplicate_count", None, F.col("duplicates"), ok)]
+    lines += [line("null_share", c, fixed_round(r, 4), F.when(r > max_null_share, warn).otherwise(ok))
+              for c, r in zip(df.columns, raw)]
+    lines += [line("missing_column", c, F.lit(None), warn) for c in missing_columns(df, required or [])]
+    return counts.select(F.explode(F.array(*lines)).alias("e")).select("e.*")
 
 
 def audit_tables(tables: dict[str, DataFrame]) -> DataFrame:

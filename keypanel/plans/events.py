@@ -30,12 +30,18 @@ class EventLayout:
 
 @dataclass(frozen=True)
 class EventYear:
-    """One year of events; ``side`` holds the flags where the events do not."""
+    """One year of events; ``side`` holds the flags where the events do not.
 
-    year: int
+    ``year`` is None for a file of several years that has a ``year`` column.
+    """
+
+    year: int | None
     events: DataFrame
     side: DataFrame | None = None
 
+    def dated(self, df: DataFrame) -> DataFrame:
+        return df if self.year is None else df.withColumn("year", F.lit(self.year))
+
 
 def flagged_events(years: list[EventYear], layout: EventLayout) -> DataFrame:
     """Events of all years with a 0/1 ``flagged`` column.
@@ -45,22 +51,22 @@ def flagged_events(years: list[EventYear], layout: EventLayout) -> DataFrame:
     All years of one layout go through the same join, so ten years cost one
     shuffle and not ten.
     """
-    own, looked_up, ids, unknown = [], [], [], []
-    keep = [c for c in (layout.key, layout.label, layout.event_id, layout.measure) if c]
+    keep = ["year", *[c for c in (layout.key, layout.label, layout.event_id, layout.measure) if c]]
+    flagged, lookups = [], {}
     for item in years:
-        stamped = item.events.withColumn("year", F.lit(item.year))
-        if layout.flag_column in item.events.columns:
-            own.append(stamped.select("year", *keep, flag(F.col(layout.flag_column) > 0).alias("flagged")))
+        events = item.dated(item.events)
+        if layout.flag_column in events.columns:
+            flagged.append(events.select(*keep, flag(F.col(layout.flag_column) > 0).alias("flagged")))
         elif item.side is not None:
-            looked_up.append(stamped.select("year", *keep))
-            hits = item.side.filter(F.col(layout.side_code_column) == layout.side_code)
-            ids.append(hits.select(F.lit(item.year).alias("year"), layout.event_id))
+            on = ("year", layout.event_id) if item.year is not None else (layout.event_id,)
+            hits = item.dated(item.side).filter(F.col(layout.side_code_column) == layout.side_code)
+            lookups.setdefault(on, []).append((events.select(*keep), hits.select(*on)))
         else:
-            unknown.append(stamped.select("year", *keep, F.lit(0).alias("flagged")))
-    if looked_up:
-        own.append(exists_flag(union_by_name(looked_up), union_by_name(ids),
-                               ["year", layout.event_id], "flagged"))
-    return union_by_name(own + unknown)
+            flagged.append(events.select(*keep, F.lit(0).alias("flagged")))
+    for on, pairs in lookups.items():
+        events, ids = (union_by_name(list(frames)) for frames in zip(*pairs))
+        flagged.append(exists_flag(events, ids, list(on), "flagged"))
+    return union_by_name(flagged)
 
 
 def years_without_flag(spark: SparkSession, years: list[EventYear], layout: EventLayout) -> DataFrame:
@@ -114,21 +120,25 @@ def read_event_years(spark: SparkSession, paths: dict[int, str], layout: EventLa
 
     Only headers are collected, one per archive.
     """
-    wanted = {c: "int" for c in (layout.event_id, layout.measure, layout.flag_column) if c}
+    numbers = [c for c in (layout.event_id, layout.measure, layout.flag_column) if c]
     side_columns = [layout.event_id, layout.side_code_column]
+    headers, sides = (
+        {r["path"]: r["columns"] for r in zip_headers(spark, list(paths.values()), member).collect()}
+        for member in (event_member, side_member))
+
+    def of(found: dict, path: str):
+        return next((cells for full, cells in found.items() if full.endswith(path.split(":", 1)[-1])), None)
+
     years = []
     for year, path in sorted(paths.items()):
-        head = {r["member"]: r["columns"] for r in zip_headers(spark, path, event_member).collect()}
-        present = {c.lower() for cells in head.values() if cells for c in cells}
-        columns = [c for c in (layout.key, layout.label, *wanted) if c and (
-            c == layout.key or c.lower() in present)]
-        raw = read_zipped_csv(spark, path, event_member, columns)
-        events = raw.select(*[
+        present = {c.lower() for c in of(headers, path) or []}
+        columns = [c for c in (layout.key, layout.label, *numbers)
+                   if c and (c == layout.key or c.lower() in present)]
+        events = read_zipped_csv(spark, path, event_member, columns).select(*[
             pad_key(F.col(c)).alias(c) if c == layout.key
-            else F.col(c).try_cast("long").alias(c) if c in wanted else F.col(c) for c in columns])
-        has_side = any(r["member"] for r in zip_headers(spark, path, side_member).collect())
+            else F.col(c).try_cast("long").alias(c) if c in numbers else F.col(c) for c in columns])
         side = None
-        if has_side and layout.side_code_column:
+        if of(sides, path) is not None and layout.side_code_column:
             side = read_zipped_csv(spark, path, side_member, side_columns).select(
                 *[F.col(c).try_cast("long").alias(c) for c in side_columns])
         years.append(EventYear(year, events, side))

@@ -15,7 +15,7 @@ from keypanel.plans.history import history_profile, prior_share_by_threshold
 from keypanel.plans.testing import TestCodes, test_rates
 from keypanel.plans.trend import trend
 from keypanel.sources.files import flatten_json_column, union_by_name
-from workload.registry import in_year, query, table
+from workload.registry import in_years, query, table
 
 YEARS = range(1995, 2002)
 # Up to this year the event carries its own flag, later a side table does.
@@ -43,7 +43,7 @@ WHERE o_orderstatus = 'F' AND o_orderdate >= TIMESTAMP '1997-01-01' AND o_orderd
 """)
 def slice_filter(spark, sf):
     orders = table(spark, sf, "orders")
-    return orders.filter((F.col("o_orderstatus") == "F") & in_year("o_orderdate", 1997)).select(
+    return orders.filter((F.col("o_orderstatus") == "F") & in_years("o_orderdate", 1997)).select(
         "o_orderkey", "o_custkey", "o_totalprice")
 
 
@@ -108,21 +108,15 @@ def flagged_events_by_key_year(spark, sf):
 
 
 def drifting_orders(spark, sf) -> DataFrame:
-    """Orders as yearly tables of two layouts, flagged in one table."""
-    orders, lines = table(spark, sf, "orders"), table(spark, sf, "lineitem")
-    side = lines.select(F.col("l_orderkey").alias("o_orderkey"), "l_returnflag")
+    """Orders as two files of different layout, flagged in one table."""
+    orders = table(spark, sf, "orders").withColumn("year", F.year("o_orderdate"))
+    returned = table(spark, sf, "lineitem").select(F.col("l_orderkey").alias("o_orderkey"), "l_returnflag")
     layout = EventLayout(key="o_custkey", event_id="o_orderkey", measure="o_totalprice",
                          flag_column="closed", side_code_column="l_returnflag", side_code="R")
-    years = []
-    for year in YEARS:
-        rows = orders.filter(in_year("o_orderdate", year)).select("o_orderkey", "o_custkey", "o_totalprice",
-                                                                  "o_orderstatus")
-        if year <= LAST_OWN_FLAG:
-            closed = F.when(F.col("o_orderstatus") == "F", 1).when(F.col("o_orderstatus") == "O", 0)
-            years.append(EventYear(year, rows.withColumn("closed", closed)))
-        else:
-            years.append(EventYear(year, rows, side))
-    return flagged_events(years, layout)
+    closed = F.when(F.col("o_orderstatus") == "F", 1).when(F.col("o_orderstatus") == "O", 0)
+    old = orders.filter(in_years("o_orderdate", YEARS[0], LAST_OWN_FLAG)).withColumn("closed", closed)
+    new = orders.filter(in_years("o_orderdate", LAST_OWN_FLAG + 1, YEARS[-1]))
+    return flagged_events([EventYear(None, old), EventYear(None, new, returned)], layout)
 
 
 def drift_series(spark, sf) -> DataFrame:
@@ -175,7 +169,7 @@ FROM orders WHERE year(o_orderdate) BETWEEN 1996 AND 2000 GROUP BY 1, 2
 """)
 def union_of_years(spark, sf):
     orders = table(spark, sf, "orders")
-    slices = [orders.filter(in_year("o_orderdate", y)).select(F.lit(y).alias("year"), "o_orderstatus")
+    slices = [orders.filter(in_years("o_orderdate", y)).select(F.lit(y).alias("year"), "o_orderstatus")
               for y in range(1996, 2001)]
     return profile_by_key(union_by_name(slices), ["year", "o_orderstatus"], {"orders": F.count("*")})
 
@@ -323,6 +317,6 @@ def union_with_missing_columns(spark, sf):
     slices = []
     for year in range(1996, 2001):
         columns = ["o_orderpriority"] if year <= LAST_OWN_FLAG else []
-        slices.append(orders.filter(in_year("o_orderdate", year)).select(F.lit(year).alias("year"), *columns))
+        slices.append(orders.filter(in_years("o_orderdate", year)).select(F.lit(year).alias("year"), *columns))
     return profile_by_key(union_by_name(slices), ["year"], {
         "orders": F.count("*"), "with_priority": F.count("o_orderpriority")})

@@ -27,7 +27,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def in_year(column: str, year: int) -> Column:
-    """Date range of a year, in a form the Parquet reader can skip row groups with."""
-    return (F.col(column) >= F.lit(f"{year}-01-01").cast("timestamp_ntz")) & (
-        F.col(column) < F.lit(f"{year + 1}-01-01").cast("timestamp_ntz"))
+def in_years(column: str, first: int, last: int | None = None) -> Column:
+    """Date range of one or several years, in a form the Parquet reader can skip row groups with."""
+    start, end = f"{first}-01-01", f"{(last or first) + 1}-01-01"
+    return (F.col(column) >= F.lit(start).cast("timestamp_ntz")) & (F.col(column) < F.lit(end).cast("timestamp_ntz"))
