@@ -15,6 +15,12 @@ from keypanel.session import checkpointed
 
 FORMATS = ("csv", "parquet", "json", "orc")
 
+# The wording of a codebook.
+NO_DESCRIPTION = "_No description provided._"
+CODEBOOK_TITLE = "# {title} — Dataset Codebook\nGenerated: {today}\n"
+CODEBOOK_ENTRY = ("### `{column}`\n- **Type**: `{type}`\n- **Non-null**: {non_null:,} / {total:,} ({known})\n"
+                  "- **Description**: {description}\n")
+
 
 def save_table(df: DataFrame, name: str, replace: bool = True) -> None:
     """Store a table; without ``replace`` an existing one is an error."""
@@ -49,7 +55,7 @@ def codebook(df: DataFrame, descriptions: dict[str, str] | None = None) -> DataF
     entries = F.array(*[
         F.struct(F.lit(i).alias("position"), F.lit(c).alias("column"), F.lit(types[c]).alias("type"),
                  F.col(f"n{i}").alias("non_null"),
-                 F.lit(texts.get(c, "_No description provided._")).alias("description"))
+                 F.lit(texts.get(c, NO_DESCRIPTION)).alias("description"))
         for i, c in enumerate(names)])
     return (counts.select("total", F.explode(entries).alias("e")).select("e.*", "total")
             .select("position", "column", "type", "non_null", "total",
@@ -68,20 +74,18 @@ def render_codebook(book: DataFrame, title: str, notes: str = "",
     rest = [c for c in rows if c not in grouped]
     if rest:
         groups = {**groups, "Other columns": rest}
-    out = [f"# {title} — Dataset Codebook", f"Generated: {date.today().isoformat()}"]
+    parts = [CODEBOOK_TITLE.format(title=title, today=date.today().isoformat())]
     for heading, columns in groups.items():
-        out += ["", f"## {heading}"]
+        parts.append(f"## {heading}\n")
         for c in columns:
-            r = rows[c]
-            known = "n/a" if r["pct"] is None else f"{r['pct']:.1f}%"
-            out += ["", f"### `{c}`", f"- **Type**: `{r['type']}`",
-                    f"- **Non-null**: {r['non_null']:,} / {r['total']:,} ({known})",
-                    f"- **Description**: {r['description']}"]
+            known = "n/a" if rows[c]["pct"] is None else f"{rows[c]['pct']:.1f}%"
+            parts.append(CODEBOOK_ENTRY.format(known=known, **rows[c].asDict()))
     if caveats:
-        out += ["", "## Caveats", "", *[f"{i}. {text}" for i, text in enumerate(caveats, 1)]]
+        numbered = "\n".join(f"{i}. {text}" for i, text in enumerate(caveats, 1))
+        parts.append(f"## Caveats\n\n{numbered}\n")
     if notes:
-        out += ["", "## Notes", "", dedent(notes).strip()]
-    return "\n".join(out) + "\n"
+        parts.append(f"## Notes\n\n{dedent(notes).strip()}\n")
+    return "\n".join(parts)
 
 
 @dataclass(frozen=True)
