@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import Window as W
+
+from keypanel.operators.ranking import with_position
 
 # Fixed value: number of colours a category palette cycles through.
 PALETTE_SIZE = 6
@@ -25,13 +26,9 @@ def value_domain(values: DataFrame, value: str, low: float | None = None,
 
 
 def map_categories(df: DataFrame, category: str, palette: int = PALETTE_SIZE) -> DataFrame:
-    """Sorted categories with their palette index: the legend of a map.
-
-    The ranking sees one row per category, after the distinct.
-    """
-    legend = df.select(category).dropna().distinct()
-    position = F.row_number().over(W.orderBy(category)) - 1
-    return legend.withColumn("palette_index", (position % palette).cast("int"))
+    """Sorted categories with their palette index: the legend of a map."""
+    legend = with_position(df.select(category).dropna().distinct(), category, "_position")
+    return legend.select(category, (F.col("_position") % palette).cast("int").alias("palette_index"))
 
 
 def scatter_points(df: DataFrame, x: Column, y: Column, color_by: Column) -> DataFrame:

@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from keypanel.session import checkpointed
+
 
 def largest(df: DataFrame, value: str, tie: str, n: int) -> DataFrame:
     """The n rows with the largest value; ties go to the smaller ``tie`` column."""
@@ -40,3 +42,18 @@ def first_per_group(df: DataFrame, subset: list[str], order_by: list[Column | st
     """
     order = W.partitionBy(*subset).orderBy(*order_by)
     return df.withColumn("_rank", F.row_number().over(order)).filter("_rank = 1").drop("_rank")
+
+
+def with_position(df: DataFrame, column: str, name: str) -> DataFrame:
+    """Zero-based position of each row in the order of a column, without one task sorting all.
+
+    Rows are range-partitioned and written with their partition number; the
+    position is the rank inside the partition plus the rows of those before it.
+    """
+    ranged = checkpointed(df.repartitionByRange(column).withColumn("_part", F.spark_partition_id()))
+    sizes = ranged.groupBy("_part").agg(F.count("*").alias("_size"))
+    before = W.orderBy("_part").rowsBetween(W.unboundedPreceding, -1)
+    offsets = sizes.withColumn("_before", F.coalesce(F.sum("_size").over(before), F.lit(0))).drop("_size")
+    inside = F.row_number().over(W.partitionBy("_part").orderBy(column)) - 1
+    return (ranged.withColumn("_inside", inside).join(F.broadcast(offsets), "_part")
+            .withColumn(name, F.col("_before") + F.col("_inside")).drop("_part", "_inside", "_before"))

@@ -187,6 +187,18 @@ def test_first_per_group_is_unique(spark, pairs):
     assert found == {k: min(v for kk, v in pairs if kk == k) for k, _ in pairs}
 
 
+def test_position(spark):
+    n = 5000
+    df = spark.range(n).select(F.format_string("k%05d", (F.col("id") * 7919) % n).alias("k"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        found = ranking.with_position(df, "k", "pos")
+        assert {r["k"]: r["pos"] for r in found.collect()} == {f"k{i:05d}": i for i in range(n)}
+        assert ranking.with_position(df.limit(0), "k", "pos").count() == 0
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
 # -- cleaning and quality --------------------------------------------------
 
 DIRTY = [(1, " a ", "2020"), (1, "a", "2020"), (2, "b", "x"), (2, "b", "x"), (3, None, "2021")]
