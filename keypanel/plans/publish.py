@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from keypanel.functions.rates import share
 from keypanel.operators.quality import MAX_NULL_SHARE, expect_rows, null_audit
-from keypanel.session import checkpointed
+from keypanel.session import stored
 
 FORMATS = ("csv", "parquet", "json", "orc")
 
@@ -110,7 +110,7 @@ def package(df: DataFrame, spec: PackageSpec) -> dict[str, str]:
     """Strip personal columns, write every format and the codebook; returns the paths.
 
     The table is computed once however many formats follow: Parquet is written
-    first and read back, without it a checkpoint serves the same end.
+    first and read back, without it a copy in the checkpoint folder serves the same end.
     """
     unknown = [f for f in spec.formats if f not in FORMATS]
     if unknown:
@@ -121,7 +121,7 @@ def package(df: DataFrame, spec: PackageSpec) -> dict[str, str]:
         written["parquet"] = save_parquet(table, f"{base}.parquet")
         table = spark.read.parquet(written["parquet"])
     else:
-        table = checkpointed(table)
+        table = stored(table)
     out = table.coalesce(1) if spec.single_file else table
     for kind in [f for f in spec.formats if f != "parquet"]:
         path = f"{base}.{kind}"
@@ -146,7 +146,7 @@ def publish(df: DataFrame, spec: PackageSpec, expected_rows: int | None = None,
     A wrong number of rows raises before anything is written.  The report marks
     critical columns with any null and other columns above the null share.
     """
-    table = checkpointed(df)
+    table = stored(df)
     if expected_rows is not None:
         expect_rows(table, expected_rows)
     status = (F.when(F.col("column").isin(*critical) & (F.col("nulls") > 0), "critical")

@@ -19,6 +19,7 @@ from keypanel.plans.attributes import mandatory
 from keypanel.plans.master import RateSpec, rates_table, wide_master
 from keypanel.plans.reference import (code_list, key_master, structural_controls, with_overrides,
                                       yearly_columns)
+from keypanel.session import stored
 from workload.events import customer_nation, line_history, line_test_rates, order_profile
 from workload.registry import query, table
 
@@ -165,7 +166,10 @@ def outer_merge_by_key(spark, sf):
 
 
 def customer_panel(spark, sf) -> DataFrame:
-    """Customers with balance, orders, spending and pending orders (NULL without any)."""
+    """Customers with balance, orders, spending and pending orders (NULL without any).
+
+    Queries that pass over the panel several times store it first.
+    """
     orders = table(spark, sf, "orders")
     spent = profile_by_key(orders, ["o_custkey"], {
         "orders": F.count("*"), "spent": F.sum(money(F.col("o_totalprice"))),
@@ -206,7 +210,7 @@ SELECT c_mktsegment,
 FROM panel GROUP BY 1
 """)
 def group_summary(spark, sf):
-    return summarize(customer_panel(spark, sf), "c_mktsegment", ["c_acctbal", "spent", "pending"])
+    return summarize(stored(customer_panel(spark, sf)), "c_mktsegment", ["c_acctbal", "spent", "pending"])
 
 
 def _cohort_sql(first: str, second: str, names: tuple[str, str]) -> str:
@@ -224,14 +228,14 @@ def _cohort_sql(first: str, second: str, names: tuple[str, str]) -> str:
 
 @query(_cohort_sql("c_acctbal < 0", "NOT (c_acctbal < 0)", ("debt", "credit")))
 def cohorts_by_flag(spark, sf):
-    panel = customer_panel(spark, sf).withColumn("in_debt", flag(F.col("c_acctbal") < 0))
+    panel = stored(customer_panel(spark, sf)).withColumn("in_debt", flag(F.col("c_acctbal") < 0))
     return compare_cohorts(panel, ["spent", "orders", "pending"], F.col("in_debt") == 1, F.col("in_debt") == 0,
                            ("debt", "credit"))
 
 
 @query(_cohort_sql("pending IS NULL", "pending IS NOT NULL", ("settled", "open")))
 def cohorts_by_null(spark, sf):
-    panel = customer_panel(spark, sf)
+    panel = stored(customer_panel(spark, sf))
     return compare_cohorts(panel, ["spent", "orders", "pending"], F.col("pending").isNull(),
                            F.col("pending").isNotNull(), ("settled", "open"))
 
