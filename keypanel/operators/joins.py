@@ -72,6 +72,8 @@ def exists_flag(events: DataFrame, ids: DataFrame, on: str | list[str], name: st
     over the id columns; ``hot_rows=None`` skips it.
     """
     on = [on] if isinstance(on, str) else list(on)
+    if name in events.columns:
+        raise ValueError(f"the events already have a column {name!r}")
     known = ids.select(*on).dropna().distinct().withColumn(name, F.lit(1))
     hot = [] if hot_rows is None else hot_hashes(events, on, hot_rows)
     if hot:

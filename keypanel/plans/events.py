@@ -11,7 +11,7 @@ from keypanel.functions.rates import flag, money, share
 from keypanel.functions.text import pad_key, trimmed
 from keypanel.operators.aggregate import count_where, profile_by_key, sum_where
 from keypanel.operators.joins import exists_flag
-from keypanel.sources.files import union_by_name
+from keypanel.sources.files import read_yearly, union_by_name
 from keypanel.sources.zipped import read_zipped_csv, zip_headers
 
 
@@ -114,32 +114,40 @@ def year_slice(df: DataFrame, year: int, columns: list[str] | None = None) -> Da
     return rows.select(*columns) if columns else rows
 
 
-def read_event_years(spark: SparkSession, paths: dict[int, str], layout: EventLayout,
-                     event_member: str, side_member: str) -> list[EventYear]:
+def read_event_years(spark: SparkSession, paths: dict[int, str], layout: EventLayout, event_member: str,
+                     side_member: str) -> tuple[list[EventYear], list[tuple[int, str]]]:
     """Open yearly archives; the header of each year decides its layout.
 
+    Returns the years and, for a year whose archive or event file cannot be
+    opened, the reason (``sources.files.failure_report`` makes a table of them).
     Only headers are collected, one per archive.
     """
-    numbers = [c for c in (layout.event_id, layout.measure, layout.flag_column) if c]
-    side_columns = [layout.event_id, layout.side_code_column]
-    headers, sides = (
-        {r["path"]: r["columns"] for r in zip_headers(spark, list(paths.values()), member).collect()}
-        for member in (event_member, side_member))
+    found, failed = read_yearly(lambda year: spark.read.format("binaryFile").load(paths[year]), sorted(paths))
+    opened = [paths[year] for year, _ in found]
+    if not opened:
+        return [], failed
+    heads, sides = (zip_headers(spark, opened, member).collect() for member in (event_member, side_member))
 
-    def of(found: dict, path: str):
-        return next((cells for full, cells in found.items() if full.endswith(path.split(":", 1)[-1])), None)
+    def of(rows: list, year: int):
+        return next(r for r in rows if r["path"].endswith(paths[year].split(":", 1)[-1]))
 
+    numbers = [c for c in (layout.event_id, layout.measure, layout.flag_column) if c]
+    side_columns = [layout.event_id, layout.side_code_column]
     years = []
-    for year, path in sorted(paths.items()):
-        present = {c.lower() for c in of(headers, path) or []}
+    for year, _ in found:
+        head = of(heads, year)
+        if head["member"] is None:
+            failed.append((year, head["error"] or f"no file like {event_member!r} in the archive"))
+            continue
+        present = {c.lower() for c in head["columns"]}
         columns = [c for c in (layout.key, layout.label, *numbers)
                    if c and (c == layout.key or c.lower() in present)]
-        events = read_zipped_csv(spark, path, event_member, columns).select(*[
+        events = read_zipped_csv(spark, paths[year], event_member, columns).select(*[
             pad_key(F.col(c)).alias(c) if c == layout.key
             else F.col(c).try_cast("long").alias(c) if c in numbers else F.col(c) for c in columns])
         side = None
-        if of(sides, path) is not None and layout.side_code_column:
-            side = read_zipped_csv(spark, path, side_member, side_columns).select(
+        if of(sides, year)["member"] is not None and layout.side_code_column:
+            side = read_zipped_csv(spark, paths[year], side_member, side_columns).select(
                 *[F.col(c).try_cast("long").alias(c) for c in side_columns])
         years.append(EventYear(year, events, side))
-    return years
+    return years, sorted(failed)

@@ -37,25 +37,30 @@ def _member(archive: zipfile.ZipFile, part: str) -> str | None:
 
 def zip_headers(spark: SparkSession, path: str | list[str], member: str,
                 encoding: str = "latin-1") -> DataFrame:
-    """Raw header of the member in each archive: ``(path, member, columns)``.
+    """Raw header of the member in each archive: ``(path, member, columns, error)``.
 
-    ``member`` and ``columns`` are NULL where the archive has no such file.
+    ``member`` and ``columns`` are NULL where the archive has no such file or
+    cannot be read; ``error`` says why it cannot.
     """
 
     def headers(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             rows = []
             for path, content in zip(batch["path"], batch["content"]):
-                with zipfile.ZipFile(io.BytesIO(content)) as archive:
-                    name = _member(archive, member)
-                    cells = None
-                    if name:
-                        with archive.open(name) as stream:
-                            cells = list(pd.read_csv(stream, encoding=encoding, nrows=0).columns)
-                    rows.append((path, name, cells))
-            yield pd.DataFrame(rows, columns=["path", "member", "columns"])
-
-    return _archives(spark, path).mapInPandas(headers, "path string, member string, columns array<string>")
+                name = cells = error = None
+                try:
+                    with zipfile.ZipFile(io.BytesIO(content)) as archive:
+                        name = _member(archive, member)
+                        if name:
+                            with archive.open(name) as stream:
+                                cells = list(pd.read_csv(stream, encoding=encoding, nrows=0).columns)
+                except (zipfile.BadZipFile, ValueError) as problem:
+                    name, error = None, str(problem)
+                rows.append((path, name, cells, error))
+            yield pd.DataFrame(rows, columns=["path", "member", "columns", "error"])
+
+    return _archives(spark, path).mapInPandas(
+        headers, "path string, member string, columns array<string>, error string")
 
 
 def read_zipped_csv(spark: SparkSession, path: str | list[str], member: str, columns: list[str],

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from keypanel.plans import attributes, events, history, master, publish, reference, testing, trend
 from keypanel.plans.events import EventLayout, EventYear
+from keypanel.sources import files
 
 LAYOUT = EventLayout(key="STATE", event_id="ST_CASE", measure="FATALS", label="STATENAME", flag_column="DRUNK_DR",
                      side_code_column="DRIMPAIR", side_code=9)
@@ -44,8 +45,15 @@ def test_event_archives(spark, rows, tmp_path):
             f"{int(s)},{n},{c},{f}\n" for s, n, c, f, d in OLD).encode())
         z.writestr("x/drimpair.csv", "STATE,ST_CASE,VEH_NO,DRIMPAIR\n" + "".join(
             f"{int(s)},{c},{v},{d}\n" for s, c, v, d in SIDE))
-    years = events.read_event_years(spark, {y: str(tmp_path / f"{y}.zip") for y in (2020, 2021)}, LAYOUT,
-                                    "accident", "drimpair")
+    (tmp_path / "2022.zip").write_bytes(b"not an archive")
+    with zipfile.ZipFile(tmp_path / "2023.zip", "w") as z:
+        z.writestr("x/person.csv", "A\n1\n")
+    years, failed = events.read_event_years(spark, {y: str(tmp_path / f"{y}.zip") for y in range(2020, 2025)}, LAYOUT,
+                                            "accident", "drimpair")
+    assert [year for year, _ in failed] == [2022, 2023, 2024]
+    assert "not a zip" in failed[0][1] and "no file like" in failed[1][1] and "2024" in failed[2][1]
+    assert files.failure_report(spark, failed).count() == 3
+    assert events.read_event_years(spark, {2024: str(tmp_path / "2024.zip")}, LAYOUT, "accident", "drimpair")[0] == []
     assert [(y.year, y.side is not None, "DRUNK_DR" in y.events.columns) for y in years] == [
         (2020, False, True), (2021, True, False)]
     totals = events.event_totals(events.flagged_events(years, LAYOUT), LAYOUT)
