@@ -19,10 +19,34 @@ RECOMMENDED = {
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
+# Bytes a reducer should handle, and the most partitions a shuffle is cut into.
+REDUCER_BYTES = 128 * 1024 * 1024
+MOST_PARTITIONS = 100_000
+
 # A side is broadcast by hand only after it was counted and found below this.
 BROADCAST_ROWS = 100_000
 
 
+def settings_for(largest_shuffle_bytes: int, cores: int) -> dict[str, str]:
+    """Recommended settings with partition numbers for a job of a known size.
+
+    Shuffles start with enough partitions for ``REDUCER_BYTES`` each; AQE merges
+    those that turn out small, so a generous number costs little.  Large inputs
+    get larger splits, which keeps the number of map tasks, and of partial results
+    to merge, in bounds.
+    """
+    wanted = -(-largest_shuffle_bytes // REDUCER_BYTES)
+    partitions = str(min(max(wanted, 2 * cores), MOST_PARTITIONS))
+    split = 512 if largest_shuffle_bytes >= 10 * 1024 ** 4 else 128
+    return {
+        **RECOMMENDED,
+        "spark.sql.shuffle.partitions": partitions,
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": partitions,
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(REDUCER_BYTES),
+        "spark.sql.files.maxPartitionBytes": str(split * 1024 * 1024),
+    }
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
     """Use the folder named in ``spark.checkpoint.dir``; set one only in local mode."""
     context = spark.sparkContext

@@ -33,6 +33,7 @@ class SourceSpec:
     null_columns: tuple[str, ...] = ()
     member: str = ""
     table_index: int | None = 0
+    largest: bool = False
     row_selector: str | None = None
     field_map: dict[str, str] | None = None
 
@@ -87,7 +88,7 @@ def read_source(spark: SparkSession, spec: SourceSpec) -> DataFrame:
                                             spec.encoding), spec.columns)
     if spec.type == "html_table":
         pages = html.read_pages(spark, spec.path, spec.encoding)
-        return html.named_table(html.page_tables(pages, spec.table_index), list(spec.columns))
+        return html.named_table(html.page_tables(pages, spec.table_index, spec.largest), list(spec.columns))
     if spec.type == "html_scrape":
         if spec.row_selector is None or spec.field_map is None:
             raise ValueError("html_scrape needs row_selector and field_map")

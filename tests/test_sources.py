@@ -176,6 +176,8 @@ def test_landed_pages(spark, land, rows):
     path = land("p.html", PAGE)
     table = read_source(spark, SourceSpec(path, "html_table", table_index=1))
     assert table.columns == ["page_id", "state_name", "max_fine"] and table.count() == 2
+    largest = read_source(spark, SourceSpec(path, "html_table", largest=True))
+    assert largest.exceptAll(table).isEmpty() and largest.columns == table.columns
     records = read_source(spark, SourceSpec(path, "html_scrape", row_selector=".data-row", field_map={"n": ".name"}))
     assert sorted(r["n"] for r in records.collect()) == ["A", "B"]
 

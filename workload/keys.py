@@ -397,10 +397,10 @@ def inline_controls(spark, sf):
     return wide_master(by_region, [(controls, "r_name")], derived={"orders_per_100_miles": per_mile})
 
 
-@query("SELECT printf('%02d', n_nationkey) AS code, n_name AS name FROM nation WHERE n_nationkey <= 20")
+@query("SELECT printf('%02d', p_size) AS code, p_name AS name FROM part WHERE p_size <= 20")
 def valid_code_list(spark, sf):
-    raw = table(spark, sf, "nation").select(F.col("n_nationkey").cast("string").alias("N CODE"), F.col("n_name").alias("N-Name"))
-    return code_list(raw, {"n_code": "code", "n_name": "name"}, "code", last=20)
+    raw = table(spark, sf, "part").select(F.col("p_size").cast("string").alias("P CODE"), F.col("p_name").alias("P-Name"))
+    return code_list(raw, {"p_code": "code", "p_name": "name"}, "code", last=20)
 
 
 @query("""
@@ -418,8 +418,9 @@ def yearly_columns_by_key(spark, sf):
 
 
 @query("""
-SELECT n_nationkey, CASE n_nationkey WHEN 3 THEN 4 WHEN 7 THEN 4 ELSE n_regionkey END AS n_regionkey, n_name FROM nation
+SELECT c_custkey, c_name, CASE c_custkey WHEN 3 THEN 4 WHEN 7 THEN 5 ELSE c_nationkey END AS c_nationkey FROM customer
 """)
 def hand_checked_overrides(spark, sf):
-    checked = spark.createDataFrame([(3, 4), (7, 4)], "n_nationkey int, n_regionkey int")
-    return with_overrides(table(spark, sf, "nation"), checked, "n_nationkey", "n_regionkey")
+    checked = spark.createDataFrame([(3, 4), (7, 5)], "c_custkey long, c_nationkey int")
+    customers = table(spark, sf, "customer").select("c_custkey", "c_name", "c_nationkey")
+    return with_overrides(customers, checked, "c_custkey", "c_nationkey")
