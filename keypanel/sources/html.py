@@ -5,6 +5,7 @@ The only Python code that runs on executors apart from opening ZIP archives.
 
 from __future__ import annotations
 
+import re
 import sys
 from html.parser import HTMLParser
 from typing import Iterator
@@ -96,30 +97,59 @@ def parse(page: str) -> Node:
     return builder.root
 
 
-def _step(selector: str) -> tuple[str, frozenset]:
-    tag, *classes = selector.split(".")
-    return tag, frozenset(classes)
+PART = re.compile(r"""[>,]|(?:\[[^\]]*\]?|[^\s>,\[])+""")
+SIMPLE = re.compile(r"""([\w-]+|\*)?((?:[#.][\w-]+|\[[\w-]+(?:=(?:"[^"]*"|'[^']*'|[\w-]+))?\])*)$""")
+TEST = re.compile(r"""([#.])([\w-]+)|\[([\w-]+)(?:=(?:"([^"]*)"|'([^']*)'|([\w-]+)))?\]""")
 
 
-def _fits(node: Node, step: tuple[str, frozenset]) -> bool:
-    return (not step[0] or node.tag == step[0]) and step[1] <= node.classes()
+def selector_chains(selector: str) -> list[list[tuple]]:
+    """Parse a CSS selector into alternatives, each a chain of ``(is child, tag, tests)``.
 
-
-def select(root: Node, selector: str) -> list[Node]:
-    """Nodes matched by ``tag``, ``.class``, ``tag.class`` or a descendant chain of these."""
-    *above, last = [_step(s) for s in selector.split()]
-    hits = []
-    for node in root.walk():
-        if not _fits(node, last):
-            continue
-        ancestor, left = node.parent, list(above)
-        while ancestor is not None and left:
-            if _fits(ancestor, left[-1]):
-                left.pop()
-            ancestor = ancestor.parent
-        if not left:
-            hits.append(node)
-    return hits
+    Tags, classes, ids, attributes, descendants, children (``>``) and lists are
+    understood; anything else raises.
+    """
+    chains, chain, child = [], [], False
+    for part in PART.findall(selector) + [","]:
+        simple = SIMPLE.match(part)
+        if part == ">" and chain and not child:
+            child = True
+        elif part == "," and chain and not child:
+            chains.append(chain)
+            chain = []
+        elif simple and part:
+            tests = [("id" if mark == "#" else mark or attribute, name or next((v for v in values if v), None))
+                     for mark, name, attribute, *values in TEST.findall(simple[2])]
+            chain.append((child, simple[1] or "*", tests))
+            child = False
+        else:
+            raise ValueError(f"selector {selector!r}: cannot use {part!r} here")
+    return chains
+
+
+def _fits(node: Node, tag: str, tests: list[tuple]) -> bool:
+    """Tests are ``(".", class)`` or ``(attribute, value)``; no value asks for presence."""
+    if node.parent is None or tag not in ("*", node.tag):
+        return False
+    return all(wanted in node.classes() if name == "."
+               else name in node.attributes and wanted in (None, node.attributes[name])
+               for name, wanted in tests)
+
+
+def _matches(node: Node, chain: list[tuple]) -> bool:
+    *above, (child, tag, tests) = chain
+    if not _fits(node, tag, tests):
+        return False
+    ancestor = node.parent
+    while above and ancestor is not None:
+        if _matches(ancestor, above):
+            return True
+        ancestor = None if child else ancestor.parent
+    return not above
+
+
+def select(root: Node, chains: list[list[tuple]]) -> Iterator[Node]:
+    """Descendants that match any of the chains, in the order of the page."""
+    return (n for n in root.walk() if any(_matches(n, chain) for chain in chains))
 
 
 def _own_rows(table: Node) -> list[Node]:
@@ -251,13 +281,13 @@ def page_records(pages: DataFrame, row_selector: str, field_map: dict[str, str],
     selector is the row's own text, an element that is not there gives "".
     """
 
+    row_chains = selector_chains(row_selector)
+    fields = [selector_chains(s) if s else None for s in field_map.values()]
+
     def rows_of(page):
-        for position, row in enumerate(select(parse(page), row_selector)):
-            values = []
-            for selector in field_map.values():
-                hits = select(row, selector) if selector else [row]
-                values.append(hits[0].text() if hits else "")
-            yield position, *values
+        for position, row in enumerate(select(parse(page), row_chains)):
+            hits = [next(select(row, chains), None) if chains else row for chains in fields]
+            yield position, *["" if hit is None else hit.text() for hit in hits]
 
     schema = ", ".join(["record_idx int", *[f"`{name}` string" for name in field_map]])
     return _per_page(pages, page_id, html, schema, rows_of)

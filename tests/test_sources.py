@@ -172,6 +172,25 @@ def test_records(spark, pages, rows):
     assert html.page_records(pages, "table .name.big", {"t": ""}).first()["t"] == "B"
 
 
+def test_selectors(spark):
+    page = """<div id=a class="x y"><p data-k="1 2">one<p>two</p><div><p class=deep>three</p></div></div><p id=b>four</p>"""
+    root = html.parse(page)
+
+    def texts(selector):
+        return [n.text() for n in html.select(root, html.selector_chains(selector))]
+
+    assert texts("p") == ["one", "two", "three", "four"]
+    assert texts("div > p") == ["one", "two", "three"]
+    assert texts("#a>p") == ["one", "two"]
+    assert texts("div div p") == texts(".x .deep") == texts("div.x.y > div > p.deep") == ["three"]
+    assert texts("p[data-k='1 2'], #b") == ["one", "four"]
+    assert texts("[class]") == texts("#a, .deep") and texts("p[class=deep]") == ["three"]
+    assert texts("[data-k]") == ["one"] and texts("* > div > *") == ["three"] and texts("p.none") == []
+    for wrong in ("p:first-child", "div >", "", "p + p"):
+        with pytest.raises(ValueError, match="selector"):
+            html.selector_chains(wrong)
+
+
 def test_landed_pages(spark, land, rows):
     path = land("p.html", PAGE)
     table = read_source(spark, SourceSpec(path, "html_table", table_index=1))
