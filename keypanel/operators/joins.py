@@ -69,13 +69,15 @@ def exists_flag(events: DataFrame, ids: DataFrame, on: str | list[str], name: st
     ``events`` and at least ``hot_rows`` rows never travel through a shuffle: their
     rows are looked up in a broadcast table of those ids, at most a few thousand.
     All other rows are spread evenly by the join.  Finding the hot ids is one job
-    over the id columns; ``hot_rows=None`` skips it.
+    over the id columns; ``hot_rows=None`` skips it, and so do ids of different
+    types, whose hashes would not agree.
     """
     on = [on] if isinstance(on, str) else list(on)
     if name in events.columns:
         raise ValueError(f"the events already have a column {name!r}")
     known = ids.select(*on).dropna().distinct().withColumn(name, F.lit(1))
-    hot = [] if hot_rows is None else hot_hashes(events, on, hot_rows)
+    alike = all(events.schema[c].dataType == ids.schema[c].dataType for c in on)
+    hot = hot_hashes(events, on, hot_rows) if alike and hot_rows is not None else []
     if hot:
         is_hot = F.xxhash64(*on).isin(hot)
         spread = events.filter(~is_hot).join(known.filter(~is_hot), on, "left")

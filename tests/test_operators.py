@@ -87,6 +87,17 @@ def test_exists_flag_with_a_hot_id(spark):
     assert {tuple(r) for r in one.collect()} == {(0, 0, 0), (1, 1, 1), (2, 1, 1), (3, 0, 0), (4, 0, 0)}
 
 
+@pytest.mark.parametrize("event_type, id_type, hot, hit", [
+    ("long", "int", "7", 1), ("int", "long", "7", 1), ("double", "double", "-0.0", 1), ("string", "string", "'x'", 1),
+    ("double", "int", "7.5", 0)])
+def test_hot_id_of_any_type(spark, event_type, id_type, hot, hit):
+    events = spark.range(2000).select(F.expr(f"IF(id % 2 = 0, CAST({hot} AS {event_type}), CAST(id + 100 AS {event_type}))").alias("a"))
+    listed = {"7": "7", "-0.0": "0.0", "'x'": "'x'", "7.5": "7"}[hot]
+    ids = spark.sql(f"SELECT CAST({listed} AS {id_type}) AS a")
+    found = joins.exists_flag(events, ids, "a", "hit", hot_rows=100)
+    assert tuple(found.agg(F.count("*"), F.sum("hit")).first()) == (2000, 1000 * hit)
+
+
 def test_exists_flag_without_rows(spark):
     events = spark.createDataFrame([], "id int, v int")
     ids = spark.createDataFrame([(1,)], "id int")
