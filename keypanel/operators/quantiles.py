@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from keypanel.session import BROADCAST_ROWS, checkpointed
+from keypanel.session import checkpointed, is_small
 
 # A range of at most this many rows is ranked value by value.
 RANKED_ROWS = 100_000
@@ -53,7 +53,7 @@ def exact_quantiles(df: DataFrame, keys: list[str], value: str, probs: dict[str,
 
     # A key has at most two ranks and ranges per quantile, so the number of keys,
     # counted here, bounds every table that is joined with the rows.
-    side = F.broadcast if groups.count() <= BROADCAST_ROWS else (lambda df: df)
+    side = F.broadcast if is_small(groups) else (lambda df: df)
     open_size, bucket = _open_ranges(targets), _magnitude()
     while open_size["rows"] > ranked_rows:
         targets = checkpointed(_narrowed(rows, targets, side(ranges), open_size, bucket))

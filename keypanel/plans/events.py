@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from keypanel.functions.rates import flag, money, share
 from keypanel.functions.text import pad_key, trimmed
-from keypanel.operators.aggregate import count_where, profile_by_key, sum_where
+from keypanel.operators.aggregate import count_where, profile_by_key, profile_through, sum_where
 from keypanel.operators.joins import exists_flag
 from keypanel.sources.files import read_yearly, union_by_name
 from keypanel.sources.zipped import read_zipped_csv, zip_headers
@@ -94,17 +94,11 @@ def event_totals(flagged: DataFrame, layout: EventLayout, digits: int = 2) -> Da
 
 def event_totals_through(flagged: DataFrame, via: str, lookup: DataFrame, keys: list[str],
                          event_id: str, measure: str, digits: int = 2) -> DataFrame:
-    """As ``event_totals``, with the key found through a lookup on ``via``.
-
-    Events are reduced to one row per ``via`` and year before the lookup.
-    """
+    """As ``event_totals``, with the key found through a lookup on ``via``."""
     hit, value = F.col("flagged") == 1, money(F.col(measure))
-    partial = profile_by_key(flagged, [via, "year"], {
+    totals = profile_through(flagged, via, lookup, keys, {
         "total_events": F.count(event_id), "total_measure": F.sum(value),
-        "flagged_events": count_where(hit), "flagged_measure": sum_where(value, hit)})
-    totals = profile_by_key(partial.join(lookup, via), [*keys, "year"], {
-        name: F.sum(name) for name in
-        ("total_events", "total_measure", "flagged_events", "flagged_measure")})
+        "flagged_events": count_where(hit), "flagged_measure": sum_where(value, hit)}, extra_keys=("year",))
     return totals.withColumn("pct_flagged", share(F.col("flagged_measure"), F.col("total_measure"), digits))
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from keypanel.functions.rates import share
 from keypanel.operators.aggregate import known_codes, median_of_counts, sum_where
 from keypanel.operators.joins import exists_flag
+from keypanel.session import is_small
 
 # History codes that mean "unknown", the first speed code that is not
 # a speed, and the speed from which a road counts as fast.
@@ -22,15 +23,19 @@ def history_profile(vehicles: DataFrame, impaired: DataFrame, key: str, vehicle_
                     lookup: DataFrame | None = None, via: str | None = None) -> DataFrame:
     """Known histories with a prior, for all and for impaired vehicles, and speeds.
 
-    Vehicles are first counted per ``via`` (or key), code, speed and flag: a short
-    list of combinations, so a hot key is a few rows per map task.  With
-    ``lookup`` the key is found from ``via`` on the counted rows.  An unknown
-    code leaves the vehicle out; a NULL code does not.
+    Vehicles are first counted per key, code, speed and flag: a short list of
+    combinations, so a hot key is a few rows per map task.  With ``lookup`` the key
+    is found from ``via``.  An unknown code leaves the vehicle out; a NULL code
+    does not.
     """
     flagged = exists_flag(vehicles, impaired, vehicle_id, "is_impaired")
-    counted = flagged.groupBy(via or key, prior, speed, "is_impaired").agg(F.count("*").alias("_n"))
-    if lookup is not None:
-        counted = counted.join(lookup, via)
+    kinds = [prior, speed, "is_impaired"]
+    if lookup is None:
+        counted = flagged.groupBy(key, *kinds).agg(F.count("*").alias("_n"))
+    elif is_small(lookup):
+        counted = flagged.join(F.broadcast(lookup), via).groupBy(key, *kinds).agg(F.count("*").alias("_n"))
+    else:
+        counted = flagged.groupBy(via, *kinds).agg(F.count("*").alias("_n")).join(lookup, via)
 
     n, code = F.col("_n"), F.col(prior)
     known, has_prior = known_codes(code, unknown), F.coalesce(code > 0, F.lit(False))

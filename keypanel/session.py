@@ -77,3 +77,8 @@ def stored(df: DataFrame) -> DataFrame:
     path = f"{spark.sparkContext.getCheckpointDir()}/table-{uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def is_small(df: DataFrame) -> bool:
+    """Whether a join side has at most ``BROADCAST_ROWS`` rows; no more are counted."""
+    return df.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS

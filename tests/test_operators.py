@@ -5,6 +5,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from keypanel import session
 from keypanel.operators import (aggregate, charts, clean, cohorts, columns, joins, profile, quality,
                                 ranking)
 
@@ -132,7 +133,9 @@ def test_profile_drops_null_keys(spark, rows):
     assert len(rows(aggregate.profile_by_key(df, ["k"], measures, drop_null_keys=False))) == 2
 
 
-def test_profile_through_equals_direct_join(spark):
+@pytest.mark.parametrize("small", [0, 1000])
+def test_profile_through_equals_direct_join(spark, monkeypatch, small):
+    monkeypatch.setattr(session, "BROADCAST_ROWS", small)
     facts = spark.range(1000).select((F.col("id") % 17).alias("via"), F.col("id").alias("v"))
     lookup = spark.range(15).select(F.col("id").alias("via"), (F.col("id") % 3).alias("k"))
     measures = {"n": F.count("*"), "s": F.sum("v")}

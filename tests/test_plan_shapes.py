@@ -7,6 +7,7 @@ import pytest
 
 import __spark_entry__ as entry
 import oracle
+from keypanel import session
 
 SF = "/root/testdata/sf0.001"
 QUERIES, SQL = entry.queries(), entry.oracle_sql()
@@ -35,7 +36,7 @@ def test_python_only_for_html(spark):
 
 def test_counts_are_combined_before_the_shuffle(spark):
     text = plan(spark, "test_rates_by_key")
-    assert text.count("Exchange hashpartitioning") == 2  # per supplier, then per nation
+    assert text.count("Exchange hashpartitioning") == 1
     assert text.count("partial_") > 10
     assert "SortMergeJoin" not in text
 
@@ -63,10 +64,20 @@ def test_label_lines_do_not_shuffle(spark):
         assert "Exchange" not in plan(spark, name)
 
 
+def test_large_lookups_are_joined_after_a_first_aggregate(spark, monkeypatch):
+    monkeypatch.setattr(session, "BROADCAST_ROWS", 0)
+    text = plan(spark, "test_rates_by_key")
+    assert text.count("Exchange hashpartitioning") == 2  # per supplier, then per nation
+    lookup = text.index("BroadcastHashJoin")
+    assert "HashAggregate" in text[:lookup] and "HashAggregate" in text[lookup:]
+
+
 @pytest.mark.parametrize("name", ["flagged_events_by_key_year", "prior_history_by_key", "wide_master_table", "cohorts_by_null",
-                                  "numeric_profile", "totals_across_layouts", "quality_report"])
-def test_results_without_broadcast_joins(spark, name):
-    """Above the broadcast threshold the same queries join by shuffle, with the same result."""
+                                  "numeric_profile", "totals_across_layouts", "quality_report",
+                                  "test_rates_by_key", "rates_by_key", "top_and_bottom", "yearly_columns_by_key", "prior_share"])
+def test_results_without_broadcast_joins(spark, name, monkeypatch):
+    """Above the broadcast thresholds the same queries join by shuffle, with the same result."""
+    monkeypatch.setattr(session, "BROADCAST_ROWS", 0)
     settings = ["spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"]
     try:
         for setting in settings:
