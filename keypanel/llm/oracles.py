@@ -113,3 +113,43 @@ SELECT d.doc_id, len(w) AS n_words, coalesce(n_base, 0) AS n_base, first_word, l
        coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels, CAST(coalesce(score, 0) AS DOUBLE) AS score
 FROM d LEFT JOIN agg USING (doc_id)
 """
+
+
+PERSPECTIVES = """
+WITH t AS (
+  SELECT conv_id, turn, CASE WHEN coalesce(role, '') = '' THEN 'unknown' ELSE role END AS role,
+         replace(coalesce(text, ''), '<|', '<\\|') || '<|end|>' || chr(10) AS body, coalesce(text, '') AS raw
+  FROM conversations),
+s AS (SELECT DISTINCT conv_id, role AS speaker FROM conversations WHERE coalesce(role, '') <> '' AND role <> 'system'),
+r AS (
+  SELECT t.conv_id, speaker, turn, t.role, raw, body, t.role = speaker AS own,
+         CASE WHEN t.role = speaker THEN '<|assistant|>' WHEN t.role = 'system' THEN '<|system|>'
+              ELSE '<|user name=' || replace(t.role, '<|', '<\\|') || '|>' END || chr(10) AS head
+  FROM t JOIN s ON t.conv_id IS NOT DISTINCT FROM s.conv_id),
+o AS (SELECT *, sum(length(head) + length(body)) OVER (
+        PARTITION BY conv_id, speaker ORDER BY turn NULLS FIRST, role, raw ROWS UNBOUNDED PRECEDING) AS stop FROM r)
+SELECT conv_id, speaker, CAST(0 AS BIGINT) AS block, CAST(0 AS BIGINT) AS lot, CAST(count(*) AS INTEGER) AS n_turns,
+       string_agg(head || body, '' ORDER BY turn NULLS FIRST, role, raw) AS text,
+       coalesce(string_agg((stop - length(body)) || '-' || stop, ',' ORDER BY stop) FILTER (own), '') AS mask
+FROM o GROUP BY conv_id, speaker
+"""
+
+REVISITS = """
+WITH c AS (
+  SELECT page_id, html, page_id % 3 = 0 AS full_response, page_id * 60 AS at, CAST(page_id // 12 AS VARCHAR) AS v,
+         regexp_extract(url, '^[^:]+://[^/]+/[^/]+/') AS uri FROM pages),
+u AS (SELECT *, CASE WHEN uri <> '' THEN lower(regexp_extract(uri, '^([^:]+://[^/]+)', 1)) || regexp_extract(uri, '^[^:]+://[^/]+(.*)$', 1) END AS url FROM c),
+a AS (SELECT v.page_id, v.url, v.v, r.page_id AS response_id, r.v AS rv, r.html
+      FROM (SELECT * FROM u WHERE NOT full_response) v
+      ASOF LEFT JOIN (SELECT * FROM u WHERE full_response AND url IS NOT NULL) r ON v.url = r.url AND v.at > r.at),
+s AS (SELECT *, CASE WHEN response_id IS NULL THEN 'no-response'
+                     WHEN page_id % 5 = 0 AND page_id % 2 <> 0 THEN 'unvalidated'
+                     WHEN v = rv THEN 'resolved' ELSE 'mismatch' END AS state FROM a)
+SELECT page_id, url, response_id, state,
+       CASE WHEN state = 'resolved' THEN 'Content-Type: text/html' || chr(10) || 'Content-Length: ' || octet_length(encode(html)) || chr(10)
+         || CASE WHEN page_id % 5 <> 0 THEN 'Last-Modified: day ' || rv || chr(10) || 'etag: W/"' || v || '"'
+                 ELSE 'ETag: "' || rv || '"' || chr(10) || 'Last-Modified: day ' || v END
+         || chr(10) || 'cache-control: max-age=90' || chr(10) || 'Age: ' || page_id END AS headers,
+       CASE WHEN state = 'resolved' THEN md5(html) END AS payload_md5
+FROM s
+"""

@@ -3,15 +3,25 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from uuid import uuid4
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from keypanel.llm import oracles
+from keypanel.llm.chat_format import rotate
 from keypanel.llm.decontamination import decontaminate
+from keypanel.llm.jaccard_join import jaccard_join
 from keypanel.llm.license_scan import scan_licenses
+from keypanel.llm.packing import pack
 from keypanel.llm.quality_rules import judge_quality
+from keypanel.llm.revisits import resolve_revisits
+from keypanel.llm.sharding import shard_rows
+from keypanel.llm.token_files import read_documents, shard_key, write_token_files
+from keypanel.llm.tokens import vocabulary_type
 from keypanel.llm.url_filters import filter_urls
+from keypanel.session import ensure_checkpoint_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -42,6 +52,19 @@ def op1_url_filters(spark, sf_dir):
         "page_id", "host", "path", "rule", "verdict")
 
 
+@query()
+def op2_sharding(spark, sf_dir):
+    rows = shard_rows(table(spark, sf_dir, "documents").select("doc_id", "text"), 40)
+    return rows.select("doc_id", "size", F.crc32(F.coalesce("text", F.lit(""))).alias("text_crc32"),
+                       F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
+@query()
+def op3_packing(spark, sf_dir):
+    packed = pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+    return packed.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"), "sequence_id", "offset")
+
+
 @query(oracles.CONTAMINATION)
 def op4_decontamination(spark, sf_dir):
     judged = decontaminate(table(spark, sf_dir, "documents").select("doc_id", "text"),
@@ -50,6 +73,31 @@ def op4_decontamination(spark, sf_dir):
                          F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
 
 
+@query()
+def op5_token_files(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    vocabulary = public_tokenizers.path("word_bpe_49k.json")
+    ensure_checkpoint_dir(spark)
+    folder = f"{spark.sparkContext.getCheckpointDir()}/tokens-{uuid4().hex}"
+    buckets = write_token_files(docs, folder, vocabulary, 2)
+    keys = docs.select(shard_key(F.col("doc_id")).alias("key")).distinct()
+    return read_documents(spark, keys, folder, buckets, vocabulary_type(vocabulary).itemsize).select(
+        F.col("key").alias("doc_id"), "start", F.col("n").alias("n_tokens"), F.crc32("ids").alias("ids_crc32"))
+
+
+@query(oracles.PERSPECTIVES)
+def op6_chat_format(spark, sf_dir):
+    """Rendered dialogues of every participant; the mask as ``start-stop`` ranges."""
+    return rotate(table(spark, sf_dir, "conversations")).select(
+        "conv_id", "speaker", "block", "lot", "n_turns", "text",
+        F.array_join(F.transform("mask", lambda m: F.concat_ws("-", m["start"].cast("string"), m["stop"].cast("string"))), ",").alias("mask"))
+
+
+@query()
+def op7_jaccard_join(spark, sf_dir):
+    return jaccard_join(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "class_id", "n_links")
+
+
 @query(oracles.QUALITY)
 def op8_quality_rules(spark, sf_dir):
     return judge_quality(table(spark, sf_dir, "documents").select("doc_id", "text")).select(
@@ -61,3 +109,40 @@ def op9_license_scan(spark, sf_dir):
     return scan_licenses(table(spark, sf_dir, "documents").select("doc_id", "text")).select(
         "doc_id", "n_words", "n_base", "first_word", "last_word", F.array_join("base_labels", ",").alias("base_labels"),
         F.array_join("labels", ",").alias("labels"), "score")
+
+
+def web_records(pages: DataFrame) -> DataFrame:
+    """Archive records that the pages stand for: captures of a site's sections, a minute apart.
+
+    Every third capture is a full response; the others are 304 answers, whose tags
+    and dates agree with the stored ones for some and not for others.
+    """
+    page = F.col("page_id")
+    full = page % 3 == 0
+    header = lambda name, value: F.struct(F.lit(name).alias("name"), value.alias("value"))
+    version = (page / 12).cast("long").cast("string")
+    tag = F.concat(F.lit('"'), version, F.lit('"'))
+    modified = F.concat(F.lit("day "), version)
+    response = F.array(header("Content-Type", F.lit("text/html")), header("Content-Length", F.octet_length("html").cast("string")),
+                       header("ETag", tag), header("Last-Modified", modified), header("Cache-Control", F.lit("max-age=60")))
+    unchanged = F.concat(
+        F.when(page % 5 != 0, F.array(header("etag", F.concat(F.lit("W/"), tag)))).otherwise(
+            F.when(page % 2 == 0, F.array(header("Last-Modified", modified))).otherwise(
+                F.array().cast("array<struct<name:string,value:string>>"))),
+        F.array(header("Content-Length", F.lit("0")), header("cache-control", F.lit("max-age=90")),
+                header("Connection", F.lit("X-Hop")), header("X-Hop", page.cast("string")), header("Age", page.cast("string"))))
+    return pages.select(
+        page.alias("record_id"), F.when(full, "response").otherwise("revisit").alias("type"),
+        F.regexp_extract("url", r"^[^:]+://[^/]+/[^/]+/", 0).alias("uri"), F.timestamp_seconds(page * 60).alias("date"),
+        F.when(full, 200).otherwise(304).alias("status"), F.when(full, response).otherwise(unchanged).alias("headers"),
+        F.when(full, F.col("html")).alias("payload"))
+
+
+@query(oracles.REVISITS)
+def op10_revisits(spark, sf_dir):
+    """Every revisit with its response; headers as lines in order, the payload by digest."""
+    found = resolve_revisits(web_records(table(spark, sf_dir, "pages")))
+    return found.select(
+        F.col("record_id").alias("page_id"), "url", "response_id", "state",
+        F.array_join(F.transform("headers", lambda h: F.concat_ws(": ", h["name"], h["value"])), "\n").alias("headers"),
+        F.md5("payload").alias("payload_md5"))
