@@ -89,10 +89,10 @@ def decontaminate(docs: DataFrame, items: DataFrame, text: str = "text",
     held = hits.select("digest", "window").distinct().join(
         broadcast_if_bounded(windows.select("window", "item"), 200), "window").select("digest", "item").distinct()
     held = held.groupBy("digest").agg(F.sort_array(F.collect_list("item")).alias("items"))
-    results = counts.join(held, "digest").withColumnRenamed("digest", "_llm_digest")
+    results = stored(counts.join(held, "digest").withColumnRenamed("digest", "_llm_digest"))
     out = docs.drop("n_words", "n_hit", "items", "n_items", "contaminated").withColumns({
         "_llm_key": digest(F.col(text)), "n_words": F.size(words(F.col(text))).cast("long")})
-    return out.join(results, F.col("_llm_key") == F.col("_llm_digest"), "left").drop("_llm_key", "_llm_digest").withColumns({
+    return out.join(broadcast_if_bounded(results, 400), F.col("_llm_key") == F.col("_llm_digest"), "left").drop("_llm_key", "_llm_digest").withColumns({
         "n_hit": F.coalesce("n_hit", F.lit(0)).cast("long"),
         "items": F.coalesce("items", F.array().cast("array<string>")),
         "n_items": F.coalesce(F.size("items"), F.lit(0)).cast("long"),

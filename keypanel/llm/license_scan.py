@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from keypanel.llm.words import digest, gram_occurrences, words
+from keypanel.llm.words import broadcast_if_bounded, digest, gram_occurrences, words
 from keypanel.session import stored
 
 K = 3
@@ -95,17 +95,17 @@ def scan_licenses(docs: DataFrame, phrases=PHRASES, templates=TEMPLATES, text: s
                                          F.col("start"), F.lit(None).cast("int").alias("last"))
     spans = notice_spans(votes).select("digest", "label", "first", "share", F.lit(None).cast("int").alias("start"), "last")
     base = F.col("start").isNotNull()
-    results = places.unionByName(spans).groupBy(F.col("digest").alias("_llm_digest")).agg(
+    results = stored(places.unionByName(spans).groupBy(F.col("digest").alias("_llm_digest")).agg(
         F.count("start").alias("n_base"), F.min("start").cast("long").alias("first_word"),
         F.max("start").cast("long").alias("last_word"),
         F.sort_array(F.collect_set(F.when(base, F.col("label")))).alias("base_labels"),
         F.sort_array(F.collect_set("label")).alias("labels"),
         F.sort_array(F.collect_set(F.when(~base, F.struct("label", "first", "last", "share")))).alias("spans"),
-        F.max("share").alias("score"))
+        F.max("share").alias("score")))
     names = ["n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "spans", "score"]
     out = docs.drop(*names).withColumns({
         "_llm_key": digest(F.col(text)), "n_words": F.size(words(F.col(text))).cast("long")})
     none = F.array().cast("array<string>")
-    return out.join(results, F.col("_llm_key") == F.col("_llm_digest"), "left").drop("_llm_key", "_llm_digest").withColumns({
+    return out.join(broadcast_if_bounded(results, 400), F.col("_llm_key") == F.col("_llm_digest"), "left").drop("_llm_key", "_llm_digest").withColumns({
         "n_base": F.coalesce("n_base", F.lit(0)).cast("long"), "base_labels": F.coalesce("base_labels", none),
         "labels": F.coalesce("labels", none), "score": F.coalesce("score", F.lit(0.0))})

@@ -103,7 +103,10 @@ def with_repeated_words(df: DataFrame) -> DataFrame:
     df = df.withColumn("_llm_hits", F.when(F.col("_llm_whole").isNull(), hits(
         F.col("_llm_order"), lambda x: x.bitwiseAND(low), lambda x: F.shiftright(x, POSITION_BITS))).otherwise(
         hits(F.col("_llm_whole"), lambda x: x["i"], lambda x: x["h"])))
-    return df.withColumn("n_repeat_words", _covered(F.col("_llm_hits")).cast("long")).drop(
+    # The row number is always there.  It keeps a later filter on the result above these
+    # steps; pushed below them, it would hold every step's expression many times over.
+    numbered = F.monotonically_increasing_id() >= 0
+    return df.withColumn("n_repeat_words", F.when(numbered, _covered(F.col("_llm_hits"))).cast("long")).drop(
         "_llm_distinct", "_llm_repeats", "_llm_packs", "_llm_order", "_llm_whole", "_llm_hits")
 
 
