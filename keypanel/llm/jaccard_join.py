@@ -207,7 +207,7 @@ def shingle_sets(docs: DataFrame, wanted: DataFrame, text: str) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(grams, pa.binary())], names=["node", "grams"])
 
     texts = docs.select(_text_key(text), F.col(text).alias("text")).where("text is not null")
-    texts = texts.join(broadcast_if_bounded(wanted, 64), "text_key").dropDuplicates(["node"])
+    texts = texts.join(broadcast_if_bounded(wanted, 128), "text_key").dropDuplicates(["node"])
     return texts.select("node", "text").mapInArrow(run, "node bigint, grams binary")
 
 
@@ -260,7 +260,7 @@ def jaccard_join(docs: DataFrame, key: str = "doc_id", text: str = "text", thres
     results = rows.select("text_key", "set_key").distinct().join(known, "set_key").join(classes, "root").select(
         F.col("text_key").alias("_llm_key"), "class_id", "n_links")
     out = docs.drop("class_id", "n_links").withColumn("_llm_text", _text_key(text))
-    return out.join(broadcast_if_bounded(results, 64), F.col("_llm_text") == F.col("_llm_key"), "left").drop("_llm_text", "_llm_key").withColumns({
+    return out.join(broadcast_if_bounded(results, 128), F.col("_llm_text") == F.col("_llm_key"), "left").drop("_llm_text", "_llm_key").withColumns({
         "class_id": F.coalesce("class_id", F.col(key).cast("long")), "n_links": F.coalesce("n_links", F.lit(0)).cast("long")})
 
 

@@ -25,7 +25,6 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -177,6 +176,9 @@ def find_slots(keys: np.ndarray, seed: int, displacements: np.ndarray, n: int) -
 
 
 RUNS = "array<struct<shard:int,entry:int,first:bigint,ids:bigint,documents:int>>"
+FOUND = pa.list_(pa.field("element", pa.struct([
+    ("shard", pa.int32()), ("entry", pa.int32()), ("first", pa.int64()), ("ids", pa.int64()), ("documents", pa.int32())])))
+HELD = pa.list_(pa.field("element", FOUND))
 INDEX = f"bucket bigint, seed int, displacements binary, fingerprints binary, runs array<{RUNS}>"
 
 
@@ -193,17 +195,19 @@ def write_index(entries: DataFrame, folder: str) -> int:
         F.struct("shard", "entry", "first", "ids", "documents"))).alias("runs"))
     buckets = max(1, -(-entries.agg(F.approx_count_distinct("key")).first()[0] // BUCKET_KEYS))
 
-    def build(frame: pd.DataFrame) -> pd.DataFrame:
-        own = frame["key"].to_numpy(np.int64).view(np.uint64)
+    def build(group: pa.Table) -> pa.Table:
+        group = group.combine_chunks()
+        own = group.column("key").to_numpy().view(np.uint64)
         seed, displacements, slots = build_mph(own)
         order = np.argsort(slots)
-        return pd.DataFrame({
-            "bucket": frame["bucket"].iloc[:1].to_numpy(), "seed": [seed],
-            "displacements": [displacements.astype("<i8").tobytes()],
-            "fingerprints": [fingerprints(own[order]).astype("<u4").tobytes()],
-            "runs": [[[tuple(r.values()) if isinstance(r, dict) else tuple(r) for r in frame["runs"].iloc[i]] for i in order]]})
-
-    keys.withColumn("bucket", key_bucket(F.col("key"), buckets)).groupBy("bucket").applyInPandas(
+        placed = group.column("runs").combine_chunks().take(pa.array(order))
+        return pa.table({
+            "bucket": group.column("bucket").slice(0, 1), "seed": pa.array([seed], pa.int32()),
+            "displacements": pa.array([displacements.astype("<i8").tobytes()], pa.binary()),
+            "fingerprints": pa.array([fingerprints(own[order]).astype("<u4").tobytes()], pa.binary()),
+            "runs": pa.ListArray.from_arrays(pa.array([0, len(order)], pa.int32()), placed.cast(FOUND)).cast(HELD)})
+
+    keys.withColumn("bucket", key_bucket(F.col("key"), buckets)).groupBy("bucket").applyInArrow(
         build, INDEX).write.parquet(folder)
     return buckets
 
@@ -211,19 +215,19 @@ def write_index(entries: DataFrame, folder: str) -> int:
 def lookup(keys: DataFrame, index: DataFrame, buckets: int) -> DataFrame:
     """(key, runs) of every wanted key that the index holds; ``keys`` has distinct (key)."""
 
-    def find(wanted: pd.DataFrame, bucket: pd.DataFrame) -> pd.DataFrame:
-        if not len(wanted) or not len(bucket):
-            return pd.DataFrame({"key": pd.Series(dtype="int64"), "runs": pd.Series(dtype=object)})
-        row, own = bucket.iloc[0], wanted["key"].to_numpy(np.int64)
-        stored = np.frombuffer(row["fingerprints"], "<u4")
-        slots = find_slots(own.view(np.uint64), int(row["seed"]), np.frombuffer(row["displacements"], "<i8"), len(stored))
-        hit = stored[slots] == fingerprints(own.view(np.uint64))
-        runs = row["runs"]
-        return pd.DataFrame({"key": own[hit], "runs": [
-            [tuple(r.values()) if isinstance(r, dict) else tuple(r) for r in runs[s]] for s in slots[hit]]})
+    def find(wanted: pa.Table, bucket: pa.Table) -> pa.Table:
+        if not wanted.num_rows or not bucket.num_rows:
+            return pa.table({"key": pa.array([], pa.int64()), "runs": pa.array([], FOUND)})
+        row = bucket.combine_chunks()
+        own = wanted.column("key").to_numpy()
+        stored_prints = np.frombuffer(row["fingerprints"][0].as_buffer(), "<u4")
+        slots = find_slots(own.view(np.uint64), row["seed"][0].as_py(),
+                           np.frombuffer(row["displacements"][0].as_buffer(), "<i8"), len(stored_prints))
+        hit = stored_prints[slots] == fingerprints(own.view(np.uint64))
+        return pa.table({"key": pa.array(own[hit]), "runs": row["runs"].combine_chunks().flatten().take(pa.array(slots[hit])).cast(FOUND)})
 
     wanted = keys.withColumn("bucket", key_bucket(F.col("key"), buckets))
-    return wanted.groupBy("bucket").cogroup(index.groupBy("bucket")).applyInPandas(find, f"key bigint, runs {RUNS}")
+    return wanted.groupBy("bucket").cogroup(index.groupBy("bucket")).applyInArrow(find, f"key bigint, runs {RUNS}")
 
 
 def write_token_files(docs: DataFrame, folder: str, path: str, end_id: int, key: str = "doc_id", text: str = "text") -> int:

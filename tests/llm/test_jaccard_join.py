@@ -1,0 +1,137 @@
+"""The join against all pairs of a small table."""
+
+from collections import defaultdict
+from itertools import combinations
+
+import numpy as np
+import pytest
+
+from keypanel.llm.jaccard_join import (_passed_on, components, jaccard_join, linked, one_of_each, prefix_depth, shingles)
+from keypanel.session import stored
+
+from conftest_llm import plain
+
+
+def shingle_set(text):
+    words = plain(text)
+    if not words:
+        return frozenset()
+    return frozenset([tuple(words)]) if len(words) < 5 else frozenset(zip(*(words[i:] for i in range(5))))
+
+
+def brute(rows):
+    """Per row: the class's least id and the number of rows it is linked to."""
+    sets = [shingle_set(t) for _, t in rows]
+    links, root = [0] * len(rows), list(range(len(rows)))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    index = defaultdict(list)
+    for i, s in enumerate(sets):
+        for g in s:
+            index[g].append(i)
+    pairs = {p for held in index.values() for p in combinations(held, 2)}
+    for i, j in pairs:
+        if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]):
+            links[i] += 1
+            links[j] += 1
+            root[find(i)] = find(j)
+    least = defaultdict(list)
+    for i, (doc, _) in enumerate(rows):
+        if doc is not None:
+            least[find(i)].append(doc)
+    return [(min(least[find(i)], default=doc), links[i]) for i, (doc, _) in enumerate(rows)]
+
+
+def compared(df):
+    rows = df.select("doc_id", "text").collect()
+    found = jaccard_join(df.select("doc_id", "text")).collect()
+    key = lambda doc, text, c, n: (str(doc), str(text), str(c), n)
+    want = sorted(key(r["doc_id"], r["text"], c, n) for r, (c, n) in zip(rows, brute([tuple(r) for r in rows])))
+    return sorted(key(r["doc_id"], r["text"], r["class_id"], r["n_links"]) for r in found), want
+
+
+def test_documents(documents):
+    found, want = compared(documents)
+    assert found == want
+
+
+def test_odd_rows(odd):
+    found, want = compared(odd)
+    assert found == want
+
+
+def test_extra_columns_stay(odd):
+    out = jaccard_join(odd)
+    assert set(out.columns) == set(odd.columns) | {"class_id", "n_links"}
+    assert out.count() == odd.count() and out.where("node = 'kept?'").count() == odd.count()
+
+
+def test_empty(empty):
+    assert jaccard_join(empty).collect() == []
+
+
+def test_large_group_of_near_copies(spark):
+    """A base text, copies of it with one or two words changed, and other texts: one class, whatever the blocks."""
+    draw = np.random.default_rng(5)
+    base = [f"w{i}" for i in range(120)]
+    rows = [(0, " ".join(base))]
+    for i in range(1, 1500):
+        words = list(base)
+        for at in draw.choice(120, draw.integers(1, 3), replace=False):
+            words[at] = f"x{draw.integers(1e9)}"
+        rows.append((i, " ".join(words)))
+    rows += [(i, " ".join(f"y{draw.integers(1e6)}" for _ in range(60))) for i in range(1500, 1700)]
+    found = {r["doc_id"]: r for r in jaccard_join(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert sum(found[i]["class_id"] == 0 and found[i]["n_links"] > 0 for i in range(1500)) >= 0.995 * 1500
+    assert all(found[i]["class_id"] == i and found[i]["n_links"] == 0 for i in range(1500, 1700))
+
+
+def test_recall_near_the_threshold(spark):
+    """Pairs of similarity just over 0.8 are found as often as promised."""
+    draw, rows = np.random.default_rng(6), []
+    for i in range(600):
+        words = [f"v{draw.integers(1e6)}" for _ in range(95)]
+        rows.append((2 * i, " ".join(words)))
+        rows.append((2 * i + 1, " ".join(words[:-1 - 4 * (i % 2)] + [f"u{i}"])))  # one or five shingles differ at the end
+        changed = list(words)
+        changed[40] = changed[60] = "z"  # ten of 91 shingles: 81 / 101
+        rows[-1] = (2 * i + 1, " ".join(changed))
+    found = {r["doc_id"]: r["n_links"] for r in jaccard_join(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert sum(n > 0 for n in found.values()) >= 0.98 * len(found)
+
+
+def test_links_hold_their_similarity(documents):
+    _, nodes, links = linked(documents)
+    assert links.where("jaccard < 0.8 or a >= b").isEmpty()
+
+
+def test_shingles_are_those_of_plain_words(documents):
+    for r in documents.limit(50).collect():
+        assert len(shingles(r["text"])) == len(shingle_set(r["text"]))
+
+
+def test_components(spark):
+    edges = [(i, i + 1) for i in range(0, 40)] + [(100, 50), (60, 100), (7, 3)]
+    found = components(stored(spark.createDataFrame(edges, "a long, b long"))).collect()
+    assert {r["node"]: r["root"] for r in found} == {**{i: 0 for i in range(41)}, 50: 50, 60: 50, 100: 50}
+
+
+def test_one_of_each(spark, odd):
+    kept = one_of_each(odd).collect()
+    texts = [r["text"] for r in kept]
+    assert texts.count("one two three four five six") == 1 and len(kept) < odd.count()
+    assert {r["text"] for r in odd.collect()} - set(texts) == set()
+
+
+def test_depth():
+    assert prefix_depth(0.8, 0.995) == 6 and prefix_depth(0.95, 0.9) == 8
+
+
+def test_large_blocks_pass_on_few_pairs():
+    left, right = np.triu_indices(100, 1)
+    a, b = _passed_on(100, left, right, np.linspace(1, 0.8, len(left)))
+    assert len(a) < 500 and set(a) | set(b) == set(range(100))
