@@ -3,10 +3,11 @@
 import pytest
 
 import __spark_entry__ as entry
+import workload
 import oracle
 
 SF = "/root/testdata/sf0.001"
-QUERIES, SQL = entry.queries(), entry.oracle_sql()
+QUERIES, SQL = workload.QUERIES, workload.SQL
 
 
 @pytest.fixture(scope="module")
