@@ -56,10 +56,23 @@ def not_in_keeping_null(column: Column, values: list) -> Column:
 
 
 def money(column: Column) -> Column:
-    """Exact decimal for sums that must not depend on the order of rows."""
+    """Exact decimal of an amount whose unit has two decimals; not for other measures."""
     return column.cast("decimal(18,2)")
 
 
+def stable_sum(column: Column) -> Column:
+    """Sum of any measure as a double that does not depend on the order of rows.
+
+    Values below 1e14 are added as decimals of twelve digits after the point, larger
+    ones and infinities as doubles; NULL when there is no value.
+    """
+    number = column.cast("double")
+    usual = F.abs(number) < 1e14
+    exact = F.sum(F.when(usual, number.cast("decimal(38,12)"))).cast("double")
+    large = F.sum(F.when(~usual, number))
+    return F.when(exact.isNull(), large).when(large.isNull(), exact).otherwise(exact + large)
+
+
 def round_floats(df: DataFrame, digits: int = 2, mode: str = "half_up") -> DataFrame:
     """Round every float column and leave the others as they are."""
     floats = (T.DoubleType, T.FloatType)

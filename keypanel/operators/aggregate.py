@@ -11,7 +11,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from keypanel.functions.rates import not_in_keeping_null
-from keypanel.session import is_small
 
 
 def count_where(condition: Column) -> Column:
@@ -49,19 +48,13 @@ def profile_through(df: DataFrame, via: str, lookup: DataFrame, keys: list[str],
                     measures: dict[str, Column], extra_keys: tuple[str, ...] = ()) -> DataFrame:
     """Aggregate events to a key that is found through a lookup table.
 
-    A lookup that was counted and found small is broadcast, and one aggregate
-    follows.  Beyond that size events are first reduced to one row per ``via`` id
-    (and ``extra_keys``) and only these rows are joined, so neither the join nor
-    the second aggregate sees a hot id more than once.  Measures must be additive
-    (counts and sums).  ``lookup`` holds one row per ``via`` id and the columns
-    ``keys``; events without an entry drop out.
+    One plan for a lookup of any size and for any measure: Spark broadcasts a lookup
+    whose measured size is below its threshold, else both sides are shuffled on
+    ``via`` and a partition that a hot id makes large is split; the aggregate
+    combines on the map side.  ``lookup`` holds one row per ``via`` id and the
+    columns ``keys``; events without an entry drop out.
     """
-    sides = lookup.select(via, *keys)
-    if is_small(sides):
-        return profile_by_key(df.join(F.broadcast(sides), via), [*keys, *extra_keys], measures)
-    partial = profile_by_key(df, [via, *extra_keys], measures)
-    totals = {name: F.sum(name) for name in measures}
-    return profile_by_key(partial.join(sides, via), [*keys, *extra_keys], totals)
+    return profile_by_key(df.join(lookup.select(via, *keys), via), [*keys, *extra_keys], measures)
 
 
 def median_of_counts(value: str, count: str) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from keypanel.functions.rates import money, rounded
+from keypanel.functions.rates import rounded, stable_sum
 from keypanel.operators.quantiles import exact_quantiles
 
 
@@ -19,7 +19,7 @@ def _statistics(long: DataFrame, keys: list[str]) -> DataFrame:
     """Mean, median, count of known values and of rows per key, one row each."""
     value = F.col("value")
     return exact_quantiles(long, keys, "value", {"median": 0.5}, also={
-        "mean": F.try_divide(F.sum(money(value)).cast("double"), F.count(value)),
+        "mean": F.try_divide(stable_sum(value), F.count(value)),
         "count": F.count(value), "rows": F.count("*")})
 
 

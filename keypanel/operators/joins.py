@@ -21,19 +21,33 @@ TRACKED_IDS = 4096
 MERGE_GROUPS = 1024
 
 
+def one_per_key(df: DataFrame, keys: list[str]) -> DataFrame:
+    """The table, with an error at run time for a key that repeats; no job of its own.
+
+    Rows whose keys are NULL match nothing in a join and pass unchecked.
+    """
+    others = [c for c in df.columns if c not in keys]
+    known = reduce(lambda a, b: a & b, [F.col(f"`{k}`").isNotNull() for k in keys])
+    repeated = F.raise_error(F.concat(F.lit("key is not unique: "), F.to_json(F.struct(*keys))))
+    whole = df.groupBy(*keys).agg(F.first(F.struct(*others)).alias("_row") if others else F.lit(1).alias("_row"),
+                                  F.count("*").alias("_n"))
+    checked = whole.withColumn("_row", F.when((F.col("_n") > 1) & known, repeated).otherwise(F.col("_row")))
+    return checked.select(*keys, *[F.col(f"_row.`{c}`").alias(c) for c in others])
+
+
 def wide_join(spine: DataFrame, parts: list[tuple[DataFrame, str | list[str]]]) -> DataFrame:
     """Left-join many tables onto a spine, one after the other.
 
     A column that already exists on the left is dropped from the right.  Each
-    part must hold one row per key, else the spine would grow
-    (``quality.repeated_keys`` lists offenders).
+    part must hold one row per key, else the spine would grow: the plan itself
+    raises where a key repeats (``quality.repeated_keys`` lists offenders).
     """
 
     def add(left: DataFrame, part: tuple[DataFrame, str | list[str]]) -> DataFrame:
         right, on = part
         keys = [on] if isinstance(on, str) else list(on)
         fresh = [c for c in right.columns if c in keys or c not in left.columns]
-        return left.join(right.select(*fresh), keys, "left")
+        return left.join(one_per_key(right.select(*fresh), keys), keys, "left")
 
     return reduce(add, parts, spine)
 
@@ -69,15 +83,15 @@ def exists_flag(events: DataFrame, ids: DataFrame, on: str | list[str], name: st
     ``events`` and at least ``hot_rows`` rows never travel through a shuffle: their
     rows are looked up in a broadcast table of those ids, at most a few thousand.
     All other rows are spread evenly by the join.  Finding the hot ids is one job
-    over the id columns; ``hot_rows=None`` skips it, and so do ids of different
-    types, whose hashes would not agree.
+    over the id columns; ``hot_rows=None`` skips it.  Ids are compared in the type
+    they have in ``events``.
     """
     on = [on] if isinstance(on, str) else list(on)
     if name in events.columns:
         raise ValueError(f"the events already have a column {name!r}")
-    known = ids.select(*on).dropna().distinct().withColumn(name, F.lit(1))
-    alike = all(events.schema[c].dataType == ids.schema[c].dataType for c in on)
-    hot = hot_hashes(events, on, hot_rows) if alike and hot_rows is not None else []
+    ids = ids.select(*[F.col(c).try_cast(events.schema[c].dataType).alias(c) for c in on])
+    known = ids.dropna().distinct().withColumn(name, F.lit(1))
+    hot = hot_hashes(events, on, hot_rows) if hot_rows is not None else []
     if hot:
         is_hot = F.xxhash64(*on).isin(hot)
         spread = events.filter(~is_hot).join(known.filter(~is_hot), on, "left")
@@ -90,10 +104,10 @@ def exists_flag(events: DataFrame, ids: DataFrame, on: str | list[str], name: st
 
 def label_join(df: DataFrame, other: DataFrame, label: str, other_label: str,
                how: str = "left") -> DataFrame:
-    """Join by a name instead of a code, ignoring case and outer white space."""
+    """Join by a name instead of a code, ignoring case and outer white space; two spellings of one name raise."""
     left = df.withColumn("_label", normalized(F.col(label)))
     fresh = [c for c in other.columns if c not in (*df.columns, other_label)]
-    right = other.select(normalized(F.col(other_label)).alias("_label"), *fresh)
+    right = one_per_key(other.select(normalized(F.col(other_label)).alias("_label"), *fresh), ["_label"])
     return left.join(right, "_label", how).drop("_label")
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql import Window as W
 
-from keypanel.functions.rates import money, rounded
+from keypanel.functions.rates import rounded, stable_sum
 from keypanel.operators.quantiles import exact_quantiles
 
 QUARTILES = {"p25": 0.25, "p50": 0.5, "p75": 0.75}
@@ -37,7 +37,7 @@ def _by_column(df: DataFrame, names: list[str]) -> DataFrame:
 
 def table_stats(df: DataFrame, columns: list[str], digits: int = 2) -> DataFrame:
     """Sum, min, max, mean and median of whole columns, one row per column."""
-    value, total = F.col("value"), F.sum(money(F.col("value"))).cast("double")
+    value, total = F.col("value"), stable_sum(F.col("value"))
     stats = exact_quantiles(_by_column(df, columns), ["column"], "value", {"median": 0.5}, also={
         "sum": total, "min": F.min(value), "max": F.max(value),
         "mean": F.try_divide(total, F.count(value))})

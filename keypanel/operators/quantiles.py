@@ -6,89 +6,67 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from keypanel.session import checkpointed, is_small
-
-# A range of at most this many rows is ranked value by value.
-RANKED_ROWS = 100_000
-# Buckets per power of two in the first narrowing, buckets per range in the others.
+# Buckets per power of two on the first level, and per bucket on the second.
 LOG_STEPS = 128
 RANGE_STEPS = 4096
 
 
 def exact_quantiles(df: DataFrame, keys: list[str], value: str, probs: dict[str, float],
-                    also: dict[str, Column] | None = None, ranked_rows: int = RANKED_ROWS) -> DataFrame:
+                    also: dict[str, Column] | None = None) -> DataFrame:
     """Exact, linearly interpolated quantiles of ``value`` per key.
 
-    The first pass counts the values per key.  Then the range that holds a wanted
-    rank is narrowed by counting its rows in buckets: first by order of magnitude,
-    then in equal steps, until the range has at most ``ranked_rows`` rows or a
-    single value.  The last pass ranks the distinct values left.  Every pass is a
-    count with map-side combine over (key, bucket), so one key with most of the
-    rows is spread over all tasks, and no task ever sorts a whole group.  Small
-    groups need no narrowing: two passes.
+    Rows are first reduced to counts of (key, value), combined on the map side; no
+    raw row goes into a join.  The buckets that hold a wanted rank are found by
+    cumulative counts on two levels, by order of magnitude and in equal steps inside
+    it; only the distinct values of those buckets are put in order.  A key with most
+    of the rows is spread over its buckets, so no task sorts a whole group.  It is
+    one lazy plan, the same for all sizes.
 
-    ``also`` names further aggregates per key for the first pass, in which the
-    value is the column ``value``.  The result has one row per key, with ``also``
-    and ``probs``; quantiles are NULL for a key without values.  NaN counts as
-    missing.
+    ``also`` names further aggregates per key over the column ``value``.  The result
+    has one row per key, with ``also`` and ``probs``; quantiles are NULL for a key
+    without values.  NaN counts as missing.
     """
     number = F.col(value).cast("double")
-    clean = F.when(~F.isnan(number), number)
     ids = [f"_k{i}" for i in range(len(keys))]
-    rows = df.select(*[F.col(k).alias(i) for k, i in zip(keys, ids)], clean.alias("value"))
-
+    rows = df.select(F.struct(*[F.col(k).alias(i) for k, i in zip(keys, ids)]).alias("_key"),
+                     F.when(~F.isnan(number), number).alias("value"))
     extra = also or {}
-    groups = checkpointed(rows.groupBy(*ids).agg(
-        F.count("value").alias("_n"), F.min("value").alias("_lo"), F.max("value").alias("_hi"),
-        *[column.alias(name) for name, column in extra.items()]))
-    groups, key = _with_hashed_key(groups, ids)
-    rows = rows.select(key.alias("_key"), "value")
-
+    groups = rows.groupBy("_key").agg(F.count("value").alias("_n"),
+                                      *[column.alias(name) for name, column in extra.items()])
     positions = [(F.col("_n") - 1) * F.lit(float(q)) for q in probs.values()]
     ranks = F.array_distinct(F.array(*[r for p in positions for r in (F.floor(p), F.ceil(p))]))
-    start = groups.filter("_n > 0").withColumn("_below", F.lit(0).cast("bigint"))
-    targets = start.select("_key", F.explode(ranks).alias("_rank"), "_lo", "_hi", "_below",
-                           F.col("_n").alias("_size"))
-    ranges = start.select("_key", "_lo", "_hi", "_below")
-
-    # A key has at most two ranks and ranges per quantile, so the number of keys,
-    # counted here, bounds every table that is joined with the rows.
-    side = F.broadcast if is_small(groups) else (lambda df: df)
-    open_size, bucket = _open_ranges(targets), _magnitude()
-    while open_size["rows"] > ranked_rows:
-        targets = checkpointed(_narrowed(rows, targets, side(ranges), open_size, bucket))
-        ranges = targets.select("_key", "_lo", "_hi", "_below").distinct()
-        open_size, bucket = _open_ranges(targets), _equal_steps()
-    found = _narrowed(rows, targets, side(ranges), open_size, F.col("value"))
-    at_rank = found.groupBy("_key").agg(F.map_from_entries(F.collect_list(F.struct("_rank", "_lo"))).alias("_at"))
-
-    result = [F.col(i).alias(k) for i, k in zip(ids, keys)] + [F.col(name) for name in extra]
+    wanted = groups.filter("_n > 0").select("_key", F.explode(ranks).alias("_rank"), F.lit(0).cast("bigint").alias("_below"))
+
+    counts = rows.dropna(subset=["value"]).groupBy("_key", "value").agg(F.count("*").alias("_size"))
+    near = _holding(counts.withColumn("_at", _magnitude()), wanted, ["_key"])
+    counts = counts.withColumn("_b", _magnitude()).join(
+        near.select("_key", F.col("_at").alias("_b"), "_low", "_high").distinct(), ["_key", "_b"])
+    near = near.select("_key", F.col("_at").alias("_b"), "_rank", "_below")
+    nearer = _holding(counts.withColumn("_at", _equal_steps()), near, ["_key", "_b"])
+    counts = counts.withColumn("_c", _equal_steps()).drop("_low", "_high").join(
+        nearer.select("_key", "_b", F.col("_at").alias("_c")).distinct(), ["_key", "_b", "_c"])
+    nearer = nearer.select("_key", "_b", F.col("_at").alias("_c"), "_rank", "_below")
+    found = _holding(counts.withColumn("_at", F.col("value")), nearer, ["_key", "_b", "_c"])
+
+    at_rank = found.groupBy("_key").agg(F.map_from_entries(F.collect_list(F.struct("_rank", "_at"))).alias("_values"))
+    result = [F.col(f"_key.{i}").alias(k) for i, k in zip(ids, keys)] + [F.col(name) for name in extra]
     for name, position in zip(probs, positions):
-        low, high = F.try_element_at("_at", F.floor(position)), F.try_element_at("_at", F.ceil(position))
-        result.append((low + (high - low) * (position - F.floor(position))).alias(name))
+        low, high = (F.try_element_at("_values", end(position)) for end in (F.floor, F.ceil))
+        part = position - F.floor(position)
+        endless = (low == float("-inf")) & (high < float("inf"))
+        result.append(F.when((low == high) | (part == 0) | endless, low).otherwise(low + (high - low) * part).alias(name))
     return groups.join(at_rank, "_key", "left").select(*result)
 
 
-def _with_hashed_key(groups: DataFrame, ids: list[str]) -> tuple[DataFrame, Column]:
-    """Add a 64-bit key that is different for every group, NULL keys included.
-
-    Joins and counts on one number are several times faster than on the keys
-    themselves.  The hash is checked on the groups and changed if two collide.
-    """
-    seed = 0
-    while True:
-        key = F.xxhash64(F.lit(seed), *ids)
-        keyed = groups.withColumn("_key", key)
-        if keyed.groupBy("_key").agg(F.count("*").alias("n")).filter("n > 1").isEmpty():
-            return keyed, key
-        seed += 1
-
-
-def _open_ranges(targets: DataFrame) -> dict:
-    """Rows of the largest range that still holds several values, and the ends of all of these."""
-    found = targets.filter("_lo < _hi").agg(
-        F.coalesce(F.max("_size"), F.lit(0)).alias("rows"), F.min("_lo").alias("low"), F.max("_hi").alias("high"))
-    return found.first().asDict()
+def _holding(counts: DataFrame, wanted: DataFrame, within: list[str]) -> DataFrame:
+    """The buckets (``_at``) that hold the wanted ranks, with their ends and the rows below them."""
+    sums = counts.groupBy(*within, "_at").agg(
+        F.sum("_size").alias("_rows"), F.min("value").alias("_low"), F.max("value").alias("_high"))
+    order = W.partitionBy(*within).orderBy("_at").rowsBetween(W.unboundedPreceding, W.currentRow)
+    spans = sums.withColumn("_end", F.sum("_rows").over(order))
+    reached = F.col("_rank") - F.col("_below")
+    return wanted.join(spans, within).filter((F.col("_end") - F.col("_rows") <= reached) & (reached < F.col("_end"))).select(
+        *within, "_rank", "_at", "_low", "_high", (F.col("_below") + F.col("_end") - F.col("_rows")).alias("_below"))
 
 
 def _magnitude() -> Column:
@@ -99,24 +77,7 @@ def _magnitude() -> Column:
 
 
 def _equal_steps() -> Column:
-    """Order-preserving bucket by position in the range."""
-    v, low, high = F.col("value"), F.col("_lo"), F.col("_hi")
-    return F.least(F.floor((v - low) / (high - low) * RANGE_STEPS), F.lit(RANGE_STEPS - 1))
-
-
-def _narrowed(rows: DataFrame, targets: DataFrame, ranges: DataFrame, ends: dict, bucket: Column) -> DataFrame:
-    """Replace the range of every wanted rank by the bucket that holds the rank.
-
-    Ranges of a key do not overlap, so each row is counted in at most one.
-    """
-    near = rows.filter(F.col("value").between(F.lit(ends["low"]), F.lit(ends["high"])))
-    inside = near.join(ranges.filter("_lo < _hi"), "_key").filter(F.col("value").between(F.col("_lo"), F.col("_hi")))
-    counts = (inside.withColumn("_bucket", bucket).groupBy("_key", "_lo", "_below", "_bucket")
-              .agg(F.count("*").alias("_size"), F.min("value").alias("_min"), F.max("value").alias("_max")))
-    order = W.partitionBy("_key", "_lo").orderBy("_bucket").rowsBetween(W.unboundedPreceding, W.currentRow)
-    end = F.col("_below") + F.sum("_size").over(order)
-    spans = counts.withColumn("_end", end).withColumn("_start", F.col("_end") - F.col("_size")).drop("_below")
-    wanted = targets.filter("_lo < _hi").select("_key", "_lo", "_rank")
-    moved = wanted.join(spans, ["_key", "_lo"]).filter("_start <= _rank AND _rank < _end")
-    return moved.select("_key", "_rank", F.col("_min").alias("_lo"), F.col("_max").alias("_hi"),
-                        F.col("_start").alias("_below"), "_size").unionByName(targets.filter("_lo = _hi"))
+    """Order-preserving bucket by position between the least and the greatest value."""
+    v, low, high = F.col("value"), F.col("_low"), F.col("_high")
+    steps = F.least(F.floor((v - low) / (high - low) * RANGE_STEPS), F.lit(RANGE_STEPS - 1))
+    return F.when(low == high, F.lit(0).cast("bigint")).otherwise(steps)

@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from keypanel.functions.rates import flag, money, share
+from keypanel.functions.rates import flag, share, stable_sum
 from keypanel.functions.text import pad_key, trimmed
 from keypanel.operators.aggregate import count_where, profile_by_key, profile_through, sum_where
 from keypanel.operators.joins import exists_flag
@@ -95,10 +95,10 @@ def event_totals(flagged: DataFrame, layout: EventLayout, digits: int = 2) -> Da
 def event_totals_through(flagged: DataFrame, via: str, lookup: DataFrame, keys: list[str],
                          event_id: str, measure: str, digits: int = 2) -> DataFrame:
     """As ``event_totals``, with the key found through a lookup on ``via``."""
-    hit, value = F.col("flagged") == 1, money(F.col(measure))
+    hit, value = F.col("flagged") == 1, F.col(measure)
     totals = profile_through(flagged, via, lookup, keys, {
-        "total_events": F.count(event_id), "total_measure": F.sum(value),
-        "flagged_events": count_where(hit), "flagged_measure": sum_where(value, hit)}, extra_keys=("year",))
+        "total_events": F.count(event_id), "total_measure": stable_sum(value), "flagged_events": count_where(hit),
+        "flagged_measure": F.coalesce(stable_sum(F.when(hit, value)), F.lit(0.0))}, extra_keys=("year",))
     return totals.withColumn("pct_flagged", share(F.col("flagged_measure"), F.col("total_measure"), digits))
 
 
@@ -112,8 +112,8 @@ def read_event_years(spark: SparkSession, paths: dict[int, str], layout: EventLa
                      side_member: str) -> tuple[list[EventYear], list[tuple[int, str]]]:
     """Open yearly archives; the header of each year decides its layout.
 
-    Returns the years and, for a year whose archive or event file cannot be
-    opened, the reason (``sources.files.failure_report`` makes a table of them).
+    Returns the years and, for a year whose archive or a file of it cannot be
+    read to its end, the reason (``sources.files.failure_report`` makes a table of them).
     Only headers are collected, one per archive.
     """
     found, failed = read_yearly(lambda year: spark.read.format("binaryFile").load(paths[year]), sorted(paths))
@@ -140,6 +140,9 @@ def read_event_years(spark: SparkSession, paths: dict[int, str], layout: EventLa
             pad_key(F.col(c)).alias(c) if c == layout.key
             else F.col(c).try_cast("long").alias(c) if c in numbers else F.col(c) for c in columns])
         side = None
+        if of(sides, year)["error"] is not None:
+            failed.append((year, of(sides, year)["error"]))
+            continue
         if of(sides, year)["member"] is not None and layout.side_code_column:
             side = read_zipped_csv(spark, paths[year], side_member, side_columns).select(
                 *[F.col(c).try_cast("long").alias(c) for c in side_columns])

@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from keypanel.functions.rates import share
 from keypanel.operators.aggregate import known_codes, median_of_counts, sum_where
 from keypanel.operators.joins import exists_flag
-from keypanel.session import is_small
 
 # History codes that mean "unknown", the first speed code that is not
 # a speed, and the speed from which a road counts as fast.
@@ -30,12 +29,9 @@ def history_profile(vehicles: DataFrame, impaired: DataFrame, key: str, vehicle_
     """
     flagged = exists_flag(vehicles, impaired, vehicle_id, "is_impaired")
     kinds = [prior, speed, "is_impaired"]
-    if lookup is None:
-        counted = flagged.groupBy(key, *kinds).agg(F.count("*").alias("_n"))
-    elif is_small(lookup):
-        counted = flagged.join(F.broadcast(lookup), via).groupBy(key, *kinds).agg(F.count("*").alias("_n"))
-    else:
-        counted = flagged.groupBy(via, *kinds).agg(F.count("*").alias("_n")).join(lookup, via)
+    if lookup is not None:
+        flagged = flagged.join(lookup, via)
+    counted = flagged.groupBy(key, *kinds).agg(F.count("*").alias("_n"))
 
     n, code = F.col("_n"), F.col(prior)
     known, has_prior = known_codes(code, unknown), F.coalesce(code > 0, F.lit(False))

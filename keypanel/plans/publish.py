@@ -149,10 +149,14 @@ def publish(df: DataFrame, spec: PackageSpec, expected_rows: int | None = None,
     table = stored(df)
     if expected_rows is not None:
         expect_rows(table, expected_rows)
+    return package(table, spec), null_report(table, critical, max_null_share)
+
+
+def null_report(table: DataFrame, critical: tuple[str, ...] = (), max_null_share: float = MAX_NULL_SHARE) -> DataFrame:
+    """Nulls per column; critical columns with any, and others above the share, are marked."""
     status = (F.when(F.col("column").isin(*critical) & (F.col("nulls") > 0), "critical")
               .when(F.col("raw_share") > max_null_share, "warn").otherwise("ok"))
-    report = null_audit(table).withColumn("status", status).drop("raw_share")
-    return package(table, spec), report
+    return null_audit(table).withColumn("status", status).drop("raw_share")
 
 
 @dataclass(frozen=True)

@@ -19,12 +19,8 @@ RECOMMENDED = {
     "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
-# Bytes a reducer should handle, and the most partitions a shuffle is cut into.
+# Bytes a reducer should handle.
 REDUCER_BYTES = 128 * 1024 * 1024
-MOST_PARTITIONS = 100_000
-
-# A side is broadcast by hand only after it was counted and found below this.
-BROADCAST_ROWS = 100_000
 
 
 def settings_for(largest_shuffle_bytes: int, cores: int) -> dict[str, str]:
@@ -36,7 +32,7 @@ def settings_for(largest_shuffle_bytes: int, cores: int) -> dict[str, str]:
     to merge, in bounds.
     """
     wanted = -(-largest_shuffle_bytes // REDUCER_BYTES)
-    partitions = str(min(max(wanted, 2 * cores), MOST_PARTITIONS))
+    partitions = str(max(wanted, 2 * cores))
     split = 512 if largest_shuffle_bytes >= 10 * 1024 ** 4 else 128
     return {
         **RECOMMENDED,
@@ -77,8 +73,3 @@ def stored(df: DataFrame) -> DataFrame:
     path = f"{spark.sparkContext.getCheckpointDir()}/table-{uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
-
-
-def is_small(df: DataFrame) -> bool:
-    """Whether a join side has at most ``BROADCAST_ROWS`` rows; no more are counted."""
-    return df.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS

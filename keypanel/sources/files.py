@@ -23,6 +23,8 @@ class SourceSpec:
     """Where a landed source lies and how to read it.
 
     ``columns`` maps column names to types; it is also the set of columns read.
+    ``json_layout`` is ``lines`` (a record per line) or ``document`` (each file is
+    one record or one array of records); ``schema`` spares JSON the inference pass.
     """
 
     path: str
@@ -36,6 +38,8 @@ class SourceSpec:
     largest: bool = False
     row_selector: str | None = None
     field_map: dict[str, str] | None = None
+    json_layout: str = "lines"
+    schema: str | None = None
 
 
 def typed(df: DataFrame, columns: dict[str, str]) -> DataFrame:
@@ -61,13 +65,50 @@ def read_delimited(spark: SparkSession, path: str | list[str], columns: dict[str
     return typed(raw, columns or {})
 
 
+JSON_LAYOUTS = ("lines", "document")
+
+
 def read_json(spark: SparkSession, path: str | list[str], schema: T.StructType | str | None = None,
-              multi_line: bool = True) -> DataFrame:
-    """JSON records with nested objects flattened to dotted columns."""
-    reader = spark.read.option("multiLine", multi_line)
+              layout: str = "lines", encoding: str = "UTF-8") -> DataFrame:
+    """JSON records with nested objects flattened to dotted columns.
+
+    With ``lines`` every line is a record, files are split and a line that is not a
+    record raises.  With ``document`` a file is one record or an array of records;
+    a file whose first value is followed by another one raises, as the reader would
+    leave the rest out.
+    """
+    if layout not in JSON_LAYOUTS:
+        raise ValueError(f"unknown JSON layout {layout!r}; use one of {', '.join(JSON_LAYOUTS)}")
+    reader = spark.read.option("encoding", encoding).option("mode", "FAILFAST")
+    if layout == "lines":
+        reader = reader.option("lineSep", "\n")
+    else:
+        reader = reader.option("multiLine", True)
+        paths = [path] if isinstance(path, str) else path
+        _one_value_each(spark, paths, encoding)
     return flatten_structs((reader.schema(schema) if schema else reader).json(path))
 
 
+def _one_value_each(spark: SparkSession, paths: list[str], encoding: str) -> None:
+    """Raise for a file that holds more than one JSON value, naming it."""
+
+    def several(batches):
+        import json
+
+        for batch in batches:
+            rows = []
+            for name, content in zip(batch["path"], batch["content"]):
+                text = content.decode(encoding).lstrip("\ufeff").strip()
+                if text and text[json.JSONDecoder().raw_decode(text)[1]:].strip():
+                    rows.append(name)
+            yield batch.iloc[:0][["path"]] if not rows else batch[batch["path"].isin(rows)][["path"]]
+
+    files = spark.read.format("binaryFile").load(paths).select("path", "content")
+    found = files.mapInPandas(several, "path string").first()
+    if found is not None:
+        raise ValueError(f"{found['path']} holds more than one JSON value; read it with layout='lines'")
+
+
 def flatten_json_column(df: DataFrame, column: str, schema: str) -> DataFrame:
     """Parse a JSON text column and flatten it to ``column.field`` columns."""
     return flatten_structs(df.withColumn(column, F.from_json(F.col(column), schema)))
@@ -79,7 +120,8 @@ def read_source(spark: SparkSession, spec: SourceSpec) -> DataFrame:
         return read_delimited(spark, spec.path, spec.columns, spec.separator, spec.encoding,
                               spec.null_columns)
     if spec.type == "json":
-        return read_json(spark, spec.path)
+        records = read_json(spark, spec.path, spec.schema, spec.json_layout, spec.encoding)
+        return typed(records, spec.columns)
     if spec.type == "parquet":
         table = spark.read.parquet(spec.path)
         return table.select(*spec.columns) if spec.columns else table
@@ -99,10 +141,9 @@ def read_source(spark: SparkSession, spec: SourceSpec) -> DataFrame:
 
 def inline_table(spark: SparkSession, key: str, columns: dict[str, dict]) -> DataFrame:
     """Small literal table from dictionaries that share their keys; a key must be in all."""
-    frames = []
-    for name, values in columns.items():
-        frames.append(spark.createDataFrame(list(values.items()), [key, name]))
-    return reduce(lambda a, b: a.join(b, key), frames)
+    first, *others = columns.values()
+    shared = [k for k in first if all(k in values for values in others)]
+    return spark.createDataFrame([(k, *[values[k] for values in columns.values()]) for k in shared], [key, *columns])
 
 
 def read_yearly(read: Callable[[int], DataFrame], years: list[int]) -> tuple[list[tuple[int, DataFrame]], list[tuple[int, str]]]:

@@ -8,6 +8,7 @@ from __future__ import annotations
 import re
 import sys
 from html.parser import HTMLParser
+from itertools import islice
 from typing import Iterator
 
 import pandas as pd
@@ -21,6 +22,10 @@ from keypanel.operators.columns import tidy_name
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
+# The most columns and rows a cell may span.
+SPAN_LIMITS = {"colspan": 1000, "rowspan": 65534}
+# Rows handed on at a time.
+ROWS = 1000
 HIDDEN = frozenset(("script", "style", "head"))
 # A start tag that ends an open one: <li> ends <li>, <td> ends <td> and <th>, ...
 CLOSED_BY = {"li": ("li",), "p": ("p",), "tr": ("tr", "td", "th"), "td": ("td", "th"),
@@ -38,21 +43,26 @@ class Node:
         return set((self.attributes.get("class") or "").split())
 
     def span(self, name: str) -> int:
+        """Cells a cell spans, within the limits of the HTML standard."""
         value = (self.attributes.get(name) or "1").strip()
-        return max(int(value), 1) if value.isdigit() else 1
+        digits = value.isascii() and value.isdecimal()
+        return min(max(int(value[:9]), 1), SPAN_LIMITS[name]) if digits else 1
 
     def walk(self) -> Iterator["Node"]:
-        for child in self.children:
-            if isinstance(child, Node):
-                yield child
-                yield from child.walk()
+        ahead = [c for c in reversed(self.children) if isinstance(c, Node)]
+        while ahead:
+            node = ahead.pop()
+            yield node
+            ahead.extend(c for c in reversed(node.children) if isinstance(c, Node))
 
     def texts(self) -> Iterator[str]:
-        for child in self.children:
+        ahead = self.children[::-1]
+        while ahead:
+            child = ahead.pop()
             if isinstance(child, str):
                 yield child
             elif child.tag not in HIDDEN:
-                yield from child.texts()
+                ahead.extend(reversed(child.children))
 
     def text(self) -> str:
         """Pieces of text, stripped and separated by a blank."""
@@ -97,59 +107,39 @@ def parse(page: str) -> Node:
     return builder.root
 
 
-PART = re.compile(r"""[>,]|(?:\[[^\]]*\]?|[^\s>,\[])+""")
-SIMPLE = re.compile(r"""([\w-]+|\*)?((?:[#.][\w-]+|\[[\w-]+(?:=(?:"[^"]*"|'[^']*'|[\w-]+))?\])*)$""")
-TEST = re.compile(r"""([#.])([\w-]+)|\[([\w-]+)(?:=(?:"([^"]*)"|'([^']*)'|([\w-]+)))?\]""")
-
+SIMPLE = re.compile(r"([\w-]+)?((?:\.[\w-]+)*)")
 
-def selector_chains(selector: str) -> list[list[tuple]]:
-    """Parse a CSS selector into alternatives, each a chain of ``(is child, tag, tests)``.
 
-    Tags, classes, ids, attributes, descendants, children (``>``) and lists are
-    understood; anything else raises.
-    """
-    chains, chain, child = [], [], False
-    for part in PART.findall(selector) + [","]:
-        simple = SIMPLE.match(part)
-        if part == ">" and chain and not child:
-            child = True
-        elif part == "," and chain and not child:
-            chains.append(chain)
-            chain = []
-        elif simple and part:
-            tests = [("id" if mark == "#" else mark or attribute, name or next((v for v in values if v), None))
-                     for mark, name, attribute, *values in TEST.findall(simple[2])]
-            chain.append((child, simple[1] or "*", tests))
-            child = False
-        else:
-            raise ValueError(f"selector {selector!r}: cannot use {part!r} here")
-    return chains
-
-
-def _fits(node: Node, tag: str, tests: list[tuple]) -> bool:
-    """Tests are ``(".", class)`` or ``(attribute, value)``; no value asks for presence."""
-    if node.parent is None or tag not in ("*", node.tag):
-        return False
-    return all(wanted in node.classes() if name == "."
-               else name in node.attributes and wanted in (None, node.attributes[name])
-               for name, wanted in tests)
+def selector_chain(selector: str) -> list[tuple[str, set[str]]]:
+    """Parse ``tag``, ``.class``, ``tag.class`` and descendants of them into ``(tag, classes)`` from the outside in."""
+    chain = []
+    for part in selector.split():
+        simple = SIMPLE.fullmatch(part)
+        if simple is None:
+            raise ValueError(f"selector {selector!r}: cannot use {part!r}")
+        chain.append((simple[1] or "", set(simple[2].split(".")[1:])))
+    if not chain:
+        raise ValueError("the selector is empty")
+    return chain
 
 
-def _matches(node: Node, chain: list[tuple]) -> bool:
-    *above, (child, tag, tests) = chain
-    if not _fits(node, tag, tests):
+def _matches(node: Node, chain: list[tuple[str, set[str]]]) -> bool:
+    """Whether the node fits the last part and its ancestors, in order, the others."""
+    *above, (tag, classes) = chain
+    if tag not in ("", node.tag) or not classes <= node.classes():
         return False
     ancestor = node.parent
-    while above and ancestor is not None:
-        if _matches(ancestor, above):
-            return True
-        ancestor = None if child else ancestor.parent
+    while above and ancestor is not None and ancestor.parent is not None:
+        tag, classes = above[-1]
+        if tag in ("", ancestor.tag) and classes <= ancestor.classes():
+            above.pop()
+        ancestor = ancestor.parent
     return not above
 
 
-def select(root: Node, chains: list[list[tuple]]) -> Iterator[Node]:
-    """Descendants that match any of the chains, in the order of the page."""
-    return (n for n in root.walk() if any(_matches(n, chain) for chain in chains))
+def select(root: Node, chain: list[tuple[str, set[str]]]) -> Iterator[Node]:
+    """Descendants that match, in the order of the page."""
+    return (n for n in root.walk() if _matches(n, chain))
 
 
 def _own_rows(table: Node) -> list[Node]:
@@ -216,15 +206,23 @@ def read_pages(spark: SparkSession, path: str | list[str], encoding: str = "UTF-
 
 
 def _per_page(pages: DataFrame, page_id: str, html: str, schema: str, rows_of) -> DataFrame:
-    """Apply ``rows_of(page text) -> rows`` to every page."""
+    """Apply ``rows_of(page text) -> rows`` to every page; a page that cannot be parsed gives one row with the error."""
     id_type = pages.schema[page_id].dataType.simpleString()
+    schema = f"{schema}, error string"
     names = [c.split()[0].strip("`") for c in schema.split(", ")]
 
+    def page_rows(page):
+        try:
+            for row in rows_of(page):
+                yield *row, None
+        except Exception as error:  # noqa: BLE001 - one page must not end the job
+            yield *[None] * (len(names) - 1), f"{type(error).__name__}: {error}"
+
     def parse_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            rows = [(key, *row) for key, page in zip(batch["k"], batch["h"])
-                    if page is not None for row in rows_of(page)]
-            yield pd.DataFrame(rows, columns=["k", *names])
+            rows = ((key, *row) for key, page in zip(batch["k"], batch["h"]) if page is not None for row in page_rows(page))
+            while part := list(islice(rows, ROWS)):
+                yield pd.DataFrame(part, columns=["k", *names]).astype(object)
 
     source = pages.select(F.col(page_id).alias("k"), F.col(html).alias("h"))
     return source.mapInPandas(parse_batches, f"k {id_type}, {schema}").withColumnRenamed("k", page_id)
@@ -232,8 +230,10 @@ def _per_page(pages: DataFrame, page_id: str, html: str, schema: str, rows_of) -
 
 def page_tables(pages: DataFrame, table_index: int | None = None, largest: bool = False,
                 page_id: str = "page_id", html: str = "html") -> DataFrame:
-    """Cells of HTML tables: ``(page_id, table_idx, row_idx, is_header, cells)``.
+    """Cells of HTML tables: ``(page_id, table_idx, row_idx, is_header, cells, header, error)``.
 
+    ``header`` holds the tidy names of the row's own table (NULL without a header
+    row); ``error`` is set on the one row of a page that cannot be parsed.
     ``table_index`` keeps one table per page, ``largest`` the one with the most
     rows of data (the first of equals); by default all are kept.
     """
@@ -244,11 +244,12 @@ def page_tables(pages: DataFrame, table_index: int | None = None, largest: bool
             tables = [max(tables, key=lambda t: sum(not head for head, _ in t[1]))]
         for index, rows in tables:
             if table_index is None or largest or index == table_index:
+                names = [tidy_name(c) for c in rows[0][1]] if rows and rows[0][0] else None
                 for position, (head, cells) in enumerate(rows):
-                    yield index, position, head, cells
+                    yield index, position, head, cells, names
 
     return _per_page(pages, page_id, html,
-                     "table_idx int, row_idx int, is_header boolean, cells array<string>", rows_of)
+                     "table_idx int, row_idx int, is_header boolean, cells array<string>, header array<string>", rows_of)
 
 
 def pages_without_table(pages: DataFrame, tables: DataFrame, page_id: str = "page_id") -> DataFrame:
@@ -257,20 +258,31 @@ def pages_without_table(pages: DataFrame, tables: DataFrame, page_id: str = "pag
 
 
 def table_header(tables: DataFrame) -> list[str]:
-    """Cleaned names of the first table's columns; numbers where it has no header."""
-    first = tables.orderBy("table_idx", "row_idx").select("is_header", "cells").first()
-    if first is None:
+    """Names of all columns that any of the tables has, by place; numbers for a table without a header.
+
+    One row per name comes to the driver, where the names become the schema.
+    """
+    numbers = F.transform(F.sequence(F.lit(0), F.size("cells") - 1), lambda i: i.cast("string"))
+    places = tables.filter("error IS NULL AND size(cells) > 0").select(F.posexplode(F.coalesce("header", numbers)).alias("place", "name"))
+    found = places.groupBy("name").agg(F.min("place").alias("place")).orderBy("place", "name").collect()
+    if not found:
         raise ValueError("no table found")
-    cells = first["cells"] if first["is_header"] else range(len(first["cells"]))
-    return [tidy_name(str(c)) for c in cells]
+    return [r["name"] for r in found]
 
 
 def named_table(tables: DataFrame, columns: list[str] | None = None,
                 page_id: str = "page_id") -> DataFrame:
-    """Rows of data as columns named by position; header names are read unless given."""
+    """Rows of data as named columns: each table's cells by its own header, or by place if it has none.
+
+    Names are those of all tables unless given; a column that a table lacks is NULL there.
+    """
     names = columns or table_header(tables)
-    cells = [F.try_element_at("cells", F.lit(i + 1)).alias(n) for i, n in enumerate(names)]
-    return tables.filter("NOT is_header").select(page_id, *cells)
+
+    def cell(place: int, name: str) -> Column:
+        own = F.nullif(F.array_position("header", F.lit(name)), F.lit(0))
+        return F.try_element_at("cells", F.when(F.col("header").isNull(), place).otherwise(own).cast("int")).alias(name)
+
+    return tables.filter("error IS NULL AND NOT is_header").select(page_id, *[cell(i, n) for i, n in enumerate(names, 1)])
 
 
 def page_records(pages: DataFrame, row_selector: str, field_map: dict[str, str],
@@ -278,15 +290,16 @@ def page_records(pages: DataFrame, row_selector: str, field_map: dict[str, str],
     """One record per element matched by the row selector.
 
     ``field_map`` maps output columns to selectors inside the row; an empty
-    selector is the row's own text, an element that is not there gives "".
+    selector is the row's own text, an element that is not there gives "".  A page
+    that cannot be parsed gives one row with its ``error``.
     """
 
-    row_chains = selector_chains(row_selector)
-    fields = [selector_chains(s) if s else None for s in field_map.values()]
+    row_chain = selector_chain(row_selector)
+    fields = [selector_chain(s) if s else None for s in field_map.values()]
 
     def rows_of(page):
-        for position, row in enumerate(select(parse(page), row_chains)):
-            hits = [next(select(row, chains), None) if chains else row for chains in fields]
+        for position, row in enumerate(select(parse(page), row_chain)):
+            hits = [next(select(row, chain), None) if chain else row for chain in fields]
             yield position, *["" if hit is None else hit.text() for hit in hits]
 
     schema = ", ".join(["record_idx int", *[f"`{name}` string" for name in field_map]])

@@ -44,7 +44,7 @@ def label_values(df: DataFrame, text: str, labels: list[str]) -> DataFrame:
 
 
 # Named character references, from the standard library's table of HTML names.
-NAMED = {name: chr(code) for name, code in html.entities.name2codepoint.items()} | {"apos": "'"}
+NAMED = {name[:-1]: sign for name, sign in html.entities.html5.items() if name.endswith(";")}
 
 
 def decoded(text: Column) -> Column:
@@ -57,9 +57,10 @@ def decoded(text: Column) -> Column:
 
     def resolved(piece: Column) -> Column:
         name = F.substring_index(piece, ";", 1)
-        decimal = F.when(name.rlike(r"^#\d{1,7}$"), F.substring(name, 2, 7).try_cast("bigint"))
-        hexadecimal = F.when(name.rlike(r"^#[xX][0-9a-fA-F]{1,6}$"),
-                             F.conv(F.substring(name, 3, 6), 16, 10).try_cast("bigint"))
+        digits = F.regexp_extract(name, r"^#0*(\d{1,7})$", 1)
+        decimal = F.when(digits != "", digits.try_cast("bigint"))
+        digits = F.regexp_extract(name, r"^#[xX]0*([0-9a-fA-F]{1,6})$", 1)
+        hexadecimal = F.when(digits != "", F.conv(digits, 16, 10).try_cast("bigint"))
         code = F.coalesce(decimal, hexadecimal)
         valid = (code > 0) & (code < 0x110000) & ~code.between(0xD800, 0xDFFF)
         sign = F.when(valid, F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32"))

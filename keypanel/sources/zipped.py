@@ -9,6 +9,7 @@ from __future__ import annotations
 import io
 import sys
 import zipfile
+import zlib
 from typing import Iterator
 
 import pandas as pd
@@ -40,7 +41,7 @@ def zip_headers(spark: SparkSession, path: str | list[str], member: str,
     """Raw header of the member in each archive: ``(path, member, columns, error)``.
 
     ``member`` and ``columns`` are NULL where the archive has no such file or
-    cannot be read; ``error`` says why it cannot.
+    cannot be read to its end, checksum included; ``error`` says why it cannot.
     """
 
     def headers(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -54,8 +55,11 @@ def zip_headers(spark: SparkSession, path: str | list[str], member: str,
                         if name:
                             with archive.open(name) as stream:
                                 cells = list(pd.read_csv(stream, encoding=encoding, nrows=0).columns)
-                except (zipfile.BadZipFile, ValueError) as problem:
-                    name, error = None, str(problem)
+                            with archive.open(name) as stream:
+                                while stream.read(1 << 20):
+                                    pass
+                except (zipfile.BadZipFile, zlib.error, EOFError, ValueError, NotImplementedError) as problem:
+                    name, cells, error = None, None, str(problem)
                 rows.append((path, name, cells, error))
             yield pd.DataFrame(rows, columns=["path", "member", "columns", "error"])
 

@@ -5,7 +5,6 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from keypanel import session
 from keypanel.operators import (aggregate, charts, clean, cohorts, columns, joins, profile, quality,
                                 ranking)
 
@@ -133,12 +132,10 @@ def test_profile_drops_null_keys(spark, rows):
     assert len(rows(aggregate.profile_by_key(df, ["k"], measures, drop_null_keys=False))) == 2
 
 
-@pytest.mark.parametrize("small", [0, 1000])
-def test_profile_through_equals_direct_join(spark, monkeypatch, small):
-    monkeypatch.setattr(session, "BROADCAST_ROWS", small)
+def test_profile_through_takes_any_measure(spark):
     facts = spark.range(1000).select((F.col("id") % 17).alias("via"), F.col("id").alias("v"))
     lookup = spark.range(15).select(F.col("id").alias("via"), (F.col("id") % 3).alias("k"))
-    measures = {"n": F.count("*"), "s": F.sum("v")}
+    measures = {"n": F.count("*"), "s": F.sum("v"), "mean": F.avg("v"), "top": F.max("v")}
     two_step = aggregate.profile_through(facts, "via", lookup, ["k"], measures)
     direct = aggregate.profile_by_key(facts.join(lookup, "via"), ["k"], measures)
     assert sorted(map(tuple, two_step.collect())) == sorted(map(tuple, direct.collect()))
@@ -302,3 +299,50 @@ def test_chart_data(spark, rows):
         ("a", 0), ("b", 1), ("c", 2), ("d", 3), ("e", 4), ("f", 5), ("g", 0)]
     wide = spark.createDataFrame([(2015, 1, 2.5)], "year int, a int, b double")
     assert rows(charts.long_series(wide, "year", ["a", "b"]), "series") == [(2015, "a", 1.0), (2015, "b", 2.5)]
+
+
+def test_small_values_are_not_cut(spark):
+    from keypanel.operators.profile import table_stats
+    from keypanel.functions.rates import stable_sum
+
+    df = spark.range(1000).select(F.lit(0.004).alias("v"), F.lit("g").alias("g"))
+    assert table_stats(df, ["v"], digits=4).first()[1:] == (4.0, 0.004, 0.004, 0.004, 0.004)
+    large = spark.createDataFrame([(1e17,), (0.25,), (float("inf"),)], "v double")
+    assert large.filter("v < 1e18").agg(stable_sum(F.col("v"))).first()[0] == 1e17
+    assert large.agg(stable_sum(F.col("v"))).first()[0] == float("inf")
+    assert large.filter("v < 0").agg(stable_sum(F.col("v"))).first()[0] is None
+
+
+def test_repeated_keys_raise_in_joins(spark):
+    from keypanel.operators.joins import label_join, wide_join
+    from keypanel.plans.reference import with_overrides
+
+    spine = spark.createDataFrame([(1, "A"), (2, "B"), (None, "C")], "k int, n string")
+    good = spark.createDataFrame([(1, 5), (None, 6), (None, 7)], "k int, v int")
+    assert sorted(r["v"] or 0 for r in wide_join(spine, [(good, "k")]).collect()) == [0, 0, 5]
+    twice = spark.createDataFrame([(1, 5), (1, 6)], "k int, v int")
+    with pytest.raises(Exception, match="not unique"):
+        wide_join(spine, [(twice, "k")]).collect()
+    spellings = spark.createDataFrame([("a", 1), (" A ", 2)], "name string, w int")
+    with pytest.raises(Exception, match="not unique"):
+        label_join(spine, spellings, "n", "name").collect()
+    with pytest.raises(ValueError, match="not unique"):
+        with_overrides(spine, spark.createDataFrame([(1, "x"), (1, "y")], "k int, n string"), "k", "n")
+
+
+def test_many_overrides_are_joined(spark, monkeypatch):
+    from keypanel.plans import reference
+
+    spine = spark.createDataFrame([(1, "A"), (2, "B")], "k int, n string")
+    fixes = spark.createDataFrame([(2, "Z")], "k int, n string")
+    few = sorted(map(tuple, reference.with_overrides(spine, fixes, "k", "n").collect()))
+    monkeypatch.setattr(reference, "HAND_CHECKED", 0)
+    assert few == sorted(map(tuple, reference.with_overrides(spine, fixes, "k", "n").collect())) == [(1, "A"), (2, "Z")]
+
+
+def test_ids_of_different_types_meet(spark):
+    from keypanel.operators.joins import exists_flag
+
+    events = spark.range(5).select(F.col("id").alias("e"))
+    ids = spark.createDataFrame([(1,), (3,)], "e int")
+    assert [r["f"] for r in exists_flag(events, ids, "e", "f", hot_rows=1).orderBy("e").collect()] == [0, 1, 0, 1, 0]

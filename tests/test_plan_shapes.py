@@ -5,12 +5,11 @@ import io
 
 import pytest
 
-import __spark_entry__ as entry
+import workload
 import oracle
-from keypanel import session
 
 SF = "/root/testdata/sf0.001"
-QUERIES, SQL = entry.queries(), entry.oracle_sql()
+QUERIES, SQL = workload.QUERIES, workload.SQL
 # The only queries that run Python on executors.
 PYTHON = {"html_records", "html_table_by_index", "html_largest_table"}
 
@@ -64,20 +63,21 @@ def test_label_lines_do_not_shuffle(spark):
         assert "Exchange" not in plan(spark, name)
 
 
-def test_large_lookups_are_joined_after_a_first_aggregate(spark, monkeypatch):
-    monkeypatch.setattr(session, "BROADCAST_ROWS", 0)
-    text = plan(spark, "test_rates_by_key")
-    assert text.count("Exchange hashpartitioning") == 2  # per supplier, then per nation
-    lookup = text.index("BroadcastHashJoin")
-    assert "HashAggregate" in text[:lookup] and "HashAggregate" in text[lookup:]
+def test_lookups_cost_one_exchange(spark):
+    assert plan(spark, "test_rates_by_key").count("Exchange hashpartitioning") == 1
+
+
+def test_scans_and_exchanges_are_few(spark):
+    assert plan(spark, "wide_master_table").count("lineitem.parquet") == 1
+    assert "lineitem.parquet" not in plan(spark, "comparable_trend")
+    assert "Exchange" not in plan(spark, "hand_checked_overrides")
 
 
 @pytest.mark.parametrize("name", ["flagged_events_by_key_year", "prior_history_by_key", "wide_master_table", "cohorts_by_null",
                                   "numeric_profile", "totals_across_layouts", "quality_report",
                                   "test_rates_by_key", "rates_by_key", "top_and_bottom", "yearly_columns_by_key", "prior_share"])
-def test_results_without_broadcast_joins(spark, name, monkeypatch):
+def test_results_without_broadcast_joins(spark, name):
     """Above the broadcast thresholds the same queries join by shuffle, with the same result."""
-    monkeypatch.setattr(session, "BROADCAST_ROWS", 0)
     settings = ["spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"]
     try:
         for setting in settings:

@@ -7,7 +7,7 @@ def test_settings_grow_with_the_shuffle():
     large = session.settings_for(2 * 1024 ** 4, cores=4000)
     assert large["spark.sql.shuffle.partitions"] == str(2 * 1024 ** 4 // session.REDUCER_BYTES)
     huge = session.settings_for(100 * 1024 ** 4, cores=4000)
-    assert huge["spark.sql.shuffle.partitions"] == str(session.MOST_PARTITIONS)
+    assert huge["spark.sql.shuffle.partitions"] == str(100 * 1024 ** 4 // session.REDUCER_BYTES)
     assert int(huge["spark.sql.files.maxPartitionBytes"]) > int(large["spark.sql.files.maxPartitionBytes"])
 
 

@@ -17,11 +17,15 @@ from keypanel.plans.trend import trend
 from keypanel.sources.files import flatten_json_column, union_by_name
 from workload.registry import in_years, query, table
 
-YEARS = range(1995, 2002)
 # Up to this year the event carries its own flag, later a side table does.
 LAST_OWN_FLAG = 1998
 
 
+def own_flag():
+    """Orders of the old layout; those without a date count as new."""
+    return F.coalesce(F.col("o_orderdate") < F.lit(f"{LAST_OWN_FLAG + 1}-01-01").cast("timestamp_ntz"), F.lit(False))
+
+
 def customer_nation(spark, sf) -> DataFrame:
     return table(spark, sf, "customer").select(F.col("c_custkey").alias("o_custkey"),
                                                F.col("c_nationkey").alias("n_nationkey"))
@@ -114,11 +118,22 @@ def drifting_orders(spark, sf) -> DataFrame:
     layout = EventLayout(key="o_custkey", event_id="o_orderkey", measure="o_totalprice",
                          flag_column="closed", side_code_column="l_returnflag", side_code="R")
     closed = F.when(F.col("o_orderstatus") == "F", 1).when(F.col("o_orderstatus") == "O", 0)
-    old = orders.filter(in_years("o_orderdate", YEARS[0], LAST_OWN_FLAG)).withColumn("closed", closed)
-    new = orders.filter(in_years("o_orderdate", LAST_OWN_FLAG + 1, YEARS[-1]))
+    old = orders.filter(own_flag()).withColumn("closed", closed)
+    new = orders.filter(~own_flag())
     return flagged_events([EventYear(None, old), EventYear(None, new, returned)], layout)
 
 
+def own_flag_series(spark, sf, first: int, last: int) -> DataFrame:
+    """Totals of the years that carry their own flag; the side table is not read."""
+    closed = F.when(F.col("o_orderstatus") == "F", 1).when(F.col("o_orderstatus") == "O", 0)
+    orders = table(spark, sf, "orders").filter(in_years("o_orderdate", first, last) & own_flag()).withColumns(
+        {"year": F.year("o_orderdate"), "closed": closed})
+    layout = EventLayout(key="o_custkey", event_id="o_orderkey", measure="o_totalprice", flag_column="closed")
+    totals = event_totals_through(flagged_events([EventYear(None, orders)], layout), "o_custkey",
+                                  customer_nation(spark, sf), ["n_nationkey"], "o_orderkey", "o_totalprice")
+    return totals.withColumn("method", F.lit("own_field"))
+
+
 def drift_series(spark, sf) -> DataFrame:
     totals = event_totals_through(drifting_orders(spark, sf), "o_custkey", customer_nation(spark, sf),
                                   ["n_nationkey"], "o_orderkey", "o_totalprice")
@@ -131,7 +146,7 @@ WITH flagged AS (
   SELECT o_custkey, CAST(year(o_orderdate) AS INTEGER) AS year, CAST(o_totalprice AS DECIMAL(18,2)) AS amount,
          CASE WHEN year(o_orderdate) <= 1998 THEN o_orderstatus = 'F'
               ELSE o_orderkey IN (SELECT l_orderkey FROM lineitem WHERE l_returnflag = 'R') END AS hit
-  FROM orders WHERE year(o_orderdate) BETWEEN 1995 AND 2001),
+  FROM orders WHERE o_orderdate IS NOT NULL),
 series AS (
   SELECT c_nationkey AS n_nationkey, year, count(*) AS total_events, sum(amount) AS total_measure,
          count(*) FILTER (WHERE hit) AS flagged_events, coalesce(sum(amount) FILTER (WHERE hit), 0) AS flagged_measure,
@@ -159,18 +174,18 @@ FROM series s JOIN nation n ON s.n_nationkey = n.n_nationkey
 WHERE year BETWEEN 1996 AND 2000 AND method = 'own_field'
 """)
 def comparable_trend(spark, sf):
-    return trend(drift_series(spark, sf), nation_names(spark, sf), "n_nationkey", ["n_name"], 1996, 2000,
+    return trend(own_flag_series(spark, sf, 1996, 2000), nation_names(spark, sf), "n_nationkey", ["n_name"], 1996, 2000,
                  "flagged_events", "total_events", method="own_field")
 
 
 @query("""
 SELECT CAST(year(o_orderdate) AS INTEGER) AS year, o_orderstatus, count(*) AS orders
-FROM orders WHERE year(o_orderdate) BETWEEN 1996 AND 2000 GROUP BY 1, 2
+FROM orders WHERE o_orderdate IS NOT NULL GROUP BY 1, 2
 """)
 def union_of_years(spark, sf):
     orders = table(spark, sf, "orders")
-    slices = [orders.filter(in_years("o_orderdate", y)).select(F.lit(y).alias("year"), "o_orderstatus")
-              for y in range(1996, 2001)]
+    slices = [part.select(F.year("o_orderdate").alias("year"), "o_orderstatus")
+              for part in (orders.filter(own_flag()), orders.filter(~own_flag()))]
     return profile_by_key(union_by_name(slices), ["year", "o_orderstatus"], {"orders": F.count("*")})
 
 
@@ -310,13 +325,11 @@ def json_flatten(spark, sf):
 @query("""
 SELECT CAST(year(o_orderdate) AS INTEGER) AS year, count(*) AS orders,
        count(CASE WHEN year(o_orderdate) <= 1998 THEN o_orderpriority END) AS with_priority
-FROM orders WHERE year(o_orderdate) BETWEEN 1996 AND 2000 GROUP BY 1
+FROM orders WHERE o_orderdate IS NOT NULL GROUP BY 1
 """)
 def union_with_missing_columns(spark, sf):
     orders = table(spark, sf, "orders")
-    slices = []
-    for year in range(1996, 2001):
-        columns = ["o_orderpriority"] if year <= LAST_OWN_FLAG else []
-        slices.append(orders.filter(in_years("o_orderdate", year)).select(F.lit(year).alias("year"), *columns))
+    year = F.year("o_orderdate").alias("year")
+    slices = [orders.filter(own_flag()).select(year, "o_orderpriority"), orders.filter(~own_flag()).select(year)]
     return profile_by_key(union_by_name(slices), ["year"], {
         "orders": F.count("*"), "with_priority": F.count("o_orderpriority")})

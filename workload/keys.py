@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from keypanel.functions.rates import fixed_round, flag, money, sufficient
+from keypanel.functions.rates import fixed_round, flag, money, share, sufficient
 from keypanel.functions.rules import penalty_class
 from keypanel.functions.text import pad_key
 from keypanel.operators.aggregate import (count_where, distinct_values, mean_with_error,
@@ -19,8 +19,7 @@ from keypanel.plans.attributes import mandatory
 from keypanel.plans.master import RateSpec, rates_table, wide_master
 from keypanel.plans.reference import (code_list, key_master, structural_controls, with_overrides,
                                       yearly_columns)
-from keypanel.session import stored
-from workload.events import customer_nation, line_history, line_test_rates, order_profile
+from workload.events import customer_nation, order_profile
 from workload.registry import query, table
 
 
@@ -41,6 +40,25 @@ def lines_by_nation(spark, sf) -> DataFrame:
         "debtor_lines": F.sum(F.when(F.col("s_acctbal") < 0, F.col("lines")))})
 
 
+def line_facts(spark, sf) -> DataFrame:
+    """Test rates, median speed and debtors' lines per nation: one scan, one aggregate.
+
+    Speeds are a short list of values, so the state of their median is a short list of counts.
+    """
+    suppliers = table(spark, sf, "supplier").select(
+        F.col("s_suppkey").alias("l_suppkey"), F.col("s_nationkey").alias("n_nationkey"), "s_acctbal")
+    known, killed = F.col("l_returnflag") == "R", F.col("l_linestatus") == "F"
+    speed = F.when((F.col("l_quantity") > 0) & (F.col("l_quantity") < 49), F.col("l_quantity"))
+    debtor = count_where(F.col("s_acctbal") < 0)
+    facts = profile_by_key(table(spark, sf, "lineitem").join(suppliers, "l_suppkey"), ["n_nationkey"], {
+        "total": F.count("l_orderkey"), "known": count_where(known), "killed": count_where(killed),
+        "killed_known": count_where(known & killed), "median_speed": F.percentile(speed, F.lit(0.5)),
+        "debtor_lines": F.nullif(debtor, F.lit(0))})
+    return facts.select("n_nationkey", "total", share(F.col("known"), F.col("total"), 1).alias("pct_known_all"),
+                        share(F.col("killed_known"), F.col("killed"), 1).alias("pct_known_killed"),
+                        "median_speed", "debtor_lines")
+
+
 def nations(spark, sf) -> DataFrame:
     nation, region = table(spark, sf, "nation"), table(spark, sf, "region")
     return nation.join(region, nation.n_regionkey == region.r_regionkey, "left").select(
@@ -129,10 +147,7 @@ LEFT JOIN c ON c.k = n_nationkey LEFT JOIN o ON o.k = n_nationkey LEFT JOIN t ON
 LEFT JOIN d ON d.k = n_nationkey
 """)
 def wide_master_table(spark, sf):
-    tests = line_test_rates(spark, sf).select("n_nationkey", "total", "pct_known_all", "pct_known_killed")
-    speeds = line_history(spark, sf).select("n_nationkey", "median_speed")
-    debtors = lines_by_nation(spark, sf).select("n_nationkey", "debtor_lines")
-    parts = [customers_by_nation(spark, sf), order_profile(spark, sf), tests, speeds, debtors]
+    parts = [customers_by_nation(spark, sf), order_profile(spark, sf), line_facts(spark, sf)]
     return wide_master(
         nations(spark, sf), [(p, "n_nationkey") for p in parts],
         derived={
@@ -166,10 +181,7 @@ def outer_merge_by_key(spark, sf):
 
 
 def customer_panel(spark, sf) -> DataFrame:
-    """Customers with balance, orders, spending and pending orders (NULL without any).
-
-    Queries that pass over the panel several times store it first.
-    """
+    """Customers with balance, orders, spending and pending orders (NULL without any)."""
     orders = table(spark, sf, "orders")
     spent = profile_by_key(orders, ["o_custkey"], {
         "orders": F.count("*"), "spent": F.sum(money(F.col("o_totalprice"))),
@@ -201,16 +213,16 @@ def two_number_class(spark, sf):
 
 @query(CUSTOMER_SQL + """
 SELECT c_mktsegment,
-  round(CAST(sum(CAST(c_acctbal AS DECIMAL(18,2))) AS DOUBLE) / count(c_acctbal), 2) AS c_acctbal_mean,
+  round(fsum(c_acctbal) / count(c_acctbal), 2) AS c_acctbal_mean,
   round(median(c_acctbal), 2) AS c_acctbal_median, count(c_acctbal) AS c_acctbal_count,
-  round(CAST(sum(CAST(spent AS DECIMAL(18,2))) AS DOUBLE) / count(spent), 2) AS spent_mean,
+  round(fsum(spent) / count(spent), 2) AS spent_mean,
   round(median(spent), 2) AS spent_median, count(spent) AS spent_count,
   round(CAST(sum(pending) AS DOUBLE) / count(pending), 2) AS pending_mean,
   round(median(pending), 2) AS pending_median, count(pending) AS pending_count
 FROM panel GROUP BY 1
 """)
 def group_summary(spark, sf):
-    return summarize(stored(customer_panel(spark, sf)), "c_mktsegment", ["c_acctbal", "spent", "pending"])
+    return summarize(customer_panel(spark, sf), "c_mktsegment", ["c_acctbal", "spent", "pending"])
 
 
 def _cohort_sql(first: str, second: str, names: tuple[str, str]) -> str:
@@ -218,9 +230,9 @@ def _cohort_sql(first: str, second: str, names: tuple[str, str]) -> str:
     parts = []
     for metric in ("spent", "orders", "pending"):
         parts.append(f"""SELECT '{metric}' AS metric,
-  round(CAST(sum(CAST({metric} AS DECIMAL(18,2))) FILTER (WHERE {first}) AS DOUBLE) / nullif(count({metric}) FILTER (WHERE {first}), 0), 2) AS {a}_mean,
+  round(fsum({metric}) FILTER (WHERE {first}) / nullif(count({metric}) FILTER (WHERE {first}), 0), 2) AS {a}_mean,
   round(median({metric}) FILTER (WHERE {first}), 2) AS {a}_median,
-  round(CAST(sum(CAST({metric} AS DECIMAL(18,2))) FILTER (WHERE {second}) AS DOUBLE) / nullif(count({metric}) FILTER (WHERE {second}), 0), 2) AS {b}_mean,
+  round(fsum({metric}) FILTER (WHERE {second}) / nullif(count({metric}) FILTER (WHERE {second}), 0), 2) AS {b}_mean,
   round(median({metric}) FILTER (WHERE {second}), 2) AS {b}_median,
   count(*) FILTER (WHERE {first}) AS {a}_n, count(*) FILTER (WHERE {second}) AS {b}_n FROM panel""")
     return CUSTOMER_SQL + " UNION ALL ".join(parts)
@@ -228,14 +240,14 @@ def _cohort_sql(first: str, second: str, names: tuple[str, str]) -> str:
 
 @query(_cohort_sql("c_acctbal < 0", "NOT (c_acctbal < 0)", ("debt", "credit")))
 def cohorts_by_flag(spark, sf):
-    panel = stored(customer_panel(spark, sf)).withColumn("in_debt", flag(F.col("c_acctbal") < 0))
+    panel = customer_panel(spark, sf).withColumn("in_debt", flag(F.col("c_acctbal") < 0))
     return compare_cohorts(panel, ["spent", "orders", "pending"], F.col("in_debt") == 1, F.col("in_debt") == 0,
                            ("debt", "credit"))
 
 
 @query(_cohort_sql("pending IS NULL", "pending IS NOT NULL", ("settled", "open")))
 def cohorts_by_null(spark, sf):
-    panel = stored(customer_panel(spark, sf))
+    panel = customer_panel(spark, sf)
     return compare_cohorts(panel, ["spent", "orders", "pending"], F.col("pending").isNull(),
                            F.col("pending").isNotNull(), ("settled", "open"))
 
@@ -290,12 +302,12 @@ def mean_with_standard_error(spark, sf):
 
 
 @query("""
-SELECT 'l_quantity' AS "column", CAST(sum(CAST(l_quantity AS DECIMAL(18,2))) AS DOUBLE) AS sum, min(l_quantity) AS min,
-  max(l_quantity) AS max, round(CAST(sum(CAST(l_quantity AS DECIMAL(18,2))) AS DOUBLE) / count(l_quantity), 2) AS mean,
+SELECT 'l_quantity' AS "column", round(fsum(l_quantity), 2) AS sum, min(l_quantity) AS min,
+  max(l_quantity) AS max, round(fsum(l_quantity) / count(l_quantity), 2) AS mean,
   round(median(l_quantity), 2) AS median FROM lineitem
 UNION ALL
-SELECT 'l_extendedprice', CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE), min(l_extendedprice),
-  max(l_extendedprice), round(CAST(sum(CAST(l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) / count(l_extendedprice), 2),
+SELECT 'l_extendedprice', round(fsum(l_extendedprice), 2), min(l_extendedprice),
+  max(l_extendedprice), round(fsum(l_extendedprice) / count(l_extendedprice), 2),
   round(median(l_extendedprice), 2) FROM lineitem
 """)
 def whole_table_stats(spark, sf):
@@ -397,6 +409,17 @@ def inline_controls(spark, sf):
     return wide_master(by_region, [(controls, "r_name")], derived={"orders_per_100_miles": per_mile})
 
 
+@query("""
+SELECT 'fee' AS "column", round(fsum(fee), 6) AS sum, min(fee) AS min, max(fee) AS max,
+  round(fsum(fee) / count(fee), 6) AS mean, round(median(fee), 6) AS median
+FROM (SELECT round(l_extendedprice / 1000000, 5) AS fee FROM lineitem)
+""")
+def fine_measure_stats(spark, sf):
+    """A measure with five decimals, most of it below a hundredth or a tenth."""
+    lines = table(spark, sf, "lineitem").select(F.round(F.col("l_extendedprice") / 1_000_000, 5).alias("fee"))
+    return table_stats(lines, ["fee"], digits=6)
+
+
 @query("SELECT printf('%02d', p_size) AS code, p_name AS name FROM part WHERE p_size <= 20")
 def valid_code_list(spark, sf):
     raw = table(spark, sf, "part").select(F.col("p_size").cast("string").alias("P CODE"), F.col("p_name").alias("P-Name"))
@@ -410,8 +433,10 @@ FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey =
 WHERE n_regionkey = 2 AND c_nationkey <= 20 GROUP BY 1, 2
 """)
 def yearly_columns_by_key(spark, sf):
-    per_year = {f"POPESTIMATE{y}": count_where(F.year("o_orderdate") == y) for y in range(1995, 2002)}
-    counts = profile_through(table(spark, sf, "orders"), "o_custkey", customer_nation(spark, sf), ["n_nationkey"], per_year)
+    orders = table(spark, sf, "orders")
+    years = sorted(r["y"] for r in orders.select(F.year("o_orderdate").alias("y")).dropna().distinct().collect())
+    per_year = {f"POPESTIMATE{y}": count_where(F.year("o_orderdate") == y) for y in years}
+    counts = profile_through(orders, "o_custkey", customer_nation(spark, sf), ["n_nationkey"], per_year)
     raw = counts.join(table(spark, sf, "nation"), "n_nationkey").withColumnsRenamed(
         {"n_nationkey": "STATE", "n_name": "NAME", "n_regionkey": "SUMLEV"})
     return yearly_columns(raw, "sumlev", 2, "state", "code", "popestimate", "orders_", {"name": "name"}, last=20)

@@ -9,10 +9,11 @@ from pyspark.sql import functions as F
 
 from keypanel.operators.clean import clean
 from keypanel.operators.profile import numeric_summary, value_counts
-from keypanel.operators.quality import (absent_keys, audit_tables, quality, repeated_keys,
+from keypanel.operators.columns import lower_names, tidy_names
+from keypanel.operators.quality import (absent_keys, audit_tables, expect_rows, expect_values, quality, repeated_keys,
                                         sparse_columns, unsupported_values)
-from keypanel.plans.publish import Provenance, codebook, provenance
-from keypanel.sources.files import run_sql
+from keypanel.plans.publish import Provenance, codebook, null_report, provenance, strip_columns
+from keypanel.sources.files import run_sql, stored_tables
 from workload.keys import CUSTOMER_SQL, customer_panel
 from workload.registry import query, table
 
@@ -50,8 +51,9 @@ def clean_keep_first(spark, sf):
 
 
 def labelled_documents(spark, sf) -> DataFrame:
-    return table(spark, sf, "documents").select("doc_id", "lang", "source", "text").join(
-        table(spark, sf, "labels"), "doc_id", "left")
+    """Documents with their labels.  Texts are compared by digest, so the join carries digests alone."""
+    texts = table(spark, sf, "documents").select("doc_id", "lang", "source", F.sha2("text", 256).alias("text"))
+    return texts.join(table(spark, sf, "labels"), "doc_id", "left")
 
 
 LABELLED_SQL = """
@@ -78,14 +80,14 @@ def quality_report(spark, sf):
 
 
 @query("""
-SELECT 'labels' AS "table", 'quality' AS "column", count(*) AS rows, count(*) - count(quality) AS nulls,
-  CAST(0 AS DOUBLE) AS null_share FROM labels
-""" + "".join(f"""UNION ALL SELECT 'panel', '{c}', count(*), count(*) - count({c}),
-  CAST(round(CAST((count(*) - count({c})) / CAST(count(*) AS DOUBLE) AS DECIMAL(18,6)), 4) AS DOUBLE) FROM ({CUSTOMER_SQL} SELECT * FROM panel)
-""" for c in ("orders", "pending")))
+""" + " UNION ALL ".join(f"""SELECT '{t}' AS "table", '{c}' AS "column", count(*) AS rows, count(*) - count({c}) AS nulls,
+  CAST(round(CAST((count(*) - count({c})) / CAST(count(*) AS DOUBLE) AS DECIMAL(18,6)), 4) AS DOUBLE) AS null_share FROM {source}
+""" for t, columns, source in (
+    ("labels", ("doc_id", "quality", "toxic"), "labels"),
+    ("panel", ("c_custkey", "c_mktsegment", "c_acctbal", "orders", "spent", "pending"), f"({CUSTOMER_SQL} SELECT * FROM panel)"))
+    for c in columns))
 def audit_of_tables(spark, sf):
-    return audit_tables({"labels": table(spark, sf, "labels").select("quality"),
-                         "panel": customer_panel(spark, sf).select("orders", "pending")})
+    return audit_tables({"labels": table(spark, sf, "labels"), "panel": customer_panel(spark, sf).drop("c_nationkey")})
 
 
 @query(LABELLED_SQL + " UNION ALL ".join(
@@ -95,6 +97,54 @@ def sparse_column_report(spark, sf):
     return sparse_columns(labelled_documents(spark, sf), max_null_share=0.1)
 
 
+@query("""SELECT o_orderkey AS order_key, o_orderstatus AS order_status, o_totalprice AS total_price FROM orders""")
+def tidy_column_names(spark, sf):
+    return tidy_names(table(spark, sf, "orders").select(
+        F.col("o_orderkey").alias(" Order Key "), F.col("o_orderstatus").alias("Order-Status"), F.col("o_totalprice").alias("Total Price")))
+
+
+@query("SELECT s_suppkey, s_nationkey, s_acctbal FROM supplier")
+def lower_column_names(spark, sf):
+    return lower_names(table(spark, sf, "supplier").select(
+        F.col("s_suppkey").alias("S_SuppKey"), F.col("s_nationkey").alias("S_NATIONKEY"), "s_acctbal"))
+
+
+@query("SELECT c_custkey, c_nationkey, c_mktsegment FROM customer")
+def listed_columns_dropped(spark, sf):
+    return strip_columns(table(spark, sf, "customer"), ("c_name", "c_acctbal", "c_phone"))
+
+
+@query("SELECT * FROM nation")
+def expected_number_of_rows(spark, sf):
+    return expect_rows(table(spark, sf, "nation"), 25)
+
+
+@query("SELECT * FROM region")
+def expected_totals(spark, sf):
+    return expect_values(table(spark, sf, "region"), {
+        "keys": (F.sum("r_regionkey"), 10), "names": (F.count_distinct("r_name"), 5)})
+
+
+@query(" UNION ALL ".join(f"""SELECT '{c}' AS "column", count(*) AS rows, count(*) - count({c}) AS nulls, {share} AS null_share,
+  CASE WHEN '{c}' IN ('doc_id', 'quality') AND count(*) > count({c}) THEN 'critical'
+       WHEN (count(*) - count({c})) / CAST(count(*) AS DOUBLE) > 0.1 THEN 'warn' ELSE 'ok' END AS status
+  FROM documents LEFT JOIN labels USING (doc_id)""" for c in ("doc_id", "lang", "source", "quality", "toxic")
+  for share in [f"CAST(round(CAST((count(*) - count({c})) / CAST(count(*) AS DOUBLE) AS DECIMAL(18,6)), 4) AS DOUBLE)"]))
+def critical_columns(spark, sf):
+    return null_report(labelled_documents(spark, sf).drop("text"), ("doc_id", "quality"), 0.1)
+
+
+@query(" UNION ALL ".join(f"SELECT 'panel_{t}' AS table_name, true AS is_temporary, count(*) AS rows FROM {t}"
+                          for t in ("nation", "orders", "supplier")))
+def stored_table_sizes(spark, sf):
+    names = ["nation", "orders", "supplier"]
+    for name in names:
+        table(spark, sf, name).createOrReplaceTempView(f"panel_{name}")
+    sizes = reduce(DataFrame.unionByName, [spark.table(f"panel_{n}").agg(F.count("*").alias("rows")).select(
+        F.lit(f"panel_{n}").alias("table_name"), "rows") for n in names])
+    return stored_tables(spark).join(sizes, "table_name").select("table_name", "is_temporary", "rows")
+
+
 @query("SELECT DISTINCT doc_id FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)")
 def keys_without_values(spark, sf):
     return absent_keys(table(spark, sf, "documents"), table(spark, sf, "labels"), "doc_id")
@@ -149,7 +199,7 @@ def codebook_table(spark, sf):
 
 # Tables of the data set; those in the first row have a registered source.
 REGISTERED = ["customer", "lineitem", "nation", "orders", "part", "region", "supplier"]
-UNREGISTERED = ["conversations", "documents", "events", "labels", "pages"]
+UNREGISTERED = ["benchmark", "conversations", "documents", "embeddings", "events", "labels", "pages"]
 RETRIEVED = "2024-01-31"
 
 

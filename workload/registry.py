@@ -21,6 +21,8 @@ SCHEMAS = {
                 "l_linestatus string, l_shipdate timestamp_ntz",
     "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
     "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
+    "embeddings": "vec_id bigint, embedding array<float>, label int",
+    "benchmark": "item_id bigint, text string",
     "labels": "doc_id bigint, quality int, toxic int",
     "pages": "page_id bigint, url string, html string",
     "conversations": "conv_id bigint, turn bigint, role string, text string",

@@ -247,13 +247,17 @@ def label_value_lines(spark, sf):
         F.transform("pairs", lambda pair: F.length(pair["next"]))).alias("longest_value"))
 
 
+# A line that many documents share.
+COMMON_LINE = "The and attion to thanedble the, anea. Eriner thanea."
+
+
 @query(f"""
-SELECT doc_id, {_label_sql('Ietzte.')} AS ietzte, {_label_sql('Of.')} AS of, {_label_sql('And ornd.')} AS and_ornd
+SELECT doc_id, {_label_sql(COMMON_LINE)} AS the_and_attion_to_thanedble_the_anea_eriner_thanea, {_label_sql('Of.')} AS of, {_label_sql('And ornd.')} AS and_ornd
 FROM (SELECT doc_id, {_lines_sql('text')} AS lines FROM documents)
 """)
 def label_values_by_document(spark, sf):
     documents = table(spark, sf, "documents").select("doc_id", "text")
-    return label_values(documents, "text", ["Ietzte.", "Of.", "And ornd."]).drop("text")
+    return label_values(documents, "text", [COMMON_LINE, "Of.", "And ornd."]).drop("text")
 
 
 PAGE_TEXT_SQL = r"""regexp_replace(regexp_replace(regexp_replace(regexp_replace(html,
@@ -279,6 +283,7 @@ GROUP BY 1
 """)
 def html_records(spark, sf):
     records = html.page_records(table(spark, sf, "pages"), "nav li", {"label": "a", "whole": "", "absent": "a.none"})
+    records = records.filter("error IS NULL")
     return profile_by_key(records, ["page_id"], {
         "links": F.count("*"), "label_chars": F.sum(F.length("label")).cast("bigint")})
 
