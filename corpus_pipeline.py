@@ -11,6 +11,8 @@ copies and one of them stays; an empty table passes through every stage.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,20 +26,27 @@ from keypanel.session import stored
 VOCABULARY = "byte_bpe_50k.json"
 
 
+def _kept(docs: DataFrame, rule: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """Documents that a rule keeps, with all their columns, whatever these are named."""
+    others = [c for c in docs.columns if c not in ("doc_id", "text")]
+    carried = docs.select("doc_id", "text", F.struct(F.lit(1).alias("_"), *[F.col(f"`{c}`") for c in others]).alias("_llm_rest"))
+    return rule(carried).select(*[F.col(f"_llm_rest.`{c}`") if c in others else F.col(c) for c in docs.columns])
+
+
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the quality rules."""
-    return judge_quality(docs).where("kept").select(docs.columns)
+    return _kept(docs, lambda d: judge_quality(d).where("kept"))
 
 
 def jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document, the one with the least id, of every group of near copies."""
-    return one_of_each(docs).select(docs.columns)
+    return _kept(docs, one_of_each)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no benchmark window."""
-    return decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")).where(
-        "not contaminated").select(docs.columns)
+    items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    return _kept(docs, lambda d: decontaminate(d, items).where("not contaminated"))
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
