@@ -106,11 +106,12 @@ class PackageSpec:
     single_file: bool = False
 
 
-def package(df: DataFrame, spec: PackageSpec) -> dict[str, str]:
+def package(df: DataFrame, spec: PackageSpec, is_stored: bool = False) -> dict[str, str]:
     """Strip personal columns, write every format and the codebook; returns the paths.
 
     The table is computed once however many formats follow: Parquet is written
-    first and read back, without it a copy in the checkpoint folder serves the same end.
+    first and read back, without it a copy in the checkpoint folder serves the same end
+    (``is_stored``: the table is such a copy already).
     """
     unknown = [f for f in spec.formats if f not in FORMATS]
     if unknown:
@@ -120,7 +121,7 @@ def package(df: DataFrame, spec: PackageSpec) -> dict[str, str]:
     if "parquet" in spec.formats:
         written["parquet"] = save_parquet(table, f"{base}.parquet")
         table = spark.read.parquet(written["parquet"])
-    else:
+    elif not is_stored:
         table = stored(table)
     out = table.coalesce(1) if spec.single_file else table
     for kind in [f for f in spec.formats if f != "parquet"]:
@@ -149,7 +150,7 @@ def publish(df: DataFrame, spec: PackageSpec, expected_rows: int | None = None,
     table = stored(df)
     if expected_rows is not None:
         expect_rows(table, expected_rows)
-    return package(table, spec), null_report(table, critical, max_null_share)
+    return package(table, spec, is_stored=True), null_report(table, critical, max_null_share)
 
 
 def null_report(table: DataFrame, critical: tuple[str, ...] = (), max_null_share: float = MAX_NULL_SHARE) -> DataFrame:

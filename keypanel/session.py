@@ -67,9 +67,17 @@ def stored(df: DataFrame) -> DataFrame:
     """Write a table as Parquet into the checkpoint folder and read it from there.
 
     For tables that several passes read: columns are pruned and sizes are known.
+    The folder goes when the session's process ends.
     """
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
     path = f"{spark.sparkContext.getCheckpointDir()}/table-{uuid4().hex}"
     df.write.parquet(path)
+    removed_at_exit(spark, path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def removed_at_exit(spark: SparkSession, path: str) -> None:
+    """Have a folder deleted, on whatever file system, when the driver ends."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(folder)
