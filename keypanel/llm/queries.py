@@ -21,7 +21,7 @@ from keypanel.llm.sharding import shard_rows
 from keypanel.llm.token_files import read_documents, shard_key, write_token_files
 from keypanel.llm.tokens import vocabulary_type
 from keypanel.llm.url_filters import filter_urls
-from keypanel.session import ensure_checkpoint_dir
+from keypanel.session import ensure_checkpoint_dir, removed_at_exit
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -80,6 +80,7 @@ def op5_token_files(spark, sf_dir):
     ensure_checkpoint_dir(spark)
     folder = f"{spark.sparkContext.getCheckpointDir()}/tokens-{uuid4().hex}"
     buckets = write_token_files(docs, folder, vocabulary, 2)
+    removed_at_exit(spark, folder)
     keys = docs.select(shard_key(F.col("doc_id")).alias("key")).distinct()
     return read_documents(spark, keys, folder, buckets, vocabulary_type(vocabulary).itemsize).select(
         F.col("key").alias("doc_id"), "start", F.col("n").alias("n_tokens"), F.crc32("ids").alias("ids_crc32"))

@@ -33,7 +33,10 @@ OVERHEAD = 16
 TOLERANCE = 0.001          # of a shard's bytes, at a shard's border
 INNER_TOLERANCE = 0.2      # at borders between ranges of one shard
 RANGE_BYTES = 64 * 1024 * 1024
-PROBES = 32                # candidates per splitter and round
+MOST_RANGES = 4096         # ranges are made larger beyond it; shards may be more
+PROBES = 32                # candidates per splitter and round, fewer where splitters are many
+CANDIDATES = 100_000       # about as many in one round
+SEARCHED = 512             # borders in one expression; beyond it they are searched on two levels
 
 KEY = ("present", "key", "hash", "number")
 WHOLE = (2, 0, 0, 0)       # above every row
@@ -81,6 +84,7 @@ def histogram(rows: DataFrame, probes: list[tuple]) -> list[tuple[int, int]]:
 
 def candidates(rows: DataFrame, brackets: list[tuple[tuple, tuple]], turn: int) -> list[tuple]:
     """Up to ``PROBES`` rows strictly inside each bracket, picked by hash."""
+    each = max(4, min(PROBES, CANDIDATES // len(brackets)))
     edges = np.array(sorted({e for b in brackets for e in b}), dtype=np.int64).reshape(-1, 4)
     inside = sorted({bisect_right([tuple(e) for e in edges.tolist()], low) for low, _ in brackets})
 
@@ -95,7 +99,7 @@ def candidates(rows: DataFrame, brackets: list[tuple[tuple, tuple]], turn: int)
 
     drawn = rows.mapInArrow(run, "at bigint, present bigint, key bigint, hash bigint, number bigint")
     drawn = drawn.withColumn("lot", F.xxhash64(*KEY, F.lit(turn)))
-    drawn = drawn.groupBy("at", F.pmod("lot", F.lit(PROBES)).alias("part")).agg(F.min_by(F.struct(*KEY), "lot").alias("k"))
+    drawn = drawn.groupBy("at", F.pmod("lot", F.lit(each)).alias("part")).agg(F.min_by(F.struct(*KEY), "lot").alias("k"))
     return sorted({tuple(r["k"]) for r in drawn.collect()})  # at most PROBES per bracket
 
 
@@ -149,6 +153,19 @@ def splitters(rows: DataFrame, shards: int, pieces: int, total: int) -> tuple[li
     return borders, known, sorted(heavy)
 
 
+def _place(df: DataFrame, order: Column, borders: list[tuple], name: str) -> DataFrame:
+    """Rows with the number of borders at or below them."""
+    if len(borders) <= SEARCHED:
+        return df.withColumn(name, _search(order, borders, 0, len(borders)))
+    step = int(len(borders) ** 0.5)
+    coarse = borders[step - 1::step]
+    rows = [(i, [tuple(map(int, b)) for b in borders[i * step:(i + 1) * step - 1]]) for i in range(len(coarse) + 1)]
+    fine = df.sparkSession.createDataFrame(rows, f"_llm_part int, _llm_fine array<struct<{', '.join(f'{n}:bigint' for n in KEY)}>>")
+    df = df.withColumn("_llm_part", _search(order, coarse, 0, len(coarse))).join(F.broadcast(fine), "_llm_part")
+    below = F.size(F.filter("_llm_fine", lambda b: b <= order))
+    return df.withColumn(name, F.col("_llm_part") * step + below).drop("_llm_part", "_llm_fine")
+
+
 def _search(order: Column, borders: list[tuple], begin: int, stop: int) -> Column:
     """Number of borders at or below a row, as a binary search of comparisons."""
     if begin == stop:
@@ -165,7 +182,7 @@ def shard_rows(df: DataFrame, shards: int, key: str = "doc_id", text: str = "tex
     keyed = _keyed(df.drop("shard", "slot", "size"), key, text)
     narrow = stored(keyed.select(*[F.col(f"_llm_{n}").alias(n) for n in KEY], F.col("_llm_size").alias("size")))
     total = narrow.agg(F.coalesce(F.sum("size"), F.lit(0)).alias("b")).first()["b"]
-    pieces = max(1, -(-total // (shards * RANGE_BYTES)))
+    pieces = max(1, min(-(-total // (shards * RANGE_BYTES)), MOST_RANGES // shards))
     borders, known, heavy = splitters(narrow, shards, pieces, total)
     if heavy:
         place = F.struct(*[F.col(n) for n in parts])
@@ -179,7 +196,7 @@ def shard_rows(df: DataFrame, shards: int, key: str = "doc_id", text: str = "tex
     starts = [(r, r // pieces, rows_below[r] - rows_below[r // pieces * pieces]) for r in range(shards * pieces)]
     ranges = df.sparkSession.createDataFrame(starts, "range int, shard int, first bigint")
     order = F.struct(*[F.col(f"_llm_{n}").alias(n) for n in KEY])
-    placed = keyed.withColumn("_llm_range", _search(order, [b[0] for b in borders], 0, len(borders)))
+    placed = _place(keyed, order, [b[0] for b in borders], "_llm_range")
     placed = placed.repartition(shards * pieces, "_llm_range")
     within = Window.partitionBy("_llm_range").orderBy(*parts)
     placed = placed.withColumn("_llm_row", F.row_number().over(within))

@@ -53,5 +53,11 @@ def test_small_ranges(spark, documents, monkeypatch):
     check(shard_rows(docs, 7).collect(), [(r["doc_id"], r["text"]) for r in docs.collect()], 7)
 
 
+def test_two_level_search(spark, documents, monkeypatch):
+    monkeypatch.setattr("keypanel.llm.sharding.SEARCHED", 5)
+    docs = documents.select("doc_id", "text")
+    check(shard_rows(docs, 23).collect(), [(r["doc_id"], r["text"]) for r in docs.collect()], 23)
+
+
 def test_empty(spark, empty):
     assert shard_rows(empty, 4).collect() == []
