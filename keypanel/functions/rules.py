@@ -92,10 +92,14 @@ OPEN_CONTAINER = RuleSet(
     default="unknown")
 
 
+# The class of a row that has both, either or neither.
+PENALTY_CLASSES = {"both": "both_jail_and_fine", "jail": "mandatory_jail_only", "fine": "fine_only", "neither": "minimal"}
+
+
 def penalty_class(jail: Column, fine: Column) -> Column:
     """Class of a row from two numbers; an unknown number counts as absent."""
     jailed, fined = F.coalesce(jail > 0, F.lit(False)), F.coalesce(fine > 0, F.lit(False))
-    return (F.when(jailed & fined, "both_jail_and_fine")
-            .when(jailed, "mandatory_jail_only")
-            .when(fined, "fine_only")
-            .otherwise("minimal"))
+    return (F.when(jailed & fined, PENALTY_CLASSES["both"])
+            .when(jailed, PENALTY_CLASSES["jail"])
+            .when(fined, PENALTY_CLASSES["fine"])
+            .otherwise(PENALTY_CLASSES["neither"]))

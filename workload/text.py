@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from keypanel.functions.rules import RuleSet, classify, longest_first
+from keypanel.functions.rules import LOOKBACK_WORDS, RuleSet, classify
 from keypanel.functions.text import duration_days, first_amount, last_amount, mentions, years_back
 from keypanel.functions.rates import flag
 from keypanel.operators.aggregate import profile_by_key
@@ -43,6 +43,7 @@ LOOKBACK_WORDS_TEXT = """CASE WHEN p_size <= 5 THEN 'Five years' WHEN p_size <=
   WHEN p_size <= 15 THEN 'Seventy Five Years' WHEN p_size <= 20 THEN 'ten years' WHEN p_size <= 25 THEN 'Seven years'
   WHEN p_size <= 30 THEN ' Lifetime ' WHEN p_size <= 35 THEN 'fifteen years' WHEN p_size <= 40 THEN 'none stated' END"""
 
+# Wordings that the attribute rules look for.
 ENFORCEMENT_TEXT = {
     "sobriety_checkpoints": """CASE p_type WHEN 'STANDARD' THEN ' Permitted ' WHEN 'ECONOMY' THEN 'Prohibited by case law'
       WHEN 'MEDIUM' THEN 'No statutory authority' WHEN 'PROMO' THEN 'ALTERNATIVE programs' WHEN 'SMALL' THEN 'pending' END""",
@@ -134,10 +135,7 @@ SELECT years, count(*) AS n FROM (
   SELECT {WORDS_SQL.format(t='t')} AS years FROM (SELECT lower({LOOKBACK_WORDS_TEXT}) AS t FROM part)) GROUP BY 1
 """)
 def longest_needle_first(spark, sf):
-    needles = longest_first({
-        "five years": 5, "seven years": 7, "ten years": 10, "twelve years": 12, "fifteen years": 15,
-        "fifty five years": 55, "seventy five years": 75, "lifetime": 99}, type_name="int")
-    parts = table(spark, sf, "part").select(classify(F.expr(LOOKBACK_WORDS_TEXT), needles).alias("years"))
+    parts = table(spark, sf, "part").select(classify(F.expr(LOOKBACK_WORDS_TEXT), LOOKBACK_WORDS).alias("years"))
     return profile_by_key(parts, ["years"], {"n": F.count("*")}, drop_null_keys=False)
 
 
