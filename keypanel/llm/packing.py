@@ -28,7 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from keypanel.llm.tokens import Encoder, byte_pieces, slices
+from keypanel.llm.tokens import encoder, slices, vocabulary_type
 from keypanel.llm.words import broadcast_if_bounded
 from keypanel.session import stored
 
@@ -98,14 +98,14 @@ def tokenized_pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, end_i
     """One row per piece, with its rank (``nth``) among the pieces of its length in its task."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, task = Encoder(path, byte_pieces), TaskContext.get().partitionId()
-        end, width = np.array([end_id], dtype=encoder.dtype).tobytes(), encoder.dtype.itemsize
+        encode, task = encoder(path, spaced=True), TaskContext.get().partitionId()
+        end, width = np.array([end_id], dtype=encode.dtype).tobytes(), encode.dtype.itemsize
         seen = [0] * (capacity + 1)
         for batch in batches:
             keys, texts = batch.column(0).to_pylist(), [t or "" for t in batch.column(1).to_pylist()]
             for begin, stop in slices(texts):
                 rows = []
-                for doc, ids in zip(keys[begin:stop], encoder.encode(texts[begin:stop])):
+                for doc, ids in zip(keys[begin:stop], encode.encode(texts[begin:stop])):
                     ids += end
                     for piece, (start, length) in enumerate(cut(len(ids) // width, capacity)):
                         rows.append((doc, piece, start, length, task, seen[length], ids[start * width:(start + length) * width]))
@@ -153,6 +153,4 @@ def placed(pieces: DataFrame, dtype: np.dtype, capacity: int = CAPACITY) -> Data
 def pack(docs: DataFrame, path: str, capacity: int = CAPACITY, end_id: int = END_ID,
          key: str = "doc_id", text: str = "text") -> DataFrame:
     """Every piece of every document: (doc_id, piece, start, length, ids, sequence_id, offset)."""
-    from keypanel.llm.tokens import vocabulary_type
-
     return placed(stored(tokenized_pieces(docs, path, capacity, end_id, key, text)), vocabulary_type(path), capacity)

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from keypanel.llm.tokens import Encoder, slices, vocabulary_type, word_pieces
+from keypanel.llm.tokens import encoder, slices, vocabulary_type
 from keypanel.llm.words import broadcast_if_bounded
 from keypanel.session import stored
 
@@ -48,21 +48,22 @@ def shard_key(column: Column) -> Column:
 
 # ---------------------------------------------------------------- shard files
 
-def write_shards(docs: DataFrame, folder: str, path: str, end_id: int, key: str = "doc_id", text: str = "text") -> None:
-    """Encode every text and write the shard files into ``folder``."""
+def write_shards(docs: DataFrame, folder: str, path: str, end_id: int, key: str = "doc_id", text: str = "text",
+                 shard_bytes: int = SHARD_BYTES) -> None:
+    """Encode every text and write shard files of about ``shard_bytes`` of text into ``folder``."""
     rows = docs.select(shard_key(F.col(key)).alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     size = rows.agg(F.coalesce(F.sum(F.octet_length("text").cast("long")), F.lit(0)).alias("b")).first()["b"]
     order = ["key", F.xxhash64("text")]
-    rows = rows.repartitionByRange(max(1, -(-size // SHARD_BYTES)), *order, F.monotonically_increasing_id())
+    rows = rows.repartitionByRange(max(1, -(-size // shard_bytes)), *order, F.monotonically_increasing_id())
     rows = rows.sortWithinPartitions(*order)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(path, word_pieces)
-        width, entries, at = encoder.dtype.itemsize, [], 0
+        encode = encoder(path, spaced=False)
+        width, entries, at = encode.dtype.itemsize, [], 0
         for batch in batches:
             keys, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             for begin, stop in slices(texts):
-                payload = encoder.encode(texts[begin:stop])
+                payload = encode.encode(texts[begin:stop])
                 for k, ids in zip(keys[begin:stop], payload):
                     n = len(ids) // width + 1
                     entries.append((k, at, n))
@@ -230,9 +231,10 @@ def lookup(keys: DataFrame, index: DataFrame, buckets: int) -> DataFrame:
     return wanted.groupBy("bucket").cogroup(index.groupBy("bucket")).applyInArrow(find, f"key bigint, runs {RUNS}")
 
 
-def write_token_files(docs: DataFrame, folder: str, path: str, end_id: int, key: str = "doc_id", text: str = "text") -> int:
+def write_token_files(docs: DataFrame, folder: str, path: str, end_id: int, key: str = "doc_id", text: str = "text",
+                      shard_bytes: int = SHARD_BYTES) -> int:
     """Shards, the index over them and the shards' first ids, in one folder; returns the index's buckets."""
-    write_shards(docs, f"{folder}/shards", path, end_id, key, text)
+    write_shards(docs, f"{folder}/shards", path, end_id, key, text, shard_bytes)
     width = vocabulary_type(path).itemsize
     entries = stored(read_shards(docs.sparkSession, f"{folder}/shards", width, ids=False))
     shard_bases(entries).write.parquet(f"{folder}/bases")

@@ -17,8 +17,8 @@ def ids(text):
     return np.array(TOKENIZER.encode(text or "", add_special_tokens=False).ids + [2], "<u4")
 
 
-def read_all(spark, docs, folder):
-    buckets = write_token_files(docs, folder, WORDS, 2)
+def read_all(spark, docs, folder, shard_bytes=1 << 24):
+    buckets = write_token_files(docs, folder, WORDS, 2, shard_bytes=shard_bytes)
     keys = docs.select(shard_key(F.col("doc_id")).alias("key")).distinct()
     return buckets, read_documents(spark, keys, folder, buckets, 2)
 
@@ -35,9 +35,8 @@ def test_query(spark, documents):
 
 
 @pytest.mark.parametrize("shard_bytes", [1 << 24, 2000])
-def test_odd_rows(spark, odd, tmp_path, monkeypatch, shard_bytes):
-    monkeypatch.setattr("keypanel.llm.token_files.SHARD_BYTES", shard_bytes)
-    _, found = read_all(spark, odd, str(tmp_path / "t"))
+def test_odd_rows(spark, odd, tmp_path, shard_bytes):
+    _, found = read_all(spark, odd, str(tmp_path / "t"), shard_bytes)
     rows = sorted(found.collect(), key=lambda r: r["start"])
     want = sorted(((r["doc_id"], ids(r["text"]).tobytes()) for r in odd.collect()), key=lambda x: (x[0] is not None, x[0] or 0, x[1]))
     got = sorted(((r["key"], bytes(r["ids"])) for r in rows), key=lambda x: (x[0] is not None, x[0] or 0, x[1]))
