@@ -20,11 +20,12 @@ not carried.
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
+from pyspark import TaskContext, cloudpickle
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -32,6 +33,9 @@ from keypanel.llm.tokens import encoder, slices, vocabulary_type
 from keypanel.llm.words import broadcast_if_bounded
 from keypanel.session import stored
 
+# Executors get these functions with the job and need no installed package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 CAPACITY = 2048
 END_ID = 0
 

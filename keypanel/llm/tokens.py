@@ -13,11 +13,16 @@ from __future__ import annotations
 import os
 import re
 import struct
+import sys
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import cloudpickle
+
+# Executors get these functions with the job and need no installed package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 # Pieces a worker remembers, and characters of text it takes at a time.
 REMEMBERED = 500_000
@@ -158,14 +163,17 @@ class Encoder:
         return [self._whole([t])[0] if a else next(found) for t, a in zip(texts, apart)]
 
 
-_ENCODERS: dict[tuple, Encoder] = {}
+def encoder(path: str, spaced: bool) -> Encoder:
+    """The worker's encoder, which outlives its tasks.
 
+    It is kept beside the tokenizers library, since this module comes anew with every job.
+    """
+    import tokenizers
 
-def encoder(path: str, spaced: bool) -> Encoder:
-    """The worker's encoder, which outlives its tasks."""
-    if (path, spaced) not in _ENCODERS:
-        _ENCODERS[path, spaced] = Encoder(path, spaced)
-    return _ENCODERS[path, spaced]
+    kept = tokenizers.__dict__.setdefault("_kept_encoders", {})
+    if (path, spaced) not in kept:
+        kept[path, spaced] = Encoder(path, spaced)
+    return kept[path, spaced]
 
 
 def id_type(vocabulary: int) -> np.dtype:
