@@ -3,12 +3,12 @@
 import duckdb
 import pytest
 
-import __spark_entry__ as entry
+import workload
 import oracle
 from keypanel.operators import joins, quantiles
 
 SF = "/root/testdata/sf0.001"
-QUERIES, SQL = entry.queries(), entry.oracle_sql()
+QUERIES, SQL = workload.QUERIES, workload.SQL
 
 HOT = {
     "lineitem": ("l_orderkey, l_partkey, l_extendedprice",
