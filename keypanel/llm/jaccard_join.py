@@ -37,7 +37,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from keypanel.llm.words import LOWER, UPPER, broadcast_if_bounded, digest
+from keypanel.llm.words import LOWER, UPPER, arrow_rows, broadcast_if_bounded, digest
 from keypanel.session import stored
 
 # Executors get these functions with the job and need no installed package.
@@ -50,6 +50,7 @@ TREES, DEPTH = 20, 8       # labels of DEPTH values in TREES trees
 BLOCK = 512                # nodes compared with each other at once
 SMALL = 8                  # a block this small passes on all likely pairs
 NEAREST = 3                # neighbours that each node of a larger block passes on
+TEXTS = 1000               # texts, or pairs of sets, that a worker gets at a time
 MARGIN = 0.12              # signatures may underrate a similarity by this much
 
 _TABLE = bytes(ord(LOWER[UPPER.index(chr(c))]) if chr(c) in UPPER
@@ -238,6 +239,12 @@ def linked(docs: DataFrame, key: str = "doc_id", text: str = "text", threshold:
 
     Nodes are (node, set_key, text_key, documents, least, signature); links (a, b, jaccard).
     """
+    with arrow_rows(docs.sparkSession, TEXTS):
+        return _linked(docs, key, text, threshold, recall)
+
+
+def _linked(docs: DataFrame, key: str, text: str, threshold: float,
+            recall: float) -> tuple[DataFrame, DataFrame, DataFrame]:
     rows = stored(signed(docs, key, text))
     nodes = stored(rows.groupBy("set_key").agg(
         F.min("text_key").alias("text_key"), F.count("*").alias("documents"), F.min("doc_id").alias("least"),

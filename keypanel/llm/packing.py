@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from keypanel.llm.tokens import encoder, slices, vocabulary_type
-from keypanel.llm.words import broadcast_if_bounded
+from keypanel.llm.words import arrow_rows, broadcast_if_bounded
 from keypanel.session import stored
 
 # Executors get these functions with the job and need no installed package.
@@ -38,6 +38,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 CAPACITY = 2048
 END_ID = 0
+TEXTS = 2000  # that a worker gets at a time
 
 
 def cut(length: int, capacity: int) -> list[tuple[int, int]]:
@@ -157,4 +158,6 @@ def placed(pieces: DataFrame, dtype: np.dtype, capacity: int = CAPACITY) -> Data
 def pack(docs: DataFrame, path: str, capacity: int = CAPACITY, end_id: int = END_ID,
          key: str = "doc_id", text: str = "text") -> DataFrame:
     """Every piece of every document: (doc_id, piece, start, length, ids, sequence_id, offset)."""
-    return placed(stored(tokenized_pieces(docs, path, capacity, end_id, key, text)), vocabulary_type(path), capacity)
+    with arrow_rows(docs.sparkSession, TEXTS):
+        pieces = stored(tokenized_pieces(docs, path, capacity, end_id, key, text))
+    return placed(pieces, vocabulary_type(path), capacity)

@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from keypanel.llm.tokens import encoder, slices, vocabulary_type
-from keypanel.llm.words import broadcast_if_bounded
+from keypanel.llm.words import arrow_rows, broadcast_if_bounded
 from keypanel.session import stored
 
 # Executors get these functions with the job and need no installed package.
@@ -40,6 +40,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 MAGIC = 0x4B505349  # closes a footer
 SHARD_BYTES = 16 * 1024 * 1024  # of text, about
+TEXTS = 2000  # that a worker gets at a time
 BUCKET_KEYS = 1024
 GROUP_KEYS = 4
 NO_KEY = -(1 << 63)  # stands for a missing key
@@ -79,7 +80,9 @@ def write_shards(docs: DataFrame, folder: str, path: str, end_id: int, key: str
             yield pa.RecordBatch.from_arrays([pa.array([tail], pa.binary())], names=["line"])
 
     end = np.array([end_id], dtype=vocabulary_type(path)).tobytes().decode("latin-1")
-    rows.mapInArrow(run, "line binary").select(F.col("line").cast("string")).write.option("lineSep", end).text(folder)
+    lines = rows.mapInArrow(run, "line binary").select(F.col("line").cast("string"))
+    with arrow_rows(docs.sparkSession, TEXTS):
+        lines.write.option("lineSep", end).text(folder)
 
 
 def read_shards(spark: SparkSession, folder: str, width: int, ids: bool = True) -> DataFrame:

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Iterator
+from contextlib import contextmanager
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -30,6 +33,22 @@ def digest(text: Column) -> Column:
     return F.unhex(F.sha2(text, 256))
 
 
+@contextmanager
+def arrow_rows(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Send Python workers at most so many rows at a time in the jobs run inside.
+
+    The default suits numbers; of whole texts it would hold tens of megabytes in
+    every worker, and again in its executor.
+    """
+    setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(setting, before)
+
+
 def gram_hash(array: Column, start: Column, size: int) -> Column:
     return F.xxhash64(*[F.get(array, start + i) for i in range(size)])
 
