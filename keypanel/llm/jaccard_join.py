@@ -7,17 +7,17 @@ from whole labels and shortens the prefix until a pair at the threshold is met i
 some tree with the target probability (``prefix_depth``).
 
 A bucket is the set of nodes under one prefix.  The same set of nodes usually
-meets in many trees and is treated once.  Pairs go straight to verification.  In
-larger buckets signatures are compared inside blocks of bounded size; a bucket too
-big for a block is dealt by a hash that differs from tree to tree, so its nodes
-meet other company in every tree.  A block passes on all likely pairs if it is
-small, else those of a maximum spanning forest and each node's nearest few: as
-many as it has nodes, never all pairs.  Pairs are then verified on whole shingle
-sets and linked nodes joined to classes.
+meets in many trees and is treated once.  In a bucket signatures and sizes tell the
+likely pairs; a spanning forest of them is passed on, which is enough to find the
+groups of nodes that likely pairs connect.  A bucket too big for a block is dealt by
+a hash that differs from tree to tree, so its nodes meet other company in every tree.
+Every pair of nodes of a group is then verified on whole shingle sets: a group's sets
+meet in tiles of bounded size, each pair in one tile, and a tile gives the number of
+links of each node and a spanning forest of the links, never a list of all pairs.
+Linked nodes are joined to classes.
 
 Result: one row per document with ``class_id`` (least doc_id of its class) and
-``n_links`` (documents it is linked to by verified pairs, copies included).  In a
-large group of mutually similar texts links are the ones passed on, not all pairs.
+``n_links`` (documents it is linked to by verified pairs, copies included).
 
 Defined cases: a text of fewer than five words is one shingle of all its words.
 Missing, empty and wordless texts have no shingles, no links and a class of their
@@ -48,8 +48,7 @@ THRESHOLD = 0.8
 RECALL = 0.995
 TREES, DEPTH = 20, 8       # labels of DEPTH values in TREES trees
 BLOCK = 512                # nodes compared with each other at once
-SMALL = 8                  # a block this small passes on all likely pairs
-NEAREST = 3                # neighbours that each node of a larger block passes on
+TILE, TILE_BYTES = 1024, 16 << 20  # nodes, and bytes of their sets, on either side of a tile
 TEXTS = 1000               # texts, or pairs of sets, that a worker gets at a time
 MARGIN = 0.12              # signatures may underrate a similarity by this much
 
@@ -98,7 +97,7 @@ def signature(grams: np.ndarray) -> bytes:
 
 
 def signed(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """(doc_id, text_key, set_key, signature) of every document with words."""
+    """(doc_id, text_key, set_key, signature, size) of every document with words; size counts shingles."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -108,15 +107,15 @@ def signed(docs: DataFrame, key: str, text: str) -> DataFrame:
                 for doc, name, words in zip(*(part.column(i).to_pylist() for i in range(3))):
                     grams = shingles(words)
                     if len(grams):
-                        rows.append((doc, name, xxhash.xxh3_128_digest(grams.tobytes()), signature(grams)))
+                        rows.append((doc, name, xxhash.xxh3_128_digest(grams.tobytes()), signature(grams), len(grams)))
                 if rows:
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(
-                        zip(*rows), (pa.int64(), pa.binary(), pa.binary(), pa.binary()))],
-                        names=["doc_id", "text_key", "set_key", "signature"])
+                        zip(*rows), (pa.int64(), pa.binary(), pa.binary(), pa.binary(), pa.int32()))],
+                        names=["doc_id", "text_key", "set_key", "signature", "size"])
 
     rows = docs.select(F.col(key).cast("long").alias("doc_id"), _text_key(text), F.col(text).alias("text"))
     return rows.where("text is not null").mapInArrow(
-        run, "doc_id bigint, text_key binary, set_key binary, signature binary")
+        run, "doc_id bigint, text_key binary, set_key binary, signature binary, size int")
 
 
 def _text_key(text: str):
@@ -124,44 +123,61 @@ def _text_key(text: str):
 
 
 def forest_pairs(nodes: DataFrame, depth: int, threshold: float) -> DataFrame:
-    """Distinct candidate pairs (a, b), a < b, of the stored table (node, signature)."""
+    """Likely pairs (a, b), a < b, that connect all nodes of the stored table (node, signature, size) that meet and are alike."""
     labels = nodes.select("node", F.explode(F.sequence(F.lit(0), F.lit(TREES - 1))).alias("tree"), "signature").select(
         "node", "tree", F.substring(F.col("signature"), F.col("tree") * (2 * DEPTH) + 1, F.lit(2 * depth)).alias("prefix"))
     labels = labels.select("node", F.xxhash64("tree", "prefix").alias("bucket"))
     buckets = stored(labels.groupBy("bucket").agg(
         F.count("*").alias("n"), F.min("node").alias("a"), F.max("node").alias("b"),
         F.bit_xor(F.xxhash64("node")).alias("x"), F.bit_xor(F.xxhash64("node", F.lit(1))).alias("y")).where("n > 1"))
-    pairs = buckets.where("n = 2").select("a", "b")
     larger = buckets.where("n > 2").groupBy("n", "a", "b", "x", "y").agg(F.min("bucket").alias("bucket"))
-    members = labels.join(larger.select("bucket", "n"), "bucket").join(nodes.select("node", "signature"), "node")
+    members = labels.join(larger.select("bucket", "n"), "bucket").join(nodes.select("node", "signature", "size"), "node")
     members = members.withColumn("block", F.pmod(F.xxhash64("node", "bucket"), F.ceil(F.col("n") / BLOCK)))
     least = max(0.0, threshold - MARGIN)
 
     def match(frame: pd.DataFrame) -> pd.DataFrame:
-        node = frame["node"].to_numpy(np.int64)
+        node, size = frame["node"].to_numpy(np.int64), frame["size"].to_numpy(np.int64)
         values = np.frombuffer(b"".join(frame["signature"]), "<u2").reshape(len(node), -1)
-        left, right, alike = [], [], []
+        group, found = np.arange(len(node)), []
         for i in range(len(node) - 1):
-            share = (values[i + 1:] == values[i]).mean(axis=1)
-            near = np.flatnonzero(share >= least)
-            left.append(np.full(len(near), i))
-            right.append(near + i + 1)
-            alike.append(share[near])
-        if not left:
-            return pd.DataFrame({"a": [], "b": []}, dtype="int64")
-        left, right, alike = np.concatenate(left), np.concatenate(right), np.concatenate(alike)
-        if len(node) > SMALL:
-            left, right = _passed_on(len(node), left, right, alike)
+            near = np.flatnonzero(group[i + 1:] != group[i]) + i + 1
+            near = near[np.minimum(size[near], size[i]) >= threshold * np.maximum(size[near], size[i])]
+            share = (values[near] == values[i]).mean(axis=1)
+            _joined(group, i, near[share >= least], share[share >= least], found)
+        left, right = _passed_on(len(node), *_columns(found))
         return pd.DataFrame({"a": np.minimum(node[left], node[right]), "b": np.maximum(node[left], node[right])})
 
+    def alike(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            one, two = (np.frombuffer(b"".join(batch.column(i).to_pylist()), "<u2").reshape(batch.num_rows, -1) for i in (2, 3))
+            yield batch.select([0, 1]).filter(pa.array((one == two).mean(axis=1) >= least))
+
+    pairs = buckets.where("n = 2").select("a", "b").distinct()
+    for end, name in (("a", "one"), ("b", "two")):
+        pairs = pairs.join(nodes.select(F.col("node").alias(end), F.col("signature").alias(name), F.col("size").alias(f"n_{name}")), end)
+    pairs = pairs.where(F.least("n_one", "n_two") >= threshold * F.greatest("n_one", "n_two")).select("a", "b", "one", "two")
     blocks = members.groupBy("bucket", "block").applyInPandas(match, "a bigint, b bigint")
-    return pairs.unionByName(blocks).distinct()
+    return pairs.mapInArrow(alike, "a bigint, b bigint").unionByName(blocks).distinct()
+
+
+def _joined(group: np.ndarray, i: int, near: np.ndarray, alike: np.ndarray, found: list) -> None:
+    """Note the pairs of i with nodes of other groups and make these groups one."""
+    fresh = group[near] != group[i]
+    if fresh.any():
+        near = near[fresh]
+        found.append((np.full(len(near), i), near, alike[fresh]))
+        group[np.isin(group, group[near])] = group[i]
+
+
+def _columns(found: list) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    left, right, alike = zip(*found) if found else ([np.empty(0, np.int64)], [np.empty(0, np.int64)], [np.empty(0)])
+    return np.concatenate(left), np.concatenate(right), np.concatenate(alike)
 
 
 def _passed_on(n: int, left: np.ndarray, right: np.ndarray, alike: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs of a maximum spanning forest and of each node's nearest few."""
+    """Pairs of a maximum spanning forest."""
     order = np.argsort(-alike, kind="stable")
-    root, given = list(range(n)), [0] * n
+    root = list(range(n))
     keep = []
 
     def find(i: int) -> int:
@@ -172,10 +188,8 @@ def _passed_on(n: int, left: np.ndarray, right: np.ndarray, alike: np.ndarray) -
 
     for k, i, j in zip(order.tolist(), left[order].tolist(), right[order].tolist()):
         a, b = find(i), find(j)
-        if a != b or given[i] < NEAREST or given[j] < NEAREST:
+        if a != b:
             root[a] = b
-            given[i] += 1
-            given[j] += 1
             keep.append(k)
     return left[keep], right[keep]
 
@@ -202,6 +216,68 @@ def verified(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
         F.col("jaccard") >= threshold)
 
 
+def group_links(groups: DataFrame, nodes: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
+    """Links inside the groups of the stored table (node, root), every pair of a group verified.
+
+    Rows (a, b, jaccard, others): with a < b a link, as many as connect all linked nodes;
+    with a = b a node and the number of documents that some of its links lead to.
+    """
+    sizes = groups.join(nodes.select("node", "size"), "node").groupBy("root").agg(
+        F.count("*").alias("n"), F.min("node").alias("a"), F.max("node").alias("b"), F.sum("size").alias("grams"))
+    sizes = stored(sizes.withColumn("parts", F.greatest(
+        F.ceil(F.col("n") / TILE), F.ceil(F.col("grams") * 8 / TILE_BYTES))))
+
+    # a tile holds the nodes of two parts of a group, or of one part
+    tiles = groups.join(sizes.where("n > 2").select("root", "parts"), "root").join(nodes.select("node", "documents"), "node")
+    tiles = tiles.withColumn("part", F.pmod(F.xxhash64("node"), "parts")).withColumn(
+        "other", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("parts") - 1)))
+    tiles = tiles.select("node", "documents", "root", F.least("part", "other").alias("low"), F.greatest("part", "other").alias("high"),
+                         (F.col("part") > F.col("other")).alias("second")).join(sets, "node")
+
+    def match(frame: pd.DataFrame) -> pd.DataFrame:
+        size = frame["grams"].map(len).to_numpy(np.int64) // 8
+        order = np.lexsort((size, frame["second"]))
+        frame, size = frame.iloc[order], size[order]
+        node, documents = frame["node"].to_numpy(np.int64), frame["documents"].to_numpy(np.int64)
+        start = np.concatenate([[0], np.cumsum(size)])
+        values, grams = np.unique(np.frombuffer(b"".join(frame["grams"]), "<u8"), return_inverse=True)
+        mark, others = np.zeros(len(values), np.int32), np.zeros(len(node), np.int64)
+        across = frame["low"].iloc[0] != frame["high"].iloc[0]
+        first = len(node) - int(frame["second"].sum())
+        group, found = np.arange(len(node)), []
+        for i in range(first):
+            at = first if across else i + 1
+            low = at + np.searchsorted(size[at:], threshold * size[i] - 0.001)
+            high = at + np.searchsorted(size[at:], size[i] / threshold + 0.001, "right")
+            if low >= high:
+                continue
+            own = grams[start[i]:start[i + 1]]
+            mark[own] = 1
+            both = np.add.reduceat(mark[grams[start[low]:start[high]]], start[low:high] - start[low])
+            mark[own] = 0
+            share = both / (size[i] + size[low:high] - both)
+            near = np.flatnonzero(share >= threshold)
+            others[i] += documents[low + near].sum()
+            others[low + near] += documents[i]
+            _joined(group, i, low + near, share[near], found)
+        left, right, alike = _columns(found)
+        kept = pd.DataFrame({"a": node[left], "b": node[right], "jaccard": alike, "others": 0})
+        kept["a"], kept["b"] = kept[["a", "b"]].min(axis=1), kept[["a", "b"]].max(axis=1)
+        counts = pd.DataFrame({"a": node, "b": node, "jaccard": 1.0, "others": others})
+        return pd.concat([kept, counts[others > 0]])
+
+    schema = "a bigint, b bigint, jaccard double, others bigint"
+    many = tiles.groupBy("root", "low", "high").applyInPandas(match, schema)
+    pairs = verified(sizes.where("n = 2").select("a", "b"), sets, threshold)
+    for end in ("a", "b"):
+        pairs = pairs.join(nodes.select(F.col("node").alias(end), F.col("documents").alias(f"n_{end}")), end)
+    none = F.lit(0).cast("bigint")
+    rows = F.array(F.struct("a", "b", "jaccard", none.alias("others")),
+                   F.struct("a", F.col("a").alias("b"), F.lit(1.0).alias("jaccard"), F.col("n_b").alias("others")),
+                   F.struct(F.col("b").alias("a"), "b", F.lit(1.0).alias("jaccard"), F.col("n_a").alias("others")))
+    return many.unionByName(pairs.select(F.inline(rows)))
+
+
 def shingle_sets(docs: DataFrame, wanted: DataFrame, text: str) -> DataFrame:
     """(node, grams) of the wanted nodes; ``wanted`` has (node, text_key)."""
 
@@ -237,7 +313,8 @@ def linked(docs: DataFrame, key: str = "doc_id", text: str = "text", threshold:
            recall: float = RECALL) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(signed documents, nodes, links): stored tables of the join.
 
-    Nodes are (node, set_key, text_key, documents, least, signature); links (a, b, jaccard).
+    Nodes are (node, set_key, text_key, documents, least, signature, size, others), others being the
+    documents of other nodes that a node is linked to; links (a, b, jaccard) connect all linked nodes.
     """
     with arrow_rows(docs.sparkSession, TEXTS):
         return _linked(docs, key, text, threshold, recall)
@@ -248,25 +325,22 @@ def _linked(docs: DataFrame, key: str, text: str, threshold: float,
     rows = stored(signed(docs, key, text))
     nodes = stored(rows.groupBy("set_key").agg(
         F.min("text_key").alias("text_key"), F.count("*").alias("documents"), F.min("doc_id").alias("least"),
-        F.first("signature").alias("signature")).withColumn("node", F.monotonically_increasing_id()))
+        F.first("signature").alias("signature"), F.first("size").alias("size")).withColumn("node", F.monotonically_increasing_id()))
     pairs = stored(forest_pairs(nodes, prefix_depth(threshold, recall), threshold))
-    wanted = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
-    sets = stored(shingle_sets(docs, wanted.join(nodes.select("node", "text_key"), "node"), text))
-    return rows, nodes, stored(verified(pairs, sets, threshold))
+    groups = components(pairs)
+    sets = stored(shingle_sets(docs, groups.join(nodes.select("node", "text_key"), "node").select("node", "text_key"), text))
+    found = stored(group_links(groups, nodes, sets, threshold))
+    degrees = found.where("a = b").groupBy(F.col("a").alias("node")).agg(F.sum("others").alias("others"))
+    nodes = nodes.join(degrees, "node", "left").fillna(0, ["others"])
+    return rows, nodes, found.where("a < b").select("a", "b", "jaccard")
 
 
 def jaccard_join(docs: DataFrame, key: str = "doc_id", text: str = "text", threshold: float = THRESHOLD,
                  recall: float = RECALL) -> DataFrame:
     """All documents with ``class_id`` and ``n_links``."""
     rows, nodes, links = linked(docs, key, text, threshold, recall)
-    sizes = nodes.select("node", "set_key", "documents", "least")
-    ends = links.select(F.col("a").alias("node"), F.col("b").alias("other")).unionByName(
-        links.select(F.col("b").alias("node"), F.col("a").alias("other")))
-    degrees = ends.join(sizes.select(F.col("node").alias("other"), "documents"), "other").groupBy("node").agg(
-        F.sum("documents").alias("others"))
-    known = sizes.join(components(links), "node", "left").join(degrees, "node", "left").select(
-        "set_key", "least", F.coalesce("root", "node").alias("root"),
-        (F.col("documents") - 1 + F.coalesce("others", F.lit(0))).alias("n_links"))
+    known = nodes.join(components(links), "node", "left").select(
+        "set_key", "least", F.coalesce("root", "node").alias("root"), (F.col("documents") - 1 + F.col("others")).alias("n_links"))
     known = stored(known)
     classes = known.groupBy("root").agg(F.min("least").alias("class_id"))
     results = rows.select("text_key", "set_key").distinct().join(known, "set_key").join(classes, "root").select(

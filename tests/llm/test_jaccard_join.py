@@ -135,3 +135,48 @@ def test_large_blocks_pass_on_few_pairs():
     left, right = np.triu_indices(100, 1)
     a, b = _passed_on(100, left, right, np.linspace(1, 0.8, len(left)))
     assert len(a) < 500 and set(a) | set(b) == set(range(100))
+
+
+def family(draw, size, first, width=120):
+    """Distinct near copies of one text, each with up to two other words."""
+    base, rows = [f"f{first}w{i}" for i in range(width)], []
+    for i in range(size):
+        words = list(base)
+        for at in draw.choice(width, draw.integers(1, 3), replace=False):
+            words[at] = f"x{draw.integers(1e9)}"
+        rows.append((first + i, " ".join(words)))
+    return rows
+
+
+def test_every_link_of_a_large_family_is_counted(spark):
+    draw, rows = np.random.default_rng(7), []
+    for size in (9, 20, 50, 200, 1500):
+        rows += family(draw, size, 10_000 * size)
+    found = {r["doc_id"]: (r["class_id"], r["n_links"]) for r in jaccard_join(
+        spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for size in (9, 20, 50, 200, 1500):
+        own = [r for r in rows if r[0] // 10_000 == size]
+        assert [found[doc] for doc, _ in own] == brute_family(own)
+
+
+def brute_family(rows):
+    """``brute`` for texts of which all may be linked: set operations on all pairs."""
+    sets = [shingle_set(t) for _, t in rows]
+    links, root = [0] * len(rows), list(range(len(rows)))
+
+    def find(i):
+        while root[i] != i:
+            root[i] = root[root[i]]
+            i = root[i]
+        return i
+
+    for i, j in combinations(range(len(rows)), 2):
+        both = len(sets[i] & sets[j])
+        if both >= 0.8 * (len(sets[i]) + len(sets[j]) - both):
+            links[i] += 1
+            links[j] += 1
+            root[find(j)] = find(i)
+    least = defaultdict(list)
+    for i, (doc, _) in enumerate(rows):
+        least[find(i)].append(doc)
+    return [(min(least[find(i)]), links[i]) for i in range(len(rows))]
