@@ -9,8 +9,8 @@ some tree with the target probability (``prefix_depth``).
 A bucket is the set of nodes under one prefix.  The same set of nodes usually
 meets in many trees and is treated once.  In a bucket signatures and sizes tell the
 likely pairs; a spanning forest of them is passed on, which is enough to find the
-groups of nodes that likely pairs connect.  A bucket too big for a block is dealt by
-a hash that differs from tree to tree, so its nodes meet other company in every tree.
+groups of nodes that likely pairs connect.  A bucket too big for a block is cut into
+blocks and every two of them are compared, so no pair of a bucket is left out.
 Every pair of nodes of a group is then verified on whole shingle sets: a group's sets
 meet in tiles of bounded size, each pair in one tile, and a tile gives the number of
 links of each node and a spanning forest of the links, never a list of all pairs.
@@ -34,7 +34,7 @@ import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from keypanel.llm.words import LOWER, UPPER, arrow_rows, broadcast_if_bounded, digest
@@ -47,7 +47,7 @@ SHINGLE = 5
 THRESHOLD = 0.8
 RECALL = 0.995
 TREES, DEPTH = 20, 8       # labels of DEPTH values in TREES trees
-BLOCK = 512                # nodes compared with each other at once
+BLOCK = 2048               # nodes of a bucket on either side of a comparison
 TILE, TILE_BYTES = 1024, 16 << 20  # nodes, and bytes of their sets, on either side of a tile
 TEXTS = 1000               # texts, or pairs of sets, that a worker gets at a time
 MARGIN = 0.12              # signatures may underrate a similarity by this much
@@ -131,19 +131,22 @@ def forest_pairs(nodes: DataFrame, depth: int, threshold: float) -> DataFrame:
         F.count("*").alias("n"), F.min("node").alias("a"), F.max("node").alias("b"),
         F.bit_xor(F.xxhash64("node")).alias("x"), F.bit_xor(F.xxhash64("node", F.lit(1))).alias("y")).where("n > 1"))
     larger = buckets.where("n > 2").groupBy("n", "a", "b", "x", "y").agg(F.min("bucket").alias("bucket"))
-    members = labels.join(larger.select("bucket", "n"), "bucket").join(nodes.select("node", "signature", "size"), "node")
-    members = members.withColumn("block", F.pmod(F.xxhash64("node", "bucket"), F.ceil(F.col("n") / BLOCK)))
+    members = labels.join(larger.select("bucket", F.ceil(F.col("n") / BLOCK).alias("parts")), "bucket")
+    members = _tiled(members, F.xxhash64("node", "bucket")).join(nodes.select("node", "signature", "size"), "node")
     least = max(0.0, threshold - MARGIN)
 
     def match(frame: pd.DataFrame) -> pd.DataFrame:
+        frame = frame.sort_values("second")
         node, size = frame["node"].to_numpy(np.int64), frame["size"].to_numpy(np.int64)
+        across = frame["low"].iloc[0] != frame["high"].iloc[0]
+        first = len(node) - int(frame["second"].sum())
         values = np.frombuffer(b"".join(frame["signature"]), "<u2").reshape(len(node), -1)
         group, found = np.arange(len(node)), []
-        for i in range(len(node) - 1):
-            near = np.flatnonzero(group[i + 1:] != group[i]) + i + 1
+        for i, at, end, new in _spans(len(node), first, across):
+            near = np.flatnonzero(group[at:end] != group[i]) + at
             near = near[np.minimum(size[near], size[i]) >= threshold * np.maximum(size[near], size[i])]
             share = (values[near] == values[i]).mean(axis=1)
-            _joined(group, i, near[share >= least], share[share >= least], found)
+            _joined(group, i, near[share >= least], share[share >= least], found if new else [])
         left, right = _passed_on(len(node), *_columns(found))
         return pd.DataFrame({"a": np.minimum(node[left], node[right]), "b": np.maximum(node[left], node[right])})
 
@@ -156,17 +159,38 @@ def forest_pairs(nodes: DataFrame, depth: int, threshold: float) -> DataFrame:
     for end, name in (("a", "one"), ("b", "two")):
         pairs = pairs.join(nodes.select(F.col("node").alias(end), F.col("signature").alias(name), F.col("size").alias(f"n_{name}")), end)
     pairs = pairs.where(F.least("n_one", "n_two") >= threshold * F.greatest("n_one", "n_two")).select("a", "b", "one", "two")
-    blocks = members.groupBy("bucket", "block").applyInPandas(match, "a bigint, b bigint")
+    blocks = members.groupBy("bucket", "low", "high").applyInPandas(match, "a bigint, b bigint")
     return pairs.mapInArrow(alike, "a bigint, b bigint").unionByName(blocks).distinct()
 
 
+def _tiled(rows: DataFrame, hashed: Column) -> DataFrame:
+    """Rows dealt to ``parts`` parts and repeated for every tile (low, high): one part or two, ``second`` the one numbered higher."""
+    rows = rows.withColumn("part", F.pmod(hashed, "parts")).withColumn(
+        "other", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("parts") - 1)))
+    return rows.withColumns({"low": F.least("part", "other"), "high": F.greatest("part", "other"),
+                             "second": F.col("part") > F.col("other")}).drop("parts", "part", "other")
+
+
 def _joined(group: np.ndarray, i: int, near: np.ndarray, alike: np.ndarray, found: list) -> None:
-    """Note the pairs of i with nodes of other groups and make these groups one."""
-    fresh = group[near] != group[i]
-    if fresh.any():
-        near = near[fresh]
-        found.append((np.full(len(near), i), near, alike[fresh]))
-        group[np.isin(group, group[near])] = group[i]
+    """Note one pair of i with every other group among the near nodes and make these groups one."""
+    groups, at = np.unique(group[near], return_index=True)
+    at, groups = at[groups != group[i]], groups[groups != group[i]]
+    if len(at):
+        found.append((np.full(len(at), i), near[at], alike[at]))
+        group[np.isin(group, groups)] = group[i]
+
+
+def _spans(n: int, first: int, across: bool) -> Iterator[tuple[int, int, int, bool]]:
+    """(i, at, end, new): node i is compared with the nodes at:end of a tile.
+
+    In a tile across two parts the pairs inside a part, which that part's own tile gives,
+    come first and are not new: they only tell which nodes are connected already.
+    """
+    if across:
+        for i in range(n):
+            yield i, i + 1, first if i < first else n, False
+    for i in range(first):
+        yield i, first if across else i + 1, n, True
 
 
 def _columns(found: list) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -227,12 +251,8 @@ def group_links(groups: DataFrame, nodes: DataFrame, sets: DataFrame, threshold:
     sizes = stored(sizes.withColumn("parts", F.greatest(
         F.ceil(F.col("n") / TILE), F.ceil(F.col("grams") * 8 / TILE_BYTES))))
 
-    # a tile holds the nodes of two parts of a group, or of one part
     tiles = groups.join(sizes.where("n > 2").select("root", "parts"), "root").join(nodes.select("node", "documents"), "node")
-    tiles = tiles.withColumn("part", F.pmod(F.xxhash64("node"), "parts")).withColumn(
-        "other", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("parts") - 1)))
-    tiles = tiles.select("node", "documents", "root", F.least("part", "other").alias("low"), F.greatest("part", "other").alias("high"),
-                         (F.col("part") > F.col("other")).alias("second")).join(sets, "node")
+    tiles = _tiled(tiles, F.xxhash64("node")).join(sets, "node")
 
     def match(frame: pd.DataFrame) -> pd.DataFrame:
         size = frame["grams"].map(len).to_numpy(np.int64) // 8
@@ -245,11 +265,10 @@ def group_links(groups: DataFrame, nodes: DataFrame, sets: DataFrame, threshold:
         across = frame["low"].iloc[0] != frame["high"].iloc[0]
         first = len(node) - int(frame["second"].sum())
         group, found = np.arange(len(node)), []
-        for i in range(first):
-            at = first if across else i + 1
-            low = at + np.searchsorted(size[at:], threshold * size[i] - 0.001)
-            high = at + np.searchsorted(size[at:], size[i] / threshold + 0.001, "right")
-            if low >= high:
+        for i, at, end, new in _spans(len(node), first, across):
+            low = at + np.searchsorted(size[at:end], threshold * size[i] - 0.001)
+            high = at + np.searchsorted(size[at:end], size[i] / threshold + 0.001, "right")
+            if low >= high or not new and (group[low:high] == group[i]).all():
                 continue
             own = grams[start[i]:start[i + 1]]
             mark[own] = 1
@@ -257,9 +276,10 @@ def group_links(groups: DataFrame, nodes: DataFrame, sets: DataFrame, threshold:
             mark[own] = 0
             share = both / (size[i] + size[low:high] - both)
             near = np.flatnonzero(share >= threshold)
-            others[i] += documents[low + near].sum()
-            others[low + near] += documents[i]
-            _joined(group, i, low + near, share[near], found)
+            if new:
+                others[i] += documents[low + near].sum()
+                others[low + near] += documents[i]
+            _joined(group, i, low + near, share[near], found if new else [])
         left, right, alike = _columns(found)
         kept = pd.DataFrame({"a": node[left], "b": node[right], "jaccard": alike, "others": 0})
         kept["a"], kept["b"] = kept[["a", "b"]].min(axis=1), kept[["a", "b"]].max(axis=1)
