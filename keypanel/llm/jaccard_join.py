@@ -358,13 +358,18 @@ def _linked(docs: DataFrame, key: str, text: str, threshold: float,
 def jaccard_join(docs: DataFrame, key: str = "doc_id", text: str = "text", threshold: float = THRESHOLD,
                  recall: float = RECALL) -> DataFrame:
     """All documents with ``class_id`` and ``n_links``."""
+    return _classed(docs, key, text, threshold, recall).drop("_llm_root")
+
+
+def _classed(docs: DataFrame, key: str, text: str, threshold: float = THRESHOLD, recall: float = RECALL) -> DataFrame:
+    """``jaccard_join`` with ``_llm_root``, the class's own identity; documents without words have none."""
     rows, nodes, links = linked(docs, key, text, threshold, recall)
     known = nodes.join(components(links), "node", "left").select(
         "set_key", "least", F.coalesce("root", "node").alias("root"), (F.col("documents") - 1 + F.col("others")).alias("n_links"))
     known = stored(known)
     classes = known.groupBy("root").agg(F.min("least").alias("class_id"))
     results = rows.select("text_key", "set_key").distinct().join(known, "set_key").join(classes, "root").select(
-        F.col("text_key").alias("_llm_key"), "class_id", "n_links")
+        F.col("text_key").alias("_llm_key"), F.col("root").alias("_llm_root"), "class_id", "n_links")
     out = docs.drop("class_id", "n_links").withColumn("_llm_text", _text_key(text))
     return out.join(broadcast_if_bounded(results, 128), F.col("_llm_text") == F.col("_llm_key"), "left").drop("_llm_text", "_llm_key").withColumns({
         "class_id": F.coalesce("class_id", F.col(key).cast("long")), "n_links": F.coalesce("n_links", F.lit(0)).cast("long")})
@@ -372,9 +377,9 @@ def jaccard_join(docs: DataFrame, key: str = "doc_id", text: str = "text", thres
 
 def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """The documents with one of each class: the one with the least id."""
-    joined = jaccard_join(docs, key, text)
+    joined = _classed(docs, key, text)
     kept = joined.where(F.col(key).cast("long").eqNullSafe(F.col("class_id")))
     lone, shared = kept.where("n_links = 0"), kept.where("n_links > 0")
-    if not shared.groupBy("class_id").agg(F.count("*").alias("n")).where("n > 1").isEmpty():
-        shared = shared.dropDuplicates(["class_id"])  # ids that repeat inside a class
-    return lone.unionByName(shared).drop("class_id", "n_links")
+    if not shared.groupBy("_llm_root").agg(F.count("*").alias("n")).where("n > 1").isEmpty():
+        shared = shared.dropDuplicates(["_llm_root"])  # ids that repeat or are missing inside a class
+    return lone.unionByName(shared).drop("class_id", "n_links", "_llm_root")

@@ -200,3 +200,13 @@ def test_links_passed_on_grow_with_the_texts(spark):
     rows = family(np.random.default_rng(9), 3000, 0)
     _, nodes, links = linked(spark.createDataFrame(rows, "doc_id long, text string"))
     assert nodes.count() == 3000 and links.count() < 2 * 3000
+
+
+def test_one_of_each_group_whatever_its_ids(spark):
+    """Two groups without ids, two that share a repeated id, and a group whose ids are missing in part."""
+    texts = [" ".join(f"g{g}w{i}" for i in range(60)) for g in range(5)]
+    near = [t + " end" for t in texts]  # 56 of 57 shingles
+    rows = [(None, x) for g in (0, 1) for x in (texts[g], texts[g], near[g])]
+    rows += [(7, x) for g in (2, 3) for x in (texts[g], texts[g], near[g])] + [(None, texts[4]), (9, near[4])]
+    kept = [(r["doc_id"], r["text"].split("w")[0]) for r in one_of_each(spark.createDataFrame(rows, "doc_id long, text string")).collect()]
+    assert sorted(kept, key=lambda r: r[1]) == [(None, "g0"), (None, "g1"), (7, "g2"), (7, "g3"), (9, "g4")]
