@@ -5,9 +5,11 @@ and all others as named users; the mask lists the character ranges that the
 participant wrote (with the closing marker), the only ones to train on.
 
 A dialogue is rendered in parts of consecutive turns, so no task holds an unbounded
-conversation: a part covers ``TURNS`` turn numbers, and where more rows than that
-share them (repeated turns, rows without a conversation) hashes deal the rows to
-several parts.  Parts are numbered in order; ordinary dialogues have one.
+conversation: a block covers ``TURNS`` turn numbers, and where more rows than that
+share them (repeated turns, rows without a conversation) their order cuts the block
+into lots of ``TURNS`` rows.  The parts of one perspective joined by block and lot
+are the whole rendering; masks count from the start of a part.  Ordinary dialogues
+have one part.
 
 Defined cases: turns are ordered by number, then speaker, then text; missing
 numbers come first.  A missing text is empty; a missing or empty speaker is shown
@@ -19,9 +21,11 @@ written ``<\\|`` so that it can't be taken for a marker.  Extra columns are not
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from keypanel.session import stored
+
 TURNS = 256
 UNKNOWN = "unknown"
 SYSTEM = "system"
@@ -38,18 +42,45 @@ def _head(role: Column, speaker: Column) -> Column:
             .otherwise(F.concat(F.lit("<|user name="), escaped(role), F.lit("|>\n"))))
 
 
+def _missing_first(rows: DataFrame, counts: DataFrame) -> DataFrame:
+    """Turns without a number in the first block of their conversation, where numbers below zero are."""
+    below = counts.where("block < 0").groupBy(F.col("conv_id").alias("c")).agg(F.min("block").alias("first"))
+    return rows.join(below, F.col("conv_id").eqNullSafe(F.col("c")), "left").withColumn(
+        "block", F.when(F.col("turn").isNull(), F.coalesce("first", "block")).otherwise(F.col("block"))).drop("c", "first")
+
+
+def _in_lots(rows: DataFrame) -> DataFrame:
+    """Rows of crowded blocks with the lot that their rank gives: place in a sorted range and rows of the ranges before."""
+    order = ["conv_id", "block", "turn", "role", "text"]
+    # equal rows differ by a number that only spreads them
+    ranged = rows.withColumn("spread", F.monotonically_increasing_id() % 1024).repartitionByRange(*order, "spread")
+    ranged = stored(ranged.sortWithinPartitions(*order).select(*order, F.monotonically_increasing_id().alias("place")))
+    ranged = ranged.withColumn("task", F.shiftright("place", 33))
+    bases = ranged.groupBy(F.col("conv_id").alias("c"), F.col("block").alias("b"), F.col("task").alias("t")).agg(
+        F.count("*").alias("n"), F.min("place").alias("first"))
+    before = Window.partitionBy("c", "b").orderBy("t").rowsBetween(Window.unboundedPreceding, -1)
+    bases = bases.withColumn("before", F.coalesce(F.sum("n").over(before), F.lit(0)))
+    ranged = ranged.join(bases, F.col("conv_id").eqNullSafe(F.col("c")) & (F.col("block") == F.col("b")) & (F.col("task") == F.col("t")))
+    return ranged.select(*order, F.floor((F.col("place") - F.col("first") + F.col("before")) / TURNS).alias("lot"))
+
+
 def dialogue_parts(turns: DataFrame, conv: str, turn: str, role: str, text: str) -> DataFrame:
     """(conv_id, block, lot, turns): ordered turns of bounded parts."""
     rows = turns.select(F.col(conv).alias("conv_id"), F.col(turn).cast("long").alias("turn"),
                         F.when(F.coalesce(F.col(role), F.lit("")) == "", UNKNOWN).otherwise(F.col(role)).alias("role"),
                         F.coalesce(F.col(text), F.lit("")).alias("text"))
-    # equal rows differ by a number that only spreads them
-    rows = rows.withColumn("spread", F.xxhash64("turn", "role", "text", F.monotonically_increasing_id() % 1024))
     rows = rows.withColumn("block", F.floor(F.coalesce("turn", F.lit(0)) / TURNS))
-    crowded = rows.groupBy("conv_id", "block").agg(F.count("*").alias("n")).where(F.col("n") > TURNS).select(
-        F.col("conv_id").alias("c"), F.col("block").alias("b"), F.ceil(F.col("n") / TURNS).alias("lots"))
-    rows = rows.join(crowded, F.col("conv_id").eqNullSafe(F.col("c")) & (F.col("block") == F.col("b")), "left")
-    rows = rows.withColumn("lot", F.coalesce(F.pmod("spread", "lots"), F.lit(0)).cast("long"))
+    counts = rows.groupBy("conv_id", "block").agg(F.count("*").alias("n"))
+    most, least = counts.agg(F.max("n"), F.min("block")).first()
+    if least is not None and least < 0:
+        rows = _missing_first(rows, counts)
+        counts = rows.groupBy("conv_id", "block").agg(F.count("*").alias("n"))
+        most = counts.agg(F.max("n")).first()[0]
+    rows = rows.withColumn("lot", F.lit(0).cast("long"))
+    if most is not None and most > TURNS:
+        crowded = counts.where(F.col("n") > TURNS).select(F.col("conv_id").alias("c"), F.col("block").alias("b"))
+        same = F.col("conv_id").eqNullSafe(F.col("c")) & (F.col("block") == F.col("b"))
+        rows = rows.join(crowded, same, "left_anti").unionByName(_in_lots(rows.join(crowded, same, "left_semi")))
     return rows.groupBy("conv_id", "block", "lot").agg(
         F.sort_array(F.collect_list(F.struct("turn", "role", "text"))).alias("turns"))
 

@@ -186,6 +186,31 @@ def test_crowded_conversation_is_dealt_to_bounded_parts(spark):
     assert sum(r["n_turns"] for r in rows) == 2 * 3000 and max(r["n_turns"] for r in rows) <= 600
 
 
+def test_parts_of_a_crowded_conversation_join_to_the_whole(spark):
+    """Hot, null and repeated conversations and turns: parts in order are the whole rendering, in any file layout."""
+    turns = [(None, i % 3, "ab"[i % 2], f"text {i}") for i in range(1500)] + [(1, 0, "a", "same")] * 700
+    turns += [(2, i - 300, "ab"[i % 2], str(i)) for i in range(900)] + [(2, None, "b", f"none {i}") for i in range(300)]
+    turns += [(3, 0, "a", "one"), (3, 1, "b", "two")]
+    df = spark.createDataFrame(turns, "conv_id long, turn long, role string, text string")
+    want = {}
+    for conv in (None, 1, 2, 3):
+        own = sorted(((t[1] is not None, t[1] or 0, t[2], t[3]) for t in turns if t[0] == conv))
+        for speaker in {t[2] for t in turns if t[0] == conv}:
+            want[(conv, speaker)] = render([(r, x) for _, _, r, x in own], speaker)
+    results = []
+    for layout in (df, df.repartition(7, "text")):
+        rows = sorted(rotate(layout).collect(), key=lambda r: (str(r["conv_id"]), r["speaker"], r["block"], r["lot"]))
+        found = {}
+        for r in rows:
+            assert r["n_turns"] <= 256
+            text, mask = found.get((r["conv_id"], r["speaker"]), ("", []))
+            found[(r["conv_id"], r["speaker"])] = (
+                text + r["text"], mask + [(m["start"] + len(text), m["stop"] + len(text)) for m in r["mask"]])
+        assert found == want
+        results.append([tuple(r) for r in rows])
+    assert results[0] == results[1]
+
+
 # ------------------------------------------------------------------------ revisits
 
 RECORDS = "record_id long, type string, uri string, date timestamp, status int, headers array<struct<name:string,value:string>>, payload string, url string"
