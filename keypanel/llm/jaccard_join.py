@@ -1,10 +1,13 @@
-"""N-gram Jaccard self-join by a MinHash LSH forest.
+"""N-gram Jaccard self-join by MinHash banding.
 
 Texts become sets of five-word shingles; equal sets are one node.  A MinHash
-signature gives each node one label in every tree of the forest.  Sorted labels
-form a prefix trie: nodes under a common prefix are candidates.  Matching starts
-from whole labels and shortens the prefix until a pair at the threshold is met in
-some tree with the target probability (``prefix_depth``).
+signature gives each node one label of ``DEPTH`` values in each of ``TREES`` trees.
+Nodes under a common prefix of a label are candidates.  All prefixes have one fixed
+depth, computed from threshold and recall (``prefix_depth``): the longest at which a
+pair at the threshold meets in some tree with the target probability.  This is banding,
+not an LSH forest: no trie is walked and no prefix is fitted to a node.  The threshold
+is the same for all nodes, so one depth serves all; values beyond it only serve the
+estimate of similarity.
 
 A bucket is the set of nodes under one prefix.  The same set of nodes usually
 meets in many trees and is treated once.  In a bucket signatures and sizes tell the
