@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from keypanel.llm import oracles
+from keypanel.llm import byte_bpe, oracles
 from keypanel.llm.chat_format import rotate
 from keypanel.llm.decontamination import decontaminate
 from keypanel.llm.jaccard_join import jaccard_join
@@ -147,3 +147,12 @@ def op10_revisits(spark, sf_dir):
         F.col("record_id").alias("page_id"), "url", "response_id", "state",
         F.array_join(F.transform("headers", lambda h: F.concat_ws(": ", h["name"], h["value"])), "\n").alias("headers"),
         F.md5("payload").alias("payload_md5"))
+
+
+@query()
+def op11_byte_bpe(spark, sf_dir):
+    vocabulary = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    encoded = byte_bpe.encode(table(spark, sf_dir, "documents"), vocabulary)
+    hashed = encoded.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), "ids", "ends")
+    return byte_bpe.decode(hashed, vocabulary).select(
+        "doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"))
