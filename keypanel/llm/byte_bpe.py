@@ -24,11 +24,13 @@ from __future__ import annotations
 
 import base64
 import heapq
+import struct
 import sys
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -39,7 +41,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 # Slices a worker remembers, and bytes of text whose code points it takes at a time.
 REMEMBERED = 500_000
-WINDOW = 6_000_000
+WINDOW = 1_000_000
 # Longest slice whose pairs are kept in a list, and the rank of a pair that never merges.
 SHORT_BYTES, NEVER = 64, 1 << 62
 
@@ -168,7 +170,10 @@ class Coder:
 
     def __init__(self, ranks: dict[bytes, int], ranges: list[tuple[int, int]]):
         self.ranks, self.classes = ranks, class_table(ranges)
+        self.bytes = [ranks.get(bytes([b]), -1) for b in range(256)]
+        self.pairs = {ranks[t[:i]] << 32 | ranks[t[i:]]: r for t, r in ranks.items() for i in range(1, len(t)) if t[:i] in ranks and t[i:] in ranks}
         self.known: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
         tokens = [b""] * (max(ranks.values(), default=-1) + 1)
         for token, rank in ranks.items():
             tokens[rank] = token
@@ -213,37 +218,36 @@ class Coder:
 
     def _merged_short(self, piece: bytes) -> list[int]:
         """All pairs' ranks in a list; right for any length, fast for words."""
-        rank, parts = self.ranks.get, [piece[i:i + 1] for i in range(len(piece))]
-        pairs = [rank(piece[i:i + 2], NEVER) for i in range(len(piece) - 1)]
+        rank, ids = self.pairs.get, [self.bytes[b] for b in piece]
+        pairs = [rank(a << 32 | b, NEVER) for a, b in zip(ids, ids[1:])]
         while pairs and (least := min(pairs)) != NEVER:
             i = pairs.index(least)
-            parts[i:i + 2] = [parts[i] + parts[i + 1]]
-            del pairs[i]
+            ids[i] = least
+            del ids[i + 1], pairs[i]
             if i < len(pairs):
-                pairs[i] = rank(parts[i] + parts[i + 1], NEVER)
+                pairs[i] = rank(least << 32 | ids[i + 1], NEVER)
             if i:
-                pairs[i - 1] = rank(parts[i - 1] + parts[i], NEVER)
-        return [self.ranks[p] for p in parts]
+                pairs[i - 1] = rank(ids[i - 1] << 32 | least, NEVER)
+        return ids
 
     def _merged_long(self, piece: bytes) -> list[int]:
         """Pairs in a heap: time grows little faster than the slice."""
-        n, ranks = len(piece), self.ranks
-        end, before, gone = list(range(1, n + 1)), list(range(-1, n - 1)), [False] * n  # of the part that begins at i
-        heap = [(ranks[piece[i:i + 2]], i, i + 2) for i in range(n - 1) if piece[i:i + 2] in ranks]
+        n, rank, ids = len(piece), self.pairs.get, [self.bytes[b] for b in piece]
+        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
+        heap = [(r, i, a, b) for i, (a, b) in enumerate(zip(ids, ids[1:])) if (r := rank(a << 32 | b)) is not None]
         heapq.heapify(heap)
         while heap:
-            _, i, stop = heapq.heappop(heap)
-            right = end[i]
-            if gone[i] or right >= n or end[right] != stop:
+            least, i, a, b = heapq.heappop(heap)
+            if ids[i] != a or (right := after[i]) >= n or ids[right] != b:
                 continue  # one of the two has changed since
-            gone[right], end[i] = True, stop
-            if stop < n:
-                before[stop] = i
-                if (rank := ranks.get(piece[i:end[stop]])) is not None:
-                    heapq.heappush(heap, (rank, i, end[stop]))
-            if (left := before[i]) >= 0 and (rank := ranks.get(piece[left:stop])) is not None:
-                heapq.heappush(heap, (rank, left, stop))
-        return [ranks[piece[i:end[i]]] for i in range(n) if not gone[i]]
+            ids[i], ids[right], after[i] = least, -1, after[right]
+            if after[i] < n:
+                before[after[i]] = i
+                if (r := rank(least << 32 | ids[after[i]])) is not None:
+                    heapq.heappush(heap, (r, i, least, ids[after[i]]))
+            if (left := before[i]) >= 0 and (r := rank(ids[left] << 32 | least)) is not None:
+                heapq.heappush(heap, (r, left, ids[left], least))
+        return [x for x in ids if x >= 0]
 
     def encode(self, texts: list[bytes]) -> list[np.ndarray]:
         """Ids of every text."""
@@ -257,12 +261,15 @@ class Coder:
             starts = self.starts(data, offsets[:-1][np.diff(offsets) > 0])
         bounds = np.append(starts, len(data)).astype(np.int64)
         pieces = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(bounds), pa.py_buffer(data)]).dictionary_encode()
-        if len(self.known) > REMEMBERED:
-            self.known = {}
+        if len(self.known) > REMEMBERED // 2:
+            self.known, self.older = {}, self.known
         made = []
         for piece in pieces.dictionary.to_pylist():
             if (ids := self.known.get(piece)) is None:
-                ids = self.known[piece] = np.array(self.merged(piece), "<u4").tobytes()
+                if (ids := self.older.get(piece)) is None:
+                    own = self.merged(piece)
+                    ids = struct.pack(f"<{len(own)}I", *own)
+                self.known[piece] = ids
             made.append(ids)
         counts = np.array([len(m) // 4 for m in made], np.int64)
         lists = pa.LargeListArray.from_arrays(np.concatenate([[0], np.cumsum(counts)]), np.frombuffer(b"".join(made), "<u4"))
@@ -307,37 +314,51 @@ def coder(path: str, ranges: list[tuple[int, int]]) -> Coder:
     return kept[path]
 
 
-def groups(texts: list[bytes]) -> Iterator[tuple[int, int]]:
+def valid(text: bytes) -> bytes:
+    """The text, with U+FFFD for bytes that are no UTF-8."""
+    try:
+        text.decode()
+        return text
+    except UnicodeDecodeError:
+        return text.decode(errors="replace").encode()
+
+
+def groups(sizes: list[int]) -> Iterator[tuple[int, int]]:
     """Ranges of rows of at most ``WINDOW`` bytes together; a longer text is alone."""
-    begin = size = 0
-    for i, text in enumerate(texts):
-        if i > begin and size + len(text) > WINDOW:
+    begin = total = 0
+    for i, size in enumerate(sizes):
+        if i > begin and total + size > WINDOW:
             yield begin, i
-            begin, size = i, 0
-        size += len(text)
-    if begin < len(texts):
-        yield begin, len(texts)
+            begin, total = i, 0
+        total += size
+    if begin < len(sizes):
+        yield begin, len(sizes)
+
 
+def encode(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text", decoded: bool = False) -> DataFrame:
+    """(key, n_tokens long, ids, ends) of every row; ids and ends are little-endian unsigned 32-bit integers.
 
-def encode(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """(key, n_tokens long, ids, ends) of every row; ids and ends are little-endian unsigned 32-bit integers."""
-    if key in ("n_tokens", "ids", "ends"):
+    With ``decoded`` the worker decodes the ids as well and adds the bytes as a column of that name.
+    """
+    if key in ("n_tokens", "ids", "ends", "decoded"):
         raise ValueError(f"the name of the key clashes with a result: {key}")
     ranges = class_ranges()
     kind = docs.select(F.col(f"`{key}`")).schema[0].dataType
-    schema = T.StructType([T.StructField(key, kind), T.StructField("n_tokens", T.LongType()),
-                           T.StructField("ids", T.BinaryType()), T.StructField("ends", T.BinaryType())])
+    schema = T.StructType([T.StructField(key, kind), T.StructField("n_tokens", T.LongType()), T.StructField("ids", T.BinaryType()),
+                           T.StructField("ends", T.BinaryType()), *[T.StructField("decoded", T.BinaryType())] * decoded])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = coder(path, ranges)
         for batch in batches:
-            texts = [(t or b"").decode(errors="replace").encode() for t in batch.column(1).cast(pa.binary()).to_pylist()]
-            for begin, stop in groups(texts):
-                ids = own.encode(texts[begin:stop])
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(begin, stop - begin), pa.array([len(x) for x in ids], pa.int64()),
-                     pa.array([x.tobytes() for x in ids], pa.binary()), pa.array([own.ends(x).tobytes() for x in ids], pa.binary())],
-                    names=[key, "n_tokens", "ids", "ends"])
+            texts = batch.column(1).cast(pa.binary()).fill_null(b"")
+            for begin, stop in groups(pc.binary_length(texts).to_pylist()):
+                ids = own.encode([valid(t) for t in texts.slice(begin, stop - begin).to_pylist()])
+                ends = [own.ends(x) for x in ids]
+                columns = [batch.column(0).slice(begin, stop - begin), pa.array([len(x) for x in ids], pa.int64()),
+                           pa.array([x.tobytes() for x in ids], pa.binary()), pa.array([e.tobytes() for e in ends], pa.binary())]
+                if decoded:
+                    columns.append(pa.array([own.decode(x, e) for x, e in zip(ids, ends)], pa.binary()))
+                yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 
     return docs.select(F.col(f"`{key}`"), F.col(f"`{text}`")).mapInArrow(run, schema)
 
@@ -346,13 +367,15 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
     """All columns of encoded rows, with ``decoded`` (the text's bytes) in place of ids and ends."""
     others = [f for f in encoded.schema.fields if f.name not in ("ids", "ends", "decoded")]
     schema = T.StructType([*others, T.StructField("decoded", T.BinaryType())])
-    names, ranges = [f.name for f in others], class_ranges()
+    ranges = class_ranges()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = coder(path, ranges)
         for batch in batches:
-            texts = [own.decode(np.frombuffer(i, "<u4"), np.frombuffer(e, "<u4"))
-                     for i, e in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())]
-            yield pa.RecordBatch.from_arrays([*batch.columns[2:], pa.array(texts, pa.binary())], names=[*names, "decoded"])
+            for begin, stop in groups(pc.binary_length(batch.column(0)).to_pylist()):
+                rows = batch.slice(begin, stop - begin)
+                texts = [own.decode(np.frombuffer(i, "<u4"), np.frombuffer(e, "<u4"))
+                         for i, e in zip(rows.column(0).to_pylist(), rows.column(1).to_pylist())]
+                yield pa.RecordBatch.from_arrays([*rows.columns[2:], pa.array(texts, pa.binary())], names=schema.names)
 
-    return encoded.select("ids", "ends", *[F.col(f"`{n}`") for n in names]).mapInArrow(run, schema)
+    return encoded.select("ids", "ends", *[F.col(f"`{f.name}`") for f in others]).mapInArrow(run, schema)

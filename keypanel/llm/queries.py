@@ -151,8 +151,5 @@ def op10_revisits(spark, sf_dir):
 
 @query()
 def op11_byte_bpe(spark, sf_dir):
-    vocabulary = public_tokenizers.path("byte_bpe_50k.tiktoken")
-    encoded = byte_bpe.encode(table(spark, sf_dir, "documents"), vocabulary)
-    hashed = encoded.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), "ids", "ends")
-    return byte_bpe.decode(hashed, vocabulary).select(
-        "doc_id", "n_tokens", "ids_sha256", F.sha2("decoded", 256).alias("decoded_sha256"))
+    rows = byte_bpe.encode(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), decoded=True)
+    return rows.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
