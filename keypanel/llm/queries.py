@@ -15,6 +15,7 @@ from keypanel.llm.decontamination import decontaminate
 from keypanel.llm.jaccard_join import jaccard_join
 from keypanel.llm.license_scan import scan_licenses
 from keypanel.llm.packing import pack
+from keypanel.llm.periodic_runs import periodic_runs
 from keypanel.llm.quality_rules import judge_quality
 from keypanel.llm.revisits import resolve_revisits
 from keypanel.llm.sharding import shard_rows
@@ -153,3 +154,26 @@ def op10_revisits(spark, sf_dir):
 def op11_byte_bpe(spark, sf_dir):
     rows = byte_bpe.encode(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), decoded=True)
     return rows.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+def with_periodic_tails(docs: DataFrame) -> DataFrame:
+    """Documents, one in ten of which goes on from one of its words with a period that its id decides."""
+    number = F.crc32(F.col("doc_id").cast("string"))
+    chosen = docs.select("doc_id", "text", F.expr("crc32(CAST(doc_id AS STRING)) DIV 10").alias("g"),
+                         F.when(number % 10 == 0, F.array_remove(F.split("text", r"[\x20\x09-\x0D]+"), "")).alias("w"))
+    placed = chosen.withColumn("n", F.size("w")).withColumn("a", F.expr("IF(n > 0, g % n, null)")).withColumn(
+        "p", F.expr("1 + (n - a) DIV (3 + g % 8)"))
+    tail = F.expr("slice(flatten(array_repeat(slice(w, int(a + 1), int(p)), int((n - a + p - 1) DIV p))), 1, int(n - a))")
+    changed = F.array_join(F.concat(F.expr("slice(w, 1, int(a))"), tail), " ")
+    return placed.select("doc_id", F.when(F.col("n") > 0, changed).otherwise(F.col("text")).alias("text"))
+
+
+@query()
+def op12_periodic_runs(spark, sf_dir):
+    found = periodic_runs(with_periodic_tails(table(spark, sf_dir, "documents")))
+    longest = F.array_max(F.transform("runs", lambda r: F.struct(r["length"], (-r["start"]).alias("s"), (-r["period"]).alias("p"))))
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    return found.withColumn("longest", longest).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), (-F.col("longest.s")).alias("start"), F.col("longest.length").alias("length"),
+        (-F.col("longest.p")).alias("period"), F.expr("1000 * longest.length DIV -longest.p").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
