@@ -19,9 +19,11 @@ from keypanel.llm.periodic_runs import periodic_runs
 from keypanel.llm.quality_rules import judge_quality
 from keypanel.llm.revisits import resolve_revisits
 from keypanel.llm.sharding import shard_rows
+from keypanel.llm.spelling import spelling_variants
 from keypanel.llm.token_files import read_documents, shard_key, write_token_files
 from keypanel.llm.tokens import vocabulary_type
 from keypanel.llm.url_filters import filter_urls
+from keypanel.llm.words import lower_ascii
 from keypanel.session import ensure_checkpoint_dir, removed_at_exit
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -177,3 +179,19 @@ def op12_periodic_runs(spark, sf_dir):
         "doc_id", F.size("runs").cast("long").alias("n_runs"), (-F.col("longest.s")).alias("start"), F.col("longest.length").alias("length"),
         (-F.col("longest.p")).alias("period"), F.expr("1000 * longest.length DIV -longest.p").alias("exponent_milli"),
         F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
+def counted_words(docs: DataFrame) -> DataFrame:
+    """(word, n) of at least 5 letters and 3 occurrences; a hash of document and word takes a letter out of some."""
+    found = docs.select(F.col("doc_id").cast("string").alias("doc"), F.explode(F.regexp_extract_all(
+        lower_ascii(F.col("text")), F.lit("[a-z\u00C0-\u00FF]{5,}"), F.lit(0))).alias("run"))
+    hashed = found.withColumn("h", F.crc32(F.concat_ws(":", "doc", "run")))
+    less = F.expr("concat(left(run, int(h % length(run))), substring(run, int(h % length(run)) + 2))")
+    word = F.when(F.col("doc").isNotNull() & (F.col("h") % 97 == 0), less).otherwise(F.col("run"))
+    counts = hashed.select(word.alias("word")).where(F.char_length("word") >= 5).groupBy("word").agg(F.count("*").alias("n"))
+    return counts.where("n >= 3")
+
+
+@query()
+def op13_spelling_variants(spark, sf_dir):
+    return spelling_variants(counted_words(table(spark, sf_dir, "documents"))).select("word", "form", "root", "n", "n_near", "form_n")
