@@ -9,9 +9,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from keypanel.functions.rules import LOOKBACK_WORDS, RuleSet, classify
-from keypanel.functions.text import duration_days, first_amount, last_amount, mentions, years_back
+from keypanel.functions.text import duration_days, first_amount, last_amount, mentions, normalized, years_back
 from keypanel.functions.rates import flag
 from keypanel.operators.aggregate import profile_by_key
+from keypanel.operators.needles import classify_by_table
 from keypanel.plans.attributes import enforcement_attributes, page_attributes, penalties
 from keypanel.sources import html
 from keypanel.sources.lines import label_values, with_line_pairs
@@ -155,6 +156,24 @@ def classify_text(spark, sf):
     return profile_by_key(parts, ["category"], {"n": F.count("*")})
 
 
+NEEDLE = "substring(t, CAST(1 + (doc_id * 7 + i * 131) % (length(t) - 16) AS INT), CAST(10 + i % 7 AS INT))"
+
+
+@query(f"""
+WITH texts AS (SELECT doc_id, trim(lower(text), {"concat(' ', chr(9), chr(10), chr(13), chr(12), chr(11))"}) AS t FROM documents),
+rules AS (SELECT {NEEDLE} AS needle, doc_id * 10 + i AS rank FROM texts, range(10) AS r(i) WHERE length(t) > 16)
+SELECT doc_id, CASE WHEN t IS NULL THEN 'unknown' WHEN min(rank) IS NULL THEN 'other' ELSE concat('rule ', min(rank)) END AS category
+FROM texts LEFT JOIN rules ON contains(t, needle) GROUP BY doc_id, t
+""")
+def needle_table_rules(spark, sf):
+    """Ten needles from every document: 10,000 rules at the size that is checked."""
+    documents = table(spark, sf, "documents").select("doc_id", "text")
+    texts = documents.select("doc_id", normalized(F.col("text")).alias("t")).where("length(t) > 16")
+    rules = texts.select("doc_id", "t", F.explode(F.sequence(F.lit(0), F.lit(9))).alias("i")).select(
+        F.expr(NEEDLE).alias("needle"), F.expr("doc_id * 10 + i").alias("rank"), F.expr("concat('rule ', doc_id * 10 + i)").alias("result"))
+    return classify_by_table(documents, "text", rules, default="other", missing="unknown").select("doc_id", "category")
+
+
 def _enforcement_sql() -> str:
     raw = ", ".join(f"trim(lower({e})) AS r{i}" for i, e in enumerate(ENFORCEMENT_TEXT.values()))
     methods = ENFORCEMENT_TEXT["duid_implied_consent_testing_methods"]
