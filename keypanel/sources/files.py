@@ -13,9 +13,9 @@ from pyspark.sql import types as T
 from keypanel.functions.text import null_tokens
 from keypanel.operators.clean import safe_cast
 from keypanel.operators.columns import flatten_structs
-from keypanel.sources import html, zipped
+from keypanel.sources import archives, html, zipped
 
-SOURCE_TYPES = ("csv", "json", "html_table", "html_scrape", "csv_zip", "parquet")
+SOURCE_TYPES = ("csv", "json", "html_table", "html_scrape", "csv_zip", "csv_archive", "parquet")
 
 
 @dataclass(frozen=True)
@@ -128,6 +128,8 @@ def read_source(spark: SparkSession, spec: SourceSpec) -> DataFrame:
     if spec.type == "csv_zip":
         return typed(zipped.read_zipped_csv(spark, spec.path, spec.member, list(spec.columns),
                                             spec.encoding), spec.columns)
+    if spec.type == "csv_archive":
+        return typed(archives.read_archives(spark, spec.path, spec.member, list(spec.columns), spec.encoding), spec.columns)
     if spec.type == "html_table":
         pages = html.read_pages(spark, spec.path, spec.encoding)
         return html.named_table(html.page_tables(pages, spec.table_index, spec.largest), list(spec.columns))
