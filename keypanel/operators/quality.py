@@ -17,11 +17,11 @@ MAX_NULL_SHARE = 0.10
 def null_audit(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     """Rows, nulls and null share per column, from one aggregate over the table."""
     names = columns or df.columns
-    return _null_shares(df.agg(F.count("*").alias("rows"), *[
+    return null_shares(df.agg(F.count("*").alias("rows"), *[
         F.count_if(F.col(f"`{c}`").isNull()).alias(f"n{i}") for i, c in enumerate(names)]), names)
 
 
-def _null_shares(counts: DataFrame, names: list[str]) -> DataFrame:
+def null_shares(counts: DataFrame, names: list[str]) -> DataFrame:
     """One row per column from one row with ``rows`` and the nulls ``n0``, ``n1``, ..."""
     entries = F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"n{i}").alias("nulls"))
                         for i, c in enumerate(names)])
