@@ -13,12 +13,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from keypanel.functions.text import normalized
+from keypanel.operators.bitmaps import MOST_BITS, bit_array, bits_for, may_hold
+from keypanel.session import stored
 
 # An id with fewer rows than this is never treated apart; entries of a frequent-items
 # sketch; number of groups sketches are merged in.
 HOT_ROWS = 100_000
 TRACKED_IDS = 4096
 MERGE_GROUPS = 1024
+# With fewer bits for an id than this a bit array rules out too few events.
+LEAST_BITS_PER_ID = 4
 
 
 def one_per_key(df: DataFrame, keys: list[str]) -> DataFrame:
@@ -75,7 +79,7 @@ def hot_hashes(df: DataFrame, on: list[str], min_rows: int = HOT_ROWS,
 
 
 def exists_flag(events: DataFrame, ids: DataFrame, on: str | list[str], name: str,
-                hot_rows: int | None = HOT_ROWS) -> DataFrame:
+                hot_rows: int | None = HOT_ROWS, prefilter: bool = False) -> DataFrame:
     """Add a 0/1 column: does the id of this row occur in ``ids``?
 
     ``ids`` is reduced to distinct ids first, so rows never multiply.  Ids (an
@@ -85,12 +89,26 @@ def exists_flag(events: DataFrame, ids: DataFrame, on: str | list[str], name: st
     All other rows are spread evenly by the join.  Finding the hot ids is one job
     over the id columns; ``hot_rows=None`` skips it.  Ids are compared in the type
     they have in ``events``.
+
+    ``prefilter`` is for events of which most have no partner: the distinct ids set the bits of
+    an array (8 MB at most), and events whose bit is not set, or whose id is missing, get their 0
+    where they are read.  Only the others are joined.  With more ids than such an
+    array can tell apart it is left out; the result is the same.
     """
     on = [on] if isinstance(on, str) else list(on)
     if name in events.columns:
         raise ValueError(f"the events already have a column {name!r}")
     ids = ids.select(*[F.col(c).try_cast(events.schema[c].dataType).alias(c) for c in on])
     known = ids.dropna().distinct().withColumn(name, F.lit(1))
+    misses = None
+    if prefilter:
+        known = stored(known)
+        count = known.count()
+        if count * LEAST_BITS_PER_ID <= MOST_BITS:
+            bits = bits_for(count)
+            may = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in on]) & may_hold(bit_array(known, on, bits), bits, *[F.col(c) for c in on])
+            misses = events.filter(~may).withColumn(name, F.lit(0))
+            events = events.filter(may)
     hot = hot_hashes(events, on, hot_rows) if hot_rows is not None else []
     if hot:
         is_hot = F.xxhash64(*on).isin(hot)
@@ -99,7 +117,8 @@ def exists_flag(events: DataFrame, ids: DataFrame, on: str | list[str], name: st
         joined = spread.unionByName(apart)
     else:
         joined = events.join(known, on, "left")
-    return joined.select(*events.columns, F.coalesce(F.col(name), F.lit(0)).alias(name))
+    flagged = joined.select(*events.columns, F.coalesce(F.col(name), F.lit(0)).alias(name))
+    return flagged if misses is None else flagged.unionByName(misses)
 
 
 def label_join(df: DataFrame, other: DataFrame, label: str, other_label: str,

@@ -1,4 +1,4 @@
-"""Exact quantiles without gathering a group in one place."""
+"""Exact quantiles in two passes, without gathering a group in one place."""
 
 from __future__ import annotations
 
@@ -6,21 +6,32 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-# Buckets per power of two on the first level, and per bucket on the second.
-LOG_STEPS = 128
-RANGE_STEPS = 4096
+# Size of a sketch, which holds about three times as many values at most, and by how many
+# times its stated error (at 99 % confidence) a bracket is wider than the rank it is for.
+SKETCH = 4096
+MARGIN = 4
+# Ranks that rounding may cost at either end, four times over.
+ROUNDING = 12
+
+
+def rank_error(k: int) -> float:
+    """The part of a group's rows by which a rank in a sketch of size ``k`` may be wrong."""
+    return 2.296 / k ** 0.9021
 
 
 def exact_quantiles(df: DataFrame, keys: list[str], value: str, probs: dict[str, float],
-                    also: dict[str, Column] | None = None) -> DataFrame:
+                    also: dict[str, Column] | None = None, k: int = SKETCH) -> DataFrame:
     """Exact, linearly interpolated quantiles of ``value`` per key.
 
-    Rows are first reduced to counts of (key, value), combined on the map side; no
-    raw row goes into a join.  The buckets that hold a wanted rank are found by
-    cumulative counts on two levels, by order of magnitude and in equal steps inside
-    it; only the distinct values of those buckets are put in order.  A key with most
-    of the rows is spread over its buckets, so no task sorts a whole group.  It is
-    one lazy plan, the same for all sizes.
+    The first pass makes a mergeable sketch per key, combined on the map side, which
+    brackets each quantile between two values.  The second counts the rows below a bracket and
+    the copies of each value inside it, again combined on the map side; only these values are
+    put in order.  A bracket holds ``2 * MARGIN * rank_error(k)`` of the rows of its key,
+    about one in a hundred; a larger ``k`` makes it narrower.  The rank
+    that is wanted lies inside with a probability that leaves chance out of account (seven
+    standard deviations or more); should it not, the job fails and says so.  Rows meet the brackets of
+    their key in a join that Spark broadcasts when they are small; no raw row is shuffled then.  It is
+    one lazy plan of two scans and four exchanges, the same for all sizes.
 
     ``also`` names further aggregates per key over the column ``value``.  The result
     has one row per key, with ``also`` and ``probs``; quantiles are NULL for a key
@@ -28,56 +39,50 @@ def exact_quantiles(df: DataFrame, keys: list[str], value: str, probs: dict[str,
     """
     number = F.col(value).cast("double")
     ids = [f"_k{i}" for i in range(len(keys))]
-    rows = df.select(F.struct(*[F.col(k).alias(i) for k, i in zip(keys, ids)]).alias("_key"),
+    rows = df.select(F.struct(*[F.col(c).alias(i) for c, i in zip(keys, ids)]).alias("_key"),
                      F.when(~F.isnan(number), number).alias("value"))
-    extra = also or {}
-    groups = rows.groupBy("_key").agg(F.count("value").alias("_n"),
-                                      *[column.alias(name) for name, column in extra.items()])
+    extra = [column.alias(f"_a{i}") for i, column in enumerate((also or {}).values())]
+    groups = rows.groupBy("_key").agg(F.count("value").alias("_n"), F.kll_sketch_agg_double("value", k).alias("_sketch"), *extra)
     positions = [(F.col("_n") - 1) * F.lit(float(q)) for q in probs.values()]
-    ranks = F.array_distinct(F.array(*[r for p in positions for r in (F.floor(p), F.ceil(p))]))
-    wanted = groups.filter("_n > 0").select("_key", F.explode(ranks).alias("_rank"), F.lit(0).cast("bigint").alias("_below"))
-
-    counts = rows.dropna(subset=["value"]).groupBy("_key", "value").agg(F.count("*").alias("_size"))
-    near = _holding(counts.withColumn("_at", _magnitude()), wanted, ["_key"])
-    counts = counts.withColumn("_b", _magnitude()).join(
-        near.select("_key", F.col("_at").alias("_b"), "_low", "_high").distinct(), ["_key", "_b"])
-    near = near.select("_key", F.col("_at").alias("_b"), "_rank", "_below")
-    nearer = _holding(counts.withColumn("_at", _equal_steps()), near, ["_key", "_b"])
-    counts = counts.withColumn("_c", _equal_steps()).drop("_low", "_high").join(
-        nearer.select("_key", "_b", F.col("_at").alias("_c")).distinct(), ["_key", "_b", "_c"])
-    nearer = nearer.select("_key", "_b", F.col("_at").alias("_c"), "_rank", "_below")
-    found = _holding(counts.withColumn("_at", F.col("value")), nearer, ["_key", "_b", "_c"])
-
-    at_rank = found.groupBy("_key").agg(F.map_from_entries(F.collect_list(F.struct("_rank", "_at"))).alias("_values"))
-    result = [F.col(f"_key.{i}").alias(k) for i, k in zip(ids, keys)] + [F.col(name) for name in extra]
-    for name, position in zip(probs, positions):
-        low, high = (F.try_element_at("_values", end(position)) for end in (F.floor, F.ceil))
-        part = position - F.floor(position)
-        endless = (low == float("-inf")) & (high < float("inf"))
-        result.append(F.when((low == high) | (part == 0) | endless, low).otherwise(low + (high - low) * part).alias(name))
-    return groups.join(at_rank, "_key", "left").select(*result)
+    brackets = groups.select("_key", "_n", F.struct(F.lit(0).alias("_"), *[f"_a{i}" for i in range(len(extra))]).alias("_also"),
+                             F.when(F.col("_n") > 0, F.array(*[_bracket(q, k) for q in probs.values()])).alias("_in"))
 
+    v = F.col("value")
+    places = [F.when(v <= F.col("_in")[i]["high"], F.struct(F.lit(i).alias("i"), F.when(v >= F.col("_in")[i]["low"], v).alias("value")))
+              for i in range(len(probs))]
+    missing = F.when(v.isNull(), F.struct(F.lit(-1).alias("i"), v.alias("value")))  # keeps keys without values
+    counts = (rows.join(brackets, "_key").select("_key", "_n", "_also", F.explode(F.array(missing, *places)).alias("_p")).where("_p IS NOT NULL")
+              .select("_key", "_n", "_also", F.col("_p.i").alias("_i"), F.col("_p.value").alias("value"))
+              .groupBy("_key", "_n", "_also", "_i", "value").agg(F.count("*").alias("_size")))
 
-def _holding(counts: DataFrame, wanted: DataFrame, within: list[str]) -> DataFrame:
-    """The buckets (``_at``) that hold the wanted ranks, with their ends and the rows below them."""
-    sums = counts.groupBy(*within, "_at").agg(
-        F.sum("_size").alias("_rows"), F.min("value").alias("_low"), F.max("value").alias("_high"))
-    order = W.partitionBy(*within).orderBy("_at").rowsBetween(W.unboundedPreceding, W.currentRow)
-    spans = sums.withColumn("_end", F.sum("_rows").over(order))
-    reached = F.col("_rank") - F.col("_below")
-    return wanted.join(spans, within).filter((F.col("_end") - F.col("_rows") <= reached) & (reached < F.col("_end"))).select(
-        *within, "_rank", "_at", "_low", "_high", (F.col("_below") + F.col("_end") - F.col("_rows")).alias("_below"))
+    # A bracket's row without a value counts the rows below it and comes first.
+    order = W.partitionBy("_key", "_i").orderBy(F.asc_nulls_first("value")).rowsBetween(W.unboundedPreceding, W.currentRow)
+    ordered = counts.repartition("_key").withColumn("_end", F.sum("_size").over(order))
+    ends = []
+    for i, position in enumerate(positions):
+        for rank, name in ((F.floor(position), f"_low{i}"), (F.ceil(position), f"_high{i}")):
+            here = (F.col("_i") == i) & (F.col("_end") - F.col("_size") <= rank) & (rank < F.col("_end"))
+            ends.append(F.max(F.when(here, v)).alias(name))
+    found = ordered.groupBy("_key", "_n", "_also").agg(*ends)
 
+    result = [F.col(f"_key.{i}").alias(c) for i, c in zip(ids, keys)]
+    result += [F.col(f"_also._a{i}").alias(name) for i, name in enumerate(also or {})]
+    for i, (name, position) in enumerate(zip(probs, positions)):
+        low, high = F.col(f"_low{i}"), F.col(f"_high{i}")
+        part = position - F.floor(position)
+        endless = (low == float("-inf")) & (high < float("inf"))
+        missed = (F.col("_n") > 0) & (low.isNull() | high.isNull())
+        between = F.when((low == high) | (part == 0) | endless, low).otherwise(low + (high - low) * part)
+        result.append(F.when(missed, F.raise_error(F.lit(f"a rank of {name} is not in its bracket; use a larger sketch"))).otherwise(between).alias(name))
+    return found.select(*result)
 
-def _magnitude() -> Column:
-    """Order-preserving bucket by sign and power of two."""
-    v = F.col("value")
-    steps = F.floor(F.least(F.log2(F.abs(v)), F.lit(1100.0)) * LOG_STEPS) + 1100 * LOG_STEPS
-    return F.when(v > 0, steps).when(v < 0, -steps).otherwise(F.lit(0))
 
+def _bracket(q: float, k: int) -> Column:
+    """Two values of the sketch that a quantile lies between."""
+    wide = MARGIN * rank_error(k)
+
+    def at(rank: float) -> Column:
+        return F.kll_sketch_get_quantile_double("_sketch", F.lit(min(max(rank, 0.0), 1.0)))
 
-def _equal_steps() -> Column:
-    """Order-preserving bucket by position between the least and the greatest value."""
-    v, low, high = F.col("value"), F.col("_low"), F.col("_high")
-    steps = F.least(F.floor((v - low) / (high - low) * RANGE_STEPS), F.lit(RANGE_STEPS - 1))
-    return F.when(low == high, F.lit(0).cast("bigint")).otherwise(steps)
+    few = F.col("_n") < ROUNDING / wide  # ranks are whole numbers: a small group counts as a whole
+    return F.struct(F.when(few, at(0.0)).otherwise(at(q - wide)).alias("low"), F.when(few, at(1.0)).otherwise(at(q + wide)).alias("high"))

@@ -98,6 +98,59 @@ def test_hot_id_of_any_type(spark, event_type, id_type, hot, hit):
     assert tuple(found.agg(F.count("*"), F.sum("hit")).first()) == (2000, 1000 * hit)
 
 
+def shuffled_rows(df):
+    """Rows that each exchange of the executed plan has written."""
+    found = []
+
+    def walk(node):
+        kind = node.getClass().getSimpleName()
+        if kind == "AdaptiveSparkPlanExec":
+            return walk(node.executedPlan())
+        if kind == "ShuffleExchangeExec":
+            found.append(node.metrics().apply("shuffleRecordsWritten").value())
+        if kind.endswith("QueryStageExec"):
+            return walk(node.plan())
+        for i in range(node.children().size()):
+            walk(node.children().apply(i))
+
+    walk(df._jdf.queryExecution().executedPlan())
+    return found
+
+
+def test_prefilter_shuffles_candidates_only(spark):
+    """Ten events in a thousand have a partner; a third has no id."""
+    from pyspark.sql import functions as F
+
+    events = spark.range(300_000).select(F.when(F.col("id") % 3 > 0, F.col("id")).alias("id"), F.lit("x").alias("v"))
+    ids = spark.range(0, 300_000, 100).withColumn("id", F.col("id"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    try:
+        most, totals = {}, {}
+        for prefilter in (False, True):
+            flagged = joins.exists_flag(events, ids, "id", "hit", hot_rows=None, prefilter=prefilter)
+            totals[prefilter] = sorted(map(tuple, flagged.groupBy("hit", F.col("id").isNull()).count().collect()))
+            flagged.collect()
+            most[prefilter] = max(shuffled_rows(flagged))
+        assert totals[True] == totals[False]
+        assert most[False] == 300_000 and most[True] < 30_000
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+
+
+def test_prefilter_gives_the_same_flags(spark, monkeypatch):
+    events = spark.createDataFrame([(i % 7 if i % 5 else None, str(i % 3), i) for i in range(200)], "a int, b string, n int")
+    ids = spark.createDataFrame([("1", "0"), ("2", None), ("x", "1"), ("3", "2"), ("3", "2")], "a string, b string")
+    for rows in (ids, ids.limit(0)):
+        plain = sorted(map(tuple, joins.exists_flag(events, rows, ["a", "b"], "hit", hot_rows=None).collect()), key=str)
+        for hot_rows in (None, 5):
+            assert sorted(map(tuple, joins.exists_flag(events, rows, ["a", "b"], "hit", hot_rows, prefilter=True).collect()), key=str) == plain
+    monkeypatch.setattr(joins, "MOST_BITS", 4)  # more ids than an array can tell apart
+    many = spark.createDataFrame([(i, "0") for i in range(50)], "a int, b string")
+    assert joins.exists_flag(events, many, ["a", "b"], "hit", None, prefilter=True).filter("hit = 1").count() == events.filter("a IS NOT NULL AND b = '0'").count()
+
+
 def test_exists_flag_without_rows(spark):
     events = spark.createDataFrame([], "id int, v int")
     ids = spark.createDataFrame([(1,)], "id int")

@@ -6,6 +6,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from keypanel.operators import quantiles
 from keypanel.operators.quantiles import exact_quantiles
 
 PROBS = {"q25": 0.25, "q50": 0.5, "q75": 0.75, "q90": 0.9}
@@ -58,12 +59,40 @@ def test_infinities(spark):
     assert found == {"a": inf, "b": -inf}
 
 
-def test_only_counts_are_joined(spark):
-    """Raw rows meet no join, however many groups there are; the first exchange carries partial counts."""
-    df = spark.range(1000).selectExpr("id % 400 AS k", "CAST(id AS DOUBLE) AS v")
-    plan = exact_quantiles(df, ["k"], "v", {"m": 0.5})._jdf.queryExecution().executedPlan().toString()
-    scans = [i for i, line in enumerate(plan.splitlines()) if "Range (" in line]
-    lines = plan.splitlines()
-    for at in scans:
-        above = next(line for line in reversed(lines[:at]) if "Exchange" in line or "Join" in line or "HashAggregate" in line)
-        assert "HashAggregate" in above
+def test_brackets_of_a_coarse_sketch(spark):
+    """Groups far larger than the sketch, with and without heavy values; every kind of spread."""
+    df = spark.range(200_000).select(
+        (F.col("id") % 3).alias("k"), F.expr("CASE id % 3 WHEN 0 THEN hash(id) / 7.0 WHEN 1 THEN floor(log2(1 + abs(hash(id)) % 1000)) "
+                                             "ELSE exp(hash(id) / 1e8) END").alias("v"))
+    values = {}
+    for r in df.collect():
+        values.setdefault(r["k"], []).append(r["v"])
+    for k in (200, 4096):
+        found = {r["k"]: r for r in exact_quantiles(df, ["k"], "v", PROBS, k=k).collect()}
+        for key, own in values.items():
+            for name, q in PROBS.items():
+                assert found[key][name] == pytest.approx(np.quantile(own, q), rel=1e-12)
+
+
+def test_a_missed_bracket_fails(spark, monkeypatch):
+    monkeypatch.setattr(quantiles, "MARGIN", -20)  # brackets that end before they begin
+    monkeypatch.setattr(quantiles, "ROUNDING", 0)
+    df = spark.range(50_000).select(F.col("id").cast("double").alias("v"))
+    with pytest.raises(Exception, match="not in its bracket"):
+        exact_quantiles(df, [], "v", {"m": 0.5}).collect()
+
+
+@pytest.mark.parametrize("threshold", ["10MB", "-1"])
+def test_two_scans_and_four_exchanges(spark, tmp_path, threshold):
+    spark.range(100_000).select((F.col("id") % 5).alias("k"), F.col("id").cast("double").alias("v")).write.parquet(f"{tmp_path}/t")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", threshold)
+    try:
+        df = exact_quantiles(spark.read.parquet(f"{tmp_path}/t"), ["k"], "v", PROBS, also={"rows": F.count("*"), "mean": F.avg("value")})
+        assert {r["q50"] - r["k"] for r in df.collect()} == {49_997.5}
+        final = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+    assert final.count("FileScan parquet") == 2 and "SortAggregate" not in final
+    assert final.count("Exchange ") <= 4
