@@ -1,11 +1,13 @@
 """First-match substring rules held in a table: thousands of needles, one plan.
 
 ``functions.rules.classify`` tests every needle on every row and its plan grows with the
-list.  Here a needle is found by one of its q-grams, the one that is rarest in the
-texts: texts are cut into q-grams, those that a bit array rules out go on the map side,
-the others meet the needles in an equi-join, the needle itself is looked for in the
-piece of text around, and the first rule by rank stays.  The plan is the same for any number
-of needles.
+list.  Here a needle is found by a q-gram of its own.  Texts give a q-gram at every
+``step``-th letter; a needle at least ``size + step - 1`` letters long has one of these
+wherever it begins, so it is indexed once for each remainder of its place, of the q-grams
+possible by the one that the fewest needles hold.  Q-grams of texts that a bit array rules
+out go on the map side, the others meet the needles in an equi-join, the needle itself is
+looked for in the piece of text around, and the first rule by rank stays.  The plan is
+the same for any number of needles of the same classes of lengths.
 """
 
 from __future__ import annotations
@@ -21,10 +23,11 @@ from keypanel.functions.text import normalized
 from keypanel.operators.bitmaps import bit_array, bits_for, may_hold
 from keypanel.session import stored
 
-# Letters of a q-gram (a shorter needle is a q-gram itself), and of the pieces that texts are cut
-# into, which overlap by the longest needle.
-GRAM = 5
-PIECE = 200
+# Needles by their letters: (least letters, size of a q-gram, step); shorter ones are a q-gram themselves.
+CLASSES = ((16, 12, 4), (9, 8, 2), (5, 5, 1))
+# Letters of the pieces that texts are cut into, which overlap by the longest needle; a letter of a piece
+# is found by counting from its start, so pieces are short.
+PIECE = 48
 
 
 def rules_table(spark: SparkSession, rules: RuleSet) -> DataFrame:
@@ -34,7 +37,7 @@ def rules_table(spark: SparkSession, rules: RuleSet) -> DataFrame:
 
 
 def classify_by_table(df: DataFrame, column: str, rules: DataFrame, name: str = "category", default: Any = None,
-                      missing: Any = None, gram: int = GRAM, piece: int = PIECE) -> DataFrame:
+                      missing: Any = None, piece: int = PIECE) -> DataFrame:
     """Add the result of the first rule (by rank, then needle) whose needle occurs in the normalized text.
 
     ``rules`` has rows (needle, rank, result) in any number.  Without a match the result is
@@ -47,21 +50,19 @@ def classify_by_table(df: DataFrame, column: str, rules: DataFrame, name: str =
     if name in df.columns:
         raise ValueError(f"the table already has a column {name!r}")
     kind = rules.schema["result"].dataType
-    listed = stored(rules.where("needle IS NOT NULL").select("needle", F.col("rank").cast("bigint").alias("rank"), "result"))
+    first_rule = rules.where("needle IS NOT NULL").groupBy("needle").agg(F.min(F.struct(F.col("rank").cast("bigint").alias("rank"), "result")).alias("r"))
+    listed = stored(_with_classes(first_rule.select("needle", "r.*")))
     text = normalized(F.col(f"`{column}`"))
     key = F.unhex(F.sha2(text, 256))
     texts = df.select(text.alias("t")).where("t <> ''").select(F.unhex(F.sha2("t", 256)).alias("_text"), "t")
-    bounds = listed.where("needle <> ''").select(F.least(F.char_length("needle"), F.lit(gram)).alias("size"), F.char_length("needle").alias("letters"))
-    sizes = {r["size"]: r["letters"] for r in bounds.groupBy("size").agg(F.max("letters").alias("letters")).collect()}  # at most `gram` rows
-
+    classes = listed.where("needle <> ''").groupBy("size", "step").agg(F.max("letters").alias("letters"))
     found = df.sparkSession.createDataFrame([], T.StructType([
         T.StructField("_text", T.BinaryType()), T.StructField("best", T.StructType([
             T.StructField("rank", T.LongType()), T.StructField("needle", T.StringType()), T.StructField("result", kind)]))]))
-    for size, letters in sorted(sizes.items()):
-        own = listed.where((F.char_length("needle") == size) if size < gram else (F.char_length("needle") >= size))
+    for size, step, letters in sorted(classes.collect()):  # at most seven rows
+        index = _rarest(listed.where((F.col("size") == size) & (F.col("step") == step) & (F.col("needle") != "")), size, step)
         pieces = _pieces(texts, max(piece, letters), letters)
-        index = _rarest(pieces, own, size)
-        near = _occurrences(pieces, index.select("gram").distinct(), size).join(index, "gram").where(F.col("piece").contains(F.col("needle")))
+        near = _occurrences(pieces, index.select("gram").distinct(), size, step).join(index, "gram").where(F.col("piece").contains(F.col("needle")))
         found = found.unionByName(near.select("_text", F.struct("rank", "needle", "result").alias("best")))
     first = found.groupBy("_text").agg(F.min("best").alias("_best"))
 
@@ -79,24 +80,34 @@ def _pieces(texts: DataFrame, letters: int, overlap: int) -> DataFrame:
     return cut.select("_text", F.explode(joined).alias("piece"))
 
 
-def _grams(text: Column, size: int) -> Column:
-    """All q-grams of a text, one for each letter that one begins at."""
-    return F.regexp_extract_all(text, F.lit(f"(?s)(?=(.{{{size}}}))."), F.lit(1))
+def _with_classes(needles: DataFrame) -> DataFrame:
+    """Needles with their letters, the size of their q-grams and the step that they are long enough for."""
+    letters = F.char_length("needle")
+    size, step = letters, F.lit(1)
+    for least, own_size, own_step in reversed(CLASSES):
+        size = F.when(letters >= least, own_size).otherwise(size)
+        step = F.when(letters >= least, own_step).otherwise(step)
+    return needles.select("*", letters.alias("letters"), size.alias("size"), step.alias("step"))
+
+
+def _grams(rows: DataFrame, text: str, size: int, step: int) -> DataFrame:
+    """Rows with a q-gram of their text each (``gram``), from the letter ``at``, every ``step`` letters."""
+    places = F.sequence(F.lit(1), F.char_length(text) - (size - 1), F.lit(step))
+    return (rows.where(F.char_length(text) >= size).select("*", F.explode(places).alias("at"))
+            .withColumn("gram", F.substring(text, F.col("at"), F.lit(size))))
 
 
-def _occurrences(pieces: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
+def _occurrences(pieces: DataFrame, wanted: DataFrame, size: int, step: int) -> DataFrame:
     """(_text, piece, gram) for q-grams of the texts that may be wanted ones; the others go before any shuffle."""
     bits = bits_for(wanted.count())
     words = bit_array(wanted, ["gram"], bits)
-    return pieces.select("_text", "piece", F.explode(_grams(F.col("piece"), size)).alias("gram")).where(may_hold(words, bits, F.col("gram")))
-
-
-def _rarest(pieces: DataFrame, needles: DataFrame, size: int) -> DataFrame:
-    """Each needle with that of its q-grams that the texts hold least often; needles with one they don't hold are dropped."""
-    held = stored(needles.select("needle", "rank", "result", F.explode(F.array_distinct(_grams(F.col("needle"), size))).alias("gram")))
-    wanted = stored(held.select("gram").distinct())
-    counts = _occurrences(pieces, wanted, size).groupBy("gram").agg(F.count("*").alias("n"))
-    counted = held.join(counts, "gram", "left").groupBy("needle", "rank").agg(
-        F.min_by(F.struct("gram", "result"), F.struct(F.coalesce("n", F.lit(0)), "gram")).alias("at"),
-        F.min(F.coalesce("n", F.lit(0))).alias("n"))
-    return stored(counted.where("n > 0").select("at.gram", "needle", "rank", "at.result"))
+    return _grams(pieces, "piece", size, step).where(may_hold(words, bits, F.col("gram"))).select("_text", "piece", "gram")
+
+
+def _rarest(needles: DataFrame, size: int, step: int) -> DataFrame:
+    """Each needle with a q-gram for every remainder of its place: that which the fewest needles hold."""
+    held = stored(_grams(needles, "needle", size, 1).select("needle", "rank", "result", "gram", (F.col("at") % step).alias("remainder")))
+    counts = held.groupBy("gram").agg(F.count("*").alias("n"))
+    rarest = held.join(counts, "gram").groupBy("needle", "remainder").agg(
+        F.min_by(F.struct("gram", "rank", "result"), F.struct("n", "gram")).alias("at"))
+    return stored(rarest.select("needle", "at.*").distinct())

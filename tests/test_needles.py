@@ -34,9 +34,8 @@ LIST = [("cat sat", 5, "cat"), ("the", 9, "the"), ("end", 3, "end"), ("needley",
 
 
 @pytest.mark.parametrize("piece", [7, 200])
-@pytest.mark.parametrize("gram", [3, 5])
-def test_cases(spark, piece, gram):
-    held(spark, TEXTS, LIST, piece=max(piece, gram), gram=gram)
+def test_cases(spark, piece):
+    held(spark, TEXTS, LIST, piece=piece)
 
 
 def test_an_empty_needle_matches_every_text(spark):
@@ -53,7 +52,13 @@ def test_random_texts(spark):
     held(spark, texts, [(needle, rng.randint(0, 60), f"r{i}") for i, needle in enumerate(rules)], piece=25)
 
 
-@pytest.mark.parametrize("rules", [R.DEVICE_RULE, R.CHECKPOINTS, R.BREATH_TEST, R.LOOKBACK_WORDS, R.OFFENSE_THRESHOLD])
+def test_needles_of_every_length_at_every_place(spark):
+    text = "".join(random.Random(8).choice("abc") for _ in range(90))
+    cut = [text[i:i + n] for n in range(1, 24) for i in (0, 1, 2, 3, 40, 90 - n)]
+    held(spark, [" " * i + "z" * i + c + "z" * (7 - i) for i in range(8) for c in cut[i::8]], [(c, rank, f"r{rank}") for rank, c in enumerate(reversed(cut))], piece=30)
+
+
+@pytest.mark.parametrize("rules", [R.BREATH_TEST, R.LOOKBACK_WORDS, R.OFFENSE_THRESHOLD])
 def test_equal_to_the_column_form(spark, rules):
     texts = ["All offenders", "Seventy five years", "repeat", "no felony for a third", "second", "statute permits", "not explicitly", "", None, "permitted or prohibited"]
     df = spark.createDataFrame([(t,) for t in texts], "t string")
@@ -63,15 +68,14 @@ def test_equal_to_the_column_form(spark, rules):
 
 
 def test_plan_does_not_grow_with_the_list(spark):
-    df = spark.createDataFrame([("some text with needle 77 inside",)], "t string")
+    df = spark.createDataFrame([("some text with needle 00007 inside",)], "t string")
 
     def nodes(n):
-        rules = spark.range(n).select(F.concat(F.lit("needle "), "id").alias("needle"), F.col("id").alias("rank"), F.col("id").cast("string").alias("result"))
+        rules = spark.range(7, n).select(F.format_string("needle %05d", "id").alias("needle"), F.col("id").alias("rank"), F.col("id").cast("string").alias("result"))
         plan = classify_by_table(df, "t", rules)
-        assert plan.collect()[0]["category"] == ("7" if n > 7 else None)
+        assert plan.collect()[0]["category"] == "7"
         return len(plan._jdf.queryExecution().optimizedPlan().toString().split("\n"))
 
-    # Texts of one length hold needles of two lengths of q-grams in neither list.
     assert nodes(10) == nodes(10_000)
 
 
