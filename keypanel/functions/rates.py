@@ -18,9 +18,10 @@ def fixed_round(value: Column, digits: int) -> Column:
     """Round a ratio at three or more digits.
 
     Going through a decimal keeps binary noise from moving a value across a
-    rounding boundary.
+    rounding boundary.  Numbers that no decimal of three more digits can hold are rounded as doubles.
     """
-    return F.round(value.cast("decimal(18,6)"), digits).cast("double")
+    decimal = F.round(value.try_cast(f"decimal(38,{digits + 3})"), digits).cast("double")
+    return F.coalesce(decimal, F.round(value.cast("double"), digits))
 
 
 def rate(num: Column, den: Column, per: float = 1.0, digits: int = 2,
@@ -60,17 +61,38 @@ def money(column: Column) -> Column:
     return column.cast("decimal(18,2)")
 
 
+# Bits of a part of a number, and of the pieces a part is added up in: the sum of the pieces of
+# eight million million rows still is a 64-bit integer.
+PART_BITS, PIECE_BITS = 60, 20
+
+
 def stable_sum(column: Column) -> Column:
     """Sum of any measure as a double that does not depend on the order of rows.
 
-    Values below 1e14 are added as decimals of twelve digits after the point, larger
-    ones and infinities as doubles; NULL when there is no value.
+    A double is cut into its whole number and two parts of 60 bits behind the point, each
+    exact, and integers are added up; nothing is rounded before the end.  So values from 1e-20 to 1e18
+    are added exactly.  Smaller and larger ones, infinities and NaN are added as doubles.
+    NULL when there is no value.
     """
     number = column.cast("double")
-    usual = F.abs(number) < 1e14
-    exact = F.sum(F.when(usual, number.cast("decimal(38,12)"))).cast("double")
-    large = F.sum(F.when(~usual, number))
-    return F.when(exact.isNull(), large).when(large.isNull(), exact).otherwise(exact + large)
+    size = F.abs(number)
+    usual = (size < 2.0 ** PART_BITS) & ((size >= 2.0 ** -(2 * PART_BITS - 53)) | (size == 0))
+    inside = F.when(usual, number).otherwise(F.lit(0.0))
+    whole = inside.cast("bigint")
+    behind = (inside - whole) * (2.0 ** PART_BITS)
+    first = behind.cast("bigint")
+    second = ((behind - first) * (2.0 ** PART_BITS)).cast("bigint")
+    total = _exact_sum(whole) + _exact_sum(first) * 2.0 ** -PART_BITS + _exact_sum(second) * 2.0 ** (-2 * PART_BITS)
+    others = F.coalesce(F.sum(F.when(~usual, number)), F.lit(0.0))
+    return F.when(F.count(number) > 0, total + others)
+
+
+def _exact_sum(part: Column) -> Column:
+    """Sum of integers of up to 60 bits, added in pieces that cannot overflow."""
+    mask = F.lit((1 << PIECE_BITS) - 1).cast("bigint")
+    pieces = [F.sum(part.bitwiseAND(mask)), F.sum(F.shiftright(part, PIECE_BITS).bitwiseAND(mask)), F.sum(F.shiftright(part, 2 * PIECE_BITS))]
+    exact = [(p.cast("decimal(38,0)") * F.lit(1 << (i * PIECE_BITS)).cast("decimal(13,0)")).cast("decimal(38,0)") for i, p in enumerate(pieces)]
+    return reduce(lambda a, b: a + b, exact).cast("double")
 
 
 def round_floats(df: DataFrame, digits: int = 2, mode: str = "half_up") -> DataFrame:

@@ -10,9 +10,6 @@ from keypanel.operators.columns import replace_prefix, safe_names, with_prefix
 from keypanel.operators.joins import one_per_key, wide_join
 from keypanel.sources.files import inline_table, read_delimited
 
-# Overrides that are applied without a join.
-HAND_CHECKED = 1000
-
 # Fixed value: codes above this are not keys of the panel.
 LAST_KEY = 56
 
@@ -68,22 +65,9 @@ def structural_controls(spark: SparkSession, key: str, columns: dict[str, dict])
 def with_overrides(df: DataFrame, overrides: DataFrame, key: str, column: str) -> DataFrame:
     """Replace single values by hand-checked ones from a table ``(key, column)`` with one row per key.
 
-    Checked by hand, overrides are few: up to ``HAND_CHECKED`` of them are read and
-    become a lookup inside the projection, so ``df`` is not shuffled; more are joined.
+    A repeated key raises at run time.  Spark broadcasts the overrides when their measured
+    size is small, so ``df`` is not shuffled then.
     """
-    few = overrides.select(key, column).limit(HAND_CHECKED + 1).collect()
-    if len(few) > HAND_CHECKED:
-        fixed = one_per_key(overrides.select(key, F.col(column).alias("_fixed")), [key])
-        value = F.col("_fixed")
-        df_fixed = df.join(fixed, key, "left")
-    else:
-        known = [r for r in few if r[0] is not None and r[1] is not None]
-        repeated = {r[0] for r in known if sum(s[0] == r[0] for s in known) > 1}
-        if repeated:
-            raise ValueError(f"key is not unique: {sorted(repeated)}")
-        pairs = [F.lit(x) for r in known for x in r]
-        value = F.try_element_at(F.create_map(*pairs), F.col(key)) if pairs else F.lit(None)
-        df_fixed = df
-    kind = df.schema[column].dataType
-    return df_fixed.select(*[
-        F.coalesce(value.cast(kind), F.col(column)).alias(column) if c == column else F.col(c) for c in df.columns])
+    known = overrides.select(key, F.col(column).cast(df.schema[column].dataType).alias("_fixed")).dropna()
+    joined = df.join(one_per_key(known, [key]), key, "left")
+    return joined.select(*[F.coalesce("_fixed", F.col(column)).alias(column) if c == column else F.col(c) for c in df.columns])

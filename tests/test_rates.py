@@ -1,3 +1,6 @@
+from fractions import Fraction
+
+import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -44,3 +47,26 @@ def test_rounding_modes(spark, rows):
     df = spark.createDataFrame([(0.125, 1, "x")], "v double, n int, t string")
     assert rows(rates.round_floats(df, 2)) == [(0.13, 1, "x")]
     assert rows(rates.round_floats(df, 2, mode="even")) == [(0.12, 1, "x")]
+
+
+SUMS = [[4e-13] * 1000, [4e-14] * 1000, [1e-25] * 10, [5e-324] * 3, [1e17] * 7, [1e300] * 2, [float("inf"), 1.0], [-1e-13, 1e-13, 2.5e-13],
+        [0.1] * 10, [-0.5, 0.25], [2.0 ** 59, -1.0], [0.0, 0.0], [10.0 ** e * (1 + e / 97) * (-1) ** e for e in range(-18, 18)], [1.5, None], [None]]
+
+
+def test_sums_of_any_magnitude(spark):
+    df = spark.createDataFrame([(i, v) for i, values in enumerate(SUMS) for v in values], "i int, v double").repartition(5)
+    found = {r["i"]: r["s"] for r in df.groupBy("i").agg(rates.stable_sum(F.col("v")).alias("s")).collect()}
+    for i, values in enumerate(SUMS):
+        known = [v for v in values if v is not None]
+        exact = known and (known[0] if known[0] == float("inf") else float(sum(map(Fraction, known))))
+        assert found[i] == (pytest.approx(exact, rel=1e-15, abs=0) if known else None)
+
+
+def test_sums_do_not_depend_on_the_order(spark):
+    df = spark.range(5000).select((F.hash("id") * F.pow(F.lit(10.0), (F.col("id") % 24) - 15)).alias("v"))
+    assert len({df.orderBy(F.hash("v", F.lit(i))).repartition(i + 1).agg(rates.stable_sum(F.col("v"))).first()[0] for i in range(3)}) == 1
+
+
+def test_ratios_that_no_decimal_holds(spark, rows):
+    df = spark.createDataFrame([(5e12,), (0.12345,), (1e36,), (float("nan"),), (None,)], "v double")
+    assert str(rows(df.select(rates.fixed_round(F.col("v"), 4)))) == str([(5e12,), (0.1235,), (1e36,), (float("nan"),), (None,)])

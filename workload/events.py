@@ -333,3 +333,16 @@ def union_with_missing_columns(spark, sf):
     slices = [orders.filter(own_flag()).select(year, "o_orderpriority"), orders.filter(~own_flag()).select(year)]
     return profile_by_key(union_by_name(slices), ["year"], {
         "orders": F.count("*"), "with_priority": F.count("o_orderpriority")})
+
+
+@query("""
+SELECT l_returnflag, count(*) AS lines,
+  CAST(sum(CAST(l_orderkey IN (SELECT o_orderkey FROM orders WHERE o_totalprice > 480000) AS INTEGER)) AS BIGINT) AS in_large_orders
+FROM lineitem GROUP BY 1
+""")
+def rarely_flagged_events(spark, sf):
+    """Lines of the few largest orders: a bit array of their keys spares the other lines the join."""
+    lines = table(spark, sf, "lineitem").select("l_orderkey", "l_returnflag")
+    large = table(spark, sf, "orders").filter("o_totalprice > 480000").select(F.col("o_orderkey").alias("l_orderkey"))
+    flagged = exists_flag(lines, large, "l_orderkey", "large", hot_rows=None, prefilter=True)
+    return profile_by_key(flagged, ["l_returnflag"], {"lines": F.count("*"), "in_large_orders": F.sum("large")})

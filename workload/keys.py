@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from keypanel.functions.rates import fixed_round, flag, money, share, sufficient
 from keypanel.functions.rules import penalty_class
+from keypanel.functions.sql import register
 from keypanel.functions.text import pad_key
 from keypanel.operators.aggregate import (count_where, distinct_values, mean_with_error,
                                           profile_by_key, profile_through)
@@ -19,6 +20,7 @@ from keypanel.plans.attributes import mandatory
 from keypanel.plans.master import RateSpec, rates_table, wide_master
 from keypanel.plans.reference import (code_list, key_master, structural_controls, with_overrides,
                                       yearly_columns)
+from keypanel.sources.files import run_sql
 from workload.events import customer_nation, order_profile
 from workload.registry import query, table
 
@@ -195,7 +197,7 @@ def customer_panel(spark, sf) -> DataFrame:
 CUSTOMER_SQL = """
 WITH s AS (SELECT o_custkey, count(*) AS orders, CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS spent,
                   nullif(count(*) FILTER (WHERE o_orderstatus = 'P'), 0) AS pending FROM orders GROUP BY 1),
-     panel AS (SELECT c_custkey, c_mktsegment, c_acctbal, orders, spent, pending
+     panel AS (SELECT c_custkey, c_nationkey, c_mktsegment, c_acctbal, orders, spent, pending
                FROM customer LEFT JOIN s ON o_custkey = c_custkey)
 """
 
@@ -420,6 +422,18 @@ def fine_measure_stats(spark, sf):
     return table_stats(lines, ["fee"], digits=6)
 
 
+@query("""
+SELECT 'fee' AS "column", round(fsum(fee) * 1e13, 3) AS sum, round(min(fee) * 1e13, 3) AS min, round(max(fee) * 1e13, 3) AS max,
+  round(fsum(fee) / count(fee) * 1e13, 3) AS mean, round(median(fee) * 1e13, 3) AS median
+FROM (SELECT floor(l_extendedprice) * 1e-17 AS fee FROM lineitem)
+""")
+def tiny_measure_stats(spark, sf):
+    """A measure near 1e-13; shown in units of that size."""
+    lines = table(spark, sf, "lineitem").select((F.floor("l_extendedprice") * F.lit(1e-17)).alias("fee"))
+    stats = table_stats(lines, ["fee"], digits=30)
+    return stats.select("column", *[F.round(F.col(c) * 1e13, 3).alias(c) for c in ("sum", "min", "max", "mean", "median")])
+
+
 @query("SELECT printf('%02d', p_size) AS code, p_name AS name FROM part WHERE p_size <= 20")
 def valid_code_list(spark, sf):
     raw = table(spark, sf, "part").select(F.col("p_size").cast("string").alias("P CODE"), F.col("p_name").alias("P-Name"))
@@ -449,3 +463,20 @@ def hand_checked_overrides(spark, sf):
     checked = spark.createDataFrame([(3, 4), (7, 5)], "c_custkey long, c_nationkey int")
     customers = table(spark, sf, "customer").select("c_custkey", "c_name", "c_nationkey")
     return with_overrides(customers, checked, "c_custkey", "c_nationkey")
+
+
+@query("""
+SELECT n_name, count(*) AS orders, CAST(sum(CAST(coalesce(o_orderstatus = 'F', false) AS INTEGER)) AS BIGINT) AS closed,
+  round(count(*) FILTER (WHERE o_orderstatus = 'F') * CAST(100 AS DOUBLE) / count(*), 2) AS pct_closed,
+  CAST(count(*) >= 100 AS INTEGER) AS enough
+FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey GROUP BY 1
+""")
+def library_functions_in_sql(spark, sf):
+    """Ad-hoc SQL over views that calls the library's own functions."""
+    register(spark)
+    views = {f"sql_{name}": table(spark, sf, name) for name in ("orders", "customer", "nation")}
+    return run_sql(spark, """
+        SELECT n_name, count(*) AS orders, sum(panel_flag(o_orderstatus = 'F')) AS closed,
+          panel_share(sum(panel_flag(o_orderstatus = 'F')), count(*)) AS pct_closed, panel_sufficient(count(*), 100) AS enough
+        FROM sql_orders JOIN sql_customer ON o_custkey = c_custkey JOIN sql_nation ON c_nationkey = n_nationkey
+        GROUP BY n_name""", views)

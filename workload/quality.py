@@ -68,15 +68,14 @@ def _share_sql(column: str) -> str:
     return f"CAST(round(CAST((n - n_{column}) / CAST(n AS DOUBLE) AS DECIMAL(18,6)), 4) AS DOUBLE)"
 
 
-@query(LABELLED_SQL.replace("SELECT documents.doc_id, lang", "SELECT lang")
-       .replace("count(doc_id) AS n_doc_id, ", "") + """
+@query(LABELLED_SQL + """
 SELECT 'row_count' AS "check", CAST(NULL AS VARCHAR) AS "column", CAST(n AS DOUBLE) AS value, 'ok' AS status FROM c
 UNION ALL SELECT 'duplicate_count', NULL, CAST(n - (SELECT count(*) FROM (SELECT DISTINCT * FROM d)) AS DOUBLE), 'ok' FROM c
 """ + "".join(f"""UNION ALL SELECT 'null_share', '{c}', {_share_sql(c)},
   CASE WHEN (n - n_{c}) / CAST(n AS DOUBLE) > 0.1 THEN 'warn' ELSE 'ok' END FROM c
-""" for c in _COLUMNS[1:]) + "UNION ALL SELECT 'missing_column', 'license', NULL, 'warn'")
+""" for c in _COLUMNS) + "UNION ALL SELECT 'missing_column', 'license', NULL, 'warn'")
 def quality_report(spark, sf):
-    return quality(labelled_documents(spark, sf).drop("doc_id"), required=["lang", "license"])
+    return quality(labelled_documents(spark, sf), required=["lang", "license"])
 
 
 @query("""
@@ -84,10 +83,10 @@ def quality_report(spark, sf):
   CAST(round(CAST((count(*) - count({c})) / CAST(count(*) AS DOUBLE) AS DECIMAL(18,6)), 4) AS DOUBLE) AS null_share FROM {source}
 """ for t, columns, source in (
     ("labels", ("doc_id", "quality", "toxic"), "labels"),
-    ("panel", ("c_custkey", "c_mktsegment", "c_acctbal", "orders", "spent", "pending"), f"({CUSTOMER_SQL} SELECT * FROM panel)"))
+    ("panel", ("c_custkey", "c_mktsegment", "c_nationkey", "c_acctbal", "orders", "spent", "pending"), f"({CUSTOMER_SQL} SELECT * FROM panel)"))
     for c in columns))
 def audit_of_tables(spark, sf):
-    return audit_tables({"labels": table(spark, sf, "labels"), "panel": customer_panel(spark, sf).drop("c_nationkey")})
+    return audit_tables({"labels": table(spark, sf, "labels"), "panel": customer_panel(spark, sf)})
 
 
 @query(LABELLED_SQL + " UNION ALL ".join(
@@ -103,10 +102,10 @@ def tidy_column_names(spark, sf):
         F.col("o_orderkey").alias(" Order Key "), F.col("o_orderstatus").alias("Order-Status"), F.col("o_totalprice").alias("Total Price")))
 
 
-@query("SELECT s_suppkey, s_nationkey, s_acctbal FROM supplier")
+@query("SELECT s_suppkey, s_name, s_nationkey, s_acctbal FROM supplier")
 def lower_column_names(spark, sf):
     return lower_names(table(spark, sf, "supplier").select(
-        F.col("s_suppkey").alias("S_SuppKey"), F.col("s_nationkey").alias("S_NATIONKEY"), "s_acctbal"))
+        F.col("s_suppkey").alias("S_SuppKey"), F.col("s_name").alias("S_Name"), F.col("s_nationkey").alias("S_NATIONKEY"), "s_acctbal"))
 
 
 @query("SELECT c_custkey, c_nationkey, c_mktsegment FROM customer")
@@ -128,10 +127,10 @@ def expected_totals(spark, sf):
 @query(" UNION ALL ".join(f"""SELECT '{c}' AS "column", count(*) AS rows, count(*) - count({c}) AS nulls, {share} AS null_share,
   CASE WHEN '{c}' IN ('doc_id', 'quality') AND count(*) > count({c}) THEN 'critical'
        WHEN (count(*) - count({c})) / CAST(count(*) AS DOUBLE) > 0.1 THEN 'warn' ELSE 'ok' END AS status
-  FROM documents LEFT JOIN labels USING (doc_id)""" for c in ("doc_id", "lang", "source", "quality", "toxic")
+  FROM documents LEFT JOIN labels USING (doc_id)""" for c in _COLUMNS
   for share in [f"CAST(round(CAST((count(*) - count({c})) / CAST(count(*) AS DOUBLE) AS DECIMAL(18,6)), 4) AS DOUBLE)"]))
 def critical_columns(spark, sf):
-    return null_report(labelled_documents(spark, sf).drop("text"), ("doc_id", "quality"), 0.1)
+    return null_report(labelled_documents(spark, sf), ("doc_id", "quality"), 0.1)
 
 
 @query(" UNION ALL ".join(f"SELECT 'panel_{t}' AS table_name, true AS is_temporary, count(*) AS rows FROM {t}"
