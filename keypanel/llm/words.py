@@ -62,7 +62,11 @@ def broadcast_if_bounded(df: DataFrame, row_bytes: int) -> DataFrame:
 
     Beyond it the table is returned as it is and Spark joins it by a shuffle.
     """
-    return F.broadcast(df) if df.count() * row_bytes <= BROADCAST_BYTES else df
+    return F.broadcast(df) if is_bounded(df, row_bytes) else df
+
+
+def is_bounded(df: DataFrame, row_bytes: int) -> bool:
+    return df.count() * row_bytes <= BROADCAST_BYTES
 
 
 def gram_occurrences(docs: DataFrame, grams: DataFrame, text: str = "text") -> DataFrame:
@@ -70,8 +74,10 @@ def gram_occurrences(docs: DataFrame, grams: DataFrame, text: str = "text") -> D
 
     ``grams`` has distinct (size int, gram string), the words joined by a space.
     Rolling hashes of every text meet the hashes of the grams in an equi-join and
-    the words themselves are compared after it.  A text that several rows hold
-    counts once.
+    the words themselves are compared after it.  While the grams are broadcast, a word's place
+    refers to the array of its text's words; beyond that a place goes into the shuffle with
+    its own ``size`` words and never with the array, so what is shuffled is linear in the text.
+    A text that several rows hold counts once.
     """
     split = docs.select(F.col(text).alias("text")).where("text is not null").select(
         digest(F.col("text")).alias("digest"), words(F.col("text")).alias("w"))
@@ -84,10 +90,14 @@ def gram_occurrences(docs: DataFrame, grams: DataFrame, text: str = "text") -> D
             "gram", gram_hash(F.col("g"), F.lit(0), size).alias("h"))
         places = split.select("digest", "w", F.posexplode("w").alias("pos", "word")).where(
             F.col("pos") + size <= F.size("w"))
-        places = places.select("digest", "w", "pos", gram_hash(F.col("w"), F.col("pos"), size).alias("h"))
-        one = (places.join(broadcast_if_bounded(wanted, 120), "h")
-               .where(gram_text(F.col("w"), F.col("pos"), size) == F.col("gram"))
-               .select("digest", "pos", F.size("w").alias("n_words"), F.lit(size).alias("size"), "gram"))
+        hashed = gram_hash(F.col("w"), F.col("pos"), size).alias("h")
+        if is_bounded(wanted, 120):
+            met = places.select("digest", "w", "pos", F.size("w").alias("n_words"), hashed).join(F.broadcast(wanted), "h").where(
+                gram_text(F.col("w"), F.col("pos"), size) == F.col("gram"))
+        else:
+            met = places.select("digest", "pos", F.size("w").alias("n_words"), hashed, gram_text(F.col("w"), F.col("pos"), size).alias("words")).join(
+                wanted, "h").where(F.col("words") == F.col("gram"))
+        one = met.select("digest", "pos", "n_words", F.lit(size).alias("size"), "gram")
         found = one if found is None else found.unionByName(one)
     if found is None:
         return docs.sparkSession.createDataFrame(
