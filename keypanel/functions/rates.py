@@ -72,7 +72,8 @@ def stable_sum(column: Column) -> Column:
     A double is cut into its whole number and two parts of 60 bits behind the point, each
     exact, and integers are added up; nothing is rounded before the end.  So values from 1e-20 to 1e18
     are added exactly.  Smaller and larger ones, infinities and NaN are added as doubles.
-    NULL when there is no value.
+    The result keeps fifteen significant digits, so amounts written in decimals sum to what
+    their decimals sum to.  NULL when there is no value.
     """
     number = column.cast("double")
     size = F.abs(number)
@@ -84,7 +85,7 @@ def stable_sum(column: Column) -> Column:
     second = ((behind - first) * (2.0 ** PART_BITS)).cast("bigint")
     total = _exact_sum(whole) + _exact_sum(first) * 2.0 ** -PART_BITS + _exact_sum(second) * 2.0 ** (-2 * PART_BITS)
     others = F.coalesce(F.sum(F.when(~usual, number)), F.lit(0.0))
-    return F.when(F.count(number) > 0, total + others)
+    return F.when(F.count(number) > 0, F.format_string("%.14e", total + others).cast("double"))
 
 
 def _exact_sum(part: Column) -> Column:

@@ -27,6 +27,9 @@ class EventLayout:
     side_code_column: str | None = None
     side_code: object = None
 
+    def keys(self) -> list[str]:
+        return [c for c in (self.key, self.label) if c]
+
 
 @dataclass(frozen=True)
 class EventYear:
@@ -76,17 +79,21 @@ def years_without_flag(spark: SparkSession, years: list[EventYear], layout: Even
     return spark.createDataFrame(rows, "year int, reason string")
 
 
-def event_totals(flagged: DataFrame, layout: EventLayout, digits: int = 2) -> DataFrame:
-    """Per key and year: events, measure, the flagged part of both, and its share."""
-    keys = [c for c in (layout.key, layout.label) if c and c in flagged.columns]
+def partial_totals(flagged: DataFrame, layout: EventLayout) -> DataFrame:
+    """Counts and sums per key and year; those of parts of a year add up."""
+    keys = [c for c in layout.keys() if c in flagged.columns]
     hit, measure = F.col("flagged") == 1, F.col(layout.measure)
-    totals = profile_by_key(flagged, [*keys, "year"], {
+    return profile_by_key(flagged, [*keys, "year"], {
         "total_events": F.count(layout.event_id),
         "total_measure": F.coalesce(F.sum(measure), F.lit(0)),
         "flagged_events": count_where(hit),
         "flagged_measure": sum_where(measure, hit),
     })
-    result = totals.withColumn("pct_flagged", share(F.col("flagged_measure"), F.col("total_measure"), digits))
+
+
+def event_totals(flagged: DataFrame, layout: EventLayout, digits: int = 2) -> DataFrame:
+    """Per key and year: events, measure, the flagged part of both, and its share."""
+    result = partial_totals(flagged, layout).withColumn("pct_flagged", share(F.col("flagged_measure"), F.col("total_measure"), digits))
     if layout.label:
         result = result.withColumn(layout.label, trimmed(F.col(layout.label)))
     return result

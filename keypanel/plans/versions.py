@@ -27,6 +27,10 @@ def _store(spark: SparkSession, path: str):
     return _path(spark, path).getFileSystem(spark._jsc.hadoopConfiguration())
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    return _store(spark, path).exists(_path(spark, path))
+
+
 def remove(spark: SparkSession, path: str) -> None:
     _store(spark, path).delete(_path(spark, path), True)
 
@@ -66,9 +70,13 @@ def _manifest(root: str, number: int) -> str:
     return f"{root}/manifests/{number:012d}.json"
 
 
-def commit(spark: SparkSession, root: str, version: str, files: dict[str, str], facts: dict | None = None) -> int:
-    """Make a staged version the current one; returns its number.  ``files``: paths relative to the version."""
-    entry = {"version": version, "files": files, "facts": facts or {}, "at": datetime.now(timezone.utc).isoformat(timespec="seconds")}
+def commit(spark: SparkSession, root: str, version: str, files: dict[str, str], facts: dict | None = None,
+           uses: list[str] | None = None) -> int:
+    """Make a staged version the current one; returns its number.
+
+    ``files``: paths relative to the version.  ``uses``: older versions whose folders it goes on using.
+    """
+    entry = {"version": version, "uses": sorted({version, *(uses or [])}), "files": files, "facts": facts or {}, "at": datetime.now(timezone.utc).isoformat(timespec="seconds")}
     store, hadoop = _store(spark, root), spark._jvm.org.apache.hadoop.fs
     aside = f"{root}/manifests/_{uuid4().hex}"
     out = store.create(_path(spark, aside), True)
@@ -114,7 +122,7 @@ def prune(spark: SparkSession, root: str, keep: int = 2) -> list[int]:
     """
     known = numbers(spark, root)
     gone, stay = known[:max(len(known) - keep, 0)], known[max(len(known) - keep, 0):]
-    kept = {manifest(spark, root, n)["version"].split("/")[1] for n in stay}
+    kept = {used.split("/")[1] for n in stay for used in manifest(spark, root, n)["uses"]}
     for number in gone:
         remove(spark, _manifest(root, number))
     store, folder = _store(spark, root), _path(spark, f"{root}/versions")

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from uuid import uuid4
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from keypanel.functions.rates import money, share
+from keypanel.functions.rates import flag, money, share
 from keypanel.operators.aggregate import (count_where, median_of_counts, profile_by_key,
                                           profile_through)
 from keypanel.operators.charts import long_series
@@ -14,6 +16,8 @@ from keypanel.plans.events import EventLayout, EventYear, event_totals_through,
 from keypanel.plans.history import history_profile, prior_share_by_threshold
 from keypanel.plans.testing import TestCodes, test_rates
 from keypanel.plans.trend import trend
+from keypanel.plans.yearly import refresh_totals, stored_totals
+from keypanel.session import ensure_checkpoint_dir, removed_at_exit
 from keypanel.sources.files import flatten_json_column, union_by_name
 from workload.registry import in_years, query, table
 
@@ -346,3 +350,26 @@ def rarely_flagged_events(spark, sf):
     large = table(spark, sf, "orders").filter("o_totalprice > 480000").select(F.col("o_orderkey").alias("l_orderkey"))
     flagged = exists_flag(lines, large, "l_orderkey", "large", hot_rows=None, prefilter=True)
     return profile_by_key(flagged, ["l_returnflag"], {"lines": F.count("*"), "in_large_orders": F.sum("large")})
+
+
+@query("""
+SELECT o_orderpriority, CAST(year(o_orderdate) AS INTEGER) AS year, count(*) AS total_events, CAST(sum(cents) AS BIGINT) AS total_measure,
+  count(*) FILTER (WHERE o_orderstatus = 'F') AS flagged_events,
+  CAST(coalesce(sum(cents) FILTER (WHERE o_orderstatus = 'F'), 0) AS BIGINT) AS flagged_measure,
+  round(coalesce(sum(cents) FILTER (WHERE o_orderstatus = 'F'), 0) * CAST(100 AS DOUBLE) / sum(cents), 2) AS pct_flagged
+FROM (SELECT *, CAST(round(o_totalprice * 100) AS BIGINT) AS cents FROM orders) GROUP BY 1, 2
+""")
+def totals_of_stored_years(spark, sf):
+    """Totals kept by year: a first refresh computes all years, a second one none."""
+    layout = EventLayout(key="o_orderpriority", event_id="o_orderkey", measure="cents")
+    year = F.year("o_orderdate")
+    orders = table(spark, sf, "orders").select("o_orderpriority", "o_orderkey", year.alias("year"), F.round(F.col("o_totalprice") * 100).cast("long").alias("cents"),
+                                               flag(F.col("o_orderstatus") == "F").alias("flagged"))
+    years = [r["year"] for r in orders.select("year").dropna().distinct().collect()]  # a few years
+    ensure_checkpoint_dir(spark)
+    root = f"{spark.sparkContext.getCheckpointDir()}/totals-{uuid4().hex}"
+    removed_at_exit(spark, root)
+    sources = {y: [f"{sf}/orders.parquet"] for y in years}
+    for _ in range(2):
+        refresh_totals(spark, root, sources, lambda wanted: orders.where(F.col("year").isin(wanted)), layout)
+    return stored_totals(spark, root, layout)
