@@ -161,9 +161,10 @@ NEEDLE = "substring(t, CAST(1 + (doc_id * 7 + i * 131) % (length(t) - 16) AS INT
 
 @query(f"""
 WITH texts AS (SELECT doc_id, trim(lower(text), {"concat(' ', chr(9), chr(10), chr(13), chr(12), chr(11))"}) AS t FROM documents),
-rules AS (SELECT {NEEDLE} AS needle, doc_id * 10 + i AS rank FROM texts, range(10) AS r(i) WHERE length(t) > 16)
-SELECT doc_id, CASE WHEN t IS NULL THEN 'unknown' WHEN min(rank) IS NULL THEN 'other' ELSE concat('rule ', min(rank)) END AS category
-FROM texts LEFT JOIN rules ON contains(t, needle) GROUP BY doc_id, t
+rules AS (SELECT {NEEDLE} AS needle, doc_id * 10 + i AS rank FROM texts, range(10) AS r(i) WHERE length(t) > 16),
+found AS (SELECT t, min(rank) AS rank FROM (SELECT DISTINCT t FROM texts) JOIN rules ON contains(t, needle) GROUP BY t)
+SELECT doc_id, CASE WHEN texts.t IS NULL THEN 'unknown' WHEN rank IS NULL THEN 'other' ELSE concat('rule ', rank) END AS category
+FROM texts LEFT JOIN found ON texts.t = found.t
 """)
 def needle_table_rules(spark, sf):
     """Ten needles from every document: 10,000 rules at the size that is checked."""
