@@ -7,11 +7,14 @@ rules that fit one URL the longest decides (the one with the longer host, then
 ``block``, on equal length).
 
 Hosts and paths that many rows share are judged once.  Rows meet the verdicts in
-a left join, in which Spark splits partitions that a hot URL makes large.
+a left join with an exchange on both sides, in which Spark splits partitions that a
+hot URL makes large; rows without a host are dealt to all tasks.
 
 Defined cases: a missing URL and one without ``://`` have an empty host and path
 and no rule; the default verdict holds.  Repeated rows are judged alike and stay.
-Rules with a missing or empty host or a missing path never fit.
+Rules with a missing or empty host or a missing path never fit.  A long URL gives one
+expression per label of its host and length of a rule's path, no more.  An empty table
+gives no rows; other columns stay, those named host, path, rule or verdict are replaced.
 """
 
 from __future__ import annotations
@@ -19,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from keypanel.llm.words import LOWER, UPPER, broadcast_if_bounded
+from keypanel.llm.words import LOWER, UPPER, apart, broadcast_if_bounded, nought
 
 PREFIX_HEX = 8  # four bytes
 
@@ -79,4 +82,6 @@ def filter_urls(df: DataFrame, rules: DataFrame, url: str = "url", default: str
     best = fitting.groupBy("host", "path").agg(
         F.max(F.struct(F.length("rule").alias("chars"), "host_chars", "rule_verdict", "rule")).alias("best")).select(
         "host", "path", F.col("best.rule").alias("rule"), F.col("best.rule_verdict").alias("verdict"))
-    return judged.join(best, ["host", "path"], "left").withColumn("verdict", F.coalesce("verdict", F.lit(default)))
+    best = best.withColumn("_llm_apart", nought("host", "path"))
+    return (judged.withColumn("_llm_apart", apart(judged, F.col("host") != "")).join(best, ["host", "path", "_llm_apart"], "left")
+            .drop("_llm_apart").withColumn("verdict", F.coalesce("verdict", F.lit(default))))

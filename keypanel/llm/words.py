@@ -65,6 +65,22 @@ def broadcast_if_bounded(df: DataFrame, row_bytes: int) -> DataFrame:
     return F.broadcast(df) if is_bounded(df, row_bytes) else df
 
 
+def apart(df: DataFrame, meets: Column) -> Column:
+    """A second join key: 0 for rows that may meet the other side, else a hash of the row.
+
+    Rows without a partner then go to all tasks instead of to that of one missing key.
+    The other side's key is ``nought``.
+    """
+    plain = [F.col(f"`{f.name}`") for f in df.schema.fields if "map<" not in f.dataType.simpleString() and "variant" not in f.dataType.simpleString()]
+    return F.when(meets, F.lit(0)).otherwise(F.pmod(F.xxhash64(*plain), F.lit(1 << 16)).cast("int"))
+
+
+def nought(*keys: str) -> Column:
+    """0 in every row, as a column that Spark deals by: an exchange then stands between an aggregate by
+    ``keys`` and its join, and a partition that a hot key makes large can be split there."""
+    return F.pmod(F.xxhash64(*keys), F.lit(1)).cast("int")
+
+
 def is_bounded(df: DataFrame, row_bytes: int) -> bool:
     return df.count() * row_bytes <= BROADCAST_BYTES
 
