@@ -17,7 +17,12 @@ entity tag, tags decide by weak comparison; else both dates of last modification
 decide; without a common validator the state is ``unvalidated``, on a difference
 ``mismatch``, else ``resolved``.  Only resolved rows get merged headers and a
 payload.  Repeated revisits stay, one result each; record ids of responses are
-taken to be unique (of equal ones the first headers in sorted order count).
+taken to be unique (of equal ones the first headers in sorted order count).  Headers and
+payloads of any length are carried whole; an empty table gives no rows, and columns
+of ``records`` beyond those named are left out.
+
+Both joins have an exchange on either side, so Spark splits a partition that a popular
+URL or response makes large; revisits without a partner are dealt to all tasks.
 """
 
 from __future__ import annotations
@@ -25,6 +30,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from keypanel.llm.words import apart, nought
+
 BLOCK_SECONDS = 3600
 
 # Fields that belong to one connection, and those a 304 must not change.
@@ -95,10 +102,12 @@ def resolve_revisits(records: DataFrame, block_seconds: int = BLOCK_SECONDS) ->
     revisits = known.where("type = 'revisit'").select("record_id", "url", "date", "headers")
     latest = latest_earlier(responses.select("record_id", "url", "date"),
                             revisits.where("url is not null and date is not null"), block_seconds)
-    asked = revisits.join(latest, ["url", "date"], "left")
+    latest = latest.withColumn("apart", nought("url", "date"))
+    asked = revisits.withColumn("apart", apart(revisits, F.col("url").isNotNull() & F.col("date").isNotNull())).join(
+        latest, ["url", "date", "apart"], "left").drop("apart")
     kept = responses.groupBy(F.col("record_id").alias("response_id")).agg(
-        F.min(F.struct("headers", "payload")).alias("kept"))
-    pairs = asked.join(kept, "response_id", "left")
+        F.min(F.struct("headers", "payload")).alias("kept")).withColumn("apart", nought("response_id"))
+    pairs = asked.withColumn("apart", apart(asked, F.col("response_id").isNotNull())).join(kept, ["response_id", "apart"], "left")
     theirs, ours = F.col("kept.headers"), F.col("headers")
     tag, other = _weak(field(ours, "etag")), _weak(field(theirs, "etag"))
     changed, before = field(ours, "last-modified"), field(theirs, "last-modified")
