@@ -37,7 +37,7 @@ import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark import cloudpickle
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from keypanel.llm.words import LOWER, UPPER, arrow_rows, broadcast_if_bounded, digest
@@ -379,10 +379,12 @@ def _classed(docs: DataFrame, key: str, text: str, threshold: float = THRESHOLD,
 
 
 def one_of_each(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The documents with one of each class: the one with the least id."""
+    """The documents with one of each class: the one with the least id, of several the one whose text has the least digest."""
     joined = _classed(docs, key, text)
     kept = joined.where(F.col(key).cast("long").eqNullSafe(F.col("class_id")))
     lone, shared = kept.where("n_links = 0"), kept.where("n_links > 0")
     if not shared.groupBy("_llm_root").agg(F.count("*").alias("n")).where("n > 1").isEmpty():
-        shared = shared.dropDuplicates(["_llm_root"])  # ids that repeat or are missing inside a class
+        # Ids that repeat or are missing inside a class.
+        order = Window.partitionBy("_llm_root").orderBy(F.sha2(F.col(text), 256))
+        shared = shared.withColumn("_llm_rank", F.row_number().over(order)).where("_llm_rank = 1").drop("_llm_rank")
     return lone.unionByName(shared).drop("class_id", "n_links", "_llm_root")
