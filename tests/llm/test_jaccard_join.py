@@ -210,3 +210,12 @@ def test_one_of_each_group_whatever_its_ids(spark):
     rows += [(7, x) for g in (2, 3) for x in (texts[g], texts[g], near[g])] + [(None, texts[4]), (9, near[4])]
     kept = [(r["doc_id"], r["text"].split("w")[0]) for r in one_of_each(spark.createDataFrame(rows, "doc_id long, text string")).collect()]
     assert sorted(kept, key=lambda r: r[1]) == [(None, "g0"), (None, "g1"), (7, "g2"), (7, "g3"), (9, "g4")]
+
+
+def test_ties_of_one_id_are_settled_by_the_text(spark):
+    """Three different near copies under one id: the same one stays in any order and layout."""
+    base = " ".join(f"w{i}" for i in range(60))
+    rows = [(7, f"{base} {end}") for end in ("a1", "b1", "c1")]
+    kept = {tuple(r["text"] for r in one_of_each(spark.createDataFrame(order, "doc_id long, text string").repartition(n)).collect())
+            for order, n in ((rows, 1), (rows[::-1], 3))}
+    assert len(kept) == 1 and len(next(iter(kept))) == 1

@@ -12,9 +12,11 @@ from keypanel.llm.decontamination import decontaminate
 from keypanel.llm.license_scan import scan_licenses
 from keypanel.llm.quality_rules import judge_quality, measured
 from keypanel.llm.revisits import canonical_url, resolve_revisits
+from keypanel.llm.queries import QUERIES
 from keypanel.llm.url_filters import filter_urls
+from keypanel.llm.words import apart, nought
 
-from conftest_llm import ROWS, plain
+from conftest_llm import ROWS, SF, plain
 
 RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("org", "/fr", "allow"), ("a.org", "/", "block"),
          ("x.org", "/", "allow"), ("x.org", "/", "block"), ("", "/", "block"), (None, "/", "block")]
@@ -57,6 +59,27 @@ def test_urls(spark):
 
 # ---------------------------------------------------------------- decontamination
 
+def test_rows_without_a_partner_are_dealt_to_all_tasks(spark):
+    """A third of the URLs missing: their second join key differs by row; known places and the rules' side have 0."""
+    df = spark.range(3000).selectExpr("id", "if(id % 3 = 0, null, concat('http://a.net/', id % 3)) as url", "map('k', id) as extra")
+    keyed = df.withColumn("key", apart(df, F.col("url").isNotNull()))
+    missing = keyed.where("url is null").groupBy("key").count()
+    assert missing.count() > 900 and keyed.where("url is not null and key <> 0").isEmpty()
+    assert df.withColumn("key", nought("url")).where("key <> 0 or key is null").isEmpty()
+
+
+@pytest.mark.parametrize("name", ["op1_url_filters", "op10_revisits"])
+def test_hot_partitions_can_be_split(spark, name):
+    """Without broadcasts an exchange, not an aggregate, feeds both sides of the joins that a hot key reaches."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold", None)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = QUERIES[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold") if before is None else spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert len(re.findall(r"Exchange hashpartitioning\([^\n]*apart", plan)) >= 2
+
+
 def contamination(text, items):
     words, hit, found = plain(text), set(), set()
     for item, body in items:
