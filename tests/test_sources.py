@@ -185,10 +185,10 @@ def test_records(spark, pages, rows):
 
 def test_selectors(spark):
     page = """<div id=a class="x y"><p data-k="1 2">one<p>two</p><div><p class=deep>three</p></div></div><p id=b>four</p>"""
-    root = html.parse(page)
+    df = spark.createDataFrame([(1, page)], "page_id int, html string")
 
     def texts(selector):
-        return [n.text() for n in html.select(root, html.selector_chain(selector))]
+        return [r["t"] for r in html.page_records(df, selector, {"t": ""}).orderBy("record_idx").collect()]
 
     assert texts("p") == ["one", "two", "three", "four"]
     assert texts("div p") == ["one", "two", "three"]
@@ -199,6 +199,29 @@ def test_selectors(spark):
             html.selector_chain(wrong)
 
 
+def test_records_take_the_first_element_inside(spark, rows):
+    """A field beyond its row is not taken; a row inside a row is a record too; equal pages give equal records."""
+    page = "<ul><li class=r>a<b>1</b><ul><li class=r><b>2</b><i>z</i></ul><li class=r>c</ul><b>3</b>"
+    df = spark.createDataFrame([(1, page), (1, page), (None, page)], "page_id int, html string").coalesce(1)
+    found = rows(html.page_records(df, "ul li.r", {"b": "b", "i": "i", "own": ""}).drop("error"), "page_id", "record_idx")
+    one = [(0, "1", "z", "a 1 2 z"), (1, "2", "z", "2 z"), (2, "", "", "c")]
+    assert found == [(None, *r) for r in one] + [(1, *r) for r in one for _ in range(2)]
+
+
+def test_merged_cells_of_many_rows(spark, rows):
+    """A cell over all rows of a table longer than a block, and one over more rows than there are."""
+    body = "".join(f"<tr><td>{i}</td></tr>" for i in range(1, 700))
+    page = f"<table><tr><td rowspan=700>all</td><td>0</td></tr>{body}</table><table><tr><td rowspan=9>x<td>y</table>"
+    tables = html.page_tables(spark.createDataFrame([(1, page)], "page_id int, html string"))
+    assert rows(tables.where("table_idx = 0").select("cells"), "row_idx") == [(["all", str(i)],) for i in range(700)]
+    assert rows(tables.where("table_idx = 1").select("cells")) == [(["x", "y"],)]
+
+
+def test_tables_are_chosen_without_a_shuffle(spark, pages):
+    plan = html.page_tables(pages, largest=True)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and plan.count("MapInArrow") == 1
+
+
 def test_one_page_never_fails_the_table(spark, rows):
     deep = "<div>" * 5000 + "<table><tr><td>x</td></tr></table>" + "</div>" * 5000
     wide = '<table><tr><td colspan="²">a</td><td colspan="1000000000">b</td><td rowspan="99999999">c</td></tr><tr><td>d</td></tr></table>'
