@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 from keypanel.functions.text import null_tokens
 from keypanel.operators.clean import safe_cast
 from keypanel.operators.columns import flatten_structs
-from keypanel.sources import archives, html, zipped
+from keypanel.sources import archives, html, variant, zipped
 
 SOURCE_TYPES = ("csv", "json", "html_table", "html_scrape", "csv_zip", "csv_archive", "parquet")
 
@@ -25,6 +25,8 @@ class SourceSpec:
     ``columns`` maps column names to types; it is also the set of columns read.
     ``json_layout`` is ``lines`` (a record per line) or ``document`` (each file is
     one record or one array of records); ``schema`` spares JSON the inference pass.
+    ``json_fields`` is for JSON whose layout drifts: names with their paths and types
+    (``variant.take_fields``).
     """
 
     path: str
@@ -40,6 +42,7 @@ class SourceSpec:
     field_map: dict[str, str] | None = None
     json_layout: str = "lines"
     schema: str | None = None
+    json_fields: dict[str, tuple[str | list[str], str]] | None = None
 
 
 def typed(df: DataFrame, columns: dict[str, str]) -> DataFrame:
@@ -119,6 +122,8 @@ def read_source(spark: SparkSession, spec: SourceSpec) -> DataFrame:
     if spec.type == "csv":
         return read_delimited(spark, spec.path, spec.columns, spec.separator, spec.encoding,
                               spec.null_columns)
+    if spec.type == "json" and spec.json_fields:
+        return variant.take_fields(variant.read_json_records(spark, spec.path, spec.json_layout, spec.encoding), spec.json_fields)
     if spec.type == "json":
         records = read_json(spark, spec.path, spec.schema, spec.json_layout, spec.encoding)
         return typed(records, spec.columns)

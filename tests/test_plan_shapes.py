@@ -30,7 +30,7 @@ def test_no_python_and_no_cartesian_product(spark, name):
 
 def test_python_only_for_html(spark):
     for name in PYTHON:
-        assert "MapInPandas" in plan(spark, name)
+        assert plan(spark, name).count("MapInArrow") == 1
 
 
 def test_counts_are_combined_before_the_shuffle(spark):

@@ -14,15 +14,19 @@ from keypanel.operators.charts import long_series
 from keypanel.operators.joins import exists_flag
 from keypanel.plans.events import EventLayout, EventYear, event_totals_through, flagged_events
 from keypanel.plans.history import history_profile, prior_share_by_threshold
+from keypanel.plans.layout import expect_stored_by, save_bucketed
 from keypanel.plans.testing import TestCodes, test_rates
 from keypanel.plans.trend import trend
 from keypanel.plans.yearly import refresh_totals, stored_totals
-from keypanel.session import ensure_checkpoint_dir, removed_at_exit
+from keypanel.session import ensure_checkpoint_dir, removed_at_exit, stored
 from keypanel.sources.files import flatten_json_column, union_by_name
+from keypanel.sources.variant import json_records, take_fields
 from workload.registry import in_years, query, table
 
 # Up to this year the event carries its own flag, later a side table does.
 LAST_OWN_FLAG = 1998
+# Buckets of tables stored by id; for a size of one's own, layout.buckets_for.
+BUCKETS = 16
 
 
 def own_flag():
@@ -326,6 +330,46 @@ def json_flatten(spark, sf):
         "events": F.count("*"), "with_k": F.count(k), "sum_k": F.sum(k), "min_k": F.min(k), "max_k": F.max(k)})
 
 
+@query("""
+SELECT event_type, count(*) AS events, count(k) FILTER (event_type <> 'error') AS with_k,
+  CAST(sum(k) FILTER (event_type <> 'error') AS BIGINT) AS sum_k, count(k) FILTER (event_type = 'error') AS retyped,
+  CAST(sum(CASE WHEN user_id % 2 = 1 THEN user_id END) AS BIGINT) AS users_named
+FROM (SELECT *, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events) GROUP BY 1
+""")
+def drifting_json_fields(spark, sf):
+    """Records in three layouts: k at the top, k as text inside an object beside the user, k as a text that is no number."""
+    events = table(spark, sf, "events")
+    k = F.get_json_object("props", "$.k")
+    newer = F.to_json(F.struct(F.struct(k.alias("k")).alias("data"), F.col("user_id").alias("user")))
+    text = F.when(F.col("user_id") % 2 == 1, newer).otherwise(F.col("props"))
+    text = F.when(F.col("event_type") == "error", F.regexp_replace(text, r'"k":\s*"?(\d+)"?', '"k": "no $1"')).otherwise(text)
+    records = events.select("event_type", json_records(text).alias("record"))
+    fields = take_fields(records, {"k": (["$.k", "$.data.k"], "int"), "user": ("$.user", "bigint")})
+    return profile_by_key(fields, ["event_type"], {
+        "events": F.count("*"), "with_k": F.count("k"), "sum_k": F.sum("k"),
+        "retyped": count_where(F.array_contains("retyped", "k")), "users_named": F.sum("user")})
+
+
+@query("""
+SELECT o_orderpriority, count(*) AS orders, count(*) FILTER (hit) AS flagged FROM (
+  SELECT o_orderpriority, o_orderkey IN (SELECT l_orderkey FROM lineitem WHERE l_returnflag = 'R') AS hit FROM orders) GROUP BY 1
+""")
+def flags_of_tables_stored_by_id(spark, sf):
+    """Orders and lines stored in buckets of the order's key, then flagged without dealing either of them again."""
+    names = [f"keypanel_{part}_{uuid4().hex}" for part in ("orders", "lines")]
+    orders = table(spark, sf, "orders").select("o_orderkey", "o_orderpriority")
+    lines = table(spark, sf, "lineitem").select("l_orderkey", "l_returnflag")
+    try:
+        orders = save_bucketed(orders, names[0], "o_orderkey", BUCKETS)
+        lines = save_bucketed(lines, names[1], "l_orderkey", BUCKETS)
+        returned = lines.filter("l_returnflag = 'R'").select(F.col("l_orderkey").alias("o_orderkey"))
+        flagged = expect_stored_by(exists_flag(orders, returned, "o_orderkey", "flagged"), "o_orderkey", "l_orderkey")
+        return stored(profile_by_key(flagged, ["o_orderpriority"], {"orders": F.count("*"), "flagged": F.sum("flagged").cast("bigint")}))
+    finally:
+        for name in names:
+            spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
 @query("""
 SELECT CAST(year(o_orderdate) AS INTEGER) AS year, count(*) AS orders,
        count(CASE WHEN year(o_orderdate) <= 1998 THEN o_orderpriority END) AS with_priority
