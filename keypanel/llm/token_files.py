@@ -11,13 +11,18 @@ Index.  Keys are dealt by hash to buckets of about a thousand.  In each a hash a
 displace scheme gives every key its own slot of exactly as many slots as keys; a
 slot stores a 32-bit fingerprint of its key and the runs of documents with that
 key (shard, first entry, first id, ids, documents).  A lookup reads one bucket,
-one displacement and one slot, whatever the size of the corpus.
+one displacement and one slot, whatever the size of the corpus.  ``read_keys`` goes that
+way for a list of keys: index rows of their buckets, then of the shard files named there
+the ids from the named offset on.  ``read_documents`` takes a table of keys of any size
+and reads all shards in one pass.
 
 Defined cases: a missing text is an empty one (the end id alone).  A missing key
 sorts first and is stored as a key of its own.  Rows that share a key are all
 stored, next to each other, in the order of their text's hash, and the key's slot
 names them all.  A key that was never written is not found (its fingerprint
-differs, but for one in four billion).  An empty table gives no shard and an empty index.
+differs, but for one in four billion, and readers compare the stored key).  An empty table gives
+no shard and an empty index; a very long text is one document of its shard; columns other than key and
+text are left out.  An end id with a byte of 128 or more is refused.
 """
 
 from __future__ import annotations
@@ -32,7 +37,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from keypanel.llm.tokens import encoder, slices, vocabulary_type
-from keypanel.llm.words import arrow_rows, broadcast_if_bounded
+from keypanel.llm.words import arrow_rows, broadcast_if_bounded, is_bounded
 from keypanel.session import stored
 
 # Executors get these functions with the job and need no installed package.
@@ -44,6 +49,7 @@ TEXTS = 2000  # that a worker gets at a time
 BUCKET_KEYS = 1024
 GROUP_KEYS = 4
 NO_KEY = -(1 << 63)  # stands for a missing key
+MOST_KEYS = 1000  # that are read one by one; a run of documents with one key in one shard is one entry
 
 ENTRY = np.dtype([("key", "<i8"), ("first", "<i8"), ("ids", "<i8")])
 
@@ -58,6 +64,9 @@ def write_shards(docs: DataFrame, folder: str, path: str, end_id: int, key: str
                  shard_bytes: int = SHARD_BYTES) -> None:
     """Encode every text and write shard files of about ``shard_bytes`` of text into ``folder``."""
     rows = docs.select(shard_key(F.col(key)).alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+    closing = np.array([end_id], dtype=vocabulary_type(path)).tobytes()
+    if max(closing) >= 0x80:
+        raise ValueError(f"end id {end_id} has a byte of 128 or more, which the text writer would not write as it is")
     size = rows.agg(F.coalesce(F.sum(F.octet_length("text").cast("long")), F.lit(0)).alias("b")).first()["b"]
     order = ["key", F.xxhash64("text")]
     rows = rows.repartitionByRange(max(1, -(-size // shard_bytes)), *order, F.monotonically_increasing_id())
@@ -79,10 +88,9 @@ def write_shards(docs: DataFrame, folder: str, path: str, end_id: int, key: str
             tail = np.array(entries, dtype=ENTRY).tobytes() + np.array([len(entries), MAGIC], dtype="<i8").tobytes()
             yield pa.RecordBatch.from_arrays([pa.array([tail], pa.binary())], names=["line"])
 
-    end = np.array([end_id], dtype=vocabulary_type(path)).tobytes().decode("latin-1")
     lines = rows.mapInArrow(run, "line binary").select(F.col("line").cast("string"))
     with arrow_rows(docs.sparkSession, TEXTS):
-        lines.write.option("lineSep", end).text(folder)
+        lines.write.option("lineSep", closing.decode("latin-1")).text(folder)
 
 
 def read_shards(spark: SparkSession, folder: str, width: int, ids: bool = True) -> DataFrame:
@@ -263,3 +271,55 @@ def read_documents(spark: SparkSession, keys: DataFrame, folder: str, buckets: i
     return read_shards(spark, f"{folder}/shards", width).join(
         broadcast_if_bounded(addresses, 32), ["shard", "entry"]).where("wanted = key").join(bases, "shard").select(
         F.when(F.col("key") != NO_KEY, F.col("key")).alias("key"), (F.col("base") + F.col("first")).alias("start"), "n", "ids")
+
+
+def read_keys(spark: SparkSession, keys: list[int | None], folder: str, buckets: int, width: int) -> DataFrame:
+    """(key, start, n, ids) of the documents with the listed keys, by the index alone.
+
+    Of the index only rows of the keys' buckets are read, and only the shard files that hold a key
+    are opened, in which the ids lie at the offset that the index gives.  ``keys`` (at most
+    ``MOST_KEYS``, each once) is a list of the driver; more keys are a table for ``read_documents``.
+    """
+    stored_keys = list(dict.fromkeys(NO_KEY if k is None else k for k in keys))
+    if len(stored_keys) > MOST_KEYS:
+        raise ValueError(f"{len(stored_keys)} keys; give more than {MOST_KEYS} as a table to read_documents")
+    wanted = spark.createDataFrame([(k,) for k in stored_keys], "key bigint")
+    own = [r["b"] for r in wanted.select(key_bucket(F.col("key"), buckets).alias("b")).distinct().collect()]
+    index = spark.read.parquet(f"{folder}/index").where(F.col("bucket").isin(own))
+    runs = stored(lookup(wanted, index, buckets).select("key", F.inline("runs")))
+    shards = [r["shard"] for r in runs.select("shard").distinct().limit(MOST_KEYS + 1).collect()]
+    return _sliced(spark, runs, shards, folder, width).join(spark.read.parquet(f"{folder}/bases"), "shard").select(
+        F.when(F.col("key") != NO_KEY, F.col("key")).alias("key"), (F.col("base") + F.col("first")).alias("start"), "n", "ids")
+
+
+def _sliced(spark: SparkSession, runs: DataFrame, shards: list[int], folder: str, width: int) -> DataFrame:
+    """(shard, key, first, n, ids) of the documents of ``runs``, cut out of the shard files named by ``shards``."""
+    dtype = np.dtype("<u2") if width == 2 else np.dtype("<u4")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ["shard", "key", "first", "n", "ids"]
+        for batch in batches:
+            for shard, content, held in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2).to_pylist()):
+                data = memoryview(content.as_buffer())
+                footer = len(data) - width - 16
+                count, magic = np.frombuffer(data[footer:footer + 16], "<i8")
+                if magic != MAGIC:
+                    raise ValueError(f"shard {shard} has no footer")
+                table = footer - int(count) * ENTRY.itemsize
+                for found in held:
+                    at = table + found["entry"] * ENTRY.itemsize
+                    entries = np.frombuffer(data[at:at + found["documents"] * ENTRY.itemsize], ENTRY)
+                    entries = entries[entries["key"] == found["key"]]
+                    ids = [np.frombuffer(data[a * width:(a + n) * width], dtype).astype("<u4").tobytes()
+                           for a, n in zip(entries["first"].tolist(), entries["ids"].tolist())]
+                    yield pa.RecordBatch.from_arrays([
+                        pa.array(np.full(len(entries), shard, np.int32)), *(pa.array(np.ascontiguousarray(entries[c])) for c in ENTRY.names),
+                        pa.array(ids, pa.binary())], names=names)
+
+    # Beyond so many files all are listed and the join leaves out those without a key.
+    named = "part-{" + ",".join(f"{s:05d}" for s in shards) + "}-*" if 0 < len(shards) <= MOST_KEYS else "part-*"
+    files = spark.read.format("binaryFile").option("pathGlobFilter", named).load(f"{folder}/shards")
+    files = files.select(F.regexp_extract("path", r"part-(\d+)", 1).cast("int").alias("shard"), "content")
+    held = runs.groupBy("shard").agg(F.collect_list(F.struct("key", "entry", "documents")).alias("held"))
+    held = F.broadcast(held) if is_bounded(runs, 64) else held
+    return files.join(held, "shard").select("shard", "content", "held").mapInArrow(run, "shard int, key bigint, first bigint, n bigint, ids binary")

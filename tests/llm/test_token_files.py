@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from keypanel.llm.queries import QUERIES
-from keypanel.llm.token_files import build_mph, find_slots, lookup, read_documents, shard_key, write_token_files
+from keypanel.llm.token_files import build_mph, find_slots, lookup, read_documents, read_keys, shard_key, write_shards, write_token_files
 
 from conftest_llm import SF, WORDS
 
@@ -54,6 +54,27 @@ def test_unknown_keys_are_not_found(spark, documents, tmp_path):
     assert sorted(r["key"] for r in found.collect()) == sorted(r["doc_id"] for r in documents.select("doc_id").collect())
 
 
+def test_keys_are_read_by_the_index_alone(spark, odd, documents, tmp_path):
+    """Same documents as by reading all; of a single key one index row and one shard file are read."""
+    for number, (docs, keys) in enumerate([(odd, [1, None, 2, 7, 99, 1]), (documents, [3, 40, 10**9])]):
+        folder = str(tmp_path / str(number))
+        buckets, whole = read_all(spark, docs, folder, 2000)
+        want = sorted((tuple(r) for r in whole.collect() if r["key"] in keys), key=lambda r: r[1])
+        assert sorted((tuple(r) for r in read_keys(spark, keys, folder, buckets, 2).collect()), key=lambda r: r[1]) == want and want
+    one = read_keys(spark, [40], folder, buckets, 2)
+    assert one.count() == 1
+    assert [f.rsplit("/", 1)[1].startswith("part-") for f in one.inputFiles() if "/shards/" in f] == [True]
+    assert read_keys(spark, [10**9], folder, buckets, 2).collect() == []
+    with pytest.raises(ValueError, match="as a table"):
+        read_keys(spark, list(range(1001)), folder, buckets, 2)
+
+
+def test_end_ids_that_cannot_be_written_are_refused(spark, odd, tmp_path):
+    for end_id in (200, 40000):
+        with pytest.raises(ValueError, match="end id"):
+            write_shards(odd, str(tmp_path / "t"), WORDS, end_id)
+
+
 def test_empty(spark, empty, tmp_path):
     _, found = read_all(spark, empty, str(tmp_path / "t"))
     assert found.collect() == []
