@@ -166,6 +166,15 @@ def read_pages(spark: SparkSession, path: str | list[str], encoding: str = "UTF-
     return files.select(F.col("path").alias("page_id"), F.decode("content", encoding).alias("html"))
 
 
+def dealt(pages: DataFrame) -> DataFrame:
+    """The rows dealt evenly to all tasks, one after the other.
+
+    For pages that are made of short rows, or lie in few row groups: reading a page takes
+    long for its size, and one scan task would read a million of them.
+    """
+    return pages.repartition(int(pages.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
+
 def _listed(kind: pa.DataType) -> pa.DataType:
     return pa.list_(pa.field("element", kind))
 

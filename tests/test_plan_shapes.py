@@ -3,10 +3,15 @@
 import contextlib
 import io
 
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
+from pyspark.sql import functions as F
 
 import workload
 import oracle
+from keypanel.sources import html
+from workload.text import part_pages
 
 SF = "/root/testdata/sf0.001"
 QUERIES, SQL = workload.QUERIES, workload.SQL
@@ -33,6 +38,25 @@ def test_python_only_for_html(spark):
         assert plan(spark, name).count("MapInArrow") == 1
 
 
+@pytest.fixture
+def many_parts(tmp_path):
+    """4000 parts in one row group of one file, keys repeated and missing."""
+    rows = [(i % 3900 or None, f"name {i}", f"brand {i % 7}", "PROMO" if i % 5 else None, i % 50, 1.0) for i in range(4000)]
+    names = ["p_partkey", "p_name", "p_brand", "p_type", "p_size", "p_retailprice"]
+    kinds = [pa.int64(), pa.string(), pa.string(), pa.string(), pa.int32(), pa.float64()]
+    columns = {n: pa.array(c, k) for n, c, k in zip(names, zip(*rows), kinds)}
+    pq.write_table(pa.table(columns), f"{tmp_path}/part.parquet", row_group_size=len(rows))
+    return str(tmp_path)
+
+
+def test_pages_of_one_row_group_are_read_by_all_tasks_largest(spark, many_parts):
+    pages = part_pages(spark, many_parts)
+    read = html.page_tables(pages, largest=True).groupBy(F.spark_partition_id()).agg(F.countDistinct("page_id").alias("n"))
+    shares = sorted(r["n"] for r in read.collect())
+    assert len(shares) == int(spark.conf.get("spark.sql.shuffle.partitions")) and shares[-1] <= 2 * shares[0]
+    assert plan(spark, "html_largest_table").count("Exchange RoundRobinPartitioning") == 1
+
+
 def test_counts_are_combined_before_the_shuffle(spark):
     text = plan(spark, "test_rates_by_key")
     assert text.count("Exchange hashpartitioning") == 1
