@@ -2,6 +2,7 @@
 
 import contextlib
 import io
+from collections import Counter
 
 import pyarrow as pa
 import pyarrow.parquet as pq
@@ -57,6 +58,16 @@ def test_pages_of_one_row_group_are_read_by_all_tasks_largest(spark, many_parts)
     assert plan(spark, "html_largest_table").count("Exchange RoundRobinPartitioning") == 1
 
 
+def test_pages_of_one_row_group_are_read_by_all_tasks_by_index(spark, many_parts):
+    found = QUERIES["html_table_by_index"](spark, many_parts).withColumn("task", F.spark_partition_id())
+    shares = sorted(r["count"] for r in found.groupBy("task").count().collect())
+    assert len(shares) == int(spark.conf.get("spark.sql.shuffle.partitions")) and shares[-1] <= 2 * shares[0]
+    # A part without a type has no page.
+    expected = [(i % 3900 or None, f"name {i}", str(i % 50)) for i in range(4000) if i % 5]
+    expected += [(i % 3900 or None, f"brand {i % 7}", "PROMO & more") for i in range(4000) if i % 5]
+    assert Counter(map(tuple, found.drop("task").collect())) == Counter(expected)
+
+
 def test_counts_are_combined_before_the_shuffle(spark):
     text = plan(spark, "test_rates_by_key")
     assert text.count("Exchange hashpartitioning") == 1
