@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from keypanel.functions.rates import rounded, stable_sum
-from keypanel.operators.quantiles import exact_quantiles
+from keypanel.operators.quantiles import BROADCAST_KEYS, exact_quantiles
 
 
 def _long(df: DataFrame, keep: list[Column], metrics: list[str]) -> DataFrame:
@@ -15,12 +15,12 @@ def _long(df: DataFrame, keep: list[Column], metrics: list[str]) -> DataFrame:
         [F.col(c) for c in df.select(*keep).columns], metrics, "metric", "value")
 
 
-def _statistics(long: DataFrame, keys: list[str]) -> DataFrame:
+def _statistics(long: DataFrame, keys: list[str], few_keys: bool | None = None) -> DataFrame:
     """Mean, median, count of known values and of rows per key, one row each."""
     value = F.col("value")
     return exact_quantiles(long, keys, "value", {"median": 0.5}, also={
         "mean": F.try_divide(stable_sum(value), F.count(value)),
-        "count": F.count(value), "rows": F.count("*")})
+        "count": F.count(value), "rows": F.count("*")}, few_keys=few_keys)
 
 
 def summarize(df: DataFrame, group: str, metrics: list[str], digits: int = 2) -> DataFrame:
@@ -46,7 +46,8 @@ def compare_cohorts(df: DataFrame, metrics: list[str], first: Column, second: Co
     a, b = names
     cohort = F.when(first, F.lit(a)).when(second, F.lit(b))
     members = df.withColumn("_cohort", cohort).filter(F.col("_cohort").isNotNull())
-    stats = _statistics(_long(members, [F.col("_cohort")], metrics), ["_cohort", "metric"])
+    stats = _statistics(_long(members, [F.col("_cohort")], metrics), ["_cohort", "metric"],
+                        few_keys=2 * len(metrics) <= BROADCAST_KEYS)
 
     def of(name: str, column: Column) -> Column:
         return F.max(F.when(F.col("_cohort") == name, column))

@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 from pyspark.sql import Window as W
 
 from keypanel.functions.rates import rounded, stable_sum
-from keypanel.operators.quantiles import exact_quantiles
+from keypanel.operators.quantiles import BROADCAST_KEYS, exact_quantiles
 
 QUARTILES = {"p25": 0.25, "p50": 0.5, "p75": 0.75}
 
@@ -40,7 +40,7 @@ def table_stats(df: DataFrame, columns: list[str], digits: int = 2) -> DataFrame
     value, total = F.col("value"), stable_sum(F.col("value"))
     stats = exact_quantiles(_by_column(df, columns), ["column"], "value", {"median": 0.5}, also={
         "sum": total, "min": F.min(value), "max": F.max(value),
-        "mean": F.try_divide(total, F.count(value))})
+        "mean": F.try_divide(total, F.count(value))}, few_keys=len(columns) <= BROADCAST_KEYS)
     return stats.select("column", *[rounded(F.col(s), digits).alias(s)
                                     for s in ("sum", "min", "max", "mean", "median")])
 
@@ -51,6 +51,6 @@ def numeric_summary(df: DataFrame, columns: list[str] | None = None, digits: int
     value = F.col("value")
     stats = exact_quantiles(_by_column(df, names), ["column"], "value", QUARTILES, also={
         "count": F.count(value), "mean": F.avg(value), "std": F.stddev_samp(value),
-        "min": F.min(value), "max": F.max(value)})
+        "min": F.min(value), "max": F.max(value)}, few_keys=len(names) <= BROADCAST_KEYS)
     shown = ["mean", "std", "min", *QUARTILES, "max"]
     return stats.select("column", "count", *[rounded(F.col(s), digits).alias(s) for s in shown])

@@ -10,6 +10,8 @@ from pyspark.sql import Window as W
 # times its stated error (at 99 % confidence) a bracket is wider than the rank it is for.
 SKETCH = 4096
 MARGIN = 4
+# Keys whose brackets go to every task: at some 400 bytes each, 20 MB at most.
+BROADCAST_KEYS = 50_000
 # Ranks that rounding may cost at either end, four times over.
 ROUNDING = 12
 
@@ -20,7 +22,7 @@ def rank_error(k: int) -> float:
 
 
 def exact_quantiles(df: DataFrame, keys: list[str], value: str, probs: dict[str, float],
-                    also: dict[str, Column] | None = None, k: int = SKETCH) -> DataFrame:
+                    also: dict[str, Column] | None = None, k: int = SKETCH, *, few_keys: bool | None = None) -> DataFrame:
     """Exact, linearly interpolated quantiles of ``value`` per key.
 
     The first pass makes a mergeable sketch per key, combined on the map side, which
@@ -29,10 +31,14 @@ def exact_quantiles(df: DataFrame, keys: list[str], value: str, probs: dict[str,
     put in order.  A bracket holds ``2 * MARGIN * rank_error(k)`` of the rows of its key,
     about one in a hundred; a larger ``k`` makes it narrower.  The rank
     that is wanted lies inside with a probability that leaves chance out of account (seven
-    standard deviations or more); should it not, the job fails and says so.  Rows meet the brackets of
-    their key in a join that Spark broadcasts when they are small; no raw row is shuffled then.  It is
+    standard deviations or more); should it not, the job fails and says so.  It is
     one lazy plan of two scans and four exchanges, the same for all sizes.
 
+    Rows meet the brackets of few keys where they are read; no raw row is shuffled then.  Whether keys are
+    few (``BROADCAST_KEYS``) is counted by a sketch, in one job that reads the key columns, unless
+    ``few_keys`` says it.  Otherwise both sides are shuffled, with one more exchange, and Spark splits
+    a partition that a hot key makes large.
+
     ``also`` names further aggregates per key over the column ``value``.  The result
     has one row per key, with ``also`` and ``probs``; quantiles are NULL for a key
     without values.  NaN counts as missing.
@@ -51,8 +57,17 @@ def exact_quantiles(df: DataFrame, keys: list[str], value: str, probs: dict[str,
     places = [F.when(v <= F.col("_in")[i]["high"], F.struct(F.lit(i).alias("i"), F.when(v >= F.col("_in")[i]["low"], v).alias("value")))
               for i in range(len(probs))]
     missing = F.when(v.isNull(), F.struct(F.lit(-1).alias("i"), v.alias("value")))  # keeps keys without values
-    counts = (rows.join(brackets, "_key").select("_key", "_n", "_also", F.explode(F.array(missing, *places)).alias("_p")).where("_p IS NOT NULL")
-              .select("_key", "_n", "_also", F.col("_p.i").alias("_i"), F.col("_p.value").alias("value"))
+    if few_keys is None:
+        few_keys = not keys or _are_few(rows)
+    if few_keys:
+        met = rows.join(F.broadcast(brackets), "_key")
+    else:  # 0 in every row, so that an exchange stands on both sides of the join
+        nought = F.pmod(F.xxhash64("_key"), F.lit(1)).alias("_nought")
+        met = rows.select("*", nought).join(brackets.select("*", nought).hint("merge"), ["_key", "_nought"])
+    # The key built again stands for an exchange behind the join: many tasks count the rows of one key.
+    own_key = F.struct(*[F.col(f"_key.{i}").alias(i) for i in ids])
+    counts = (met.select("_key", "_n", "_also", F.explode(F.array(missing, *places)).alias("_p")).where("_p IS NOT NULL")
+              .select(own_key.alias("_key"), "_n", "_also", F.col("_p.i").alias("_i"), F.col("_p.value").alias("value"))
               .groupBy("_key", "_n", "_also", "_i", "value").agg(F.count("*").alias("_size")))
 
     # A bracket's row without a value counts the rows below it and comes first.
@@ -77,6 +92,10 @@ def exact_quantiles(df: DataFrame, keys: list[str], value: str, probs: dict[str,
     return found.select(*result)
 
 
+def _are_few(rows: DataFrame) -> bool:
+    return rows.agg(F.approx_count_distinct("_key")).first()[0] <= BROADCAST_KEYS
+
+
 def _bracket(q: float, k: int) -> Column:
     """Two values of the sketch that a quantile lies between."""
     wide = MARGIN * rank_error(k)

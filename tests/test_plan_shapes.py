@@ -68,6 +68,24 @@ def test_pages_of_one_row_group_are_read_by_all_tasks_by_index(spark, many_parts
     assert Counter(map(tuple, found.drop("task").collect())) == Counter(expected)
 
 
+# Statistics of whole columns: sketches and counts are shuffled, never the rows.
+COLUMN_STATS = ["tiny_measure_stats"]
+
+
+@pytest.mark.parametrize("name", COLUMN_STATS)
+def test_rows_of_a_column_stay_where_they_are_read(spark, name):
+    settings = ["spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"]
+    try:
+        for setting in settings:
+            spark.conf.set(setting, "-1")
+        text = plan(spark, name)
+    finally:
+        for setting in settings:
+            spark.conf.unset(setting)
+    assert text.count("BroadcastHashJoin") == 1 and "SortMergeJoin" not in text
+    assert text.count("Exchange hashpartitioning") == 3 and text.count("partial_kll") == 1
+
+
 def test_counts_are_combined_before_the_shuffle(spark):
     text = plan(spark, "test_rates_by_key")
     assert text.count("Exchange hashpartitioning") == 1

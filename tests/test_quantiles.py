@@ -6,7 +6,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from keypanel.operators import quantiles
+from keypanel.operators import profile, quantiles
 from keypanel.operators.quantiles import exact_quantiles
 
 PROBS = {"q25": 0.25, "q50": 0.5, "q75": 0.75, "q90": 0.9}
@@ -96,3 +96,60 @@ def test_two_scans_and_four_exchanges(spark, tmp_path, threshold):
         spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
     assert final.count("FileScan parquet") == 2 and "SortAggregate" not in final
     assert final.count("Exchange ") <= 4
+
+
+@pytest.fixture
+def without_broadcast(spark):
+    """Brackets are beyond the thresholds, as those merged from many sketches are."""
+    settings = ["spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"]
+    for setting in settings:
+        spark.conf.set(setting, "-1")
+    yield
+    for setting in settings:
+        spark.conf.unset(setting)
+
+
+def plan_below_join(df):
+    """The join, and what stands between it and the scan of the raw rows, after the query has run."""
+    df.collect()
+    lines = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0].splitlines()
+    join = next(i for i, line in enumerate(lines) if "Join" in line)
+    scan = next(i for i, line in enumerate(lines) if i > join and "FileScan" in line)
+    return lines[join], "\n".join(lines[join + 1:scan])
+
+
+@pytest.fixture
+def measures(spark, tmp_path):
+    spark.range(20_000).select((F.col("id") % 50).cast("double").alias("quantity"), F.when(F.col("id") % 9 > 0, F.col("id") / 8).alias("price"),
+                               F.lit(None).cast("double").alias("none")).write.parquet(f"{tmp_path}/t")
+    return spark.read.parquet(f"{tmp_path}/t")
+
+
+def test_rows_of_a_column_are_not_shuffled_table_stats(spark, measures, without_broadcast):
+    """No task reads all rows of a column, whatever size Spark takes the brackets for."""
+    found = profile.table_stats(measures, ["quantity", "price", "none"])
+    join, between = plan_below_join(found)
+    assert "BroadcastHashJoin" in join and "Exchange" not in between
+    known = [i / 8 for i in range(20_000) if i % 9]
+    assert {r["column"]: r["median"] for r in found.collect()} == {
+        "quantity": 24.5, "price": pytest.approx(np.median(known), abs=0.005), "none": None}
+
+
+def test_counts_of_hot_keys_among_many(spark, tmp_path, without_broadcast, monkeypatch):
+    """Beyond the bound rows are shuffled; the partition of a hot key is split and the result is the same."""
+    rows = spark.range(60_000).select(F.expr("IF(id % 4 > 0, 7, nullif(id % 400, 0))").alias("k"), F.expr("hash(id) / 7.0").alias("v"))
+    rows.write.parquet(f"{tmp_path}/t")
+    df = spark.read.parquet(f"{tmp_path}/t").repartition(6)
+    few = exact_quantiles(df, ["k"], "v", PROBS, k=200).collect()
+    monkeypatch.setattr(quantiles, "BROADCAST_KEYS", 50)
+    settings = {"spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "16k", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k"}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    try:
+        many = exact_quantiles(df, ["k"], "v", PROBS, k=200)
+        assert sorted(map(str, many.collect())) == sorted(map(str, few)) and len(few) == 101
+        join, _ = plan_below_join(many)
+    finally:
+        for name in settings:
+            spark.conf.unset(name)
+    assert "SortMergeJoin(skew=true)" in join
