@@ -69,7 +69,7 @@ def test_pages_of_one_row_group_are_read_by_all_tasks_by_index(spark, many_parts
 
 
 # Statistics of whole columns: sketches and counts are shuffled, never the rows.
-COLUMN_STATS = ["tiny_measure_stats", "fine_measure_stats", "numeric_profile"]
+COLUMN_STATS = ["tiny_measure_stats", "fine_measure_stats", "numeric_profile", "whole_table_stats"]
 
 
 @pytest.mark.parametrize("name", COLUMN_STATS)
