@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from keypanel.functions import rules as R
 from keypanel.functions.text import WHITESPACE
-from keypanel.operators.bitmaps import MOST_BITS, bit_array, bits_for, may_hold
+from keypanel.operators import needles
+from keypanel.operators.bitmaps import MOST_BITS, bit_array, bits_for, count_array, may_hold, place_of
 from keypanel.operators.needles import classify_by_table, rules_table
 
 RULES = "needle string, rank bigint, result string"
@@ -87,6 +88,78 @@ def test_texts_are_not_shuffled(spark):
     assert joined == []
 
 
+@pytest.fixture
+def short_rounds(monkeypatch):
+    """Rounds of few rules; gives the rows that each round indexed, and the texts that it looked up."""
+    seen = []
+    rarest, near = needles._rarest, needles._near
+    monkeypatch.setattr(needles, "FIRST_ROUND", 4)
+    monkeypatch.setattr(needles, "GROWTH", 2)
+    monkeypatch.setattr(needles, "_rarest", lambda rows, n: seen.append([n]) or rarest(rows, n))
+    monkeypatch.setattr(needles, "_near", lambda texts, *rest: seen[-1].append(texts.count()) or near(texts, *rest))
+    return seen
+
+
+def test_a_matched_text_is_not_searched_for_later_rules(spark, short_rounds, monkeypatch):
+    monkeypatch.setattr(needles, "NEAR_EACH", 0)
+    texts = [f"first rule wins here {i}" for i in range(40)] + ["only this has the last one", "nothing of all", None, ""]
+    rules = [("rule wins", 0, "a")] + [(f"wins here {i}", 1 + i, f"late {i}") for i in range(40)] + [("the last one", 99, "z"), ("this has the", None, "null rank")]
+    held_rules = [(n, r, x) for n, r, x in rules if r is not None]
+    held(spark, texts, held_rules)
+    assert len(short_rounds) > 2 and sum(n for n, _ in short_rounds) == len(held_rules)
+    assert short_rounds[0][1] == 44 and all(searched <= 6 for _, searched in short_rounds[1:])
+    df = spark.createDataFrame([(t,) for t in texts[-4:]], "t string")
+    found = classify_by_table(df, "t", spark.createDataFrame(rules, RULES), default="other").collect()
+    assert [r["category"] for r in found] == ["null rank", "other", None, "other"]
+
+
+def test_rounds_give_what_all_rules_at_once_give(spark, short_rounds):
+    rng = random.Random(11)
+    word = lambda a, b: "".join(rng.choice("abcé ") for _ in range(rng.randint(a, b)))
+    texts = [word(0, 90).upper() for _ in range(150)] + ["zzz", "Zzz ", None]
+    rules = [(word(2, 20), rng.randint(0, 25), f"r{i}") for i in range(60)]
+    held(spark, texts, [(n, r, x) for n, (r, x) in {n: (r, x) for n, r, x in rules}.items()])
+    held(spark, texts, [("no such text in here %02d" % i, i, "never") for i in range(30)])
+    assert len(short_rounds) > 2
+
+
+def test_pairs_do_not_grow_with_texts_times_needles(spark):
+    """All needles occur in all texts; the pieces shuffled are those that meet the first rules."""
+    texts = spark.range(200).select(F.concat(F.lit("aa bb cc dd ee "), F.expr("array_join(transform(sequence(0, 299), i -> lpad(i, 9, 'q')), ' ')"), F.col("id").cast("string")).alias("t"))
+    rules = spark.range(300).select(F.expr("lpad(id, 9, 'q')").alias("needle"), (F.col("id") + 1).alias("rank"), F.col("id").cast("string").alias("result"))
+    kept, rows = needles.stored, []
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(needles, "FIRST_ROUND", 4)
+        patch.setattr(needles, "stored", lambda df: rows.append(kept(df)) or rows[-1])
+        found = classify_by_table(texts, "t", rules).select("category").distinct().collect()
+    assert [r["category"] for r in found] == ["0"]
+    index = max(r.count() for r in rows if "gram" in r.columns)
+    assert index < 50  # of 600 in all
+
+
+def test_rows_are_not_shuffled_to_choose_a_gram(spark):
+    listed = needles._with_classes(spark.createDataFrame([(f"https://one.two/{i:04d}/index.html", i, "x") for i in range(500)], RULES))
+    index = needles._rarest(listed, 500)
+    assert index.groupBy("gram").count().agg(F.max("count")).first()[0] <= 60  # not the 500 of a shared beginning
+    assert index.groupBy("needle").count().where("count > 4").count() == 0
+
+
+def test_counts_by_hash(spark):
+    rows = spark.createDataFrame([("a",)] * 5 + [("b",)] * 2 + [("c",)], "k string")
+    counts = count_array(rows, ["k"], 1 << 12)
+    found = rows.distinct().select("k", F.get(counts, place_of(1 << 12, F.col("k")).cast("int")).alias("n"))
+    assert {r["k"]: r["n"] for r in found.collect()} == {"a": 5, "b": 2, "c": 1}
+
+
+def test_a_text_is_not_needed_after_its_digest(spark):
+    df = spark.range(9).select("id", F.format_string("text %s", "id").alias("t"))
+    rules = spark.createDataFrame([("text 1", 1, "x")], RULES)
+    plan = classify_by_table(df, "t", rules).select("id", "category")._jdf.queryExecution().optimizedPlan().toString()
+    _, below = plan.split("Join LeftOuter")
+    left = next(line for line in below.split("\n") if "Project" in line)
+    assert "AS _text" in left and "AS t#" not in left and ", t#" not in left
+
+
 def test_a_column_of_that_name_is_refused(spark):
     with pytest.raises(ValueError, match="already"):
         classify_by_table(spark.createDataFrame([("a",)], "t string"), "t", spark.createDataFrame([], RULES), name="t")
